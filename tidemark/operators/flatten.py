@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import names, quote
 
 
 def flatten(df: DataFrame, array: str, fields: Sequence[str], prefix: str = "") -> DataFrame:
@@ -16,9 +15,6 @@ def flatten(df: DataFrame, array: str, fields: Sequence[str], prefix: str = "")
     A parent whose array is NULL or empty keeps one row with NULL child fields. A prefix
     that ends in a dot gives column names with a literal dot in them.
     """
-    parents = [c for c in df.columns if c != array]
-    element = F.explode_outer(col(array)).alias(array)
-    return df.select(*[col(c) for c in parents], element).select(
-        *[col(c) for c in parents],
-        *[col(array).getField(f).alias(prefix + f) for f in fields],
-    )
+    parents = names([c for c in df.columns if c != array])
+    children = [f"{quote(array)}.{quote(f)} AS {quote(prefix + f)}" for f in fields]
+    return df.selectExpr(*parents, f"explode_outer({quote(array)}) AS {quote(array)}").selectExpr(*parents, *children)

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import any_null, col, orderable
+from tidemark.functions.columns import any_null, col, names, orderable
 from tidemark.functions.docs import KEY, SEQ
 
 
@@ -67,7 +67,7 @@ def _breakers(df: DataFrame, keys: Sequence[str], seq: str, tie_breakers: Sequen
 
 def _by_join(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     winners = max_seq_per_key(rows, keys, seq).withColumnRenamed("max_seq", seq)
-    return rows.join(winners, [*keys, seq], "left_semi").select(*[col(c) for c in rows.columns])
+    return rows.join(winners, [*keys, seq], "left_semi").select(*names(rows.columns))
 
 
 def _by_window(rows, keys, seq, ties, tie_breakers) -> DataFrame:

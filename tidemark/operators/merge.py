@@ -17,8 +17,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.columns import any_null, col, orderable, row_hash
+from tidemark.functions.columns import any_null, any_null_sql, col, names, orderable, quote, row_hash_sql
 from tidemark.functions.docs import DELETE, ENVELOPE_KEY, OP, SEQ
 
 Key = str | tuple[str, str]
@@ -37,8 +38,8 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def _spread(df: DataFrame, strict: Sequence[str]) -> Column:
-    return F.when(any_null(strict), F.pmod(row_hash(df), F.lit(NULL_SPREAD)) + 1).otherwise(F.lit(0).cast("long"))
+def _spread_sql(schema: T.StructType, strict: Sequence[str]) -> str:
+    return f"CASE WHEN {any_null_sql(strict)} THEN pmod({row_hash_sql(schema)}, {NULL_SPREAD}) + 1 ELSE 0L END"
 
 
 class _Sides:
@@ -47,9 +48,10 @@ class _Sides:
     def __init__(self, target, source, keys, delete_when, mapping, null_safe, seq, order, spread):
         self.pairs = _pairs(keys)
         self.null_safe = set(null_safe)
-        self.types = {f.name: f.dataType for f in target.schema}
+        t_schema, s_schema = target.schema, source.schema
+        self.types = {f.name: f.dataType for f in t_schema}
         if mapping is None:
-            mapping = {c: col(c) for c in target.columns if c in source.columns}
+            mapping = {c: c for c in t_schema.names if c in set(s_schema.names)}
         unknown = [c for c in mapping if c not in self.types]
         if unknown:
             raise ValueError(f"mapping names columns the target does not have: {unknown}")
@@ -61,35 +63,40 @@ class _Sides:
         strict_t, strict_s = [t for t, _ in strict], [s for _, s in strict]
         self.strict = [k for (t, _), k in zip(self.pairs, self.s_keys) if t not in self.null_safe]
 
-        t_named = [col(t).alias(k) for (t, _), k in zip(self.pairs, self.t_keys)]
-        t_seq = [col(seq).alias("__tseq")] if seq else []
-        self.t = target.select(
-            *[col(c) for c in target.columns],
+        t_named = [f"{quote(t)} AS {k}" for (t, _), k in zip(self.pairs, self.t_keys)]
+        self.t = target.selectExpr(
+            *names(t_schema.names),
             *t_named,
-            *t_seq,
-            (_spread(target, strict_t) if spread else F.lit(0).cast("long")).alias("__tspread"),
+            *([f"{quote(seq)} AS __tseq"] if seq else []),
+            f"{_spread_sql(t_schema, strict_t) if spread else '0L'} AS __tspread",
         )
         # The keys alone: the scan behind it reads no other column. NULL keys match nothing.
-        self.t_matchable = target.where(~any_null(strict_t)).select(*t_named, F.lit(0).cast("long").alias("__tspread"))
+        self.t_matchable = target.where(~any_null(strict_t)).selectExpr(*t_named, "0L AS __tspread")
 
-        delete = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
-        s_seq = [col(seq).alias("__sseq")] if seq else []
         self.order = [f"__o{i}" for i in range(len(order))]
+        delete = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
+        same = {f.name for f in s_schema if self.types.get(f.name) == f.dataType}
+        values = [
+            F.expr(f"{quote(e)} AS {self.values[c]}")
+            if isinstance(e, str) and e in same and e == c
+            else (col(e) if isinstance(e, str) else e).cast(self.types[c]).alias(self.values[c])
+            for c, e in mapping.items()
+        ]
         self.s = source.select(
             *[col(s).alias(k) for (_, s), k in zip(self.pairs, self.s_keys)],
             *[col(c).alias(o) for c, o in zip(order, self.order)],
             F.coalesce(delete, F.lit(False)).alias("__delete"),
-            *s_seq,
-            *[e.cast(self.types[c]).alias(self.values[c]) for c, e in mapping.items()],
-            (_spread(source, strict_s) if spread else F.lit(0).cast("long")).alias("__sspread"),
+            *([col(seq).alias("__sseq")] if seq else []),
+            *values,
+            F.expr(f"{_spread_sql(s_schema, strict_s) if spread else '0L'} AS __sspread"),
         )
 
     def condition(self) -> Column:
         parts = [
-            F.col(tk).eqNullSafe(F.col(sk)) if t in self.null_safe else F.col(tk) == F.col(sk)
+            f"{tk} <=> {sk}" if t in self.null_safe else f"{tk} = {sk}"
             for (t, _), tk, sk in zip(self.pairs, self.t_keys, self.s_keys)
         ]
-        return _all([*parts, F.col("__tspread") == F.col("__sspread")])
+        return F.expr(" AND ".join([*parts, "__tspread = __sspread"]))
 
     def one_per_key(self) -> DataFrame:
         """One row per source key that can match, the newest by `order` (then by its values),
@@ -97,16 +104,17 @@ class _Sides:
 
         Combined before the shuffle, so a key repeated very often costs one row per task.
         """
-        rest = [c for c in self.s.columns if c not in self.s_keys]
-        if all(orderable(f.dataType) for f in self.s.schema if f.name in rest):
+        schema = self.s.schema
+        rest = [c for c in schema.names if c not in (*self.s_keys, "__sspread")]
+        if all(orderable(schema[c].dataType) for c in rest):
             newest = F.max(F.struct(*self.order, *[c for c in rest if c not in self.order]))
         else:
-            newest = F.max_by(F.struct(*rest), F.struct(*self.order, row_hash(self.s)))
+            newest = F.max_by(F.struct(*rest), F.struct(*self.order, F.expr(row_hash_sql(schema))))
         return (
             self.s.where(~any_null(self.strict))
             .groupBy(*self.s_keys)
             .agg(newest.alias("__one"), F.count(F.lit(1)).alias("__rows"))
-            .select(*self.s_keys, "__one.*", "__rows", F.lit(True).alias("__hit"))
+            .selectExpr(*self.s_keys, "__one.*", "__rows", "true AS __hit", "0L AS __sspread")
         )
 
 
@@ -116,7 +124,7 @@ def merge_parts(
     keys: Sequence[Key],
     *,
     delete_when: str | Column = f"{OP} = '{DELETE}'",
-    mapping: Mapping[str, Column] | None = None,
+    mapping: Mapping[str, Column | str] | None = None,
     insert_deletes: bool = True,
     null_safe: Sequence[str] = (),
     seq_guard: str | None = None,
@@ -129,7 +137,7 @@ def merge_parts(
     keys            column names, or (target name, source name) pairs; all must be equal
     delete_when     a matched row leaves the table where this holds for the source row;
                     it goes before the update
-    mapping         target column -> source expression; default: the columns both have.
+    mapping         target column -> source column or expression; default: the columns both have.
                     A column not mapped keeps its value, and is NULL in added rows
     insert_deletes  a delete that matches nothing is added as a row (True) or ignored
     null_safe       target key columns in which NULL equals NULL
@@ -150,22 +158,21 @@ def merge_parts(
     small = F.broadcast if small_source else (lambda df: df)
     matches = sides.condition()
 
-    hit = F.coalesce(F.col("__hit"), F.lit(False))
-    acts = hit & F.coalesce(F.col("__sseq") > F.col("__tseq"), F.lit(False)) if seq_guard else hit
-    deleted = acts & F.col("__delete")
+    hit = "coalesce(__hit, false)"
+    acts = f"({hit} AND coalesce(__sseq > __tseq, false))" if seq_guard else hit
+    stays = f"NOT ({acts} AND coalesce(__delete, false))"
     if on_duplicate == "error":
-        many = hit & (F.col("__rows") > 1)
-        text = F.lit("several source rows match one target row; reduce the source or use on_duplicate='latest'")
-        deleted = F.when(many, F.raise_error(text).cast("boolean")).otherwise(deleted)
+        text = "several source rows match one target row: reduce the source, or take the latest on duplicates"
+        stays = f"CASE WHEN {hit} AND __rows > 1 THEN CAST(raise_error('{text}') AS BOOLEAN) ELSE {stays} END"
 
     values = sides.values
     kept = (
         sides.t.join(small(one), matches, "left")
-        .where(~F.coalesce(deleted, F.lit(False)))
-        .select(
+        .where(stays)
+        .selectExpr(
             *[
-                F.when(acts, F.col(values[c])).otherwise(col(c)).alias(c) if c in values else col(c)
-                for c in target.columns
+                f"CASE WHEN {acts} THEN {values[c]} ELSE {quote(c)} END AS {quote(c)}" if c in values else quote(c)
+                for c in sides.types
             ]
         )
     )
@@ -180,11 +187,11 @@ def merge_parts(
         keyless = sides.s.where(any_null(sides.strict))
         candidates = one.select(*sides.s.columns).unionByName(keyless)
     if not insert_deletes:
-        candidates = candidates.where(~F.col("__delete"))
+        candidates = candidates.where("NOT __delete")
     added = candidates.join(found, matches, "left_anti").select(
         *[
-            (F.col(values[c]) if c in values else F.lit(None).cast(sides.types[c])).alias(c)
-            for c in target.columns
+            F.expr(f"{values[c]} AS {quote(c)}") if c in values else F.lit(None).cast(dtype).alias(c)
+            for c, dtype in sides.types.items()
         ]
     )
     return kept, added

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import col, quote
+from tidemark.functions.columns import col, names
 from tidemark.functions.docs import CHANGED_AT, DATE_FIELD, DOC, ENVELOPE_KEY, KEY, OP, SEQ, is_wrapped_date
 
 
@@ -28,25 +28,22 @@ def parse_docs(envelopes: DataFrame, schema: T.StructType, fields: Sequence[str]
     return (
         envelopes.withColumn("doc", F.from_json(col(DOC), wanted))
         .withColumnRenamed(KEY, ENVELOPE_KEY)
-        .select(*[col(c) for c in [*lead, ENVELOPE_KEY, SEQ, CHANGED_AT]], "doc.*")
+        .select(*names([*lead, ENVELOPE_KEY, SEQ, CHANGED_AT]), "doc.*")
     )
 
 
 def unwrap_dates(df: DataFrame, fields: Sequence[str] | None = None, to_timestamp: bool = False) -> DataFrame:
     """`{"$date": n}` to bare `n`, or to a timestamp. Without `fields`, every wrapped date."""
-    names = [f.name for f in df.schema if is_wrapped_date(f.dataType)] if fields is None else list(fields)
+    dates = [f.name for f in df.schema if is_wrapped_date(f.dataType)] if fields is None else list(fields)
 
     def bare(name: str):
         value = col(name).getField(DATE_FIELD)
         return F.timestamp_millis(value) if to_timestamp else value
 
-    return df.withColumns({name: bare(name) for name in names}) if names else df
+    return df.withColumns({name: bare(name) for name in dates}) if dates else df
 
 
 def quarantine(parsed: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """(rows with a document key, rows without): the second are NULL, malformed or keyless."""
     return parsed.where(col(key).isNotNull()), parsed.where(col(key).isNull())
 
-
-def field_names(schema: T.StructType) -> list[str]:
-    return [quote(f.name) for f in schema]

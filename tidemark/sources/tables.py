@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import bucket_of, col, quote
+from tidemark.functions.columns import bucket_of, names, quote
 
 HEADS = T.StructType(
     [
@@ -86,7 +86,7 @@ class SlicedTable:
         layout = T.StructType([*self.schema, T.StructField("slice", T.StringType())])
         data = self.spark.read.schema(layout).parquet(self.data_path)
         return data.join(F.broadcast(heads.select("slice")), "slice", "left_semi").select(
-            *[col(c) for c in self.schema.fieldNames()]
+            *names(self.schema.names)
         )
 
     def buckets_of(self, rows: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ class SlicedTable:
 
     def _sliced(self, df: DataFrame) -> DataFrame:
         return df.select(
-            *[col(c) for c in self.schema.fieldNames()],
+            *names(self.schema.names),
             F.format_string("%05d", bucket_of(self.keys, self.buckets)).alias("slice"),
         )
 
@@ -138,7 +138,7 @@ class SlicedTable:
     def register(self, name: str) -> None:
         """Catalog view pinned to the newest commit; replacing the view is one catalog step."""
         commit = self.last_commit()
-        columns = ", ".join(f"d.{quote(c)}" for c in self.schema.fieldNames())
+        columns = ", ".join(f"d.{quote(c)}" for c in self.schema.names)
         database = name.rsplit(".", 1)[0] if "." in name else None
         if database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}")
