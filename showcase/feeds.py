@@ -324,8 +324,8 @@ def page_doc():
 
 
 @landed("error_snapshot")
-def error_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").where(PAGE_OLD)
+def error_snapshot(spark: SparkSession, sf_dir: str, where: str = PAGE_OLD) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").where(where)
     return envelope(pages, F.col("page_id"), F.lit(1), F.col("page_id") * 1000, page_doc())
 
 

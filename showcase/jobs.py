@@ -54,6 +54,32 @@ def initial_load_c4(spark, sf_dir):
     return scalars(_loaded(spark, ERRORS, feeds.error_snapshot(spark, sf_dir)).read())
 
 
+_ERRORS_ONCE = sql.with_({"t": sql.ERRORS["t"]}, f"SELECT {sql.names(sql.ERROR)} FROM t")
+_ERRORS_ALL = sql.select(sql.error(1), "pages")
+
+
+def _loaded_twice(spark, sf_dir, reload):
+    landing, path = landing_dir(spark, "twice"), scratch_dir(spark, "table-twice")
+    spec = ERRORS.with_(buckets=_BUCKETS)
+    write_landing(feeds.error_snapshot(spark, sf_dir), f"{landing}/{spec.name}", "LOAD")
+    initial_load(spark, spec, landing, path)
+    rest = feeds.error_snapshot(spark, sf_dir, where=f"NOT ({feeds.PAGE_OLD})")
+    write_landing(rest, f"{landing}/{spec.name}", "LOAD-later")
+    return scalars(initial_load(spark, spec, landing, path, reload=reload).read())
+
+
+@query(_ERRORS_ONCE, name="initial_load")
+def initial_load_guarded(spark, sf_dir):
+    """The table is there: a snapshot file that comes later is not taken."""
+    return _loaded_twice(spark, sf_dir, reload=False)
+
+
+@query(_ERRORS_ALL)
+def initial_load_again(spark, sf_dir):
+    """The same with a reload asked for: all snapshot files make the new table."""
+    return _loaded_twice(spark, sf_dir, reload=True)
+
+
 @query(sql.with_(sql.REPORTS, sql.merged(sql.REPORT, sql.REPORT_KEY)))
 def incremental_c1(spark, sf_dir):
     target = snapshot_to_rows(REPORTS, feeds.report_snapshot(spark, sf_dir))

@@ -47,7 +47,7 @@ def scan_changes(spark, sf_dir):
     return scalars(parsed).select("Op", *_SCANNED)
 
 
-@query(sql.select({n: sql.error(2)[n] for n in _SCANNED}, f"pages WHERE NOT ({feeds.PAGE_OLD})"))
+@query(sql.select({n: sql.error(2)[n] for n in _SCANNED}, f"pages WHERE NOT ({feeds.PAGE_OLD})"), name="unprocessed_files")
 def unprocessed_rows(spark, sf_dir):
     folder, ledger = landing_dir(spark, "ledger"), scratch_dir(spark, "ledger")
     create_ledger(spark, ledger)
@@ -71,12 +71,12 @@ def unprocessed_file_kinds(spark, sf_dir):
     )
 
 
-@query(sql.select(sql.EVENT_CHANGE, "events"))
+@query(sql.select(sql.EVENT_CHANGE, "events"), name="parse_docs")
 def parse_documents(spark, sf_dir):
     return scalars(parse_docs(feeds.event_feed(spark, sf_dir), feeds.EVENT_SPEC.doc_schema))
 
 
-@query(sql.select({"_id": "user_id::VARCHAR", "transact_seq": "event_id", "at": "epoch_us(ts) // 1000"}, "events"))
+@query(sql.select({"_id": "user_id::VARCHAR", "transact_seq": "event_id", "at": "epoch_us(ts) // 1000"}, "events"), name="unwrap_dates")
 def unwrap_dates_to_timestamp(spark, sf_dir):
     parsed = parse_docs(feeds.event_feed(spark, sf_dir), feeds.EVENT_SPEC.doc_schema, fields=["_id", "at"])
     return scalars(unwrap_dates(parsed, to_timestamp=True).select("_id", "transact_seq", "at"))

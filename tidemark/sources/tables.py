@@ -1,17 +1,18 @@
 """Curated tables: parquet cut into buckets, and catalog entries.
 
 A merge cannot overwrite the files it reads, and rewriting a whole large table for a small
-batch is waste. So the rows lie in slices, `data/slice=<bucket>-<commit>-<token>`, and each
-commit writes new slices for the touched buckets only; `heads/commit=<n>` says which slice
-each bucket has. Writing the heads is the last step and one file, so readers see the table
-before the commit or after it. A commit that failed leaves slices nobody points at. There
-must be one writer at a time.
+batch is waste. So a commit writes the touched buckets only, into a folder of its own,
+`data/in_commit=<commit>-<token>/in_bucket=<bucket>`, and then `heads/commit=<n>`, which
+names the folder of every bucket. The heads are the last step and one file, so readers see
+the table before the commit or after it. A commit that failed leaves a folder that nothing
+points at. There must be one writer at a time. Folders of old commits are not removed.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,24 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import bucket_of, names, quote
 
+# A row per bucket with rows, and one with bucket -1 that marks the commit itself.
 HEADS = T.StructType(
     [
         T.StructField("bucket", T.IntegerType()),
-        T.StructField("slice", T.StringType()),
+        T.StructField("folder", T.StringType()),
         T.StructField("batch", T.StringType()),
         T.StructField("commit", T.IntegerType()),
     ]
 )
+MARK = -1
+
+
+@dataclass(frozen=True)
+class Version:
+    """A commit: its number, and the folder of each bucket (never more than the buckets)."""
+
+    number: int
+    folders: dict[int, str]
 
 
 class SlicedTable:
@@ -48,110 +59,123 @@ class SlicedTable:
     def heads_path(self) -> str:
         return f"{self.path}/heads"
 
-    def _all_heads(self) -> DataFrame | None:
+    def _marks(self) -> DataFrame | None:
+        """One row per commit."""
         try:
-            return self.spark.read.schema(HEADS).parquet(self.heads_path)
+            heads = self.spark.read.schema(HEADS).parquet(self.heads_path)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+        return heads.where(F.col("bucket") == MARK)
 
     def last_commit(self) -> int | None:
-        heads = self._all_heads()
-        return None if heads is None else heads.agg(F.max("commit")).first()[0]
+        marks = self._marks()
+        return None if marks is None else marks.agg(F.max("commit")).first()[0]
 
     def exists(self) -> bool:
         return self.last_commit() is not None
 
     def has_batch(self, batch: str) -> bool:
-        heads = self._all_heads()
-        return heads is not None and not heads.where(F.col("batch") == batch).isEmpty()
+        marks = self._marks()
+        return marks is not None and not marks.where(F.col("batch") == batch).isEmpty()
 
-    def heads(self, commit: int | None = None) -> DataFrame:
-        """Bucket and slice as of a commit: one row per bucket, never more."""
+    def version(self, commit: int | None = None) -> Version:
         commit = self.last_commit() if commit is None else commit
         if commit is None:
             raise ValueError(f"no table at {self.path}")
-        return self._all_heads().where(F.col("commit") == commit)
+        heads = self.spark.read.schema(HEADS).parquet(self.heads_path)
+        rows = heads.where((F.col("commit") == commit) & (F.col("bucket") != MARK)).select("bucket", "folder").collect()
+        return Version(commit, {r["bucket"]: r["folder"] for r in rows})
 
-    def read(self, buckets: DataFrame | None = None, commit: int | None = None) -> DataFrame:
-        """The table, or only its rows in the given buckets (a frame with column `bucket`).
+    def read(self, buckets: Collection[int] | None = None, commit: int | None = None) -> DataFrame:
+        """The table, or only its rows in the given buckets.
 
-        The heads are a row per bucket, so they are broadcast; joined on the partition
-        column they prune the scan to the slices in use.
+        The scan is given the folders in use; it lists no others, however long the history,
+        and the planner knows the size of just these.
         """
-        heads = self.heads(commit)
-        if buckets is not None:
-            heads = heads.join(F.broadcast(buckets.select("bucket").distinct()), "bucket", "left_semi")
-        layout = T.StructType([*self.schema, T.StructField("slice", T.StringType())])
-        data = self.spark.read.schema(layout).parquet(self.data_path)
-        return data.join(F.broadcast(heads.select("slice")), "slice", "left_semi").select(
-            *names(self.schema.names)
-        )
+        folders = self.version(commit).folders
+        chosen = [f"{self.path}/{f}" for b, f in sorted(folders.items()) if buckets is None or b in buckets]
+        if not chosen:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*chosen)
 
-    def buckets_of(self, rows: DataFrame) -> DataFrame:
-        return rows.select(bucket_of(self.keys, self.buckets).alias("bucket")).distinct()
+    def buckets_of(self, rows: DataFrame) -> set[int]:
+        """Buckets of the rows' keys: at most `buckets` numbers reach the driver."""
+        return {r[0] for r in rows.select(bucket_of(self.keys, self.buckets)).distinct().collect()}
 
     def create(self, df: DataFrame, batch: str = "full load") -> int:
-        """First commit, or a reload: all buckets get new slices."""
-        every = self.spark.range(self.buckets).select(F.col("id").cast("int").alias("bucket"))
-        return self._commit([_spread_out(self._sliced(df))], every, batch)
+        """First commit, or a reload: every bucket is written anew."""
+        return self._commit([_spread_out(self._sliced(df))], None, batch)
 
     def commit(
-        self, kept: DataFrame, added: DataFrame, touched: DataFrame, batch: str, kept_in_place: bool = False
+        self, kept: DataFrame, added: DataFrame, touched: Collection[int], batch: str, kept_in_place: bool = False
     ) -> int:
         """Write the touched buckets anew. `kept_in_place` says that the kept rows come out
-        of their scan tasks without a shuffle: they are grouped by slice already and are
-        written as they come, while the others are first brought together by slice.
+        of their scan tasks without a shuffle: they are grouped by bucket already and are
+        written as they come, while the others are first brought together by bucket.
         """
         kept, added = self._sliced(kept), self._sliced(added)
-        if kept_in_place:
-            return self._commit([kept, _spread_out(added)], touched, batch)
-        return self._commit([_spread_out(kept.unionByName(added))], touched, batch)
+        parts = [kept, _spread_out(added)] if kept_in_place else [_spread_out(kept.unionByName(added))]
+        return self._commit(parts, touched, batch)
 
     def _sliced(self, df: DataFrame) -> DataFrame:
-        return df.select(
-            *names(self.schema.names),
-            F.format_string("%05d", bucket_of(self.keys, self.buckets)).alias("slice"),
-        )
+        return df.select(*names(self.schema.names), bucket_of(self.keys, self.buckets).alias("in_bucket"))
 
-    def _commit(self, parts: Sequence[DataFrame], touched: DataFrame, batch: str) -> int:
+    def _commit(self, parts: Sequence[DataFrame], touched: Collection[int] | None, batch: str) -> int:
         last = self.last_commit()
         number = 0 if last is None else last + 1
-        suffix = F.lit(f"-{number}-{uuid.uuid4().hex[:8]}")
+        folder = f"data/in_commit={number}-{uuid.uuid4().hex[:8]}"
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part)
-        rows = rows.withColumn("slice", F.concat("slice", suffix))
-        rows.write.mode("append").partitionBy("slice").parquet(self.data_path)
-
-        fresh = touched.select("bucket", F.concat(F.format_string("%05d", "bucket"), suffix).alias("slice"))
-        if last is not None:
-            old = self.heads(last).select("bucket", "slice")
-            fresh = fresh.unionByName(old.join(F.broadcast(touched), "bucket", "left_anti"))
-        # One row per bucket: a single file, so that it appears whole or not at all.
-        fresh.withColumn("batch", F.lit(batch)).coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.heads_path}/commit={number}"
-        )
+        rows.write.mode("errorifexists").partitionBy("in_bucket").parquet(f"{self.path}/{folder}")
+
+        heads = {} if touched is None or last is None else dict(self.version(last).folders)
+        for bucket in touched or ():
+            heads.pop(bucket, None)
+        heads.update({b: f"{folder}/in_bucket={b}" for b in self._written(folder)})
+        lines = [(MARK, None, batch)] + [(b, f, None) for b, f in sorted(heads.items())]
+        # One file, so that it appears whole or not at all.
+        self.spark.createDataFrame(lines, T.StructType(HEADS.fields[:3])).coalesce(1).write.mode(
+            "errorifexists"
+        ).parquet(f"{self.heads_path}/commit={number}")
         return number
 
+    def _written(self, folder: str) -> list[int]:
+        """Buckets that have rows in a commit's folder, from its file names."""
+        files = (
+            self.spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true")
+            .load(f"{self.path}/{folder}")
+            .select(F.regexp_extract("path", "/in_bucket=([0-9]+)/[^/]*$", 1).cast("int").alias("bucket"))
+        )
+        return [r["bucket"] for r in files.where("bucket IS NOT NULL").distinct().collect()]
+
     def register(self, name: str) -> None:
-        """Catalog view pinned to the newest commit; replacing the view is one catalog step."""
-        commit = self.last_commit()
-        columns = ", ".join(f"d.{quote(c)}" for c in self.schema.names)
-        database = name.rsplit(".", 1)[0] if "." in name else None
-        if database:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}")
+        """Catalog view pinned to the newest commit; replacing the view is one catalog step.
+
+        The heads prune the scan to the folders in use when the view is read.
+        """
+        columns = ", ".join(f"d.{c}" for c in names(self.schema.names))
+        create_database_of(self.spark, name)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.{quote(self.data_path)} d "
-            f"LEFT SEMI JOIN (SELECT slice FROM parquet.{quote(self.heads_path)} WHERE commit = {commit}) h "
-            "ON d.slice = h.slice"
+            "LEFT SEMI JOIN (SELECT bucket, regexp_extract(folder, 'in_commit=([^/]*)/', 1) AS made "
+            f"FROM parquet.{quote(self.heads_path)} WHERE commit = {self.last_commit()}) h "
+            "ON d.in_bucket = h.bucket AND d.in_commit = h.made"
         )
 
 
 def _spread_out(df: DataFrame) -> DataFrame:
-    """Rows together by slice, with a slice too large for one task split over several."""
-    return df.hint("rebalance", "slice")
+    """Rows together by bucket, with a bucket too large for one task split over several."""
+    return df.hint("rebalance", "in_bucket")
+
+
+def create_database_of(spark: SparkSession, name: str) -> None:
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(name.rsplit('.', 1)[0])}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -161,6 +185,5 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def register_parquet(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """External table over files that are there, unless the name is taken."""
-    if "." in name:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(name.rsplit('.', 1)[0])}")
+    create_database_of(spark, name)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
