@@ -79,14 +79,16 @@ _LANDED: dict[tuple, str] = {}
 
 def landed(name: str):
     """A feed that is written to the shared folder once per application and table set, and
-    read from there: as in life, the operators start from parquet envelopes."""
+    read from there: as in life, the operators start from parquet envelopes in many files."""
 
     def wrap(build):
         def feed(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
             key = (spark.sparkContext.applicationId, sf_dir, name, args, tuple(sorted(kwargs.items())))
             if key not in _LANDED or not has_files(spark, _LANDED[key]):
                 _LANDED[key] = scratch_dir(spark, name)
-                build(spark, sf_dir, *args, **kwargs).write.mode("errorifexists").parquet(_LANDED[key])
+                files = spark.sparkContext.defaultParallelism
+                rows = build(spark, sf_dir, *args, **kwargs).repartition(files, F.xxhash64(KEY, SEQ))
+                rows.write.mode("errorifexists").parquet(_LANDED[key])
             with_op = OP in spark.read.parquet(_LANDED[key]).columns
             return spark.read.schema(envelope_schema(with_op)).parquet(_LANDED[key])
 

@@ -101,7 +101,7 @@ def test_load_then_run_twice(spark, place):
     land(spark, folder, [("D", "a", 4, None, doc("a", 4, "y"))], "c2")
     run(spark, [SPEC], place["landing"], place["tables"], place["checkpoints"])
     assert contents(table.read()) == [r for r in expected if r[1] != "y"]
-    assert contents(table.read(commit=0)) == [("a", "x", 1, 1), ("a", "y", 1, 1), ("b", "x", 1, 1), ("c", "", 1, 1)]
+    assert contents(table.read(version=table.version(0))) == [("a", "x", 1, 1), ("a", "y", 1, 1), ("b", "x", 1, 1), ("c", "", 1, 1)]
 
 
 def test_replacing_children_through_the_stored_table(spark, place):

@@ -1,6 +1,6 @@
 """Upsert-and-delete of a change batch into a table, as DataFrame operators.
 
-    kept  = target LEFT JOIN one row per source key, minus the deleted rows
+    kept  = target LEFT JOIN source, one row per key, minus the deleted rows
     added = source rows whose key no target row has
     result = kept UNION ALL added
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,24 +98,27 @@ class _Sides:
         ]
         return F.expr(" AND ".join([*parts, "__tspread = __sspread"]))
 
-    def one_per_key(self) -> DataFrame:
-        """One row per source key that can match, the newest by `order` (then by its values),
-        with the number of rows it stands for.
-
-        Combined before the shuffle, so a key repeated very often costs one row per task.
-        """
-        schema = self.s.schema
-        rest = [c for c in schema.names if c not in (*self.s_keys, "__sspread")]
-        if all(orderable(schema[c].dataType) for c in rest):
-            newest = F.max(F.struct(*self.order, *[c for c in rest if c not in self.order]))
-        else:
-            newest = F.max_by(F.struct(*rest), F.struct(*self.order, F.expr(row_hash_sql(schema))))
-        return (
-            self.s.where(~any_null(self.strict))
-            .groupBy(*self.s_keys)
-            .agg(newest.alias("__one"), F.count(F.lit(1)).alias("__rows"))
-            .selectExpr(*self.s_keys, "__one.*", "__rows", "true AS __hit", "0L AS __sspread")
-        )
+    def matchable(self) -> DataFrame:
+        """Source rows that can match: no NULL in a key that must be equal."""
+        return self.s.where(~any_null(self.strict)).withColumn("__sspread", F.lit(0).cast("long"))
+
+    def key_counts(self) -> DataFrame:
+        """Rows per source key, counted before the shuffle: narrow, and a hot key costs one
+        row per task."""
+        counts = self.matchable().groupBy(*self.s_keys).agg(F.count(F.lit(1)).alias("__rows"))
+        return counts.withColumn("__sspread", F.lit(0).cast("long"))
+
+    def same_source_key(self, other: Sequence[str]) -> Column:
+        return F.expr(" AND ".join(f"{a} <=> {b}" for a, b in zip(self.s_keys, other)))
+
+    def newest_per_key(self) -> DataFrame:
+        """One row per source key, the newest by `order`, then by its values. Rows that
+        cannot be it are dropped before the shuffle."""
+        rest = [c for c in self.s.columns if c not in (*self.s_keys, *self.order, "__sspread")]
+        sortable = [c for c in rest if orderable(self.s.schema[c].dataType)]
+        window = Window.partitionBy(*self.s_keys).orderBy(*[F.desc(c) for c in (*self.order, *sortable)])
+        rows = self.matchable().withColumn("__place", F.row_number().over(window))
+        return rows.where("__place = 1").drop("__place")
 
 
 def merge_parts(
@@ -154,21 +157,37 @@ def merge_parts(
     sides = _Sides(
         target, source, keys, delete_when, mapping, null_safe, seq_guard, order, spread=not small_source
     )
-    one = sides.one_per_key()
     small = F.broadcast if small_source else (lambda df: df)
     matches = sides.condition()
+    target_rows = sides.t
+    if on_duplicate == "latest":
+        one = sides.newest_per_key()
+        keys = one.select(*sides.s_keys, "__sspread")
+        candidates = one.unionByName(sides.s.where(any_null(sides.strict)))
+        stays = "true"
+    else:
+        # Repeated source keys are rare, mostly there are none: they are set apart by their
+        # counts, and a target row that meets one raises.
+        counts = sides.key_counts()
+        keys = counts.select(*sides.s_keys, "__sspread")
+        again = [f"__r{i}" for i in range(len(sides.s_keys))]
+        repeated = counts.where("__rows > 1").selectExpr(*[f"{k} AS {r}" for k, r in zip(sides.s_keys, again)])
+        one = sides.matchable().join(small(repeated), sides.same_source_key(again), "left_anti")
+        clash = repeated.selectExpr(
+            *[f"{r} AS {k}" for k, r in zip(sides.s_keys, again)], "0L AS __sspread", "true AS __clash"
+        )
+        target_rows = target_rows.join(small(clash), matches, "left").drop(*sides.s_keys, "__sspread")
+        candidates = sides.s
+        text = "several source rows match one target row: reduce the source, or take the latest on duplicates"
+        stays = f"CASE WHEN __clash THEN CAST(raise_error('{text}') AS BOOLEAN) ELSE true END"
 
     hit = "coalesce(__hit, false)"
     acts = f"({hit} AND coalesce(__sseq > __tseq, false))" if seq_guard else hit
-    stays = f"NOT ({acts} AND coalesce(__delete, false))"
-    if on_duplicate == "error":
-        text = "several source rows match one target row: reduce the source, or take the latest on duplicates"
-        stays = f"CASE WHEN {hit} AND __rows > 1 THEN CAST(raise_error('{text}') AS BOOLEAN) ELSE {stays} END"
-
     values = sides.values
     kept = (
-        sides.t.join(small(one), matches, "left")
-        .where(stays)
+        target_rows.where(stays)
+        .join(small(one.withColumn("__hit", F.lit(True))), matches, "left")
+        .where(f"NOT ({acts} AND coalesce(__delete, false))")
         .selectExpr(
             *[
                 f"CASE WHEN {acts} THEN {values[c]} ELSE {quote(c)} END AS {quote(c)}" if c in values else quote(c)
@@ -179,13 +198,7 @@ def merge_parts(
 
     # Keys of the target that the source touches: read from the key columns alone, and never
     # more than the source has keys.
-    found = (
-        sides.t_matchable.join(small(one.select(*sides.s_keys, "__sspread")), matches, "left_semi").distinct()
-    )
-    candidates = sides.s
-    if on_duplicate == "latest":
-        keyless = sides.s.where(any_null(sides.strict))
-        candidates = one.select(*sides.s.columns).unionByName(keyless)
+    found = sides.t_matchable.join(small(keys), matches, "left_semi").distinct()
     if not insert_deletes:
         candidates = candidates.where("NOT __delete")
     added = candidates.join(found, matches, "left_anti").select(

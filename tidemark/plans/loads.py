@@ -51,9 +51,21 @@ def merge_rows(
     return merge_parts(target, rows, spec.keys, small_source=small_source, **spec.options)
 
 
+def staged_batch(spec: CollectionSpec, changes: DataFrame) -> tuple[DataFrame, bool]:
+    """The reduced batch in the shared folder, and whether it is small enough to broadcast.
+
+    A merge reads its source several times; staged, it is parsed once, and its true size
+    decides between broadcast and shuffle.
+    """
+    path = scratch_dir(changes.sparkSession, f"{spec.name}-batch")
+    rows = stage(changes_to_rows(spec, changes), path=path)
+    return rows, staged_bytes(rows) <= BROADCAST_FILE_BYTES
+
+
 def apply_changes(spec: CollectionSpec, target: DataFrame, changes: DataFrame) -> DataFrame:
-    """The table after a batch of changes, as a lazy DataFrame."""
-    kept, added = merge_rows(spec, target, changes_to_rows(spec, changes))
+    """The table after a batch of changes. The batch is staged now, the merge is lazy."""
+    rows, small = staged_batch(spec, changes)
+    kept, added = merge_rows(spec, target, rows, small_source=small)
     return kept.unionByName(added)
 
 
@@ -80,19 +92,18 @@ def initial_load(
 def commit_changes(spec: CollectionSpec, table: SlicedTable, changes: DataFrame, batch: str) -> bool:
     """Merge one batch into the stored table, once: a batch already committed is skipped.
 
-    The reduced batch is written to the shared folder first: its size decides between
-    broadcast and shuffle, and the merge reads it instead of computing it again.
+    Only the buckets its keys fall in are read and written.
     """
-    spark = changes.sparkSession
-    if not table.exists():
+    last, done = table.state(batch)
+    if last is None:
         raise ValueError(f"changes for {spec.name!r}, but its full load never came: no table at {table.path}")
-    if table.has_batch(batch):
+    if done:
         return False
-    rows = stage(changes_to_rows(spec, changes), f"{spec.name}-batch", scratch_dir(spark, spec.name))
-    small = staged_bytes(rows) <= BROADCAST_FILE_BYTES
+    version = table.version(last)
+    rows, small = staged_batch(spec, changes)
     touched = table.buckets_of(rows)
-    kept, added = merge_rows(spec, table.read(touched), rows, small_source=small)
-    table.commit(kept, added, touched, batch, kept_in_place=small)
+    kept, added = merge_rows(spec, table.read(touched, version), rows, small_source=small)
+    table.commit(kept, added, touched, batch, kept_in_place=small, version=version)
     return True
 
 

@@ -69,16 +69,22 @@ class SlicedTable:
             raise
         return heads.where(F.col("bucket") == MARK)
 
-    def last_commit(self) -> int | None:
+    def state(self, batch: str | None = None) -> tuple[int | None, bool]:
+        """Number of the last commit (None: no table), and whether the batch was committed."""
         marks = self._marks()
-        return None if marks is None else marks.agg(F.max("commit")).first()[0]
+        if marks is None:
+            return None, False
+        row = marks.agg(F.max("commit"), F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False))).first()
+        return row[0], row[1]
+
+    def last_commit(self) -> int | None:
+        return self.state()[0]
 
     def exists(self) -> bool:
         return self.last_commit() is not None
 
     def has_batch(self, batch: str) -> bool:
-        marks = self._marks()
-        return marks is not None and not marks.where(F.col("batch") == batch).isEmpty()
+        return self.state(batch)[1]
 
     def version(self, commit: int | None = None) -> Version:
         commit = self.last_commit() if commit is None else commit
@@ -88,13 +94,13 @@ class SlicedTable:
         rows = heads.where((F.col("commit") == commit) & (F.col("bucket") != MARK)).select("bucket", "folder").collect()
         return Version(commit, {r["bucket"]: r["folder"] for r in rows})
 
-    def read(self, buckets: Collection[int] | None = None, commit: int | None = None) -> DataFrame:
+    def read(self, buckets: Collection[int] | None = None, version: Version | None = None) -> DataFrame:
         """The table, or only its rows in the given buckets.
 
         The scan is given the folders in use; it lists no others, however long the history,
         and the planner knows the size of just these.
         """
-        folders = self.version(commit).folders
+        folders = (version or self.version()).folders
         chosen = [f"{self.path}/{f}" for b, f in sorted(folders.items()) if buckets is None or b in buckets]
         if not chosen:
             return self.spark.createDataFrame([], self.schema)
@@ -106,35 +112,39 @@ class SlicedTable:
 
     def create(self, df: DataFrame, batch: str = "full load") -> int:
         """First commit, or a reload: every bucket is written anew."""
-        return self._commit([_spread_out(self._sliced(df))], None, batch)
+        last = self.last_commit()
+        return self._commit([_spread_out(self._sliced(df))], 0 if last is None else last + 1, {}, batch)
 
     def commit(
-        self, kept: DataFrame, added: DataFrame, touched: Collection[int], batch: str, kept_in_place: bool = False
+        self,
+        kept: DataFrame,
+        added: DataFrame,
+        touched: Collection[int],
+        batch: str,
+        kept_in_place: bool = False,
+        version: Version | None = None,
     ) -> int:
-        """Write the touched buckets anew. `kept_in_place` says that the kept rows come out
+        """Write the touched buckets anew, on top of `version` (the one that was read; default
+        the newest). `kept_in_place` says that the kept rows come out
         of their scan tasks without a shuffle: they are grouped by bucket already and are
         written as they come, while the others are first brought together by bucket.
         """
         kept, added = self._sliced(kept), self._sliced(added)
         parts = [kept, _spread_out(added)] if kept_in_place else [_spread_out(kept.unionByName(added))]
-        return self._commit(parts, touched, batch)
+        version = version or self.version()
+        untouched = {b: f for b, f in version.folders.items() if b not in touched}
+        return self._commit(parts, version.number + 1, untouched, batch)
 
     def _sliced(self, df: DataFrame) -> DataFrame:
         return df.select(*names(self.schema.names), bucket_of(self.keys, self.buckets).alias("in_bucket"))
 
-    def _commit(self, parts: Sequence[DataFrame], touched: Collection[int] | None, batch: str) -> int:
-        last = self.last_commit()
-        number = 0 if last is None else last + 1
+    def _commit(self, parts: Sequence[DataFrame], number: int, untouched: dict[int, str], batch: str) -> int:
         folder = f"data/in_commit={number}-{uuid.uuid4().hex[:8]}"
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part)
         rows.write.mode("errorifexists").partitionBy("in_bucket").parquet(f"{self.path}/{folder}")
-
-        heads = {} if touched is None or last is None else dict(self.version(last).folders)
-        for bucket in touched or ():
-            heads.pop(bucket, None)
-        heads.update({b: f"{folder}/in_bucket={b}" for b in self._written(folder)})
+        heads = untouched | {b: f"{folder}/in_bucket={b}" for b in self._written(folder)}
         lines = [(MARK, None, batch)] + [(b, f, None) for b, f in sorted(heads.items())]
         # One file, so that it appears whole or not at all.
         self.spark.createDataFrame(lines, T.StructType(HEADS.fields[:3])).coalesce(1).write.mode(
