@@ -14,6 +14,7 @@ from tidemark import (
     hash_mapping_merge,
     id_hash_mapping,
     initial_load,
+    newest_row,
     register_parquet,
     run,
     snapshot_to_rows,
@@ -182,9 +183,18 @@ def id_hash_mapping_merge(spark, sf_dir):
     )
 )
 def latest_report(spark, sf_dir):
-    rows = snapshot_to_rows(REPORTS, feeds.report_snapshot(spark, sf_dir))
-    newest = rows.orderBy(F.col("uploadTime").desc(), F.col("_id").desc(), F.col("patient__id").desc())
-    return scalars(newest.limit(1))
+    """Asked of the catalog, as after a load."""
+    name = f"reports_{uuid.uuid4().hex}"
+    _loaded(spark, REPORTS, feeds.report_snapshot(spark, sf_dir)).register(name)
+    return scalars(newest_row(spark, name, "uploadTime", "_id", "patient__id"))
+
+
+@query(sql.with_(sql.ERRORS, sql.merged(sql.ERROR, "s._id = t._id")))
+def merge_catalog_table(spark, sf_dir):
+    """The target is a table of the catalog."""
+    name = f"errors_{uuid.uuid4().hex}"
+    _loaded(spark, ERRORS, feeds.error_snapshot(spark, sf_dir)).register(name)
+    return scalars(apply_changes(ERRORS, spark.table(name), feeds.error_changes(spark, sf_dir)))
 
 
 @query()

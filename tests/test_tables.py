@@ -10,6 +10,7 @@ from tidemark import (
     CollectionSpec,
     SlicedTable,
     align_to_schema,
+    drop_table,
     dropped_fields,
     initial_load,
     read_changes,
@@ -18,6 +19,7 @@ from tidemark import (
     record_files,
     register_parquet,
     run,
+    save_table,
     stream_changes,
     table_exists,
     unprocessed_files,
@@ -219,3 +221,34 @@ def test_empty_change_batch(spark, place):
     commit_changes(SPEC, table, envelopes(spark, []), "empty")
     assert contents(table.read()) == before
     assert table_for(spark, SPEC, place["tables"]).has_batch("empty")
+
+
+def test_managed_table(spark, place):
+    name = "tide_managed.things"
+    drop_table(spark, name)
+    save_table(spark.range(3), name)
+    assert spark.table(name).count() == 3
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        save_table(spark.range(3), name)
+    drop_table(spark, name)
+    assert not table_exists(spark, name)
+
+
+def test_table_with_a_column_added_later(spark, place):
+    snapshot(spark, place)
+    initial_load(spark, SPEC, place["landing"], place["tables"])
+    wider = SPEC.with_(doc_schema=record(_id=TEXT, n=LONG, kids=list_of(k=TEXT), later=TEXT))
+    table = table_for(spark, wider, place["tables"])
+    change = '{"_id":"b","n":2,"later":"new","kids":[{"k":"x"}]}'
+    commit_changes(wider, table, envelopes(spark, [("U", "b", 2, None, change)]), "1")
+    assert {(r["_id"], r["later"]) for r in table.read().collect()} == {("a", None), ("b", "new"), ("c", None)}
+
+
+def test_a_text_sequence(spark, place):
+    spec = SPEC.with_(seq_type=TEXT, options={"seq_guard": "transact_seq"})
+    schema = envelope_schema(True, TEXT)
+    rows = [("U", "a", "0009", None, doc("a", 9, "x")), ("U", "a", "0010", None, doc("a", 10, "x"))]
+    write_landing(spark.createDataFrame(rows[:1], schema).drop("Op"), f"{place['landing']}/things", "LOAD")
+    write_landing(spark.createDataFrame(rows, schema), f"{place['landing']}/things", "c")
+    table = run(spark, [spec], place["landing"], place["tables"], place["checkpoints"])["things"]
+    assert contents(table.read()) == [("a", "x", 10, "0010")]

@@ -11,7 +11,7 @@ from tidemark.plans.spec import CollectionSpec
 from tidemark.session import tune
 from tidemark.sources.envelope import read_changes, read_full_load
 from tidemark.sources.ledger import read_unprocessed, record_files, unprocessed_files
-from tidemark.sources.tables import SlicedTable, register_parquet, table_exists
+from tidemark.sources.tables import SlicedTable, drop_table, newest_row, register_parquet, save_table, table_exists
 from tidemark.streaming.changes import stream_changes
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "align_to_schema",
     "apply_changes",
     "changes_to_rows",
+    "drop_table",
     "dropped_fields",
     "flatten",
     "hash_mapping_merge",
@@ -29,6 +30,7 @@ __all__ = [
     "max_seq_per_key",
     "merge",
     "merge_parts",
+    "newest_row",
     "parse_docs",
     "quarantine",
     "read_changes",
@@ -38,6 +40,7 @@ __all__ = [
     "register_parquet",
     "replace_children",
     "run",
+    "save_table",
     "snapshot_to_rows",
     "stream_changes",
     "table_exists",

@@ -48,6 +48,16 @@ def row_hash_sql(schema: T.StructType) -> str:
     return f"xxhash64({', '.join(hashable)})" if hashable else "0L"
 
 
+def zero_sql(columns: Sequence[str]) -> str:
+    """Zero, but computed from the columns, so that the optimizer cannot fold it away.
+
+    As one more join key on both sides it makes Spark shuffle a side that is grouped by the
+    other keys already, instead of reusing that grouping; the adaptive skew join splits
+    only sides that come straight out of a shuffle.
+    """
+    return f"pmod(xxhash64({', '.join(names(columns))}), 1L)"
+
+
 def bucket_of(columns: Sequence[str], buckets: int) -> Column:
     """Stable bucket number of a key, the same on every cluster and in every run."""
     return F.pmod(F.xxhash64(*names(columns)), F.lit(buckets)).cast("int")

@@ -41,14 +41,20 @@ def hash_mapping_merge(
     id_column: str = "_id",
     child_column: str = "patient__id",
     separator: str = "|",
+    rehash: bool = False,
     **options,
 ) -> DataFrame:
-    """Merge changed rows into the mapping; keys are named differently on the two sides."""
-    text = F.concat_ws(separator, col(id_column), col(child_column))
+    """Merge changed rows into the mapping; keys are named differently on the two sides.
+
+    `rehash` hashes the hash once more, for mappings whose changes were stored that way.
+    """
+    value = hashed(F.concat_ws(separator, col(id_column), col(child_column)))
+    if rehash:
+        value = hashed(value)
     return merge(
         mapping,
         changed,
         keys=[("id", id_column), ("patient_id", child_column)],
-        mapping={"id": col(id_column), "patient_id": col(child_column), "ehr_id_hash": hashed(text)},
+        mapping={"id": col(id_column), "patient_id": col(child_column), "ehr_id_hash": value},
         **options,
     )

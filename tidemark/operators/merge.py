@@ -1,13 +1,14 @@
 """Upsert-and-delete of a change batch into a table, as DataFrame operators.
 
-    kept  = target LEFT JOIN source, one row per key, minus the deleted rows
+    kept  = target LEFT JOIN source, minus the deleted rows
     added = source rows whose key no target row has
     result = kept UNION ALL added
 
 The target keeps its multiplicity (equal rows are all updated). It is never shuffled when
-the caller has checked that the source is small enough to broadcast; otherwise both sides
-are shuffled on the key, and the joins are of kinds (left, semi, anti) whose large left
-side the adaptive skew join can split.
+the caller has checked that the source is small enough to broadcast. Otherwise both sides
+are shuffled on the key; each join of whole rows is of a kind (left, anti) whose large left
+side the adaptive skew join can split, and takes both sides straight out of a shuffle, as
+that needs. What is only counted or looked up is grouped before its shuffle.
 """
 
 from __future__ import annotations
@@ -19,7 +20,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import any_null, any_null_sql, col, names, orderable, quote, row_hash_sql
+from tidemark.functions.columns import (
+    any_null,
+    any_null_sql,
+    col,
+    names,
+    orderable,
+    quote,
+    row_hash_sql,
+    zero_sql,
+)
 from tidemark.functions.docs import DELETE, ENVELOPE_KEY, OP, SEQ
 
 Key = str | tuple[str, str]
@@ -29,6 +39,11 @@ Key = str | tuple[str, str]
 # gives the same value when a lost task is run again.
 NULL_SPREAD = 1024
 
+# Source keys with this many rows or more are left out of the shuffle that updates the
+# target: were one of them matched, the merge would be refused. There can be no more of them
+# than source rows divided by this, so they are broadcast.
+HOT_ROWS = 1_000_000
+
 
 def _pairs(keys: Sequence[Key]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in keys]
@@ -38,14 +53,17 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def _spread_sql(schema: T.StructType, strict: Sequence[str]) -> str:
-    return f"CASE WHEN {any_null_sql(strict)} THEN pmod({row_hash_sql(schema)}, {NULL_SPREAD}) + 1 ELSE 0L END"
+def _spread_sql(schema: T.StructType, strict: Sequence[str], keys: Sequence[str]) -> str:
+    return (
+        f"CASE WHEN {any_null_sql(strict)} THEN pmod({row_hash_sql(schema)}, {NULL_SPREAD}L) + 1 "
+        f"ELSE {zero_sql(keys)} END"
+    )
 
 
 class _Sides:
     """Target and source with their keys, and the values to write, under names of their own."""
 
-    def __init__(self, target, source, keys, delete_when, mapping, null_safe, seq, order, spread):
+    def __init__(self, target, source, keys, delete_when, mapping, null_safe, seq, order, small):
         self.pairs = _pairs(keys)
         self.null_safe = set(null_safe)
         t_schema, s_schema = target.schema, source.schema
@@ -64,14 +82,15 @@ class _Sides:
         self.strict = [k for (t, _), k in zip(self.pairs, self.s_keys) if t not in self.null_safe]
 
         t_named = [f"{quote(t)} AS {k}" for (t, _), k in zip(self.pairs, self.t_keys)]
+        t_names, s_names = [t for t, _ in self.pairs], [s for _, s in self.pairs]
         self.t = target.selectExpr(
             *names(t_schema.names),
             *t_named,
             *([f"{quote(seq)} AS __tseq"] if seq else []),
-            f"{_spread_sql(t_schema, strict_t) if spread else '0L'} AS __tspread",
+            f"{_spread_sql(t_schema, strict_t, t_names)} AS __tspread",
         )
         # The keys alone: the scan behind it reads no other column. NULL keys match nothing.
-        self.t_matchable = target.where(~any_null(strict_t)).selectExpr(*t_named, "0L AS __tspread")
+        self.t_matchable = target.where(~any_null(strict_t)).selectExpr(*t_named)
 
         self.order = [f"__o{i}" for i in range(len(order))]
         delete = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
@@ -88,28 +107,42 @@ class _Sides:
             F.coalesce(delete, F.lit(False)).alias("__delete"),
             *([col(seq).alias("__sseq")] if seq else []),
             *values,
-            F.expr(f"{_spread_sql(s_schema, strict_s) if spread else '0L'} AS __sspread"),
+            F.expr(f"{_spread_sql(s_schema, strict_s, s_names)} AS __sspread"),
         )
+        self.small = small
+
+    def hint(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.small else df
 
-    def condition(self) -> Column:
+    def condition(self, spread: bool) -> Column:
+        """Keys equal; `spread` adds the join key of shuffled whole rows."""
         parts = [
             f"{tk} <=> {sk}" if t in self.null_safe else f"{tk} = {sk}"
             for (t, _), tk, sk in zip(self.pairs, self.t_keys, self.s_keys)
         ]
-        return F.expr(" AND ".join([*parts, "__tspread = __sspread"]))
+        return F.expr(" AND ".join([*parts, *(["__tspread = __sspread"] if spread else [])]))
 
     def matchable(self) -> DataFrame:
         """Source rows that can match: no NULL in a key that must be equal."""
-        return self.s.where(~any_null(self.strict)).withColumn("__sspread", F.lit(0).cast("long"))
+        return self.s.where(~any_null(self.strict))
 
     def key_counts(self) -> DataFrame:
         """Rows per source key, counted before the shuffle: narrow, and a hot key costs one
         row per task."""
-        counts = self.matchable().groupBy(*self.s_keys).agg(F.count(F.lit(1)).alias("__rows"))
-        return counts.withColumn("__sspread", F.lit(0).cast("long"))
+        return self.matchable().groupBy(*self.s_keys).agg(F.count(F.lit(1)).alias("__rows"))
 
-    def same_source_key(self, other: Sequence[str]) -> Column:
-        return F.expr(" AND ".join(f"{a} <=> {b}" for a, b in zip(self.s_keys, other)))
+    def without_hot_keys(self, counts: DataFrame) -> DataFrame:
+        """`matchable`, less the keys repeated too often to be shuffled."""
+        hot = [f"__h{i}" for i in range(len(self.s_keys))]
+        listed = counts.where(f"__rows >= {HOT_ROWS}").selectExpr(*[f"{k} AS {h}" for k, h in zip(self.s_keys, hot)])
+        same = F.expr(" AND ".join(f"{a} <=> {b}" for a, b in zip(self.s_keys, hot)))
+        return self.matchable().join(F.broadcast(listed), same, "left_anti")
+
+    def matched_keys(self, keys: DataFrame) -> DataFrame:
+        """Keys that both sides have, each once."""
+        if self.small:
+            return self.t_matchable.join(F.broadcast(keys), self.condition(spread=False), "left_semi").distinct()
+        return self.t_matchable.distinct().join(keys, self.condition(spread=False), "left_semi")
 
     def newest_per_key(self) -> DataFrame:
         """One row per source key, the newest by `order`, then by its values. Rows that
@@ -154,39 +187,30 @@ def merge_parts(
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     if order is None:
         order = [SEQ] if SEQ in source.columns else []
-    sides = _Sides(
-        target, source, keys, delete_when, mapping, null_safe, seq_guard, order, spread=not small_source
-    )
-    small = F.broadcast if small_source else (lambda df: df)
-    matches = sides.condition()
-    target_rows = sides.t
+    sides = _Sides(target, source, keys, delete_when, mapping, null_safe, seq_guard, order, small_source)
     if on_duplicate == "latest":
         one = sides.newest_per_key()
-        keys = one.select(*sides.s_keys, "__sspread")
+        found = sides.matched_keys(one.select(*sides.s_keys))
         candidates = one.unionByName(sides.s.where(any_null(sides.strict)))
-        stays = "true"
+        allowed = F.lit(True)
     else:
-        # Repeated source keys are rare, mostly there are none: they are set apart by their
-        # counts, and a target row that meets one raises.
         counts = sides.key_counts()
-        keys = counts.select(*sides.s_keys, "__sspread")
-        again = [f"__r{i}" for i in range(len(sides.s_keys))]
-        repeated = counts.where("__rows > 1").selectExpr(*[f"{k} AS {r}" for k, r in zip(sides.s_keys, again)])
-        one = sides.matchable().join(small(repeated), sides.same_source_key(again), "left_anti")
-        clash = repeated.selectExpr(
-            *[f"{r} AS {k}" for k, r in zip(sides.s_keys, again)], "0L AS __sspread", "true AS __clash"
-        )
-        target_rows = target_rows.join(small(clash), matches, "left").drop(*sides.s_keys, "__sspread")
+        one = sides.matchable() if small_source else sides.without_hot_keys(counts)
+        found = sides.matched_keys(counts.select(*sides.s_keys))
         candidates = sides.s
+        # Repeated keys are mostly none at all, and then this reads no target rows.
+        repeated = counts.where("__rows > 1").select(*sides.s_keys)
+        clashes = sides.matched_keys(repeated).agg(F.count(F.lit(1))).scalar()
         text = "several source rows match one target row: reduce the source, or take the latest on duplicates"
-        stays = f"CASE WHEN __clash THEN CAST(raise_error('{text}') AS BOOLEAN) ELSE true END"
+        allowed = F.when(clashes > 0, F.raise_error(F.lit(text)).cast("boolean")).otherwise(True)
 
     hit = "coalesce(__hit, false)"
     acts = f"({hit} AND coalesce(__sseq > __tseq, false))" if seq_guard else hit
     values = sides.values
+    whole_rows = sides.condition(spread=not small_source)
     kept = (
-        target_rows.where(stays)
-        .join(small(one.withColumn("__hit", F.lit(True))), matches, "left")
+        sides.t.where(allowed)
+        .join(sides.hint(one.withColumn("__hit", F.lit(True))), whole_rows, "left")
         .where(f"NOT ({acts} AND coalesce(__delete, false))")
         .selectExpr(
             *[
@@ -196,12 +220,11 @@ def merge_parts(
         )
     )
 
-    # Keys of the target that the source touches: read from the key columns alone, and never
-    # more than the source has keys.
-    found = sides.t_matchable.join(small(keys), matches, "left_semi").distinct()
     if not insert_deletes:
         candidates = candidates.where("NOT __delete")
-    added = candidates.join(found, matches, "left_anti").select(
+    if not small_source:
+        found = found.withColumn("__tspread", F.expr(zero_sql(sides.t_keys)))
+    added = candidates.join(found, whole_rows, "left_anti").select(
         *[
             F.expr(f"{values[c]} AS {quote(c)}") if c in values else F.lit(None).cast(dtype).alias(c)
             for c, dtype in sides.types.items()
@@ -233,26 +256,39 @@ def replace_children(
     """
     pairs = _pairs(parents)
     t_names, s_names = [t for t, _ in pairs], [s for _, s in pairs]
-    s_keys = [f"__s{i}" for i in range(len(pairs))]
-    batch = source.where(~any_null(s_names)).groupBy(
-        *[col(s).alias(k) for s, k in zip(s_names, s_keys)]
+    p_names = [f"__p{i}" for i in range(len(pairs))]
+    small = F.broadcast if small_source else (lambda df: df)
+
+    def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return df.withColumn("__spread", F.expr(_spread_sql(df.schema, columns, columns)))
+
+    def same(columns: Sequence[str]) -> list[Column]:
+        equal = [col(c) == F.col(p) for c, p in zip(columns, p_names)]
+        return equal if small_source else [*equal, F.col("__spread") == F.col("__pspread")]
+
+    batch = (
+        source.where(~any_null(s_names))
+        .groupBy(*[col(s).alias(p) for s, p in zip(s_names, p_names)])
+        .agg((F.max(col(seq_guard)) if seq_guard else F.lit(True)).alias("__sseq"))
+        .withColumn("__pspread", F.expr(zero_sql(p_names)))
     )
-    batch = batch.agg((F.max(col(seq_guard)) if seq_guard else F.lit(True)).alias("__sseq"))
-    same = [col(t) == F.col(k) for t, k in zip(t_names, s_keys)]
     older = [F.col("__sseq") > col(seq_guard)] if seq_guard else []
-    kept = target.join(F.broadcast(batch) if small_source else batch, _all(same + older), "left_anti")
+    rows = target if small_source else spread(target, t_names)
+    kept = rows.join(small(batch), _all([*same(t_names), *older]), "left_anti").drop("__spread")
 
     delete = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
     fresh = source.where(~F.coalesce(delete, F.lit(False)))
     if seq_guard:
-        touched = target.select(*[col(t) for t in t_names], col(seq_guard).alias("__tseq")).join(
-            F.broadcast(batch) if small_source else batch, _all(same), "left_semi"
-        )
-        newest = touched.groupBy(*[col(t).alias(f"__p{i}") for i, t in enumerate(t_names)]).agg(
-            F.max("__tseq").alias("__tseq")
+        # Newest sequence of each document in the target: grouped first, so a document of
+        # very many rows is small before anything is shuffled.
+        newest = target.where(~any_null(t_names)).groupBy(*[col(t) for t in t_names])
+        newest = newest.agg(F.max(col(seq_guard)).alias("__tseq")).select(
+            *[col(t).alias(p) for t, p in zip(t_names, p_names)],
+            "__tseq",
+            F.expr(zero_sql(t_names)).alias("__pspread"),
         )
-        stale = [col(s) == F.col(f"__p{i}") for i, s in enumerate(s_names)]
-        fresh = fresh.join(newest, _all([*stale, F.col("__tseq") >= col(seq_guard)]), "left_anti")
+        rows = fresh if small_source else spread(fresh, s_names)
+        fresh = rows.join(newest, _all([*same(s_names), F.col("__tseq") >= col(seq_guard)]), "left_anti")
     types = {f.name: f.dataType for f in target.schema}
     added = fresh.select(
         *[

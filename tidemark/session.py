@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators count on; a cluster may set them higher or lower.
 SETTINGS = {
@@ -28,6 +29,8 @@ def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a local one only where none is named (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -53,7 +56,5 @@ def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataF
 
 def staged_bytes(staged: DataFrame) -> int:
     """File bytes of a staged frame, from file metadata; one number reaches the driver."""
-    from pyspark.sql import functions as F
-
     files = staged.select("_metadata.file_path", "_metadata.file_size").distinct()
     return files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]

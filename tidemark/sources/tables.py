@@ -197,3 +197,19 @@ def register_parquet(spark: SparkSession, name: str, path: str, fmt: str = "parq
     """External table over files that are there, unless the name is taken."""
     create_database_of(spark, name)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+
+
+def save_table(df: DataFrame, name: str) -> None:
+    """Managed table; it is an error if the name is taken."""
+    create_database_of(df.sparkSession, name)
+    df.write.mode("errorifexists").saveAsTable(name)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def newest_row(spark: SparkSession, name: str, by: str, *breakers: str) -> DataFrame:
+    """The row of a catalog table with the greatest `by`; NULL comes last."""
+    order = ", ".join(f"{quote(c)} DESC" for c in (by, *breakers))
+    return spark.sql(f"SELECT * FROM {name} ORDER BY {order} LIMIT 1")
