@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from showcase import feeds  # noqa: E402
 from tidemark import apply_changes, flatten, keep_latest, merge, parse_docs, snapshot_to_rows, tune  # noqa: E402
 from tidemark.plans.collections import REPORTS  # noqa: E402
-from tidemark.plans.loads import changes_to_rows, commit_changes, table_for  # noqa: E402
+from tidemark.plans.loads import changes_to_rows, commit_changes, is_small, table_for  # noqa: E402
 from tidemark.session import scratch_dir, stage  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -33,6 +33,19 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 SHARES = {"1pct": 24, "10pct": 240, "50pct": 1200}
 
 
+# The merge target is made so many times larger than the feed, by rows of other keys.
+COPIES = int(os.environ.get("BENCH_COPIES", "1"))
+ONLY = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
+
+
+def enlarged(df: DataFrame) -> DataFrame:
+    if COPIES == 1:
+        return df
+    copy = F.explode(F.sequence(F.lit(1), F.lit(COPIES)))
+    key = F.expr("CASE WHEN copy = 1 THEN _id ELSE concat(_id, '-', copy) END")
+    return df.withColumn("copy", copy).withColumn("_id", key).drop("copy")
+
+
 def run_through(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -47,7 +60,7 @@ def queries(spark: SparkSession) -> dict:
     snapshot = feeds.report_snapshot(spark, SF_DIR)
     changes = feeds.report_changes(spark, SF_DIR)
     before = stage(snapshot_to_rows(REPORTS, snapshot), "bench-before")
-    target = stage(snapshot_to_rows(REPORTS, changes.drop("Op")), "bench-target")
+    target = stage(enlarged(snapshot_to_rows(REPORTS, changes.drop("Op"))), "bench-target")
     out = {
         "keep_latest_join": lambda: run_through(keep_latest(events, method="join")),
         "keep_latest_window": lambda: run_through(keep_latest(events, method="window")),
@@ -58,7 +71,9 @@ def queries(spark: SparkSession) -> dict:
     }
     for share, days in SHARES.items():
         batch = stage(changes_to_rows(REPORTS, newest(changes, days)), f"bench-{share}")
-        out[f"merge_{share}"] = lambda batch=batch: run_through(merge(target, batch, REPORTS.keys))
+        out[f"merge_{share}"] = lambda batch=batch: run_through(
+            merge(target, batch, REPORTS.keys, small_source=is_small(batch))
+        )
 
     spec = REPORTS.with_(buckets=16)
     table = table_for(spark, spec, scratch_dir(spark, "bench-table"))
@@ -74,7 +89,7 @@ def plain(spark: SparkSession) -> dict:
     snapshot = feeds.report_snapshot(spark, SF_DIR)
     changes = feeds.report_changes(spark, SF_DIR)
     before = stage(snapshot_to_rows(REPORTS, snapshot), "bench-before")
-    target = stage(snapshot_to_rows(REPORTS, changes.drop("Op")), "bench-target")
+    target = stage(enlarged(snapshot_to_rows(REPORTS, changes.drop("Op"))), "bench-target")
 
     def latest(df):
         top = df.groupBy("_id").agg(F.max("transact_seq").alias("top"))
@@ -123,6 +138,8 @@ def main() -> None:
     make = plain if "--plain" in sys.argv else queries
     times = {}
     for name, once in make(spark).items():
+        if ONLY and name not in ONLY:
+            continue
         once()
         taken = []
         for _ in range(RUNS):

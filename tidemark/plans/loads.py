@@ -51,6 +51,11 @@ def merge_rows(
     return merge_parts(target, rows, spec.keys, small_source=small_source, **spec.options)
 
 
+def is_small(staged: DataFrame) -> bool:
+    """Whether a staged frame may be broadcast."""
+    return staged_bytes(staged) <= BROADCAST_FILE_BYTES
+
+
 def staged_batch(spec: CollectionSpec, changes: DataFrame) -> tuple[DataFrame, bool]:
     """The reduced batch in the shared folder, and whether it is small enough to broadcast.
 
@@ -59,7 +64,7 @@ def staged_batch(spec: CollectionSpec, changes: DataFrame) -> tuple[DataFrame, b
     """
     path = scratch_dir(changes.sparkSession, f"{spec.name}-batch")
     rows = stage(changes_to_rows(spec, changes), path=path)
-    return rows, staged_bytes(rows) <= BROADCAST_FILE_BYTES
+    return rows, is_small(rows)
 
 
 def apply_changes(spec: CollectionSpec, target: DataFrame, changes: DataFrame) -> DataFrame:
