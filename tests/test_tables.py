@@ -78,11 +78,13 @@ def test_scans_tell_files_by_name(spark, place):
     assert sorted(r["_id"] for r in read_changes(spark, folder).collect()) == ["a", "b"]
 
 
-def test_ledger(spark, place, tmp_path):
-    folder, ledger = f"{place['landing']}/things", str(tmp_path / "ledger")
+@pytest.mark.parametrize("folder_name", ["things", "some things %20"])
+def test_ledger(spark, place, tmp_path, folder_name):
+    folder, ledger = f"{place['landing']}/{folder_name}", str(tmp_path / "ledger")
     create_ledger(spark, ledger)
     create_ledger(spark, ledger)
     land(spark, folder, [("U", "a", 2, None, doc("a", 2, "x"))], "one")
+    land(spark, folder, [("s", 1, None, doc("s", 1))], "LOAD", with_op=False)
     record_files(unprocessed_files(spark, folder, ledger), ledger)
     assert unprocessed_files(spark, folder, ledger).count() == 0
     land(spark, folder, [("U", "b", 2, None, doc("b", 2, "x"))], "two")

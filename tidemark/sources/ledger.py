@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.envelope import LOAD_PREFIX, read_changes
+from tidemark.sources.envelope import is_change_file, read_changes
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -17,13 +17,14 @@ LEDGER_SCHEMA = T.StructType(
 
 
 def list_files(spark: SparkSession, landing: str) -> DataFrame:
-    """One row per landing change file: name and size only, the content is never read."""
+    """One row per landing change file: name and size only, the content is never read. The
+    name is written as the change scan writes it, so the two can be compared."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .load(landing)
-        .select("path", "length")
-        .where(~F.element_at(F.split("path", "/"), -1).startswith(LOAD_PREFIX))
+        .where(is_change_file())
+        .select(F.col("_metadata.file_path").alias("path"), "length")
     )
 
 
