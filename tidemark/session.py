@@ -25,15 +25,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Scratch folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a local one only where none is named (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
