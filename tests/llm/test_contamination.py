@@ -1,0 +1,75 @@
+"""Decontamination against a word-by-word search."""
+
+import hashlib
+import re
+
+from tests.llm.cases import SF, edge_documents, edge_rows, given, no_documents
+from tidemark.llm import contamination as con
+from tidemark.llm.queries import QUERIES
+
+
+def words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def brute(items, size=13):
+    owners: dict = {}
+    for key, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - size + 1) if w else 0):
+            owners.setdefault(tuple(w[i : i + size]), set()).add(key)
+
+    def of(text):
+        w, hit, keys = words(text), set(), set()
+        for length in {len(x) for x in owners}:
+            for i in range(len(w) - length + 1):
+                if found := owners.get(tuple(w[i : i + length])):
+                    hit.update(range(i, i + length))
+                    keys |= found
+        return len(w), len(hit), sorted(str(k) for k in keys if k is not None)
+
+    return of
+
+
+ITEMS = [(1, "One two"), (2, "three"), (3, "same words here again same words here again same words here again same words"), (4, None), (5, "..."), (None, "naïve"), (6, "v7 w8 v8 w9 v9"), (7, "v7 W8, v8"), (1, "one two")]
+
+
+def check(spark, **more):
+    items = spark.createDataFrame([(*x, "t") for x in ITEMS], "item_id long, text string, doc_id string")
+    out = con.find_contamination(edge_documents(spark), items, keep=("doc_id", "n_words"), **more).collect()
+    of = brute(ITEMS)
+    got = sorted((str(r[0]), r[2], r.n_hit, sorted(set(r["items"]))) for r in out)
+    assert got == sorted((str(r[0]), *of(r[1])) for r in edge_rows())
+    return out
+
+
+def test_edge_cases(spark):
+    check(spark)
+    assert con.find_contamination(no_documents(spark), spark.createDataFrame([(1, "a")], "item_id long, text string")).count() == 0
+    none = con.find_contamination(edge_documents(spark), spark.createDataFrame([], "item_id long, text string"))
+    assert none.where("n_hit > 0").count() == 0 and none.count() == len(edge_rows())
+
+
+def test_blocks_give_the_same(spark):
+    key = lambda r: repr((r[0], r[2:]))
+    assert sorted(check(spark, block_bytes=20), key=key) == sorted(check(spark), key=key)
+
+
+def test_offsets(spark):
+    docs = spark.createDataFrame([(1, "é!  One -- TWO, ü one two three")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    r = con.find_contamination(docs, items).first()
+    assert ["é!  One -- TWO, ü one two three"[h.start : h.stop] for h in r.hits] == ["One -- TWO", "one two"]
+
+
+def test_query(spark):
+    rows = {r.doc_id: r for r in QUERIES["op8_contamination"](spark, SF).collect()}
+    of, hits = brute([(r["item_id"], r["text"]) for r in given("benchmark")]), 0
+    for d in given():
+        n, h, keys = of(d["text"])
+        r = rows[d["doc_id"]]
+        digest = hashlib.sha256(",".join(keys).encode()).hexdigest()
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, h, len(keys), digest, h > 0 and 20 * h >= n)
+        hits += h > 0
+    assert hits
