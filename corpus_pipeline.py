@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, personal_data
+from tidemark.llm import bpe, contamination, personal_data, toxicity
 from tidemark.llm.queries import RANKS
 from tidemark.session import stage
 
@@ -20,6 +20,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go; it learns from the labels of the others' documents too."""
+    model = toxicity.fit_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, keep=COLUMNS).where("predicted = 0").select(*COLUMNS)
+
+
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go in which at least one word in twenty belongs to a passage of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -50,6 +56,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 #: One after the other; the name of each and its function.
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
     ("decontamination", without_benchmarks),
     ("personal data", without_personal_data),
     ("tokens", tokens),

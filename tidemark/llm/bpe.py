@@ -164,8 +164,7 @@ def encode_documents(
     that are not kept play no part, whatever their names. Matches of any length are encoded whole.
     """
     chosen = docs.select(*names(keep), utf8(text).alias("__text"))
-    fields = [f for f in chosen.schema if f.name != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", ids binary" + ", decoded binary" * round_trip
+    added = "ids binary" + ", decoded binary" * round_trip
 
     def run(batches):
         own = codec(path, split)
@@ -173,18 +172,16 @@ def encode_documents(
             ids = [own.encode(t.decode("utf-8", "replace")) for t in texts]
             yield [*kept, ids, *([[own.decode(i) for i in ids]] if round_trip else [])]
 
-    return map_rows(chosen, schema, run)
+    return map_rows(chosen, len(keep), added, run)
 
 
 def decode_documents(encoded: DataFrame, path: str, split: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep` columns and `decoded` bytes of the packed `ids`; null ids count as none."""
     chosen = encoded.select(*names(keep), utf8("ids").alias("__ids"))
-    fields = [f for f in chosen.schema if f.name != "__ids"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", decoded binary"
 
     def run(batches):
         own = codec(path, split)
         for *kept, packed in batches:
             yield [*kept, [own.decode(p) for p in packed]]
 
-    return map_rows(chosen, schema, run)
+    return map_rows(chosen, len(keep), "decoded binary", run)

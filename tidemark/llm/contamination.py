@@ -135,8 +135,7 @@ def find_contamination(
     spark = docs.sparkSession
     kept = [f"k{i}" for i in range(len(keep))]
     now = docs.select(*[col(c).alias(k) for c, k in zip(keep, kept)], utf8(text).alias("text"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in now.schema)
-    found = ", n_words long, hits array<struct<start: int, stop: int>>, words array<struct<start: int, stop: int>>, items array<string>"
+    found = "n_words long, hits array<struct<start: int, stop: int>>, words array<struct<start: int, stop: int>>, items array<string>"
 
     def runs(hit: bytearray) -> list[tuple[int, int]]:
         return [(m.start(), m.end()) for m in re.finditer(rb"\x01+", hit)]
@@ -171,7 +170,7 @@ def find_contamination(
     last = isinstance(blocks, list)
     for i, block in enumerate(blocks):
         shared = spark.sparkContext.broadcast(block)
-        now = map_rows(now, fields + found, scanner(shared, i == 0))
+        now = map_rows(now, len(keep) + 1, found, scanner(shared, i == 0))
         now = now if last else stage(now, "contamination")
     n_hit: Column = F.expr("aggregate(words, 0L, (n, w) -> n + w.stop - w.start)")
     return now.select(*[F.col(k).alias(c) for c, k in zip(keep, kept)], "n_words", "hits", n_hit.alias("n_hit"), "items")

@@ -95,8 +95,6 @@ def piece_counts(
     have no words. Rows stay where they are read; repeated rows each give a row; columns not kept play no part.
     """
     chosen = docs.select(*names(keep), utf8(text).alias("__text"))
-    fields = [f for f in chosen.schema if f.name != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n_words long, n_pieces long, n_unknown long"
 
     def run(batches):
         own, known = automaton(), {}
@@ -116,4 +114,4 @@ def piece_counts(
                 sizes.append((len(counts), sum(counts) + 2 * unknown, unknown))
             yield [*kept, *(list(x) for x in zip(*sizes))]
 
-    return map_rows(chosen, schema, run)
+    return map_rows(chosen, len(keep), "n_words long, n_pieces long, n_unknown long", run)

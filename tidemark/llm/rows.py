@@ -44,21 +44,24 @@ def ship(context: SparkContext) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def map_rows(df: DataFrame, schema: str, function: Callable[[Iterator[list]], Iterator[list]]) -> DataFrame:
-    """`function` gets an iterator over batches, each a list of columns (lists), and yields such batches.
+def map_rows(df: DataFrame, kept: int, added: str, function: Callable[[Iterator[list]], Iterator[list]]) -> DataFrame:
+    """Rows by a function in Python: it gets an iterator over batches, each a list of columns (lists), and yields such batches.
 
-    One batch is in a task's memory at a time; tasks keep nothing between rows unless the function does.
+    The result has the first `kept` columns of `df`, as they are, and the `added` ones (a DDL text). One batch is
+    in a task's memory at a time; tasks keep nothing between rows unless the function does.
     """
-    out = T._parse_datatype_string(schema)
+    before, new = df.schema.fields[:kept], T._parse_datatype_string(added).fields if added else []
+    # any name is taken: columns travel under names of their own
+    out = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate([*before, *new])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(out)
         columns = ([c.to_pylist() for c in batch.columns] for batch in batches)
         for result in function(columns):
             if result and len(result[0]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, type=f.type) for values, f in zip(result, arrow)], schema=arrow
-                )
+                arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(result, arrow)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     ship(df.sparkSession.sparkContext)
-    return df.mapInArrow(run, out)
+    moved = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return moved.mapInArrow(run, out).toDF(*[f.name for f in [*before, *new]])
