@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, personal_data, toxicity
+from tidemark.llm import bpe, contamination, jaccard_join, personal_data, toxicity
 from tidemark.llm.queries import RANKS
 from tidemark.session import stage
 
@@ -26,6 +26,11 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return toxicity.score(docs, model, keep=COLUMNS).where("predicted = 0").select(*COLUMNS)
 
 
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of copies and near copies (runs of five words, 0.8 of them shared) the first document stays."""
+    return jaccard_join.one_of_each(docs, rule=jaccard_join.Rule(percent=80, size=5)).select(*COLUMNS)
+
+
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go in which at least one word in twenty belongs to a passage of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -57,6 +62,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 #: One after the other; the name of each and its function.
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", without_toxic),
+    ("near copies", without_copies),
     ("decontamination", without_benchmarks),
     ("personal data", without_personal_data),
     ("tokens", tokens),

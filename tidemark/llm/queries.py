@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, personal_data, piece_lengths, quality, sharding, toxicity
+from tidemark.llm import bpe, contamination, jaccard_join, personal_data, piece_lengths, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,8 @@ def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_piece_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_lengths.piece_counts(documents(spark, sf_dir), lambda: piece_lengths.byte_level(RANKS))
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(documents(spark, sf_dir))
