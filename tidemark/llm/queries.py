@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, jaccard_join, personal_data, piece_lengths, quality, sharding, toxicity
+from tidemark.llm import bpe, contamination, jaccard_join, personal_data, piece_lengths, quality, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,3 +93,15 @@ def op9_piece_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(documents(spark, sf_dir))
+
+
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
