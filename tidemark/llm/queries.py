@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, jaccard_join, personal_data, piece_lengths, quality, repeats, sharding, toxicity
+from tidemark.llm import bpe, contamination, jaccard_join, language_model, personal_data, piece_lengths, quality, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", language_model.held_out())
+    model = language_model.learn(docs.where("NOT held_out"))
+    return language_model.score(docs, model, keep=("doc_id", "held_out"))
