@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from showcase import feeds  # noqa: E402
-from tidemark import apply_changes, flatten, keep_latest, merge, parse_docs, snapshot_to_rows, tune  # noqa: E402
+from tidemark import apply_changes, keep_latest, merge, parse_docs, replace_children, snapshot_to_rows, tune  # noqa: E402
 from tidemark.plans.collections import REPORTS  # noqa: E402
-from tidemark.plans.loads import changes_to_rows, commit_changes, is_small, table_for  # noqa: E402
+from tidemark.plans.loads import changes_to_rows, is_small, merge_into, table_for  # noqa: E402
 from tidemark.session import scratch_dir, stage  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -55,6 +55,10 @@ def newest(changes: DataFrame, days: int) -> DataFrame:
     return changes.where(F.col("transact_change_timestamp") > F.lit(last) - F.expr(f"INTERVAL {days} DAYS"))
 
 
+def whole(parts: tuple[DataFrame, DataFrame]) -> DataFrame:
+    return parts[0].unionByName(parts[1])
+
+
 def queries(spark: SparkSession) -> dict:
     events = feeds.event_feed(spark, SF_DIR)
     snapshot = feeds.report_snapshot(spark, SF_DIR)
@@ -74,13 +78,16 @@ def queries(spark: SparkSession) -> dict:
         out[f"merge_{share}"] = lambda batch=batch: run_through(
             merge(target, batch, REPORTS.keys, small_source=is_small(batch))
         )
+        if share != "10pct":
+            out[f"merge_{share}_shuffled"] = lambda batch=batch: run_through(merge(target, batch, REPORTS.keys))
+            out[f"replace_children_{share}"] = lambda batch=batch: run_through(whole(replace_children(target, batch, ["_id"])))
 
     spec = REPORTS.with_(buckets=16)
     table = table_for(spark, spec, scratch_dir(spark, "bench-table"))
     table.create(target)
     few = stage(newest(changes, 24), "bench-few")
     number = iter(range(10**6))
-    out["commit_1pct"] = lambda: commit_changes(spec, table, few, f"bench-{next(number)}")
+    out["commit_1pct"] = lambda: merge_into(spec, table, few, f"bench-{next(number)}")
     return out
 
 
@@ -91,13 +98,10 @@ def plain(spark: SparkSession) -> dict:
     before = stage(snapshot_to_rows(REPORTS, snapshot), "bench-before")
     target = stage(enlarged(snapshot_to_rows(REPORTS, changes.drop("Op"))), "bench-target")
 
-    def latest(df):
-        top = df.groupBy("_id").agg(F.max("transact_seq").alias("top"))
-        return df.join(top, (df["_id"] == top["_id"]) & (df["transact_seq"] == top["top"])).drop(top["_id"]).drop("top")
-
-    def rows(df, schema=REPORTS.doc_schema):
-        parsed = parse_docs(df, schema).withColumn("completedTime", F.col("completedTime.$date"))
-        return flatten(parsed, "patients", REPORTS.child_fields, "patient_")
+    def rows(df):
+        # a snapshot has one version of each document; changes are reduced by aggregate and join
+        newest = keep_latest(df, method="join") if "Op" in df.columns else df
+        return snapshot_to_rows(REPORTS, newest)
 
     def outer(t, s):
         keys = list(REPORTS.keys)
@@ -112,15 +116,15 @@ def plain(spark: SparkSession) -> dict:
         run_through(df)
 
     out = {
-        "keep_latest": lambda: run_through(latest(events)),
+        "keep_latest": lambda: run_through(keep_latest(events, method="join")),
         "flatten": lambda: twice(rows(snapshot)),
-        "incremental_c1": lambda: run_through(outer(before, rows(latest(changes)))),
+        "incremental_c1": lambda: run_through(outer(before, rows(changes))),
     }
     for share, days in SHARES.items():
-        batch = stage(rows(latest(newest(changes, days))), f"bench-{share}")
+        batch = stage(rows(newest(changes, days)), f"bench-{share}")
         out[f"merge_{share}"] = lambda batch=batch: run_through(outer(target, batch))
     few = stage(newest(changes, 24), "bench-few")
-    out["commit_1pct"] = lambda: outer(target, rows(latest(few))).write.parquet(scratch_dir(spark, "bench-full"))
+    out["commit_1pct"] = lambda: outer(target, rows(few)).write.parquet(scratch_dir(spark, "bench-full"))
     return out
 
 

@@ -3,26 +3,33 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from showcase import feeds, sql
 from showcase.feeds import landing_dir, scalars, write_landing
 from showcase.registry import query
 from tidemark import (
+    CollectionSpec,
     apply_changes,
     hash_mapping_merge,
     id_hash_mapping,
     initial_load,
+    merge_into,
     newest_row,
     register_parquet,
     run,
     snapshot_to_rows,
     stream_changes,
 )
+from tidemark.functions.docs import LONG, TEXT, record, to_doc
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS, UPLOADS
-from tidemark.plans.loads import changes_to_rows
+from tidemark.plans.loads import changes_to_rows, table_for
 from tidemark.session import scratch_dir
+from tidemark.sources.tables import BUCKET
 
 REPORT_ROWS = {n: sql.REPORTS[n] for n in ("lines", "t")}
 _BUCKETS = 8
@@ -105,19 +112,44 @@ def incremental_c4(spark, sf_dir):
     return scalars(apply_changes(ERRORS, target, feeds.error_changes(spark, sf_dir)))
 
 
-@query(sql.with_(sql.REPORTS, sql.merged(sql.REPORT, sql.REPORT_KEY)))
+_WHOLE_RUN = {
+    "reports": (REPORTS, sql.REPORTS, sql.merged(sql.REPORT, sql.REPORT_KEY), "_id", '"patient__id"', '"status"', '"patient_numOfRetries"'),
+    "uploads": (UPLOADS, sql.UPLOADS, sql.merged(sql.UPLOAD, sql.UPLOAD_KEY), "_id", '"fileName"', '"type"', '"inputType"'),
+    "access": (ACCESS, sql.ACCESSES, sql.merged(sql.ACCESS, sql.ACCESS_KEY), "_id", '"audit_reportId"', '"audit_newValue"', '"ehr"'),
+    "errors": (ERRORS, sql.ERRORS, sql.merged(sql.ERROR, "s._id = t._id"), "_id", '"fileName"', '"errorMessage"', '"errorDate"'),
+}
+
+
+def _run_sql() -> str:
+    """The four tables, each as its name, sequence and four of its columns as text."""
+    parts = []
+    for name, (_, ctes, merged, *columns) in _WHOLE_RUN.items():
+        texts = ", ".join(f"{c}::VARCHAR AS c{i}" for i, c in enumerate(columns))
+        parts.append(f"SELECT '{name}' AS collection, transact_seq, {texts} FROM ({sql.with_(ctes, merged)})")
+    return " UNION ALL ".join(parts)
+
+
+@query(_run_sql())
 def run_all(spark, sf_dir):
-    """Landing files of two collections, one run: full loads, then the change stream."""
+    """Landing files of all four collections, one run: full loads, then the change streams; read from the catalog."""
     landing, work = landing_dir(spark, "run"), scratch_dir(spark, "run")
+    database = f"run_{uuid.uuid4().hex}"
     for spec, snapshot, changes in (
         (REPORTS, feeds.report_snapshot(spark, sf_dir), feeds.report_changes(spark, sf_dir)),
+        (UPLOADS, feeds.upload_snapshot(spark, sf_dir), feeds.upload_changes(spark, sf_dir)),
+        (ACCESS, feeds.access_feed(spark, sf_dir, 1), feeds.access_feed(spark, sf_dir, 2)),
         (ERRORS, feeds.error_snapshot(spark, sf_dir), feeds.error_changes(spark, sf_dir)),
     ):
         write_landing(snapshot, f"{landing}/{spec.name}", "LOAD")
         write_landing(changes, f"{landing}/{spec.name}", "change")
-    specs = [REPORTS.with_(buckets=_BUCKETS), ERRORS.with_(buckets=_BUCKETS)]
-    tables = run(spark, specs, landing, f"{work}/tables", f"{work}/checkpoints")
-    return scalars(tables["reports"].read())
+    specs = [spec.with_(buckets=_BUCKETS) for spec, *_ in _WHOLE_RUN.values()]
+    run(spark, specs, landing, f"{work}/tables", f"{work}/checkpoints", database=database)
+    parts = []
+    for name, (spec, _, _, *columns) in _WHOLE_RUN.items():
+        flat = scalars(spark.table(f"{database}.{spec.name}").drop(BUCKET))
+        texts = [F.col(c.strip('"')).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
+        parts.append(flat.select(F.lit(name).alias("collection"), "transact_seq", *texts))
+    return reduce(DataFrame.unionAll, parts)
 
 
 @query(sql.with_(sql.ACCESSES, sql.merged(sql.ACCESS, sql.ACCESS_KEY)), name="stream_changes")
@@ -133,7 +165,9 @@ def stream_access(spark, sf_dir):
 _MAPPING = {
     "id": "_id",
     "patient_id": "patient__id",
-    "ehr_id_hash": "sha256(concat_ws('|', _id, patient__id))",
+    # each part after its length, NULL as a mark: no two pairs give the same text
+    "ehr_id_hash": "CASE WHEN _id IS NOT NULL THEN sha256(length(_id) || ':' || _id || "
+    "CASE WHEN patient__id IS NULL THEN '-' ELSE length(patient__id) || ':' || patient__id END) END",
 }
 
 
@@ -184,17 +218,77 @@ def id_hash_mapping_merge(spark, sf_dir):
 )
 def latest_report(spark, sf_dir):
     """Asked of the catalog, as after a load."""
-    name = f"reports_{uuid.uuid4().hex}"
-    _loaded(spark, REPORTS, feeds.report_snapshot(spark, sf_dir)).register(name)
-    return scalars(newest_row(spark, name, "uploadTime", "_id", "patient__id"))
+    table = _loaded(spark, REPORTS, feeds.report_snapshot(spark, sf_dir))
+    return scalars(newest_row(spark, table.name, "uploadTime", "_id", "patient__id").drop(BUCKET))
+
+
+_HALVES = ("page_id % 2 = 0", "page_id % 2 = 1")
 
 
 @query(sql.with_(sql.ERRORS, sql.merged(sql.ERROR, "s._id = t._id")))
 def merge_catalog_table(spark, sf_dir):
-    """The target is a table of the catalog."""
-    name = f"errors_{uuid.uuid4().hex}"
-    _loaded(spark, ERRORS, feeds.error_snapshot(spark, sf_dir)).register(name)
-    return scalars(apply_changes(ERRORS, spark.table(name), feeds.error_changes(spark, sf_dir)))
+    """Two batches into a table of the catalog, which is then read by its name."""
+    name = f"landed.errors_{uuid.uuid4().hex}"
+    landing = landing_dir(spark, "catalog")
+    write_landing(feeds.error_snapshot(spark, sf_dir), f"{landing}/{ERRORS.name}", "LOAD")
+    spec = ERRORS.with_(buckets=_BUCKETS)
+    table = initial_load(spark, spec, landing, scratch_dir(spark, "table-catalog"), name=name)
+    for i, half in enumerate(_HALVES):
+        merge_into(spec, table, feeds.error_changes(spark, sf_dir, where=half), f"batch-{i}")
+    return scalars(spark.table(name).drop(BUCKET))
+
+
+_TYPED = {
+    "_orig_id": "o_orderkey::VARCHAR",
+    "transact_seq": "1::BIGINT",
+    "_id": "o_orderkey",
+    "status": "'old'",
+}
+_TYPED_NEW = {**_TYPED, "transact_seq": "2::BIGINT", "status": "o_orderstatus"}
+
+
+@query(
+    sql.with_(
+        {
+            "t": sql.select(_TYPED, f"orders WHERE {sql.ORDERS_BEFORE}"),
+            "s": sql.select({"Op": sql.ORDER_OP, **_TYPED_NEW}, "orders WHERE o_orderkey % 3 = 0"),
+        },
+        sql.merged(_TYPED, "s._id = t._id"),
+    )
+)
+def commit_key_type_differs(spark, sf_dir):
+    """The key is a number in the table and text in the changes: buckets go by the table's type."""
+    orders = feeds.table(spark, sf_dir, "orders").withColumn("_key", F.col("o_orderkey").cast("string"))
+    spec = CollectionSpec(
+        name="typed", doc_schema=record(_id=LONG, status=TEXT), change_schema=record(_id=TEXT, status=TEXT), buckets=_BUCKETS
+    )
+    old = to_doc({"_id": F.col("o_orderkey"), "status": F.lit("old")})
+    new = to_doc({"_id": F.col("_key"), "status": F.col("o_orderstatus")})
+    landing = landing_dir(spark, "typed")
+    before = feeds.envelope(orders.where(feeds.ORDERS_BEFORE), F.col("_key"), F.lit(1), F.lit(0), old)
+    write_landing(before, f"{landing}/typed", "LOAD")
+    table = initial_load(spark, spec, landing, scratch_dir(spark, "table-typed"))
+    changes = feeds.envelope(orders.where("o_orderkey % 3 = 0"), F.col("_key"), F.lit(2), F.lit(0), new, feeds.order_op())
+    merge_into(spec, table, changes, "text keys")
+    return table.read().select(*_TYPED)
+
+
+_WIDER = {**sql.error(1), "later": "CASE WHEN NOT (" + feeds.PAGE_OLD + ") THEN url END"}
+
+
+@query(sql.with_({}, sql.select(_WIDER, "pages")).removeprefix("WITH \n"))
+def register_after_widening(spark, sf_dir):
+    """A column comes in with a later batch; the table of that name has it, NULL in the old rows."""
+    table = _loaded(spark, ERRORS, feeds.error_snapshot(spark, sf_dir))
+    wider = ERRORS.with_(doc_schema=T.StructType([*ERRORS.doc_schema.fields, T.StructField("later", TEXT)]), buckets=_BUCKETS)
+    doc = F.from_json("_doc", "map<string,string>")
+    fresh = feeds.error_snapshot(spark, sf_dir, where=f"NOT ({feeds.PAGE_OLD})")
+    with_later = F.concat(F.expr("left(_doc, length(_doc) - 1)"), F.lit(',"later":'), F.to_json(F.array(doc["fileName"])).substr(2, 1 << 20))
+    text = F.regexp_replace(with_later, r"\]$", "}")
+    changes = fresh.select(F.lit("I").alias("Op"), "_id", "transact_seq", "transact_change_timestamp", text.alias("_doc"))
+    grown = table_for(spark, wider, table.path, table.name)
+    merge_into(wider, grown, changes, "wider")
+    return scalars(spark.table(table.name).drop(BUCKET))
 
 
 @query()
@@ -213,7 +307,8 @@ def register_table(spark, sf_dir):
 
 @query(sql.with_({"t": sql.ERRORS["t"]}, f"SELECT {sql.names(sql.ERROR)} FROM t"))
 def register_view(spark, sf_dir):
+    """A view over a loaded table: it shows the newest state without being made again."""
     table = _loaded(spark, ERRORS, feeds.error_snapshot(spark, sf_dir))
     name = f"errors_{uuid.uuid4().hex}"
-    table.register(name)
-    return scalars(spark.table(name))
+    spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {table.name}")
+    return scalars(spark.table(name).drop(BUCKET))

@@ -58,7 +58,7 @@ def unprocessed_rows(spark, sf_dir):
     return scalars(parsed).select(*_SCANNED)
 
 
-@query("SELECT 'second' AS kind, true AS some_files")
+@query(f"SELECT 'second' AS kind, count(*) AS documents FROM pages WHERE NOT ({feeds.PAGE_OLD})")
 def unprocessed_file_kinds(spark, sf_dir):
     folder, ledger = landing_dir(spark, "ledger"), scratch_dir(spark, "ledger")
     create_ledger(spark, ledger)
@@ -66,9 +66,9 @@ def unprocessed_file_kinds(spark, sf_dir):
     record_files(unprocessed_files(spark, folder, ledger), ledger, "2024-01-01")
     write_landing(feeds.error_changes(spark, sf_dir, where=f"NOT ({feeds.PAGE_OLD})"), folder, "second")
     kind = F.regexp_extract("path", "([a-z]+)-[^/]*$", 1)
-    return unprocessed_files(spark, folder, ledger).groupBy(kind.alias("kind")).agg(
-        (F.count(F.lit(1)) > 0).alias("some_files")
-    )
+    files = unprocessed_files(spark, folder, ledger)
+    rows = read_changes(spark, folder).withColumn("path", F.col("_metadata.file_path")).join(files, "path")
+    return rows.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("documents"))
 
 
 @query(sql.select(sql.EVENT_CHANGE, "events"), name="parse_docs")

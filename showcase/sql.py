@@ -19,19 +19,22 @@ def names(columns) -> str:
 
 
 def with_(ctes: dict[str, str], body: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes.items()) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({q})" for n, q in ctes.items()) + "\n" + body
 
 
 def merged(columns, same: str, *, t: str = "t", s: str = "s", insert_deletes: bool = True, newer: str = "true") -> str:
     """Merge of `s` into `t`; both have the columns, `s` also "Op"."""
-    hit_t = f"EXISTS (SELECT 1 FROM {s} s WHERE {same} AND {newer})"
-    hit_s = f"EXISTS (SELECT 1 FROM {t} t WHERE {same})"
-    stale = f"EXISTS (SELECT 1 FROM {t} t WHERE {same} AND NOT ({newer}))"
-    lone = "" if insert_deletes else " AND s.\"Op\" <> 'D'"
-    return (
-        f"SELECT {names(columns)} FROM {t} t WHERE NOT {hit_t} UNION ALL "
-        f"SELECT {names(columns)} FROM {s} s WHERE NOT (s.\"Op\" = 'D' AND {hit_s}) AND NOT {stale}{lone}"
-    )
+    kept = f"SELECT {_columns('t', columns)} FROM {t} t ANTI JOIN {s} s ON {same} AND {newer}"
+    # a delete that finds its row goes with it; others come in
+    deletes = f"SELECT s.* FROM {s} s ANTI JOIN {t} t ON {same} WHERE s.\"Op\" = 'D'" if insert_deletes else None
+    rest = f"SELECT s.* FROM {s} s WHERE s.\"Op\" <> 'D'"
+    live = rest if newer == "true" else f"SELECT s.* FROM ({rest}) s ANTI JOIN {t} t ON {same} AND NOT ({newer})"
+    added = " UNION ALL ".join(f"SELECT {_columns('s', columns)} FROM ({q}) s" for q in (live, deletes) if q)
+    return f"{kept} UNION ALL {added}"
+
+
+def _columns(side: str, columns) -> str:
+    return ", ".join(f'{side}."{n}"' for n in columns)
 
 
 # events

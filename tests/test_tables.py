@@ -1,15 +1,17 @@
 """Landing folders, stored tables, the run and the stream."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from showcase.feeds import write_landing
 from tidemark import (
+    BucketTable,
     CollectionSpec,
-    SlicedTable,
     align_to_schema,
+    drop_database,
     drop_table,
     dropped_fields,
     initial_load,
@@ -26,7 +28,8 @@ from tidemark import (
 )
 from tidemark.functions.docs import LONG, TEXT, list_of, record
 from tidemark.plans.collections import ACCESS, COLLECTIONS, ERRORS, REPORTS, UPLOADS
-from tidemark.plans.loads import commit_changes, table_for
+from tidemark.plans.loads import BROADCAST_BYTES, is_small, merge_into, table_for
+from tidemark.session import staged_bytes
 from tidemark.sources.envelope import envelope_schema
 from tidemark.sources.ledger import create_ledger
 
@@ -99,20 +102,19 @@ def test_load_then_run_twice(spark, place):
     table = run(spark, [SPEC], place["landing"], place["tables"], place["checkpoints"])["things"]
     expected = [("a", "x", 3, 3), ("a", "y", 1, 1), ("a", "z", 3, 3), ("c", "", 1, 1)]
     assert contents(table.read()) == expected
-    before = table.last_commit()
+    before = table.properties()["tidemark.batch"]
     run(spark, [SPEC], place["landing"], place["tables"], place["checkpoints"])
-    assert table.last_commit() == before, "nothing new, no commit"
+    assert table.properties()["tidemark.batch"] == before, "nothing new, no batch"
     land(spark, folder, [("D", "a", 4, None, doc("a", 4, "y"))], "c2")
     run(spark, [SPEC], place["landing"], place["tables"], place["checkpoints"])
     assert contents(table.read()) == [r for r in expected if r[1] != "y"]
-    assert contents(table.read(version=table.version(0))) == [("a", "x", 1, 1), ("a", "y", 1, 1), ("b", "x", 1, 1), ("c", "", 1, 1)]
 
 
 def test_replacing_children_through_the_stored_table(spark, place):
     spec = SPEC.with_(parents=("_orig_id",))
     snapshot(spark, place)
     table = initial_load(spark, spec, place["landing"], place["tables"])
-    commit_changes(spec, table, envelopes(spark, [("U", "a", 3, None, doc("a", 3, "z")), ("D", "b", 2, None, None)]), "1")
+    merge_into(spec, table, envelopes(spark, [("U", "a", 3, None, doc("a", 3, "z")), ("D", "b", 2, None, None)]), "1")
     assert contents(table.read()) == [("a", "z", 3, 3), ("c", "", 1, 1)]
 
 
@@ -133,39 +135,74 @@ def test_a_batch_is_committed_once_and_only_in_its_buckets(spark, place):
     snapshot(spark, place)
     table = initial_load(spark, SPEC, place["landing"], place["tables"])
     change = envelopes(spark, [("U", "b", 2, None, doc("b", 2, "x"))])
-    old = table.version().folders
-    assert commit_changes(SPEC, table, change, "batch-1")
-    assert not commit_changes(SPEC, table, change, "batch-1")
-    new = table.version()
-    assert new.number == 1
-    assert sum(old.get(b) != new.folders.get(b) for b in set(old) | set(new.folders)) == 1
+    paths = lambda: {r[0] for r in spark.table(table.name).select("_metadata.file_path").distinct().collect()}
+    old = paths()
+    assert merge_into(SPEC, table, change, "batch-1")
+    assert not merge_into(SPEC, table, change, "batch-1")
+    changed = {p.split("in_bucket=")[1].split("/")[0] for p in old ^ paths()}
+    assert len(changed) == 1
 
 
-def test_interrupted_commit_is_not_seen(spark, place):
+def test_interrupted_batch_is_finished_by_the_next(spark, place, monkeypatch):
     snapshot(spark, place)
     table = initial_load(spark, SPEC, place["landing"], place["tables"])
     before = contents(table.read())
     broken = table.read().withColumn("n", F.raise_error(F.lit("lost")).cast("long"))
     with pytest.raises(Exception, match="lost"):
-        table.commit(broken, table.read().limit(0), {0, 1, 2, 3}, "bad")
+        table.replace(broken, {0, 1, 2, 3}, "bad")
     assert contents(table.read()) == before and not table.has_batch("bad")
+    # the stage is written and noted, then the job dies
+    change = envelopes(spark, [("D", "b", 2, None, doc("b", 2, "x")), ("D", "none", 2, None, doc("none", 2, "x"))])
+    monkeypatch.setattr(BucketTable, "finish", lambda self: None)
+    merge_into(SPEC, table, change, "half")
+    assert contents(table.read()) == before
+    monkeypatch.undo()
+    assert not merge_into(SPEC, table, change, "half"), "what was staged is written, and the batch is not merged again"
+    assert contents(table.read()) == [("a", "x", 1, 1), ("a", "y", 1, 1), ("c", "", 1, 1), ("none", "x", 2, 2)]
+
+
+def test_rows_outside_the_touched_buckets_are_refused(spark, place):
+    snapshot(spark, place)
+    table = initial_load(spark, SPEC, place["landing"], place["tables"])
+    before = contents(table.read())
+    with pytest.raises(ValueError, match="does not touch"):
+        table.replace(table.read(), set(), "stray")
+    assert contents(table.read()) == before
+
+
+def test_files_do_not_pile_up(spark, place):
+    snapshot(spark, place)
+    table = initial_load(spark, SPEC, place["landing"], place["tables"])
+    there = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    for i in range(2, 7):
+        merge_into(SPEC, table, envelopes(spark, [("U", "b", i, None, doc("b", i, "x"))]), f"b{i}")
+    assert max(r["files"] for r in table.files().collect()) == 1
+    left = {d for d in os.listdir(spark.conf.get("spark.checkpoint.dir")) if d.startswith(("things-batch", "commit-"))}
+    assert left <= there, "staged batches are removed"
+
+
+def test_a_table_is_found_again_by_its_files(spark, place):
+    snapshot(spark, place)
+    table = initial_load(spark, SPEC, place["landing"], place["tables"])
+    before = contents(table.read())
+    drop_table(spark, table.name)
+    assert table.exists() and contents(table.read()) == before
 
 
 def test_emptied_table(spark, place):
     snapshot(spark, place)
     table = initial_load(spark, SPEC, place["landing"], place["tables"])
     nothing = table.read().limit(0)
-    table.commit(nothing, nothing, {0, 1, 2, 3}, "clear")
+    table.replace(nothing, {0, 1, 2, 3}, "clear")
     assert table.exists() and table.read().count() == 0 and table.read().columns == table.schema.names
-    with pytest.raises(ValueError):
-        SlicedTable(spark, place["tables"] + "/none", table.schema, ["_id"], 4).read()
+    assert not BucketTable(spark, "tide_none.none", place["tables"] + "/none", table.schema, ["_id"], 4).exists()
 
 
 def test_large_batches_take_the_shuffled_way(spark, place, monkeypatch):
-    monkeypatch.setattr("tidemark.plans.loads.BROADCAST_FILE_BYTES", 0)
+    monkeypatch.setattr("tidemark.plans.loads.BROADCAST_BYTES", 0)
     snapshot(spark, place)
     table = initial_load(spark, SPEC, place["landing"], place["tables"])
-    commit_changes(SPEC, table, envelopes(spark, [("D", "b", 2, None, doc("b", 2, "x")), ("U", "n", 2, None, doc("n", 2, "x"))]), "1")
+    merge_into(SPEC, table, envelopes(spark, [("D", "b", 2, None, doc("b", 2, "x")), ("U", "n", 2, None, doc("n", 2, "x"))]), "1")
     assert contents(table.read()) == [("a", "x", 1, 1), ("a", "y", 1, 1), ("c", "", 1, 1), ("n", "x", 2, 2)]
 
 
@@ -178,24 +215,43 @@ def test_stream_in_small_batches_with_archive(spark, place, tmp_path):
         land(spark, folder, [("U", "a", i, None, doc("a", i, "x"))], f"c{i}")
     stream_changes(spark, spec, folder, table, place["checkpoints"], files_per_batch=1, archive=str(tmp_path / "archive"), timeout=120)
     assert ("a", "x", 4, 4) in contents(table.read())
-    assert table.last_commit() >= 3
+    assert table.properties()["tidemark.batch"] >= "things-2", "a batch for each file"
 
 
-def test_catalog(spark, place):
+def test_a_stream_out_of_time_raises(spark, place, monkeypatch):
+    folder = f"{place['landing']}/things"
     snapshot(spark, place)
     table = initial_load(spark, SPEC, place["landing"], place["tables"])
-    table.register("tide_test.Things")
+    land(spark, folder, [("U", "a", 2, None, doc("a", 2, "x"))], "c")
+    monkeypatch.setattr("tidemark.plans.loads.merge_into", lambda *a: time.sleep(30))
+    with pytest.raises(TimeoutError):
+        stream_changes(spark, SPEC, folder, table, place["checkpoints"], timeout=1)
+    assert not spark.streams.active
+
+
+def test_a_small_file_of_much_text_is_not_broadcast(spark, tmp_path):
+    """Parents repeated over their children: 50 KB of file, 300 MB of text."""
+    wide = spark.range(6000).selectExpr("id % 4 AS parent", "id AS child", "repeat(string(id % 4), 50000) AS text")
+    wide.coalesce(1).write.parquet(str(tmp_path / "wide"))
+    staged = spark.read.parquet(str(tmp_path / "wide"))
+    assert staged_bytes(staged) < BROADCAST_BYTES and not is_small(staged)
+    assert is_small(staged.select("parent", "child"))
+
+
+def test_catalog(spark, place):
+    snapshot(spark, place)
+    table = initial_load(spark, SPEC, place["landing"], place["tables"], name="tide_test.Things")
     assert table_exists(spark, "tide_test.things")
-    assert contents(spark.table("tide_test.things")) == contents(table.read())
-    commit_changes(SPEC, table, envelopes(spark, [("D", "b", 2, None, doc("b", 2, "x"))]), "1")
-    table.register("tide_test.Things")
-    assert contents(spark.table("tide_test.things")) == contents(table.read())
+    merge_into(SPEC, table, envelopes(spark, [("D", "b", 2, None, doc("b", 2, "x"))]), "1")
+    assert contents(spark.table("tide_test.things")) == [("a", "x", 1, 1), ("a", "y", 1, 1), ("c", "", 1, 1)]
     path = place["tables"] + "-flat"
     table.read().write.parquet(path)
     register_parquet(spark, "tide_test.flat", path)
     register_parquet(spark, "tide_test.flat", path)
     assert spark.table("tide_test.flat").count() == table.read().count()
     assert not table_exists(spark, "tide_test.nothing")
+    drop_database(spark, "tide_test", cascade=True)
+    assert not spark.catalog.databaseExists("tide_test")
 
 
 def test_table_schemas(spark):
@@ -220,7 +276,7 @@ def test_empty_change_batch(spark, place):
     snapshot(spark, place)
     table = initial_load(spark, SPEC, place["landing"], place["tables"])
     before = contents(table.read())
-    commit_changes(SPEC, table, envelopes(spark, []), "empty")
+    merge_into(SPEC, table, envelopes(spark, []), "empty")
     assert contents(table.read()) == before
     assert table_for(spark, SPEC, place["tables"]).has_batch("empty")
 
@@ -242,7 +298,7 @@ def test_table_with_a_column_added_later(spark, place):
     wider = SPEC.with_(doc_schema=record(_id=TEXT, n=LONG, kids=list_of(k=TEXT), later=TEXT))
     table = table_for(spark, wider, place["tables"])
     change = '{"_id":"b","n":2,"later":"new","kids":[{"k":"x"}]}'
-    commit_changes(wider, table, envelopes(spark, [("U", "b", 2, None, change)]), "1")
+    merge_into(wider, table, envelopes(spark, [("U", "b", 2, None, change)]), "1")
     assert {(r["_id"], r["later"]) for r in table.read().collect()} == {("a", None), ("b", "new"), ("c", None)}
 
 

@@ -6,20 +6,29 @@ from tidemark.operators.idhash import hash_mapping_merge, id_hash_mapping
 from tidemark.operators.latest import keep_latest, max_seq_per_key
 from tidemark.operators.merge import merge, merge_parts, replace_children
 from tidemark.operators.parse import parse_docs, quarantine, unwrap_dates
-from tidemark.plans.loads import apply_changes, changes_to_rows, initial_load, run, snapshot_to_rows
+from tidemark.plans.loads import apply_changes, changes_to_rows, initial_load, merge_into, run, snapshot_to_rows
 from tidemark.plans.spec import CollectionSpec
 from tidemark.session import tune
 from tidemark.sources.envelope import read_changes, read_full_load
 from tidemark.sources.ledger import read_unprocessed, record_files, unprocessed_files
-from tidemark.sources.tables import SlicedTable, drop_table, newest_row, register_parquet, save_table, table_exists
+from tidemark.sources.tables import (
+    BucketTable,
+    drop_database,
+    drop_table,
+    newest_row,
+    register_parquet,
+    save_table,
+    table_exists,
+)
 from tidemark.streaming.changes import stream_changes
 
 __all__ = [
+    "BucketTable",
     "CollectionSpec",
-    "SlicedTable",
     "align_to_schema",
     "apply_changes",
     "changes_to_rows",
+    "drop_database",
     "drop_table",
     "dropped_fields",
     "flatten",
@@ -29,6 +38,7 @@ __all__ = [
     "keep_latest",
     "max_seq_per_key",
     "merge",
+    "merge_into",
     "merge_parts",
     "newest_row",
     "parse_docs",

@@ -14,25 +14,33 @@ def hashed(value: Column) -> Column:
     return F.when(value.isNotNull(), F.sha2(value, 256))
 
 
+def pair_text(first: Column, second: Column) -> Column:
+    """One text for a pair, a different one for each pair: each part comes after its length, NULL is a mark.
+
+    NULL where the first part is: a document without an id has no hash.
+    """
+    parts = [F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit("-")) for p in (first.cast("string"), second.cast("string"))]
+    return F.when(first.isNotNull(), F.concat(*parts))
+
+
 def id_hash_mapping(
-    rows: DataFrame,
-    id_column: str = "_id",
-    child_column: str = "patient__id",
-    lookup: DataFrame | None = None,
-    separator: str = "|",
+    rows: DataFrame, id_column: str = "_id", child_column: str = "patient__id", lookup: DataFrame | None = None
 ) -> DataFrame:
     """(id, patient_id, ehr_id_hash) of a curated table.
 
     The hashed text is made of the two ids, or comes from `lookup` (id, patient_id, value):
-    a joined table takes the place of a call per row.
+    a joined table takes the place of a call per row. A pair that the lookup has more than once raises.
     """
     ids = rows.select(col(id_column).alias("id"), col(child_column).alias("patient_id"))
     if lookup is None:
-        text = F.concat_ws(separator, "id", "patient_id")
-        return ids.withColumn("ehr_id_hash", hashed(text))
-    found = lookup.select("id", "patient_id", F.col("value").cast("string").alias("__text"))
-    joined = ids.join(found, ["id", "patient_id"], "left")
-    return joined.select("id", "patient_id", hashed(F.col("__text")).alias("ehr_id_hash"))
+        return ids.withColumn("ehr_id_hash", hashed(pair_text(F.col("id"), F.col("patient_id"))))
+    text = F.when(F.count("*") > 1, F.raise_error(F.lit("a pair of ids comes more than once in the lookup")).cast("string"))
+    found = lookup.groupBy("id", "patient_id").agg(text.otherwise(F.first(F.col("value").cast("string"))).alias("__text"))
+    # pairs with a NULL match nothing: they stay out of the join, where they would meet in one task
+    whole = F.col("id").isNotNull() & F.col("patient_id").isNotNull()
+    joined = ids.where(whole).join(found, ["id", "patient_id"], "left")
+    hashes = joined.select("id", "patient_id", hashed(F.col("__text")).alias("ehr_id_hash"))
+    return hashes.union(ids.where(~whole).withColumn("ehr_id_hash", F.lit(None).cast("string")))
 
 
 def hash_mapping_merge(
@@ -40,7 +48,6 @@ def hash_mapping_merge(
     changed: DataFrame,
     id_column: str = "_id",
     child_column: str = "patient__id",
-    separator: str = "|",
     rehash: bool = False,
     **options,
 ) -> DataFrame:
@@ -48,7 +55,7 @@ def hash_mapping_merge(
 
     `rehash` hashes the hash once more, for mappings whose changes were stored that way.
     """
-    value = hashed(F.concat_ws(separator, col(id_column), col(child_column)))
+    value = hashed(pair_text(col(id_column), col(child_column)))
     if rehash:
         value = hashed(value)
     return merge(

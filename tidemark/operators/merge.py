@@ -39,11 +39,6 @@ Key = str | tuple[str, str]
 # gives the same value when a lost task is run again.
 NULL_SPREAD = 1024
 
-# Source keys with this many rows or more are left out of the shuffle that updates the
-# target: were one of them matched, the merge would be refused. There can be no more of them
-# than source rows divided by this, so they are broadcast.
-HOT_ROWS = 1_000_000
-
 
 def _pairs(keys: Sequence[Key]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in keys]
@@ -131,12 +126,13 @@ class _Sides:
         row per task."""
         return self.matchable().groupBy(*self.s_keys).agg(F.count(F.lit(1)).alias("__rows"))
 
-    def without_hot_keys(self, counts: DataFrame) -> DataFrame:
-        """`matchable`, less the keys repeated too often to be shuffled."""
-        hot = [f"__h{i}" for i in range(len(self.s_keys))]
-        listed = counts.where(f"__rows >= {HOT_ROWS}").selectExpr(*[f"{k} AS {h}" for k, h in zip(self.s_keys, hot)])
-        same = F.expr(" AND ".join(f"{a} <=> {b}" for a, b in zip(self.s_keys, hot)))
-        return self.matchable().join(F.broadcast(listed), same, "left_anti")
+    def single(self, counts: DataFrame) -> DataFrame:
+        """`matchable` rows whose key comes once. Were a repeated key matched, the merge would be
+        refused, so its rows need not be joined with the target, however many they are."""
+        other = [f"__h{i}" for i in range(len(self.s_keys))]
+        listed = counts.where("__rows > 1").selectExpr(*[f"{k} AS {h}" for k, h in zip(self.s_keys, other)])
+        same = F.expr(" AND ".join(f"{a} <=> {b}" for a, b in zip(self.s_keys, other)))
+        return self.matchable().join(listed, same, "left_anti")
 
     def matched_keys(self, keys: DataFrame) -> DataFrame:
         """Keys that both sides have, each once."""
@@ -195,10 +191,10 @@ def merge_parts(
         allowed = F.lit(True)
     else:
         counts = sides.key_counts()
-        one = sides.matchable() if small_source else sides.without_hot_keys(counts)
+        one = sides.matchable() if small_source else sides.single(counts)
         found = sides.matched_keys(counts.select(*sides.s_keys))
         candidates = sides.s
-        # Repeated keys are mostly none at all, and then this reads no target rows.
+        # A check of its own: it reads the key columns of the target, and no others.
         repeated = counts.where("__rows > 1").select(*sides.s_keys)
         clashes = sides.matched_keys(repeated).agg(F.count(F.lit(1))).scalar()
         text = "several source rows match one target row: reduce the source, or take the latest on duplicates"

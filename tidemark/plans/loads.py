@@ -12,13 +12,12 @@ from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import merge_parts, replace_children
 from tidemark.operators.parse import parse_docs, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
-from tidemark.session import scratch_dir, stage, staged_bytes
+from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
 from tidemark.sources.envelope import LOAD_PREFIX, has_files, read_full_load
-from tidemark.sources.tables import SlicedTable
+from tidemark.sources.tables import BucketTable, default_name
 
-# A staged batch of at most this many file bytes is broadcast to the merge; files are
-# compressed, so this is some hundred megabytes in memory. A larger one is shuffled.
-BROADCAST_FILE_BYTES = 32 * 1024 * 1024
+# A staged batch is broadcast to the merge up to this many bytes in memory; a larger one is shuffled.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def snapshot_to_rows(spec: CollectionSpec, envelopes: DataFrame) -> DataFrame:
@@ -52,39 +51,40 @@ def merge_rows(
 
 
 def is_small(staged: DataFrame) -> bool:
-    """Whether a staged frame may be broadcast."""
-    return staged_bytes(staged) <= BROADCAST_FILE_BYTES
+    """Whether a staged frame may be broadcast: by its size in memory. Files larger than the bound
+    are not even measured, as rows are never smaller than their files."""
+    return staged_bytes(staged) <= BROADCAST_BYTES and memory_bytes(staged) <= BROADCAST_BYTES
 
 
-def staged_batch(spec: CollectionSpec, changes: DataFrame) -> tuple[DataFrame, bool]:
-    """The reduced batch in the shared folder, and whether it is small enough to broadcast.
+def staged_batch(spec: CollectionSpec, changes: DataFrame) -> tuple[DataFrame, bool, str]:
+    """The reduced batch in the shared folder, whether it is small enough to broadcast, and the folder.
 
     A merge reads its source several times; staged, it is parsed once, and its true size
     decides between broadcast and shuffle.
     """
     path = scratch_dir(changes.sparkSession, f"{spec.name}-batch")
     rows = stage(changes_to_rows(spec, changes), path=path)
-    return rows, is_small(rows)
+    return rows, is_small(rows), path
 
 
 def apply_changes(spec: CollectionSpec, target: DataFrame, changes: DataFrame) -> DataFrame:
     """The table after a batch of changes. The batch is staged now, the merge is lazy."""
-    rows, small = staged_batch(spec, changes)
+    rows, small, _ = staged_batch(spec, changes)
     kept, added = merge_rows(spec, target, rows, small_source=small)
     return kept.unionByName(added)
 
 
-def table_for(spark: SparkSession, spec: CollectionSpec, path: str) -> SlicedTable:
-    return SlicedTable(spark, path, spec.table_schema(), spec.bucket_keys, spec.buckets)
+def table_for(spark: SparkSession, spec: CollectionSpec, path: str, name: str | None = None) -> BucketTable:
+    return BucketTable(spark, name or default_name(spec.name, path), path, spec.table_schema(), spec.bucket_keys, spec.buckets)
 
 
 def initial_load(
-    spark: SparkSession, spec: CollectionSpec, landing: str, path: str, reload: bool = False
-) -> SlicedTable | None:
+    spark: SparkSession, spec: CollectionSpec, landing: str, path: str, reload: bool = False, name: str | None = None
+) -> BucketTable | None:
     """Create the table from the snapshot files; a table that exists is left alone unless
     `reload`. Without a snapshot file there is nothing to do, and no table.
     """
-    table = table_for(spark, spec, path)
+    table = table_for(spark, spec, path, name)
     if table.exists() and not reload:
         return table
     if not has_files(spark, f"{landing}/{spec.name}", f"{LOAD_PREFIX}*.parquet"):
@@ -94,21 +94,23 @@ def initial_load(
     return table
 
 
-def commit_changes(spec: CollectionSpec, table: SlicedTable, changes: DataFrame, batch: str) -> bool:
-    """Merge one batch into the stored table, once: a batch already committed is skipped.
+def merge_into(spec: CollectionSpec, table: BucketTable, changes: DataFrame, batch: str) -> bool:
+    """Merge one batch into the catalog table, once: a batch that is in already is skipped.
 
-    Only the buckets its keys fall in are read and written.
+    Only the buckets its keys fall in are read and written. Columns that the collection has gained are added.
     """
-    last, done = table.state(batch)
-    if last is None:
+    if not table.exists():
         raise ValueError(f"changes for {spec.name!r}, but its full load never came: no table at {table.path}")
-    if done:
+    table.finish()
+    if table.has_batch(batch):
         return False
-    version = table.version(last)
-    rows, small = staged_batch(spec, changes)
+    table.widen()
+    rows, small, path = staged_batch(spec, changes)
+    rows = table.in_table_types(rows)
     touched = table.buckets_of(rows)
-    kept, added = merge_rows(spec, table.read(touched, version), rows, small_source=small)
-    table.commit(kept, added, touched, batch, kept_in_place=small, version=version)
+    kept, added = merge_rows(spec, table.read(touched), rows, small_source=small)
+    table.replace(kept.unionByName(added), touched, batch)
+    remove(table.spark, path)
     return True
 
 
@@ -118,20 +120,20 @@ def run(
     landing: str,
     tables: str,
     checkpoints: str,
-) -> dict[str, SlicedTable]:
+    database: str | None = None,
+) -> dict[str, BucketTable]:
     """The daily run: for each collection the full load if it is due, then all change files
-    that no earlier run has taken. Returns the tables by collection name.
+    that no earlier run has taken. Returns the tables by collection name; with a `database` they are
+    its tables of that name.
     """
     from tidemark.streaming.changes import stream_changes
 
     done = {}
     for spec in specs:
-        source = f"{landing}/{spec.name}"
-        table = initial_load(spark, spec, landing, f"{tables}/{spec.name}") or table_for(
-            spark, spec, f"{tables}/{spec.name}"
-        )
+        source, path = f"{landing}/{spec.name}", f"{tables}/{spec.name}"
+        name = f"{database}.{spec.name}" if database else None
+        table = initial_load(spark, spec, landing, path, name=name) or table_for(spark, spec, path, name)
         if has_files(spark, source):
             stream_changes(spark, spec, source, table, f"{checkpoints}/{spec.name}")
         done[spec.name] = table
     return done
-

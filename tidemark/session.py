@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.columns import quote
 
 # Runtime settings the operators count on; a cluster may set them higher or lower.
 SETTINGS = {
@@ -35,7 +39,7 @@ def scratch_root(spark: SparkSession) -> str:
     if root:
         return root
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\[\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
@@ -60,6 +64,28 @@ def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a staged folder that nothing needs any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """Bytes of the rows in memory: measured text and nested values, 16 for each other value.
+
+    Files say nothing about this: parquet keeps a text that many rows repeat only once.
+    """
+    wide = [f for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    measured = [
+        f"coalesce(octet_length({quote(f.name)}), 0)"
+        if isinstance(f.dataType, (T.StringType, T.BinaryType))
+        else f"coalesce(octet_length(to_json(struct({quote(f.name)}))), 0)"
+        for f in wide
+    ]
+    each = " + ".join([*measured, str(16 * len(df.schema))])
+    return df.selectExpr(f"coalesce(sum({each}), 0)").first()[0]
+
+
 def staged_bytes(staged: DataFrame) -> int:
     """File bytes of a staged frame, from file metadata; one number reaches the driver."""
     files = staged.select("_metadata.file_path", "_metadata.file_size").distinct()

@@ -1,191 +1,169 @@
-"""Curated tables: parquet cut into buckets, and catalog entries.
-
-A merge cannot overwrite the files it reads, and rewriting a whole large table for a small
-batch is waste. So a commit writes the touched buckets only, into a folder of its own,
-`data/in_commit=<commit>-<token>/in_bucket=<bucket>`, and then `heads/commit=<n>`, which
-names the folder of every bucket. The heads are the last step and one file, so readers see
-the table before the commit or after it. A commit that failed leaves a folder that nothing
-points at. There must be one writer at a time. Folders of old commits are not removed.
+"""Curated tables: catalog tables of parquet files, partitioned by a bucket of the key.
+
+A merge writes the partitions of the touched buckets only. It cannot overwrite files it reads, so its result is
+staged first and noted as pending in the table's properties; then the partitions are overwritten from the stage.
+If that is cut short, the next use of the table overwrites them again from the same stage, so a batch acts once.
+One writer at a time. The properties live in the catalog: use one that outlasts the session.
 """
 
 from __future__ import annotations
 
-import uuid
+import json
+import zlib
 from collections.abc import Collection, Sequence
-from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import bucket_of, names, quote
-
-# A row per bucket with rows, and one with bucket -1 that marks the commit itself.
-HEADS = T.StructType(
-    [
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("folder", T.StringType()),
-        T.StructField("batch", T.StringType()),
-        T.StructField("commit", T.IntegerType()),
-    ]
-)
-MARK = -1
-
+from tidemark.functions.columns import bucket_of, col, names, quote
+from tidemark.session import remove, scratch_dir
+from tidemark.sources.envelope import has_files
 
-@dataclass(frozen=True)
-class Version:
-    """A commit: its number, and the folder of each bucket (never more than the buckets)."""
+BUCKET = "in_bucket"
+#: Table properties: the last batch that is in, and the one that is being written.
+BATCH, PENDING = "tidemark.batch", "tidemark.pending"
 
-    number: int
-    folders: dict[int, str]
 
+class BucketTable:
+    """`name` in the catalog, files under `path`, rows of `schema` in `buckets` buckets of `keys`."""
 
-class SlicedTable:
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int
+        self, spark: SparkSession, name: str, path: str, schema: T.StructType, keys: Sequence[str], buckets: int
     ) -> None:
         self.spark = spark
+        self.name = ".".join(quote(part.strip("`")) for part in name.split("."))
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
         self.buckets = buckets
 
-    @property
-    def data_path(self) -> str:
-        return f"{self.path}/data"
-
-    @property
-    def heads_path(self) -> str:
-        return f"{self.path}/heads"
+    def exists(self) -> bool:
+        """Whether the table is there. Files that the catalog does not know (a new session of a catalog in
+        memory) are entered into it."""
+        if table_exists(self.spark, self.name):
+            return True
+        if not has_files(self.spark, self.path):
+            return False
+        create_database_of(self.spark, self.name)
+        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in [*self.schema, T.StructField(BUCKET, T.IntegerType())])
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY ({BUCKET}) LOCATION '{self.path}'")
+        self.spark.sql(f"MSCK REPAIR TABLE {self.name}")
+        return True
+
+    def create(self, df: DataFrame) -> None:
+        """The table from these rows, in place of one that may be there."""
+        create_database_of(self.spark, self.name)
+        rows = _spread_out(self._sliced(df)).write.mode("overwrite").format("parquet").partitionBy(BUCKET)
+        rows.option("path", self.path).saveAsTable(self.name)
+
+    def read(self, buckets: Collection[int] | None = None) -> DataFrame:
+        """The table, or only its rows in the given buckets: other partitions are not listed or opened."""
+        rows = self.spark.table(self.name)
+        if buckets is not None:
+            rows = rows.where(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False))
+        return rows.select(*names(self.schema.names))
+
+    def widen(self) -> list[str]:
+        """Adds the columns of `schema` that the stored table does not have; old rows have NULL in them."""
+        there = set(self.spark.table(self.name).columns)
+        new = [f for f in self.schema if f.name not in there]
+        if new:
+            columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
+        return [f.name for f in new]
+
+    def in_table_types(self, rows: DataFrame) -> DataFrame:
+        """Columns that the table has too, in its types: a key must fall into the bucket it is stored in."""
+        types = {f.name: f.dataType for f in self.schema}
+        return rows.select(*[col(c).cast(types[c]).alias(c) if c in types else col(c) for c in rows.columns])
 
-    def _marks(self) -> DataFrame | None:
-        """One row per commit."""
+    def buckets_of(self, rows: DataFrame) -> set[int]:
+        """Buckets of the rows' keys: at most `buckets` numbers reach the driver."""
+        keys = self.in_table_types(rows.select(*names(self.keys)))
+        return {r[0] for r in keys.select(bucket_of(self.keys, self.buckets)).distinct().collect()}
+
+    def replace(self, rows: DataFrame, touched: Collection[int], batch: str) -> None:
+        """Puts `rows` in place of all rows of the touched buckets, as this batch."""
+        path = scratch_dir(self.spark, "commit")
+        self._sliced(rows).write.mode("errorifexists").parquet(path)
+        staged = self.spark.read.parquet(path)
+        stray = [r[0] for r in staged.select(BUCKET).distinct().collect() if r[0] not in touched]
+        if stray:
+            remove(self.spark, path)
+            raise ValueError(f"rows of buckets {sorted(stray)}, which the batch does not touch")
+        self._set({PENDING: json.dumps({"batch": batch, "path": path, "touched": sorted(touched)})})
+        self.finish()
+
+    def finish(self) -> None:
+        """Writes what is staged and not yet in the table; usually nothing."""
+        text = self.properties().get(PENDING)
+        if not text:
+            return
+        pending = json.loads(text)
+        staged = self.spark.read.parquet(pending["path"])
+        filled = {r[0] for r in staged.select(BUCKET).distinct().collect()}
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
         try:
-            heads = self.spark.read.schema(HEADS).parquet(self.heads_path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        return heads.where(F.col("bucket") == MARK)
-
-    def state(self, batch: str | None = None) -> tuple[int | None, bool]:
-        """Number of the last commit (None: no table), and whether the batch was committed."""
-        marks = self._marks()
-        if marks is None:
-            return None, False
-        row = marks.agg(F.max("commit"), F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False))).first()
-        return row[0], row[1]
-
-    def last_commit(self) -> int | None:
-        return self.state()[0]
-
-    def exists(self) -> bool:
-        return self.last_commit() is not None
+            if filled:
+                _spread_out(staged).select(*names(self.spark.table(self.name).columns)).write.mode("overwrite").insertInto(self.name)
+        finally:
+            self.spark.conf.set(mode, before)
+        stored = {int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+        for bucket in stored & set(pending["touched"]) - filled:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.spark.table(self.name).schema if f.name != BUCKET)
+            empty = f"SELECT {nothing} WHERE false"
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({BUCKET} = {bucket}) {empty}")
+        self._set({BATCH: pending["batch"], PENDING: ""})
+        remove(self.spark, pending["path"])
 
     def has_batch(self, batch: str) -> bool:
-        return self.state(batch)[1]
-
-    def version(self, commit: int | None = None) -> Version:
-        commit = self.last_commit() if commit is None else commit
-        if commit is None:
-            raise ValueError(f"no table at {self.path}")
-        heads = self.spark.read.schema(HEADS).parquet(self.heads_path)
-        rows = heads.where((F.col("commit") == commit) & (F.col("bucket") != MARK)).select("bucket", "folder").collect()
-        return Version(commit, {r["bucket"]: r["folder"] for r in rows})
-
-    def read(self, buckets: Collection[int] | None = None, version: Version | None = None) -> DataFrame:
-        """The table, or only its rows in the given buckets.
-
-        The scan is given the folders in use; it lists no others, however long the history,
-        and the planner knows the size of just these.
-        """
-        folders = (version or self.version()).folders
-        chosen = [f"{self.path}/{f}" for b, f in sorted(folders.items()) if buckets is None or b in buckets]
-        if not chosen:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*chosen)
+        """Whether this batch was the last one to go in; batches come one after the other."""
+        return self.properties().get(BATCH) == batch
 
-    def buckets_of(self, rows: DataFrame) -> set[int]:
-        """Buckets of the rows' keys: at most `buckets` numbers reach the driver."""
-        return {r[0] for r in rows.select(bucket_of(self.keys, self.buckets)).distinct().collect()}
-
-    def create(self, df: DataFrame, batch: str = "full load") -> int:
-        """First commit, or a reload: every bucket is written anew."""
-        last = self.last_commit()
-        return self._commit([_spread_out(self._sliced(df))], 0 if last is None else last + 1, {}, batch)
-
-    def commit(
-        self,
-        kept: DataFrame,
-        added: DataFrame,
-        touched: Collection[int],
-        batch: str,
-        kept_in_place: bool = False,
-        version: Version | None = None,
-    ) -> int:
-        """Write the touched buckets anew, on top of `version` (the one that was read; default
-        the newest). `kept_in_place` says that the kept rows come out
-        of their scan tasks without a shuffle: they are grouped by bucket already and are
-        written as they come, while the others are first brought together by bucket.
-        """
-        kept, added = self._sliced(kept), self._sliced(added)
-        parts = [kept, _spread_out(added)] if kept_in_place else [_spread_out(kept.unionByName(added))]
-        version = version or self.version()
-        untouched = {b: f for b, f in version.folders.items() if b not in touched}
-        return self._commit(parts, version.number + 1, untouched, batch)
+    def properties(self) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+
+    def _set(self, values: dict[str, str]) -> None:
+        text = ", ".join(f"'{k}' = '{_escaped(v)}'" for k, v in values.items())
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({text})")
 
     def _sliced(self, df: DataFrame) -> DataFrame:
-        return df.select(*names(self.schema.names), bucket_of(self.keys, self.buckets).alias("in_bucket"))
-
-    def _commit(self, parts: Sequence[DataFrame], number: int, untouched: dict[int, str], batch: str) -> int:
-        folder = f"data/in_commit={number}-{uuid.uuid4().hex[:8]}"
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        rows.write.mode("errorifexists").partitionBy("in_bucket").parquet(f"{self.path}/{folder}")
-        heads = untouched | {b: f"{folder}/in_bucket={b}" for b in self._written(folder)}
-        lines = [(MARK, None, batch)] + [(b, f, None) for b, f in sorted(heads.items())]
-        # One file, so that it appears whole or not at all.
-        self.spark.createDataFrame(lines, T.StructType(HEADS.fields[:3])).coalesce(1).write.mode(
-            "errorifexists"
-        ).parquet(f"{self.heads_path}/commit={number}")
-        return number
-
-    def _written(self, folder: str) -> list[int]:
-        """Buckets that have rows in a commit's folder, from its file names."""
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .load(f"{self.path}/{folder}")
-            .select(F.regexp_extract("path", "/in_bucket=([0-9]+)/[^/]*$", 1).cast("int").alias("bucket"))
-        )
-        return [r["bucket"] for r in files.where("bucket IS NOT NULL").distinct().collect()]
-
-    def register(self, name: str) -> None:
-        """Catalog view pinned to the newest commit; replacing the view is one catalog step.
-
-        The heads prune the scan to the folders in use when the view is read.
-        """
-        columns = ", ".join(f"d.{c}" for c in names(self.schema.names))
-        create_database_of(self.spark, name)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.{quote(self.data_path)} d "
-            "LEFT SEMI JOIN (SELECT bucket, regexp_extract(folder, 'in_commit=([^/]*)/', 1) AS made "
-            f"FROM parquet.{quote(self.heads_path)} WHERE commit = {self.last_commit()}) h "
-            "ON d.in_bucket = h.bucket AND d.in_commit = h.made"
-        )
+        rows = self.in_table_types(df).select(*names(self.schema.names))
+        return rows.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+
+    def files(self) -> DataFrame:
+        """`in_bucket`, `files`, `bytes` of the stored buckets."""
+        file = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_size"))
+        listed = self.spark.table(self.name).select(BUCKET, file.alias("f")).distinct()
+        return listed.groupBy(BUCKET).agg(F.count("*").alias("files"), F.sum("f.file_size").alias("bytes"))
+
+
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def _spread_out(df: DataFrame) -> DataFrame:
     """Rows together by bucket, with a bucket too large for one task split over several."""
-    return df.hint("rebalance", "in_bucket")
+    return df.hint("rebalance", BUCKET)
+
+
+def default_name(collection: str, path: str) -> str:
+    """A catalog name for a table that is given by its path only."""
+    plain = "".join(c if c.isalnum() else "_" for c in collection)
+    return f"{plain}_{zlib.crc32(path.rstrip('/').encode()):08x}"
 
 
 def create_database_of(spark: SparkSession, name: str) -> None:
     if "." in name:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(name.rsplit('.', 1)[0])}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+
+
+def drop_database(spark: SparkSession, name: str, cascade: bool = False) -> None:
+    """A database with tables in it is only dropped with `cascade`."""
+    spark.sql(f"DROP DATABASE IF EXISTS {quote(name)}" + " CASCADE" * cascade)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.spec import CollectionSpec
 from tidemark.sources.envelope import envelope_schema, is_change_file
-from tidemark.sources.tables import SlicedTable
+from tidemark.sources.tables import BucketTable
 
 
 def change_stream(
@@ -29,21 +29,22 @@ def stream_changes(
     spark: SparkSession,
     spec: CollectionSpec,
     landing: str,
-    table: SlicedTable,
+    table: BucketTable,
     checkpoint: str,
     files_per_batch: int | None = None,
     archive: str | None = None,
     timeout: int | None = None,
-) -> SlicedTable:
+) -> BucketTable:
     """Merge every change file not taken yet, then stop.
 
     The checkpoint remembers the files. A batch that ran but was not recorded is run
-    again with the same number, and the table skips a number it has committed.
+    again with the same number, and the table skips a number that is in. With a `timeout`
+    (seconds) that is not enough, the stream is stopped and TimeoutError raised.
     """
-    from tidemark.plans.loads import commit_changes
+    from tidemark.plans.loads import merge_into
 
     def take(batch: DataFrame, number: int) -> None:
-        commit_changes(spec, table, batch, f"{spec.name}-{number}")
+        merge_into(spec, table, batch, f"{spec.name}-{number}")
 
     query = (
         change_stream(spark, spec, landing, files_per_batch, archive)
@@ -52,5 +53,9 @@ def stream_changes(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout) if timeout else query.awaitTermination()
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
+        query.stop()
+        raise TimeoutError(f"changes of {spec.name!r} not all merged after {timeout} s; the next run goes on from there")
     return table
