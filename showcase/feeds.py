@@ -269,10 +269,12 @@ def upload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # conversations: wrapped ids, an array whose columns get dotted names
 
 
-def access_docs(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
-    """Version 1 has the user's turns only; a part with a system turn is deleted in version 2."""
+def access_docs(spark: SparkSession, sf_dir: str, version: int, turns: int = TURNS_PER_DOC) -> DataFrame:
+    """A document for each conversation and each `turns` of its turns, keyed by both, whatever its length.
+
+    Version 1 has the user's turns only; a part with a system turn is deleted in version 2."""
     turns = table(spark, sf_dir, "conversations").withColumn(
-        "part", F.concat_ws("-", F.col("conv_id"), F.floor(F.col("turn") / TURNS_PER_DOC))
+        "part", F.concat_ws("-", F.col("conv_id"), F.floor(F.col("turn") / turns))
     )
     entry = F.struct(
         F.col("role").alias("audit"),

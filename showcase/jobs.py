@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,25 +11,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from showcase import feeds, sql
-from showcase.feeds import landing_dir, scalars, write_landing
+from showcase.feeds import EVENT_SPEC, landing_dir, scalars, write_landing
 from showcase.registry import query
 from tidemark import (
     CollectionSpec,
     apply_changes,
+    drop_database,
     hash_mapping_merge,
     id_hash_mapping,
     initial_load,
     merge_into,
     newest_row,
+    read_changes,
+    record_files,
     register_parquet,
     run,
+    save_table,
     snapshot_to_rows,
     stream_changes,
+    table_exists,
+    unprocessed_files,
 )
 from tidemark.functions.docs import LONG, TEXT, record, to_doc
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS, UPLOADS
-from tidemark.plans.loads import changes_to_rows, table_for
-from tidemark.session import scratch_dir
+from tidemark.plans.loads import bad_documents, changes_to_rows, table_for
+from tidemark.session import scratch_dir, stage
+from tidemark.sources.ledger import create_ledger, read_ledger
 from tidemark.sources.tables import BUCKET
 
 REPORT_ROWS = {n: sql.REPORTS[n] for n in ("lines", "t")}
@@ -312,3 +320,83 @@ def register_view(spark, sf_dir):
     name = f"errors_{uuid.uuid4().hex}"
     spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {table.name}")
     return scalars(spark.table(name).drop(BUCKET))
+
+
+@query(f"SELECT 'there' AS kind, true AS found, count(*) AS n FROM pages UNION ALL SELECT 'not there', false, count(*) FROM pages WHERE {feeds.PAGE_OLD}")
+def table_lookup(spark, sf_dir):
+    """A managed table is saved and found, another one is not; a database goes with its tables."""
+    database = f"lookup_{uuid.uuid4().hex}"
+    pages = feeds.table(spark, sf_dir, "pages")
+    save_table(pages.select("page_id"), f"{database}.there")
+    there, other = table_exists(spark, f"{database}.There"), table_exists(spark, f"{database}.other")
+    counted = stage(spark.table(f"{database}.there").agg(F.count("*").alias("n")))
+    drop_database(spark, database, cascade=True)
+    found = counted.select(F.lit("there").alias("kind"), F.lit(there).alias("found"), "n")
+    rest = pages.where(feeds.PAGE_OLD).agg(F.count("*").alias("n"))
+    return found.union(rest.select(F.lit("not there").alias("kind"), F.lit(other).alias("found"), "n"))
+
+
+@query(f"SELECT page_id, url FROM pages WHERE {feeds.PAGE_OLD}", name="save_table")
+def save_managed(spark, sf_dir):
+    name = f"saved_{uuid.uuid4().hex}"
+    save_table(feeds.table(spark, sf_dir, "pages").where(feeds.PAGE_OLD).select("page_id", "url"), name)
+    return spark.table(name)
+
+
+@query("SELECT true AS today, count(*) AS documents FROM pages")
+def ledger_run_date(spark, sf_dir):
+    """Files are recorded under the day of the run, in UTC."""
+    folder, ledger = landing_dir(spark, "dated"), scratch_dir(spark, "ledger")
+    create_ledger(spark, ledger)
+    write_landing(feeds.error_changes(spark, sf_dir), folder, "change")
+    first = datetime.now(timezone.utc).date()
+    record_files(unprocessed_files(spark, folder, ledger), ledger)
+    days = [first, datetime.now(timezone.utc).date()]
+    rows = read_changes(spark, folder).withColumn("path", F.col("_metadata.file_path"))
+    dated = rows.join(read_ledger(spark, ledger), "path")
+    return dated.groupBy(F.col("run_date").isin(days).alias("today")).agg(F.count("*").alias("documents"))
+
+
+_LATE = {
+    "all_newest": f"SELECT * FROM {sql.newest_events()}",
+}
+
+
+@query(sql.with_(_LATE, sql.select(sql.EVENT, f"all_newest WHERE {sql.EVENT_OP} <> 'D'")))
+def merge_seq_guard_late_update(spark, sf_dir):
+    """The batches come newest first; what was deleted later stays deleted."""
+    spec = EVENT_SPEC.with_(options={"seq_guard": "transact_seq", "insert_deletes": False}, buckets=_BUCKETS)
+    landing = landing_dir(spark, "late")
+    none = feeds.event_feed(spark, sf_dir, "false").drop("Op")
+    write_landing(none, f"{landing}/{spec.name}", "LOAD")
+    table = initial_load(spark, spec, landing, scratch_dir(spark, "table-late"))
+    for i, part in enumerate((2, 1, 0)):
+        merge_into(spec, table, feeds.event_feed(spark, sf_dir, f"event_id % 3 = {part}"), f"part-{i}")
+    return scalars(table.read())
+
+
+_SIDES = {
+    "s": sql.ERRORS["s"],
+    "t": sql.ERRORS["t"],
+    "good": "SELECT * FROM s WHERE _id IS NOT NULL",
+    "bad": "SELECT _orig_id, transact_seq FROM s WHERE _id IS NULL",
+}
+_MAIN = sql.merged(sql.ERROR, "s._id = t._id", s="good")
+
+
+@query(
+    sql.with_(
+        _SIDES,
+        f"SELECT 'table' AS side, _orig_id, transact_seq FROM ({_MAIN}) m UNION ALL SELECT 'bad', _orig_id, transact_seq FROM bad",
+    )
+)
+def run_quarantine(spark, sf_dir):
+    """Documents that cannot be read go to the side table; sent again, they add nothing."""
+    spec = ERRORS.with_(buckets=_BUCKETS, keep_bad=True)
+    table = _loaded(spark, ERRORS, feeds.error_snapshot(spark, sf_dir))
+    merge_into(spec, table, feeds.error_changes(spark, sf_dir), "first")
+    again = feeds.error_changes(spark, sf_dir).where(F.col("_doc").startswith("{{"))
+    merge_into(spec, table, again, "again")
+    main = scalars(table.read()).select(F.lit("table").alias("side"), "_orig_id", "transact_seq")
+    bad = bad_documents(spec, table).read().select(F.lit("bad").alias("side"), F.col("_id").alias("_orig_id"), "transact_seq")
+    return main.union(bad)

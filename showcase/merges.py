@@ -58,6 +58,14 @@ def _reports(spark, sf_dir):
     return target, changes_to_rows(REPORTS, feeds.report_changes(spark, sf_dir))
 
 
+@query(sql.with_(_EVENTS, sql.merged(sql.EVENT, _SAME_ID)))
+def merge_null_op(spark, sf_dir):
+    """A change without an operation code is an upsert."""
+    target = _event_table(spark, sf_dir, feeds.EVENTS_BEFORE)
+    source = _event_rows(spark, sf_dir, feeds.EVENTS_SINCE)
+    return scalars(merge(target, source.withColumn("Op", F.expr("nullif(Op, 'U')")), ["_id"]))
+
+
 @query(sql.with_(sql.REPORTS, sql.merged(sql.REPORT, sql.REPORT_KEY)))
 def merge_two_key(spark, sf_dir):
     target, source = _reports(spark, sf_dir)

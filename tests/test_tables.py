@@ -310,3 +310,34 @@ def test_a_text_sequence(spark, place):
     write_landing(spark.createDataFrame(rows, schema), f"{place['landing']}/things", "c")
     table = run(spark, [spec], place["landing"], place["tables"], place["checkpoints"])["things"]
     assert contents(table.read()) == [("a", "x", 10, "0010")]
+
+
+def test_deletes_are_remembered_in_any_order(spark, place):
+    spec = SPEC.with_(options={"seq_guard": "transact_seq", "insert_deletes": False})
+    snapshot(spark, place)
+    batches = [
+        [("U", "a", 7, None, doc("a", 7, "x"))],
+        [("D", "a", 9, None, doc("a", 9, "x"))],
+        [("U", "a", 11, None, doc("a", 11, "x")), ("D", "b", 5, None, doc("b", 5, "x"))],
+        [("U", "b", 4, None, doc("b", 4, "x"))],
+    ]
+    results = []
+    for order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 0, 3, 2)):
+        path = f"{place['tables']}-{''.join(map(str, order))}"
+        table = initial_load(spark, spec, place["landing"], path)
+        for i in order:
+            merge_into(spec, table, envelopes(spark, batches[i]), f"b{i}")
+        results.append(contents(table.read()))
+    assert results[0] == results[1] == results[2] == [("a", "x", 11, 11), ("a", "y", 1, 1), ("c", "", 1, 1)]
+
+
+def test_only_new_files_are_opened(spark, place, tmp_path):
+    folder, ledger = f"{place['landing']}/things", str(tmp_path / "ledger")
+    create_ledger(spark, ledger)
+    for i in range(4):
+        land(spark, folder, [("U", f"k{i}", 2, None, doc(f"k{i}", 2, "x"))], f"old{i}")
+    record_files(unprocessed_files(spark, folder, ledger), ledger)
+    assert read_unprocessed(spark, folder, ledger).count() == 0
+    land(spark, folder, [("U", "new", 2, None, doc("new", 2, "x"))], "new")
+    found = read_unprocessed(spark, folder, ledger)
+    assert len(found.inputFiles()) == 1 and found.first()["_id"] == "new"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,3 +47,11 @@ def quarantine(parsed: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]
     """(rows with a document key, rows without): the second are NULL, malformed or keyless."""
     return parsed.where(col(key).isNotNull()), parsed.where(col(key).isNull())
 
+
+def unreadable(schema: T.StructType, key: str = KEY) -> Column:
+    """Whether an envelope has a document, but none that can be read: malformed, or without a key.
+
+    A change without any document (a bare delete) is not one of them.
+    """
+    found = F.from_json(col(DOC), prune_schema(schema, [key])).getField(key)
+    return col(DOC).isNotNull() & found.isNull()

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.columns import col
+from tidemark.functions.docs import DELETE, KEY, OP, SEQ
 from tidemark.operators.evolve import align_to_schema
 from tidemark.operators.flatten import flatten
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import merge_parts, replace_children
-from tidemark.operators.parse import parse_docs, unwrap_dates
+from tidemark.operators.parse import parse_docs, unreadable, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
 from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
-from tidemark.sources.envelope import LOAD_PREFIX, has_files, read_full_load
+from tidemark.sources.envelope import LOAD_PREFIX, envelope_schema, has_files, read_full_load
 from tidemark.sources.tables import BucketTable, default_name
 
 # A staged batch is broadcast to the merge up to this many bytes in memory; a larger one is shuffled.
@@ -102,16 +107,65 @@ def merge_into(spec: CollectionSpec, table: BucketTable, changes: DataFrame, bat
     if not table.exists():
         raise ValueError(f"changes for {spec.name!r}, but its full load never came: no table at {table.path}")
     table.finish()
-    if table.has_batch(batch):
+    if spec.keep_bad:
+        bad = unreadable(spec.change_schema or spec.doc_schema)
+        _upsert(bad_documents(spec, table), changes.where(bad), batch, SEQ)
+        changes = changes.where(~bad)
+    guard = spec.options.get("seq_guard")
+    if table.has_batch(batch) and not (guard and not deleted_keys(spec, table, guard).has_batch(batch)):
         return False
     table.widen()
     rows, small, path = staged_batch(spec, changes)
     rows = table.in_table_types(rows)
-    touched = table.buckets_of(rows)
-    kept, added = merge_rows(spec, table.read(touched), rows, small_source=small)
-    table.replace(kept.unionByName(added), touched, batch)
+    deleted = deleted_keys(spec, table, guard) if guard else None
+    new = not table.has_batch(batch)
+    if new:
+        fresh = newer_than_deletes(spec, rows, deleted, guard) if deleted and deleted.exists() else rows
+        touched = table.buckets_of(rows)
+        kept, added = merge_rows(spec, table.read(touched), fresh, small_source=small)
+        table.replace(kept.unionByName(added), touched, batch)
+    if deleted:
+        gone = rows.where(F.col(OP) == DELETE).groupBy(*[col(k) for k in table.keys]).agg(F.max(col(guard)).alias(guard))
+        _upsert(deleted, gone, batch, guard, seq_guard=guard)
     remove(table.spark, path)
-    return True
+    return new
+
+
+def _side_table(table: BucketTable, label: str, schema: T.StructType, keys: Sequence[str]) -> BucketTable:
+    """A table beside another one: what its merges have to remember."""
+    name = f"{table.name[:-1]}_{label}`"
+    return BucketTable(table.spark, name, f"{table.path}_{label}", schema, keys, table.buckets)
+
+
+def deleted_keys(spec: CollectionSpec, table: BucketTable, seq: str) -> BucketTable:
+    """Newest delete of each key. A change that is not newer must not bring the row back, so batches
+    may come in any order (with `insert_deletes=False`; deletes that are added as rows are their own mark)."""
+    fields = [f for f in table.schema if f.name in (*table.keys, seq)]
+    return _side_table(table, "deleted", T.StructType(fields), table.keys)
+
+
+def bad_documents(spec: CollectionSpec, table: BucketTable) -> BucketTable:
+    """Changes whose document cannot be parsed, as they came."""
+    return _side_table(table, "bad", envelope_schema(seq_type=spec.seq_type), [KEY])
+
+
+def newer_than_deletes(spec: CollectionSpec, rows: DataFrame, deleted: BucketTable, seq: str) -> DataFrame:
+    marks = deleted.read(deleted.buckets_of(rows)).toDF(*[f"__{c}" for c in deleted.schema.names])
+    same = [col(k) == F.col(f"__{k}") for k in deleted.keys]
+    return rows.join(marks, reduce(lambda a, b: a & b, [*same, col(seq) <= F.col(f"__{seq}")]), "left_anti")
+
+
+def _upsert(table: BucketTable, rows: DataFrame, batch: str, seq: str, **options) -> None:
+    """Merges rows into a side table, which is made with the first ones."""
+    if not table.exists():
+        table.create(table.spark.createDataFrame([], table.schema))
+    table.finish()
+    if table.has_batch(batch):
+        return
+    staged = stage(table.in_table_types(rows), "side-rows")
+    touched = table.buckets_of(staged)
+    kept, added = merge_parts(table.read(touched), staged, table.keys, delete_when=F.lit(False), on_duplicate="latest", order=[seq], **options)
+    table.replace(kept.unionByName(added), touched, batch)
 
 
 def run(

@@ -24,6 +24,7 @@ class CollectionSpec:
     unwrap          wrapped dates that become bare numbers
     parents         set: merge whole documents by these columns (children that are gone go)
     options         further options of `merge`
+    keep_bad        documents that cannot be parsed go to a side table and not into the merge
     buckets         the table is cut into so many buckets of its key; a merge reads and
                     writes the touched ones only
     """
@@ -40,6 +41,7 @@ class CollectionSpec:
     parents: tuple[str, ...] = ()
     options: Mapping[str, Any] = field(default_factory=dict)
     seq_type: T.DataType = field(default_factory=T.LongType)
+    keep_bad: bool = False
     buckets: int = 64
 
     def with_(self, **changes: Any) -> CollectionSpec:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.envelope import is_change_file, read_changes
+from tidemark.sources.envelope import envelope_schema, is_change_file
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -43,14 +45,13 @@ def unprocessed_files(spark: SparkSession, landing: str, ledger: str) -> DataFra
 def read_unprocessed(
     spark: SparkSession, landing: str, ledger: str, seq_type: T.DataType | None = None
 ) -> DataFrame:
-    """Change rows of the files that the ledger does not list yet.
+    """Change rows of the files that the ledger does not list yet; no other file is opened.
 
-    The ledger side is a few bytes per file. Rows of known files are dropped inside the
-    scan stage; a landing folder that keeps years of files is better served by
-    `stream_changes`, whose checkpoint never opens a known file again.
+    Only names of new files reach the driver, where Spark plans the scan of them anyway.
     """
-    rows = read_changes(spark, landing, seq_type).withColumn("path", F.col("_metadata.file_path"))
-    return rows.join(read_ledger(spark, ledger), "path", "left_anti").drop("path")
+    new = [unquote(r["path"]) for r in unprocessed_files(spark, landing, ledger).select("path").collect()]
+    schema = envelope_schema(seq_type=seq_type)
+    return spark.read.schema(schema).parquet(*new) if new else spark.createDataFrame([], schema)
 
 
 def record_files(files: DataFrame, ledger: str, run_date: str | None = None) -> None:
