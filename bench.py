@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from showcase import feeds  # noqa: E402
 from tidemark import apply_changes, keep_latest, merge, parse_docs, replace_children, snapshot_to_rows, tune  # noqa: E402
+from tidemark.operators.merge import no_repeats  # noqa: E402
 from tidemark.plans.collections import REPORTS  # noqa: E402
 from tidemark.plans.loads import changes_to_rows, is_small, merge_into, table_for  # noqa: E402
 from tidemark.session import scratch_dir, stage  # noqa: E402
@@ -76,10 +77,12 @@ def queries(spark: SparkSession) -> dict:
     for share, days in SHARES.items():
         batch = stage(changes_to_rows(REPORTS, newest(changes, days)), f"bench-{share}")
         out[f"merge_{share}"] = lambda batch=batch: run_through(
-            merge(target, batch, REPORTS.keys, small_source=is_small(batch))
+            merge(target, batch, REPORTS.keys, small_source=is_small(batch), unique=no_repeats(batch, REPORTS.keys))
         )
         if share != "10pct":
-            out[f"merge_{share}_shuffled"] = lambda batch=batch: run_through(merge(target, batch, REPORTS.keys))
+            out[f"merge_{share}_shuffled"] = lambda batch=batch: run_through(
+                merge(target, batch, REPORTS.keys, unique=no_repeats(batch, REPORTS.keys))
+            )
             out[f"replace_children_{share}"] = lambda batch=batch: run_through(whole(replace_children(target, batch, ["_id"])))
 
     spec = REPORTS.with_(buckets=16)

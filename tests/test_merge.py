@@ -9,6 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark import hash_mapping_merge, id_hash_mapping, merge, replace_children
+from tidemark.operators.merge import no_repeats
 
 T = "id string, kid string, transact_seq long, v string"
 S = "Op string, " + T
@@ -204,8 +205,11 @@ def test_small_source_never_shuffles_the_target(spark, tmp_path):
 def test_hash_mapping(spark):
     rows = spark.createDataFrame([("a", "1"), ("a", None)], "_id string, patient__id string")
     mapping = id_hash_mapping(rows)
-    want = rows.selectExpr("sha2(concat_ws('|', _id, patient__id), 256) h").collect()
-    assert sorted(r["ehr_id_hash"] for r in mapping.collect()) == sorted(r["h"] for r in want)
+    want = {c: hashlib.sha256(text.encode()).hexdigest() for c, text in (("1", "1:a1:1"), (None, "1:a-"))}
+    assert {r["patient_id"]: r["ehr_id_hash"] for r in mapping.collect()} == want
+    others = spark.createDataFrame([(None, "a"), ("1:a", "1"), ("a1", None)], "_id string, patient__id string")
+    hashes = {r["ehr_id_hash"] for r in id_hash_mapping(others).collect()}
+    assert None in hashes and len(hashes) == 3 and not hashes & set(want.values())
     changed = spark.createDataFrame([("D", "a", "1"), ("U", "b", "1")], "Op string, _id string, patient__id string")
     merged = hash_mapping_merge(mapping, changed)
     assert sorted((r["id"], r["patient_id"] or "") for r in merged.collect()) == [("a", ""), ("b", "1")]
@@ -215,3 +219,20 @@ def test_hash_mapping(spark):
     lookup = spark.createDataFrame([("a", "1", "secret")], "id string, patient_id string, value string")
     found = {r["patient_id"]: r["ehr_id_hash"] for r in id_hash_mapping(rows, lookup=lookup).collect()}
     assert found[None] is None and len(found["1"]) == 64
+    with pytest.raises(Exception, match="more than once"):
+        id_hash_mapping(rows, lookup=lookup.union(lookup)).collect()
+
+
+def test_a_source_without_repeats_reads_the_target_twice(spark, tmp_path):
+    """In the shuffled form: whole rows and keys, and no third scan for the check."""
+    rows = "id long, v string, Op string, transact_seq long"
+    spark.createDataFrame([(i, "old", "I", 1) for i in range(50)], rows).drop("Op").write.parquet(str(tmp_path / "target"))
+    spark.createDataFrame([(i, "new", "U", 2) for i in range(40, 60)] + [(None, "new", "U", 2)], rows).write.parquet(str(tmp_path / "source"))
+    target, source = spark.read.parquet(str(tmp_path / "target")), spark.read.parquet(str(tmp_path / "source"))
+    assert no_repeats(source, ["id"]) and not no_repeats(source.union(source), ["id"])
+    known, checked = merge(target, source, ["id"], unique=True), merge(target, source, ["id"])
+    assert sorted(map(tuple, known.collect()), key=repr) == sorted(map(tuple, checked.collect()), key=repr)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = merge(target, source, ["id"], unique=True)._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert sum("FileScan" in line and "/target" in line for line in plan.splitlines()) == 2

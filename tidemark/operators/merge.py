@@ -163,6 +163,7 @@ def merge_parts(
     on_duplicate: str = "error",
     order: Sequence[str] | None = None,
     small_source: bool = False,
+    unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The two parts of a merge: target rows kept (or updated), and source rows added.
 
@@ -178,6 +179,8 @@ def merge_parts(
                     rows are computed), or 'latest' to take the newest of each source key
     order           source columns that tell which row is newest; default the sequence
     small_source    the caller has checked the source's size: broadcast it
+    unique          the caller has checked that no source key repeats (`no_repeats`): the target is
+                    then read twice, its whole rows and its keys, and not a third time for the check
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
@@ -189,6 +192,10 @@ def merge_parts(
         found = sides.matched_keys(one.select(*sides.s_keys))
         candidates = one.unionByName(sides.s.where(any_null(sides.strict)))
         allowed = F.lit(True)
+    elif unique:
+        one = candidates = sides.s
+        found = sides.matched_keys(sides.matchable().select(*sides.s_keys))
+        allowed = F.lit(True)
     else:
         counts = sides.key_counts()
         one = sides.matchable() if small_source else sides.single(counts)
@@ -229,6 +236,13 @@ def merge_parts(
     return kept, added
 
 
+def no_repeats(source: DataFrame, keys: Sequence[Key]) -> bool:
+    """Whether no key of the source repeats, NULL keys aside. Meant for a staged source, of which it reads the keys."""
+    own = [col(s) for _, s in _pairs(keys)]
+    counts = source.select(*own).dropna().groupBy(*own).agg(F.count(F.lit(1)).alias("__rows"))
+    return counts.where("__rows > 1").isEmpty()
+
+
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[Key], **options) -> DataFrame:
     """`merge_parts`, put together: the whole table after the merge."""
     kept, added = merge_parts(target, source, keys, **options)

@@ -14,7 +14,7 @@ from tidemark.functions.docs import DELETE, KEY, OP, SEQ
 from tidemark.operators.evolve import align_to_schema
 from tidemark.operators.flatten import flatten
 from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import merge_parts, replace_children
+from tidemark.operators.merge import merge_parts, no_repeats, replace_children
 from tidemark.operators.parse import parse_docs, unreadable, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
 from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
@@ -52,7 +52,9 @@ def merge_rows(
 ) -> tuple[DataFrame, DataFrame]:
     if spec.parents:
         return replace_children(target, rows, spec.parents, small_source=small_source, **spec.options)
-    return merge_parts(target, rows, spec.keys, small_source=small_source, **spec.options)
+    # NULL-safe keys repeat by their NULLs too, so these are checked by the merge itself
+    unique = not spec.options.get("null_safe") and no_repeats(rows, spec.keys)
+    return merge_parts(target, rows, spec.keys, small_source=small_source, unique=unique, **spec.options)
 
 
 def is_small(staged: DataFrame) -> bool:
