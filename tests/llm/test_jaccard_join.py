@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from tests.llm.cases import SF, edge_documents, edge_rows, given, no_documents
 from tidemark.llm import jaccard_join as jj
@@ -17,9 +18,9 @@ def shingle_set(text, size=3):
     return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def brute(rows, percent=90):
+def brute(rows, percent=90, size=3):
     """rows: (key, text). Returns (key, size, component) of each, sorted."""
-    sets = [shingle_set(t) for _, t in rows]
+    sets = [shingle_set(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(i):
@@ -71,6 +72,23 @@ def test_random_variants(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_other_rule(spark):
+    rnd, rows = random.Random(4), []
+    for n in (6, 12, 15, 40, 90):
+        base = [f"d{n}_{i}" for i in range(n)]
+        rows += [(len(rows) + i, variants(rnd, base, rnd.choice([0, 1, 2, n // 20]))) for i in range(12)]
+    assert run(spark, rows, rule=jj.Rule(percent=80, size=5)) == brute(rows, 80, 5)
+
+
+def test_small_filter_changes_nothing(spark, monkeypatch):
+    rnd, rows = random.Random(14), []
+    for n in (30, 60):
+        base = [f"e{n}_{i}" for i in range(n)]
+        rows += [(len(rows) + i, variants(rnd, base, rnd.choice([0, 1, 2]))) for i in range(12)]
+    monkeypatch.setattr(jj, "FILTER_BITS", 1 << 16)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_long_chain_and_common_passage(spark):
     base = [f"w{i}" for i in range(120)]
     chain = [(i, " ".join(base[i : i + 60])) for i in range(50)]
@@ -79,16 +97,35 @@ def test_long_chain_and_common_passage(spark):
     assert run(spark, chain + shared) == brute(chain + shared)
 
 
-def test_keys_meet_for_every_linked_pair():
+@pytest.mark.parametrize("few", [0, 1000])
+def test_group_around_the_threshold(spark, monkeypatch, few):
+    """Copies of one text that mostly just miss each other: compared by differences, and pair by pair."""
+    monkeypatch.setattr(jj, "FEW", few)
+    rnd, rows = random.Random(21), []
+    for n, most in ((120, 5), (60, 3)):
+        base = [f"c{n}_{i}" for i in range(n)]
+        rows += [(len(rows) + i, variants(rnd, base, rnd.randint(1, most))) for i in range(60)]
+        # families that share edits, far from the others
+        for _ in range(6):
+            other = variants(rnd, base, most + 4).split()
+            rows += [(len(rows) + i, variants(rnd, other, rnd.randint(0, 2))) for i in range(5)]
+    rnd.shuffle(rows)
+    want = brute(rows)
+    assert run(spark, rows) == want
+    assert 10 < len({c for _, _, c in want}) < len(rows) - 10
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_keys_meet_for_every_linked_pair(percent):
     """Without Spark: whatever the sizes, linked sets have a key in common."""
-    rnd, rule = np.random.default_rng(1), jj.Rule()
+    rnd, rule = np.random.default_rng(1), jj.Rule(percent)
     for _ in range(3000):
         n = int(rnd.integers(1, 300))
         a = rnd.integers(1, 2**63, n).astype(np.uint64)
-        drop, add = int(rnd.integers(0, n // 9 + 1)), int(rnd.integers(0, n // 8 + 2))
+        drop, add = int(rnd.integers(0, n // 5 + 1)), int(rnd.integers(0, n // 4 + 2))
         b = np.concatenate([a[drop:], rnd.integers(1, 2**63, add).astype(np.uint64)])
         common, union = n - drop, n + add
-        if 100 * common >= 90 * union and (drop or add):
+        if 100 * common >= percent * union and (drop or add):
             assert set(rule.keys(np.unique(a)).tolist()) & set(rule.keys(np.unique(b)).tolist()), (n, drop, add)
 
 

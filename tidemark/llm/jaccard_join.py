@@ -6,20 +6,25 @@ meet. Beyond the boundary subsets of two elements less are needed, whose number
 lists cost a fixed share of the size: that is where the cost puts the boundary.
 
 A heavy set is dealt by hash into more parts than a linked set can differ from it in elements, so two linked
-sets have a part in common, and each list holds the sets with one same part. Lists of parts, not of single
-elements, because a passage that many documents share would put them all into the lists of its elements, but
-does not make a whole part equal. The number of parts depends on the size, in bands; a set near the lower
-edge of its band also has parts for the band below.
+sets have a part in common, and each inverted list holds the sets with one same part. Lists of parts, not of
+single elements, because a passage that many documents share would put them all into the lists of its elements,
+but does not make a whole part equal. The number of parts depends on the size, in bands; a set near the lower
+edge of its band also has parts for the band below. Most lists have one set: a filter of fixed size, made of all
+keys before, tells which keys came once only, and those are never sent. (A filter too small for the data lets
+more through; it drops no key that came twice.)
 
 Equal sets are one node. In each list all nodes are compared with the least node first; only what is not yet
-connected after that is compared among itself. So a list of many near copies costs a comparison for each, and
-no link is lost. Every comparison is of the whole sets.
+connected after that is compared among itself: in a long list by what the sets differ in from that least node,
+which they share only if they are alike. So a list of many near copies costs a comparison for each, whether they
+link with each other or just miss, and no link is lost. Every comparison is of the whole sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +40,15 @@ from tidemark.session import stage
 
 #: Words a task remembers the hash of. Bounds memory, not results.
 REMEMBERED = 300_000
-#: Sizes of heavy sets fall into bands of this ratio.
-BAND = 1.5
+#: Open lists with more sets are compared by their differences from the hub, shorter ones pair by pair, those that
+#: are alike by their counts in bins. Either way finds all links.
+FEW = 1000
+#: Sizes of heavy sets fall into bands of this ratio, which must not be less than the largest ratio of linked sizes.
+BAND = 1.25
+#: Bits of the filter, at most (32 MB); a power of two. Blocks it is made in, at most.
+FILTER_BITS, BLOCKS = 1 << 28, 1 << 12
+#: Bins of the counts that tell unlike sets apart without looking at the sets.
+BINS = 128
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -90,25 +102,29 @@ class Rule:
         """Largest light set: two sets that differ in two elements and link have one that is larger."""
         return -(-2 * self.percent // (100 - self.percent))
 
-    def band(self, n: int) -> int:
-        k, edge = 0, self.edge(1)
-        while n >= edge:
-            k, edge = k + 1, self.edge(k + 2)
-        return k
-
     def edge(self, k: int) -> int:
         """Least size in band k."""
         return int(self.boundary * BAND**k)
 
+    def band(self, n: int) -> int:
+        k = 0
+        while n >= self.edge(k + 1):
+            k += 1
+        return k
+
+    @lru_cache(maxsize=None)
     def parts(self, k: int) -> tuple[int, int]:
         """Number of parts for pairs whose smaller set is in band k; how many of them may be empty.
 
         One part more than the elements in which linked sets can differ, and one for each part that may be
         empty: so a part that is equal and not empty is left. Only a set with more empty parts lists those.
         """
-        largest = self.edge(k + 1) - 1
+        least, largest = self.edge(k), self.edge(k + 1) - 1
         differ = (100 - self.percent) * (100 * largest // self.percent) // 100
-        empty = 2 + differ // 50
+        empty = 1
+        for _ in range(20):
+            often = (differ + 1 + empty) * math.exp(-least / (differ + 1 + empty))
+            empty = 1 + math.ceil(often + 3 * math.sqrt(often))
         return differ + 1 + empty, empty
 
     def keys(self, items: np.ndarray) -> np.ndarray:
@@ -126,14 +142,18 @@ class Rule:
             own = self.band(n)
             for k in {own, own - 1} if own and -(-self.percent * n // 100) < self.edge(own) else {own}:
                 parts, empty = self.parts(k)
-                part = (items >> np.uint64(17)) % np.uint64(parts)
+                part = ((items >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
                 sums = np.zeros(parts, dtype=np.uint64)
-                np.add.at(sums, part.astype(np.int64), spread)
-                full = np.bincount(part.astype(np.int64), minlength=parts) > 0
+                np.add.at(sums, part, spread)
+                full = np.bincount(part, minlength=parts) > 0
                 key = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64((k + 1) << 32)))
                 out.append(key if parts - full.sum() > empty else key[full])
         return mix(np.concatenate(out)) if out else items[:0]
 
+    def sketch(self, items: np.ndarray) -> np.ndarray:
+        """How many elements fall into each bin. Two sets differ in at least what their bins differ in."""
+        return np.minimum(np.bincount((items >> np.uint64(40)).astype(np.int64) % BINS, minlength=BINS), 127)
+
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
@@ -141,25 +161,84 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values.view(np.int64))
 
 
+def _repeated_keys(texts: DataFrame, rule: Rule) -> tuple[np.ndarray, int]:
+    """The filter: a bit for each place that keys of two different sets fall on; and how far keys are shifted."""
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = 1 << max(16, min(FILTER_BITS.bit_length() - 1, int(total).bit_length()))
+    blocks = min(BLOCKS, max(16, -(-total // 16_000_000)), bits // 4096)
+    blocks = 1 << (blocks.bit_length() - 1)
+    shift, size = 64 - (bits.bit_length() - 1), bits // blocks
+
+    def place(batches):
+        words, seen, found, n = Words(), set(), [], 0
+        for (data,) in batches:
+            for t in data:
+                items = shingles(words.hashes(t.lower().split()), rule.size)
+                same = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
+                if same not in seen:  # equal sets are one
+                    seen.add(same)
+                    found.append(rule.keys(items) >> np.uint64(shift))
+                    n += len(found[-1])
+            if n > 1_000_000:
+                yield send(found)
+                seen, found, n = set(), [], 0
+        yield send(found)
+
+    def send(found):
+        places, n = np.unique(np.concatenate([*found, np.zeros(0, dtype=np.uint64)]), return_counts=True)
+        edges = np.searchsorted(places, np.arange(blocks + 1, dtype=np.uint64) * np.uint64(size))
+        own = (places % np.uint64(size)).astype(np.uint32)
+        out = [(b, own[i:j][n[i:j] == 1].tobytes(), own[i:j][n[i:j] > 1].tobytes()) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
+        return [list(x) for x in zip(*out)]
+
+    def mark(batches):
+        once, twice = {}, {}
+        for columns in batches:
+            for b, single, several in zip(*columns):
+                seen, again = once.setdefault(b, np.zeros(size, dtype=bool)), twice.setdefault(b, np.zeros(size, dtype=bool))
+                single, several = np.frombuffer(single, dtype=np.uint32), np.frombuffer(several, dtype=np.uint32)
+                again[single[seen[single]]] = True
+                again[several] = True
+                seen[single] = True
+        if twice:
+            yield [list(twice), [np.packbits(x, bitorder="little").tobytes() for x in twice.values()]]
+
+    sent = map_rows(texts, 0, "block int, once binary, several binary", place)
+    marked = map_rows(sent.repartitionById(blocks, F.col("block")), 0, "block int, bits binary", mark)
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for r in marked.collect():  # FILTER_BITS together
+        out[r.block * size // 8 : (r.block + 1) * size // 8] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+    return out, shift
+
+
 def _nodes(docs: DataFrame, keep: tuple[str, ...], text: str, rule: Rule) -> DataFrame:
-    """A row for each document: `keep`, `row` (unique), `n` (size), `same` (digest of the set), `place`, `keys`."""
+    """A row for each document: `keep`, `row` (unique), `n` (size), `same` (digest of the set), `place`, and
+    the `keys` that another set may have."""
     chosen = docs.select(*names(keep), F.xxhash64(col(text)).alias("place"), utf8(text).alias("text"))
     kept = len(keep) + 1
+    bits, shift = _repeated_keys(chosen.select("text"), rule)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
-        words, row = Words(), TaskContext.get().partitionId() << 33
+        words, row, own = Words(), TaskContext.get().partitionId() << 33, shared.value
+
+        def listed(items: np.ndarray) -> np.ndarray:
+            keys = rule.keys(items)
+            at = (keys >> np.uint64(shift)).astype(np.int64)
+            return keys[(own[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+
         for *rest, texts in batches:
             sets = [shingles(words.hashes(t.lower().split()), rule.size) for t in texts]
             rows = list(range(row, row + len(texts)))
             row += len(texts)
             same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield [*rest, rows, [len(s) for s in sets], same, _lists([rule.keys(s) for s in sets])]
+            yield [*rest, rows, [len(s) for s in sets], same, _lists([listed(s) for s in sets])]
 
     return map_rows(chosen, kept, "row long, n long, same binary, keys array<long>", run)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text: str, rule: Rule) -> DataFrame:
-    """`node`, `items` of the wanted (`place`, `node`, `same`): their texts are found again by hash, and checked."""
+    """`node`, `n`, `items`, `sketch` of the wanted (`place`, `node`, `same`): their texts are found again by hash, and checked."""
     texts = docs.select(F.xxhash64(col(text)).alias("place"), utf8(text).alias("text")).join(wanted, "place")
 
     def run(batches):
@@ -171,17 +250,64 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, rule: Rule) -> DataFram
             nodes, same, texts = ([x[i] for i in new] for x in (nodes, same, texts))
             sets = [shingles(words.hashes(t.lower().split()), rule.size) for t in texts]
             good = [i for i, s in enumerate(sets) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == same[i]]
-            yield [[nodes[i] for i in good], _lists([sets[i] for i in good])]
+            yield [[nodes[i] for i in good], [len(sets[i]) for i in good], _lists([sets[i] for i in good]), [rule.sketch(sets[i]).tolist() for i in good]]
+
+    return map_rows(texts.select("node", "same", "text"), 0, "node long, n long, items array<long>, sketch array<tinyint>", run)
+
 
-    return map_rows(texts.select("node", "same", "text"), 0, "node long, items array<long>", run)
+def _alike(rule: Rule) -> str:
+    """Whether two sets may link, by the counts of their elements in bins."""
+    differ = "aggregate(zip_with(x.sketch, y.sketch, (a, b) -> abs(int(a) - int(b))), 0, (s, d) -> s + d)"
+    return f"{rule.percent} * {differ} <= {100 - rule.percent} * least(x.n, y.n)"
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (`a`, `b`) that link, by their whole sets."""
+    """The pairs (`a`, `b`) that link: by their counts in bins first, then by their whole sets."""
+    x, y = (sets.selectExpr(f"node AS {side}", "n", "sketch").alias(name) for side, name in (("a", "x"), ("b", "y")))
+    near = stage(pairs.join(x, "a").join(y, "b").where(_alike(rule)).select("a", "b"), "join-near")
     left, right = sets.selectExpr("node AS a", "items AS x"), sets.selectExpr("node AS b", "items AS y")
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
-    return pairs.join(left, "a").join(right, "b").where(100 * common >= rule.percent * union).select("a", "b")
+    return near.join(left, "a").join(right, "b").where(100 * common >= rule.percent * union).select("a", "b")
+
+
+def _by_difference(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (`a` < `b`) of different components, in lists with the same hub, that may link.
+
+    Sets that hold most of a hub share most elements, but what they differ in from the hub they share only if
+    they are alike. Two sets link if few elements are in one of their differences only; so if one of the sets
+    does not link with the hub, the differences have a least number of elements in common, and meet in the
+    first elements of both, the rarest ones of the hub's lists first. (Two that link with the hub are in one
+    component already.)
+    """
+    q, p = 100 - rule.percent, rule.percent
+    one = rest.select("hub", "node", "component").distinct()
+    both = one.join(sets.selectExpr("node AS hub", "items AS h"), "hub").join(sets.selectExpr("node", "items AS x"), "node")
+    new = both.select("hub", "node", "component", "h", "x", F.array_except("x", "h").alias("new"))
+    sized = new.select(
+        "hub", "node", "component", F.size("x").alias("n"), F.size("new").alias("i"), F.size("h").alias("n_h"), F.concat("new", F.array_except("h", "x")).alias("all")
+    )
+    linked = 100 * (F.col("n") - F.col("i")) >= p * (F.col("n_h") + F.col("i"))
+    differing = stage(
+        sized.select("hub", "node", "component", "n", "i", linked.alias("linked"), F.size("all").alias("d"), F.explode("all").alias("item")),
+        "join-differences",
+    )
+    held = differing.groupBy("hub", "item").agg(F.count("*").alias("held"))
+    ranked = differing.join(held, ["hub", "item"]).selectExpr(
+        "*",
+        "row_number() OVER (PARTITION BY hub, node ORDER BY held, item) AS place",  # of one set
+        # more than (d - q i) / 2 in common with a set that does not link with the hub
+        f"d - (100 * d - {q} * i) div 200 AS first",
+        # d less the largest difference in common with any set that links
+        f"{q} * (100 * n div {p}) div 100 + 1 AS first_any",
+    )
+    ranked = stage(ranked.where("place <= greatest(first, first_any)"), "join-ranked")
+    near, far = ranked.where("linked AND place <= first"), ranked.where("NOT linked")
+    fits = f"x.hub = y.hub AND x.item = y.item AND x.component != y.component AND {_fits('x.n', 'y.n', rule)}"
+    some = far.where("place <= first")
+    one_far = far.where("place <= first_any").alias("x").join(near.alias("y"), F.expr(fits))
+    both_far = some.alias("x").join(some.alias("y"), F.expr(f"{fits} AND x.node < y.node"))
+    return one_far.union(both_far).selectExpr("least(x.node, y.node) AS a", "greatest(x.node, y.node) AS b")
 
 
 def _fits(a: str, b: str, rule: Rule) -> str:
@@ -244,14 +370,14 @@ def _resolved(named: DataFrame, kept: list[str], rule: Rule) -> tuple[DataFrame,
 
     # what the hubs did not connect: only lists that hold more than one component go on
     found = components(links)
-    placed = members.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    placed = stage(placed, "join-placed")
-    open_lists = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    rest = stage(placed.join(open_lists.select("key"), "key", "left_semi"), "join-open")
-    x, y = rest.alias("x"), rest.alias("y")
-    on = f"x.key = y.key AND x.node < y.node AND x.component != y.component AND {_fits('x.n', 'y.n', rule)}"
-    more = x.join(y, F.expr(on)).selectExpr("x.node AS a", "y.node AS b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = stage(_linked(stage(more, "join-pairs"), sets, rule), "join-links")
+    placed = stage(members.select("key", "hub", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "join-placed")
+    of_list = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"))
+    rest = stage(placed.join(of_list.where("low != high").select("key", "m"), "key"), "join-open")
+    short = rest.where(F.col("m") <= FEW).select("key", "node", "n", "component").join(sets.select("node", "sketch"), "node")
+    on = f"x.key = y.key AND x.node < y.node AND x.component != y.component AND {_fits('x.n', 'y.n', rule)} AND {_alike(rule)}"
+    pairs = short.alias("x").join(short.alias("y"), F.expr(on)).selectExpr("x.node AS a", "y.node AS b")
+    pairs = pairs.union(_by_difference(rest.where(F.col("m") > FEW), sets, rule)).distinct().join(tried, ["a", "b"], "left_anti")
+    more = stage(_linked(stage(pairs, "join-pairs"), sets, rule), "join-links")
 
     final = stage(components(links.union(more)), "join-components")
     component = classes.join(final, "node", "left").select("same", "best", F.coalesce("component", "node").alias("component"))

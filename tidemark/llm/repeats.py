@@ -258,7 +258,7 @@ def _frequent(texts: DataFrame, length: int, total: int) -> np.ndarray:
             often = counts >= COUNTED
             yield [keys[often].astype(np.int64).tolist(), counts[often].tolist()]
 
-    counts = map_rows(texts, 0, "key long, n long", run).groupBy("key").agg(F.sum("n").alias("n"))
+    counts = map_rows(texts, 0, "key long, n long", run, rows=10_000).groupBy("key").agg(F.sum("n").alias("n"))
     least = max(1000, total * 2 // length // FREQUENT)
     return np.array([r.key for r in counts.where(F.col("n") >= least).select("key").collect()], dtype=np.uint64)
 
@@ -306,7 +306,7 @@ def _by_context(texts: DataFrame, length: int, tasks: int, frequent: np.ndarray)
                 some = at[i : i + 100_000]
                 yield [x[some].tolist() for x in (ids, hashes, start)] + [(start + more + length)[some].tolist(), key[some].tolist()]
 
-    dealt = map_rows(texts, 0, "task int, data binary, done boolean", deal)
+    dealt = map_rows(texts, 0, "task int, data binary, done boolean", deal, rows=10_000)
     return map_rows(dealt.repartitionById(tasks, F.col("task")), 0, "id long, hash long, start long, stop long, key long", meet)
 
 
@@ -343,7 +343,7 @@ def _by_bytes(texts: DataFrame, open_contexts: DataFrame, length: int) -> DataFr
                 size += len(row[-1])
         yield from spans(rows)
 
-    cut_out = map_rows(texts.join(listed, ["id", "hash"]), 0, "key long, id long, hash long, start long, data binary", cut)
+    cut_out = map_rows(texts.join(listed, ["id", "hash"]), 0, "key long, id long, hash long, start long, data binary", cut, rows=10_000)
     return map_rows(cut_out.repartition("key").sortWithinPartitions("key"), 0, "id long, hash long, start long, stop long", sort)
 
 

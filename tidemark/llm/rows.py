@@ -44,11 +44,17 @@ def ship(context: SparkContext) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def map_rows(df: DataFrame, kept: int, added: str, function: Callable[[Iterator[list]], Iterator[list]]) -> DataFrame:
+#: Rows that a function gets at a time, where it does not ask for more.
+ROWS = 2000
+
+
+def map_rows(
+    df: DataFrame, kept: int, added: str, function: Callable[[Iterator[list]], Iterator[list]], rows: int = ROWS
+) -> DataFrame:
     """Rows by a function in Python: it gets an iterator over batches, each a list of columns (lists), and yields such batches.
 
-    The result has the first `kept` columns of `df`, as they are, and the `added` ones (a DDL text). One batch is
-    in a task's memory at a time; tasks keep nothing between rows unless the function does.
+    The result has the first `kept` columns of `df`, as they are, and the `added` ones (a DDL text). One batch of at
+    most `rows` rows is in a task's memory at a time; tasks keep nothing between batches unless the function does.
     """
     before, new = df.schema.fields[:kept], T._parse_datatype_string(added).fields if added else []
     # any name is taken: columns travel under names of their own
@@ -56,7 +62,8 @@ def map_rows(df: DataFrame, kept: int, added: str, function: Callable[[Iterator[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(out)
-        columns = ([c.to_pylist() for c in batch.columns] for batch in batches)
+        parts = (batch.slice(i, rows) for batch in batches for i in range(0, batch.num_rows, rows))
+        columns = ([c.to_pylist() for c in part.columns] for part in parts)
         for result in function(columns):
             if result and len(result[0]):
                 arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(result, arrow)]
