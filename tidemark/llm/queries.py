@@ -112,3 +112,44 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", language_model.held_out())
     model = language_model.learn(docs.where("NOT held_out"))
     return language_model.score(docs, model, keep=("doc_id", "held_out"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUNS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".replace("{text}", _LOWER)
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')".replace("{text}", _LOWER)
+
+ORACLE["op8_contamination"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_RUNS} AS w FROM documents),
+b AS (SELECT item_id, {_RUNS} AS w, least(len(w), 13) AS s FROM benchmark),
+starts AS (SELECT item_id, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM b WHERE s > 0),
+windows AS MATERIALIZED (SELECT DISTINCT item_id, s, array_to_string(w[i : i + s - 1], ' ') AS t FROM starts),
+places AS (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM d, (SELECT DISTINCT s FROM windows) WHERE len(w) >= s),
+hits AS MATERIALIZED (
+  SELECT p.doc_id, p.i, p.s, v.item_id::VARCHAR AS item
+  FROM (SELECT doc_id, s, i, array_to_string(w[i : i + s - 1], ' ') AS t FROM places) p JOIN windows v ON v.s = p.s AND v.t = p.t
+),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + s)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLE["op7_jaccard_join"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w, least(len(w), 3) AS s FROM documents),
+starts AS (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM d WHERE s > 0),
+sets AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + s - 1], ' ') AS t FROM starts),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM sets x JOIN sets y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)
+),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM least LEFT JOIN sizes USING (doc_id)
+"""
