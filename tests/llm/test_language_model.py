@@ -71,7 +71,7 @@ def test_filter_never_counts_too_low():
     rng = np.random.default_rng(3)
     shape = lm.Shape()
     made = lm.Filter(4, 80_000, shape)
-    grams, counts = rng.integers(1, 2**63, 20_000).astype(np.uint64), rng.geometric(0.3, 20_000) ** 3
+    grams, counts = rng.integers(1, 2**48, 20_000).astype(np.uint64), rng.geometric(0.3, 20_000) ** 3
     block, parts = made.block(grams), []
     for b in range(4):
         parts.append(made.build(grams[block == b], counts[block == b]))

@@ -12,17 +12,21 @@ needs exact counts: those of frequent words are broadcast (a bounded number), th
 
 from __future__ import annotations
 
+import math
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
-from tidemark.llm.jaccard_join import Words, mix
+from tidemark.llm.jaccard_join import mix
 from tidemark.llm.rows import map_rows, utf8
 from tidemark.session import stage
 
@@ -33,20 +37,63 @@ END = b""
 @dataclass(frozen=True)
 class Shape:
     """base: of the logarithmic counts. probes: bits for each level of an n-gram. bits_per_token, most_bits: size
-    of the filter (the second is its bound: 64 MB). pair_weight: of the pair's share. frequent: words whose exact
-    counts are broadcast are those with one in so many of all tokens, so there are no more than that. task_tokens:
-    training tokens for each task that counts n-grams."""
+    of the filter (the second is its bound: 64 MB). pair_weight: of the pair's share. frequent: so many words at
+    most, the most frequent ones, have their exact counts broadcast. task_tokens: training tokens for each task
+    that counts n-grams."""
 
     base: float = 1.5
     probes: int = 3
     bits_per_token: int = 8
     most_bits: int = 1 << 29
     pair_weight: float = 0.3
-    frequent: int = 200_000
+    frequent: int = 150_000
     task_tokens: int = 4_000_000
 
 
-_PAIR, _START = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_PAIR, _START = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD)
+
+
+#: Words a task remembers. Bounds memory, not results.
+REMEMBERED = 300_000
+#: Bytes of text that are split into words at a time, and whose n-grams are counted before they are sent.
+SPLIT_BYTES, COUNT_BYTES = 2_000_000, 16_000_000
+
+
+class Numbered(dict):
+    """A number for each word, and the word's hash and exact count (0: not frequent) by number.
+
+    Looking a word up gives it a number. Past the bound numbers are for one use only: see `forget`.
+    """
+
+    def __init__(self, common: dict[bytes, int]):
+        super().__init__()
+        self.common, self.hashes, self.counts = common, array("Q"), array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        number = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word) >> 16)
+        self.counts.append(self.common.get(word, 0))
+        if number < REMEMBERED and len(word) <= 48:
+            self[word] = number
+        return number
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and exact counts of the words."""
+        numbers = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        found = np.array(self.hashes, dtype=np.uint64)[numbers], np.array(self.counts, dtype=np.int64)[numbers]
+        del self.hashes[REMEMBERED:], self.counts[REMEMBERED:]
+        return found
+
+
+def portions(data: list[bytes], most: int) -> list[tuple[int, int]]:
+    """Bounds of consecutive texts of about so many bytes, one text at least."""
+    out, at, size = [], 0, 0
+    for i, t in enumerate(data):
+        size += len(t)
+        if size >= most:
+            out.append((at, i + 1))
+            at, size = i + 1, 0
+    return [*out, (at, len(data))] if at < len(data) else out
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -58,7 +105,23 @@ def pairs(own: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     before = np.empty_like(own)
     before[1:] = own[:-1]
     before[np.cumsum([0, *sizes])[:-1][: len(sizes)]] = _START
-    return before, mix(mix(before * _PAIR) + own)
+    return before, mix(mix(before * _PAIR) + own) >> np.uint64(16)
+
+
+def _pack(grams: np.ndarray) -> bytes:
+    """Hashes of n-grams have 48 bits."""
+    return grams.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
+    wide[:, :6] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).ravel()
+
+
+def _below(spread: np.ndarray, limit: int) -> np.ndarray:
+    """Evenly spread 64-bit values to 0 ... limit - 1; a multiplication takes a fraction of a division's time."""
+    return ((spread >> np.uint64(32)) * np.uint64(limit) >> np.uint64(32)).astype(np.int64)
 
 
 class Filter:
@@ -68,13 +131,13 @@ class Filter:
         self.blocks, self.block_bits, self.shape, self.bits = blocks, block_bits, shape, bits
 
     def block(self, grams: np.ndarray) -> np.ndarray:
-        return (mix(grams) % np.uint64(self.blocks)).astype(np.int64)
+        return _below(mix(grams), self.blocks)
 
     def places(self, grams: np.ndarray, level: int) -> np.ndarray:
         """Bit numbers inside the block: a row for each probe."""
         one = mix(grams + np.uint64(0x9E3779B97F4A7C15 * (level + 1) % (1 << 64)))
         two = mix(one) | np.uint64(1)
-        return np.stack([((one + two * np.uint64(i)) % np.uint64(self.block_bits)).astype(np.int64) for i in range(self.shape.probes)])
+        return np.stack([_below(one + two * np.uint64(i), self.block_bits) for i in range(self.shape.probes)])
 
     def level(self, counts: np.ndarray) -> np.ndarray:
         return 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(self.shape.base) + 1e-9).astype(np.int64)
@@ -130,7 +193,8 @@ def _vocabulary(texts: DataFrame) -> DataFrame:
         for (data,) in batches:
             counts: Counter = Counter()
             for t in data:
-                counts.update(words_of(t))
+                counts.update(t.lower().split())
+                counts[END] += 1
                 if len(counts) > 300_000:
                     yield [list(counts), list(counts.values())]
                     counts = Counter()
@@ -145,22 +209,28 @@ def _filter(texts: DataFrame, tokens: int, shape: Shape) -> Filter:
     made = Filter(blocks, -(-bits // blocks // 8) * 8, shape)
 
     def count(batches):
-        words = Words()
+        words = Numbered({})
         for (data,) in batches:
-            split = [words_of(t) for t in data]
-            own = words.hashes(list(chain.from_iterable(split)))
-            grams, n = np.unique(np.concatenate([own, pairs(own, [len(s) for s in split])[1], np.full(len(split), _START)]), return_counts=True)
-            block = made.block(grams)
-            order = np.argsort(block, kind="stable")
-            edges = np.searchsorted(block[order], np.arange(blocks + 1))
-            out = []
-            for b in np.unique(block):
-                some = order[edges[b] : edges[b + 1]]
-                once = n[some] == 1
-                more = some[~once]
-                # most n-grams come once: their counts are not sent
-                out.append((int(b), grams[some[once]].tobytes(), grams[more].tobytes(), n[more].astype(np.int64).tobytes()))
-            yield [list(x) for x in zip(*out)]
+            for start, stop in portions(data, COUNT_BYTES):
+                grams = [np.full(stop - start, _START)]
+                for a, b in portions(data[start:stop], SPLIT_BYTES):
+                    split = [words_of(t) for t in data[start + a : start + b]]
+                    own, _ = words.look_up(list(chain.from_iterable(split)))
+                    grams += [own, pairs(own, [len(s) for s in split])[1]]
+                yield send(*np.unique(np.concatenate(grams), return_counts=True))
+
+    def send(grams, n):
+        block = made.block(grams)
+        order = np.argsort(block, kind="stable")
+        edges = np.searchsorted(block[order], np.arange(blocks + 1))
+        out = []
+        for b in np.unique(block):
+            some = order[edges[b] : edges[b + 1]]
+            once = n[some] == 1
+            more = some[~once]
+            # most n-grams come once: their counts are not sent
+            out.append((int(b), _pack(grams[some[once]]), _pack(grams[more]), n[more].astype(np.int64).tobytes()))
+        return [list(x) for x in zip(*out)]
 
     def build(batches):
         found: dict[int, list] = {}
@@ -168,27 +238,41 @@ def _filter(texts: DataFrame, tokens: int, shape: Shape) -> Filter:
             for b, once, more, n in zip(*columns):
                 found.setdefault(b, []).append((once, more, n))
         for b, parts in found.items():
-            once, more, n = (np.frombuffer(b"".join(x), dtype=d) for x, d in zip(zip(*parts), (np.uint64, np.uint64, np.int64)))
+            once, more, n = (b"".join(x) for x in zip(*parts))
+            once, more, n = _unpack(once), _unpack(more), np.frombuffer(n, dtype=np.int64)
             grams, where = np.unique(np.concatenate([once, more]), return_inverse=True)
             counts = np.bincount(where, weights=np.concatenate([np.ones(len(once)), n]), minlength=len(grams))
             yield [[b], [made.build(grams, counts)]]
 
-    sent = map_rows(texts, 0, "block int, once binary, more binary, n binary", count)
-    rows = map_rows(sent.repartitionById(blocks, F.col("block")), 0, "block int, bits binary", build).collect()  # at most most_bits
+    sent = map_rows(texts, 0, "block int, once binary, more binary, n binary", count, rows=10_000)
+    built = map_rows(sent.repartitionById(blocks, F.col("block")), 0, "block int, bits binary", build)
     made.bits = np.zeros(blocks * made.block_bits // 8, dtype=np.uint8)
-    for r in rows:
+    for r in stage(built, "model-filter").toLocalIterator():  # most_bits together, a part at a time in the driver
         at = r.block * made.block_bits // 8
         made.bits[at : at + len(r.bits)] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
     return made
 
 
+def _least(vocabulary: DataFrame, shape: Shape) -> int:
+    """The least count that no more than `shape.frequent` words reach, to a histogram's width (few hundred bars)."""
+    bar = F.floor(8 * F.log2("n")).cast("int").alias("bar")
+    bars = sorted(((r.bar, r.words) for r in vocabulary.groupBy(bar).agg(F.count("*").alias("words")).collect()), reverse=True)
+    least, words = None, 0
+    for at, more in bars:
+        words += more
+        if words > shape.frequent:
+            break
+        least = at
+    # counts of a bar are not less than this, and those of the bar below are
+    return (1 << 62) if least is None else math.ceil(2 ** (least / 8) - 1e-9)
+
+
 def learn(docs: DataFrame, text: str = "text", shape: Shape = Shape()) -> Model:
     """Counts of all given rows. Null and empty texts are an end each."""
     texts = docs.select(utf8(text).alias("text"))
     vocabulary = stage(_vocabulary(texts), "model-words")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = total[0] // shape.frequent + 1
-    common = {bytes(r.token): r.n for r in vocabulary.where(F.col("n") >= least).collect()}  # at most shape.frequent
+    common = {bytes(r.token): r.n for r in vocabulary.where(F.col("n") >= _least(vocabulary, shape)).collect()}  # at most shape.frequent
     return Model(vocabulary, total[0], total[1], common, _filter(texts, total[0], shape))
 
 
@@ -205,21 +289,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     chosen = docs.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)], utf8(text).alias("text"))
 
     def run(batches):
-        words, common = Words(), shared_words.value
+        words = Numbered(shared_words.value)
         own = Filter(blocks, block_bits, shape, shared_bits.value)
         row = TaskContext.get().partitionId() << 33
         for *kept, data in batches:
-            out, at = [], 0
-            while at < len(data):  # a few long texts, or many short ones, at a time
-                stop, size = at, 0
-                while stop < len(data) and (size < 2_000_000 or stop == at):
-                    size += len(data[stop])
-                    stop += 1
-                out += _score(data[at:stop], words, common, own, shape, bound)
-                at = stop
-            rows = list(range(row, row + len(data)))
-            row += len(data)
-            yield [*kept, rows, *(list(x) for x in zip(*out))]
+            for start, stop in portions(data, SPLIT_BYTES):
+                rows = list(range(row, row + stop - start))
+                row += stop - start
+                yield [*(k[start:stop] for k in kept), rows, *_score(data[start:stop], words, own, shape, bound)]
 
     added = "row long, n_tokens long, known long, logs double, score double, rare array<struct<token: binary, n: int>>"
     scored = stage(map_rows(chosen, len(keep), added, run), "model-scores")
@@ -242,12 +319,11 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     )
 
 
-def _score(data: list[bytes], words: Words, common: dict[bytes, int], own: Filter, shape: Shape, bound: int) -> list[tuple]:
+def _score(data: list[bytes], words: Numbered, own: Filter, shape: Shape, bound: int) -> list:
     split = [words_of(t) for t in data]
     sizes = [len(s) for s in split]
     flat = list(chain.from_iterable(split))
-    hashes = words.hashes(flat)
-    exact = np.fromiter((common.get(w, 0) for w in flat), dtype=np.int64, count=len(flat))
+    hashes, exact = words.look_up(flat)
     before, both = pairs(hashes, sizes)
 
     count = exact.astype(float)
@@ -264,5 +340,8 @@ def _score(data: list[bytes], words: Words, common: dict[bytes, int], own: Filte
     logs = np.add.reduceat(np.where(rare, 0.0, np.log10(exact + 1)), begins)
     known = np.add.reduceat((~rare).astype(np.int64), begins)
     unknown = [Counter(s[i] for i in np.flatnonzero(rare[b : b + n]).tolist()) for s, b, n in zip(split, begins.tolist(), sizes)]
-    listed = [[{"token": w, "n": n} for w, n in u.items()] for u in unknown]
-    return list(zip(sizes, known.tolist(), logs.tolist(), scores.tolist(), listed))
+    tokens = pa.array(list(chain.from_iterable(unknown)), type=pa.binary())
+    times = pa.array(list(chain.from_iterable(u.values() for u in unknown)), type=pa.int32())
+    ends = pa.array(np.cumsum([0, *map(len, unknown)]), type=pa.int32())
+    listed = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([tokens, times], names=["token", "n"]))
+    return [sizes, known.tolist(), logs.tolist(), scores.tolist(), listed]
