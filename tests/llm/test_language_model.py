@@ -103,3 +103,38 @@ def test_edge_cases(spark):
     nothing = lm.learn(no_documents(spark))
     assert lm.score(docs, nothing).where("n_known = 0").count() == len(edge_rows())
     assert lm.score(no_documents(spark), model).count() == 0
+
+
+def test_filter_grows_with_the_text(spark):
+    """Bits for each token stay the same past the 67 million tokens of a 64 MB filter, in blocks of a bounded size."""
+    shape = lm.Shape()
+    for tokens in (1_000_000, 80_000_000, 4_200_000_000):
+        made, _ = lm._filter(no_documents(spark).selectExpr("CAST('' AS BINARY) AS text").limit(0), tokens, shape)
+        assert made.blocks * made.block_bits >= shape.bits_per_token * tokens
+        assert made.block_bits <= shape.bits_per_token * shape.task_tokens + 8
+
+
+def test_portions_score_as_the_whole_filter(spark, monkeypatch):
+    """Levels that come back from many blocks to many portions give the score that the filter in one piece gives."""
+    monkeypatch.setattr(lm, "PORTION_BYTES", 3000)
+    texts = [d["text"] for d in given()[:120]] + [None, "", "only once here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    train = docs.where("doc_id % 3 > 0")
+    model = lm.learn(train, shape=lm.Shape(frequent=40, task_tokens=2000))
+    assert model.filter.blocks > 16 and 0 < model.filled < 0.6
+    whole = np.zeros(model.filter.blocks * model.filter.block_bits // 8, dtype=np.uint8)
+    for r in model.blocks.collect():
+        at = r.block * model.filter.block_bits // 8
+        whole[at : at + len(r.bits)] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+    own = lm.Filter(model.filter.blocks, model.filter.block_bits, model.filter.shape, whole)
+    got = {r.doc_id: r for r in lm.score(docs, model).collect()}
+    assert len(got) == len(texts)
+    words, bound = lm.Numbered(model.frequent), model.tokens + model.words + 1
+    for i, t in enumerate(texts):
+        split = lm.words_of((t or "").encode())
+        hashes, exact = words.look_up(split)
+        before, both = lm.pairs(hashes, [len(split)])
+        count = np.where(exact > 0, exact, own.counts(hashes))
+        history = np.concatenate([own.counts(before[:1]), count[:-1]])
+        p = 0.3 * np.minimum(1, own.counts(both) / np.maximum(history, 1)) + 0.7 * (count + 1) / bound
+        assert math.isclose(got[i].score, np.log10(p).sum(), rel_tol=1e-9) and got[i].score <= 0

@@ -3,8 +3,10 @@
 The filter holds each n-gram once for every level of its logarithmic count, from 1 up; probing level after level
 until one is missing gives the quantised count, never too low, and too high with a probability that falls with
 each level. Counts of all training text are summed on the executors; each task of the last step builds the block
-of the filter that its n-grams hash to, so the driver only lays blocks side by side. The filter has a bounded
-size and is broadcast; past the load it was sized for, its error grows, not its size (see `Model.filled`).
+of the filter that its n-grams hash to. The filter grows with the training text (`Shape.bits_per_token`), so its
+error does not (see `Model.filled`). No one holds it whole: blocks have a bounded size and stay staged. To score,
+texts are turned into portions of word numbers; the distinct n-grams of a portion go to the tasks that hold their
+blocks, and the levels found there come back to the portion.
 
 Probabilities mix the word pair's share of its history with the word's own smoothed frequency. The base score
 needs exact counts: those of frequent words are broadcast (a bounded number), the others are joined.
@@ -36,15 +38,14 @@ END = b""
 
 @dataclass(frozen=True)
 class Shape:
-    """base: of the logarithmic counts. probes: bits for each level of an n-gram. bits_per_token, most_bits: size
-    of the filter (the second is its bound: 64 MB). pair_weight: of the pair's share. frequent: so many words at
-    most, the most frequent ones, have their exact counts broadcast. task_tokens: training tokens for each task
-    that counts n-grams."""
+    """base: of the logarithmic counts. probes: bits for each level of an n-gram. bits_per_token: size of the
+    filter. pair_weight: of the pair's share. frequent: so many words at most, the most frequent ones, have their
+    exact counts broadcast. task_tokens: training tokens for each block of the filter, and each task that counts
+    n-grams."""
 
     base: float = 1.5
     probes: int = 3
     bits_per_token: int = 8
-    most_bits: int = 1 << 29
     pair_weight: float = 0.3
     frequent: int = 150_000
     task_tokens: int = 4_000_000
@@ -57,6 +58,8 @@ _PAIR, _START = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD)
 REMEMBERED = 300_000
 #: Bytes of text that are split into words at a time, and whose n-grams are counted before they are sent.
 SPLIT_BYTES, COUNT_BYTES = 2_000_000, 16_000_000
+#: Bytes of text whose n-grams go to the filter together.
+PORTION_BYTES = 6_000_000
 
 
 class Numbered(dict):
@@ -149,38 +152,47 @@ class Filter:
             bits[self.places(grams[levels >= level], level).ravel()] = True
         return np.packbits(bits, bitorder="little").tobytes()
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Quantised counts, 0 for what is not in the filter."""
-        out, left = np.zeros(len(grams)), np.arange(len(grams))
-        first = self.block(grams) * self.block_bits
+    def levels(self, grams: np.ndarray, bits: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
+        """Levels found in one block, 0 for what is not in it; with `first`, in blocks that begin at these bits."""
+        out, left = np.zeros(len(grams), dtype=np.uint8), np.arange(len(grams))
         level = 1
-        while len(left):
-            at = self.places(grams[left], level) + first[left]
+        while len(left) and level <= 200:
+            at = self.places(grams[left], level)
+            if first is not None:
+                at += first[left]
             hit = np.ones(len(left), dtype=bool)
             for row in at:
-                hit &= (self.bits[row >> 3] >> (row & 7).astype(np.uint8)) & 1 == 1
+                hit &= (bits[row >> 3] >> (row & 7).astype(np.uint8)) & 1 == 1
             left = left[hit]
-            # the middle of the counts of this level
-            low = self.shape.base ** (level - 1)
-            out[left] = 1 if level == 1 else low * (1 + self.shape.base) / 2
+            out[left] = level
             level += 1
-            if level > 200:
-                break
         return out
 
+    def middle(self, levels: np.ndarray) -> np.ndarray:
+        """The middle of the counts of each level."""
+        low = self.shape.base ** (np.arange(256) - 1.0)
+        return np.concatenate([[0.0, 1.0], low[2:] * (1 + self.shape.base) / 2])[levels]
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        """Quantised counts, 0 for what is not in the filter; it must be here whole."""
+        return self.middle(self.levels(grams, self.bits, self.block(grams) * self.block_bits))
+
 
 @dataclass
 class Model:
+    """filter: its shape only; blocks: the number of each block that is not empty, its bits, and how many are set."""
+
     vocabulary: DataFrame
     tokens: int
     words: int
     frequent: dict[bytes, int]
     filter: Filter
+    blocks: DataFrame
 
     @property
     def filled(self) -> float:
         """Share of the bits that are set: an absent n-gram passes with this to the power of the probes."""
-        return float(np.unpackbits(self.filter.bits).mean()) if len(self.filter.bits) else 0.0
+        return (self.blocks.agg(F.sum("ones")).first()[0] or 0) / (self.filter.blocks * self.filter.block_bits)
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -203,9 +215,9 @@ def _vocabulary(texts: DataFrame) -> DataFrame:
     return map_rows(texts, 0, "token binary, n long", run).groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _filter(texts: DataFrame, tokens: int, shape: Shape) -> Filter:
+def _filter(texts: DataFrame, tokens: int, shape: Shape) -> tuple[Filter, DataFrame]:
     blocks = max(16, -(-tokens // shape.task_tokens))
-    bits = min(shape.most_bits, max(1 << 16, shape.bits_per_token * tokens))
+    bits = max(1 << 16, shape.bits_per_token * tokens)
     made = Filter(blocks, -(-bits // blocks // 8) * 8, shape)
 
     def count(batches):
@@ -242,15 +254,12 @@ def _filter(texts: DataFrame, tokens: int, shape: Shape) -> Filter:
             once, more, n = _unpack(once), _unpack(more), np.frombuffer(n, dtype=np.int64)
             grams, where = np.unique(np.concatenate([once, more]), return_inverse=True)
             counts = np.bincount(where, weights=np.concatenate([np.ones(len(once)), n]), minlength=len(grams))
-            yield [[b], [made.build(grams, counts)]]
+            bits = made.build(grams, counts)
+            yield [[b], [bits], [int(np.bitwise_count(np.frombuffer(bits, dtype=np.uint8)).sum())]]
 
     sent = map_rows(texts, 0, "block int, once binary, more binary, n binary", count, rows=10_000)
-    built = map_rows(sent.repartitionById(blocks, F.col("block")), 0, "block int, bits binary", build)
-    made.bits = np.zeros(blocks * made.block_bits // 8, dtype=np.uint8)
-    for r in stage(built, "model-filter").toLocalIterator():  # most_bits together, a part at a time in the driver
-        at = r.block * made.block_bits // 8
-        made.bits[at : at + len(r.bits)] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
-    return made
+    built = map_rows(sent.repartitionById(blocks, F.col("block")), 0, "block int, bits binary, ones long", build)
+    return made, stage(built, "model-filter")
 
 
 def _least(vocabulary: DataFrame, shape: Shape) -> int:
@@ -273,7 +282,8 @@ def learn(docs: DataFrame, text: str = "text", shape: Shape = Shape()) -> Model:
     vocabulary = stage(_vocabulary(texts), "model-words")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     common = {bytes(r.token): r.n for r in vocabulary.where(F.col("n") >= _least(vocabulary, shape)).collect()}  # at most shape.frequent
-    return Model(vocabulary, total[0], total[1], common, _filter(texts, total[0], shape))
+    made = _filter(texts, total[0], shape)
+    return Model(vocabulary, total[0], total[1], common, *made)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -282,24 +292,69 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     Null and empty texts are one end. With nothing learnt, every word is unknown. Every row is scored whole,
     repeated ones each; columns that are not kept play no part.
     """
-    context = docs.sparkSession.sparkContext
-    shape, bound = model.filter.shape, model.tokens + model.words + 1
-    shared_bits, shared_words = context.broadcast(model.filter.bits), context.broadcast(model.frequent)
-    blocks, block_bits = model.filter.blocks, model.filter.block_bits
+    own, bound = model.filter, model.tokens + model.words + 1
+    shared_words = docs.sparkSession.sparkContext.broadcast(model.frequent)
     chosen = docs.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)], utf8(text).alias("text"))
 
     def run(batches):
+        """A row for each text, and one for each portion, by the number of its first text, with `data`."""
         words = Numbered(shared_words.value)
-        own = Filter(blocks, block_bits, shape, shared_bits.value)
         row = TaskContext.get().partitionId() << 33
         for *kept, data in batches:
-            for start, stop in portions(data, SPLIT_BYTES):
-                rows = list(range(row, row + stop - start))
+            for start, stop in portions(data, PORTION_BYTES):
+                parts = []
+                for a, b in portions(data[start:stop], SPLIT_BYTES):
+                    a, b = start + a, start + b
+                    part, columns = _base(data[a:b], words)
+                    parts.append(part)
+                    yield [*(k[a:b] for k in kept), list(range(row + a - start, row + b - start)), *columns, [None] * (b - a)]
+                yield [*([None] for _ in kept), [row], [None], [None], [None], [None], [_Portion.of(parts).pack()]]
                 row += stop - start
-                yield [*(k[start:stop] for k in kept), rows, *_score(data[start:stop], words, own, shape, bound)]
 
-    added = "row long, n_tokens long, known long, logs double, score double, rare array<struct<token: binary, n: int>>"
-    scored = stage(map_rows(chosen, len(keep), added, run), "model-scores")
+    def ask(batches):
+        for rows, data in batches:
+            for row, packed in zip(rows, data):
+                grams = np.unique(_Portion.unpack(packed).grams())
+                order, edges = _dealt(grams, own)
+                some = np.flatnonzero(np.diff(edges))
+                yield [[row] * len(some), some.tolist(), [_pack(grams[order[edges[b] : edges[b + 1]]]) for b in some]]
+
+    def answer(batches):
+        held, bits = None, None
+        for columns in batches:
+            out = []
+            for row, b, data in zip(*columns):
+                if row == _FIRST:
+                    held, bits = b, np.frombuffer(data, dtype=np.uint8)
+                else:
+                    grams = _unpack(data)
+                    found = own.levels(grams, bits) if held == b else np.zeros(len(grams), dtype=np.uint8)
+                    out.append((row, b, found.tobytes()))
+            yield [list(x) for x in zip(*out)]
+
+    def add(batches):
+        row, portion, found = None, None, []
+        for columns in batches:
+            for r, b, data in zip(*columns):
+                if b == _FIRST:
+                    if portion is not None:
+                        yield _score(row, portion, b"".join(found), own, bound)
+                    row, portion, found = r, _Portion.unpack(data), []
+                else:
+                    found.append(data)
+        if portion is not None:
+            yield _score(row, portion, b"".join(found), own, bound)
+
+    added = "row long, n_tokens long, known long, logs double, rare array<struct<token: binary, n: int>>, data binary"
+    staged = stage(map_rows(chosen, len(keep), added, run), "model-texts")
+    scored, portioned = staged.where("data IS NULL").drop("data"), staged.where("data IS NOT NULL").select("row", "data")
+
+    first, dealt = F.lit(_FIRST), "row long, block int, data binary"
+    asked = map_rows(portioned, 0, dealt, ask).union(model.blocks.select(first.cast("long"), "block", "bits"))
+    answers = map_rows(asked.repartitionById(own.blocks, F.col("block")).sortWithinPartitions("block", "row"), 0, dealt, answer)
+    met = portioned.select("row", first.cast("int").alias("block"), "data").union(answers)
+    scores = stage(map_rows(met.repartition("row").sortWithinPartitions("row", "block"), 0, "row long, score double", add), "model-scores")
+
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     counts = model.vocabulary.select("token", F.col("n").alias("c"))
     joined = rare.join(counts, "token", "left").groupBy("row")
@@ -307,7 +362,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("more"),
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("more_logs"),
     )
-    whole = scored.drop("rare").join(sums, "row", "left")
+    whole = scored.drop("rare").join(sums, "row", "left").join(scores, "row", "left")
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
     return whole.select(
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
@@ -319,24 +374,58 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     )
 
 
-def _score(data: list[bytes], words: Numbered, own: Filter, shape: Shape, bound: int) -> list:
+#: Comes before all rows and blocks.
+_FIRST = -1
+
+
+@dataclass
+class _Portion:
+    """Some texts: tokens of each; hashes and exact counts (0: not frequent) of their distinct words; the word of each token."""
+
+    sizes: np.ndarray
+    hashes: np.ndarray
+    exact: np.ndarray
+    word: np.ndarray
+
+    @classmethod
+    def of(cls, parts: list[tuple[list[int], np.ndarray, np.ndarray]]) -> _Portion:
+        sizes, hashes, exact = (np.concatenate(x) for x in zip(*parts))
+        distinct, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+        return cls(sizes, distinct, exact[first], word)
+
+    def pack(self) -> bytes:
+        head = np.array([len(self.sizes), len(self.hashes)], dtype=np.int64)
+        # bytes of like weight side by side: most of the upper ones are zero, and are compressed
+        word = self.word.astype(np.uint32).view(np.uint8).reshape(-1, 4).T
+        return b"".join(x.tobytes() for x in (head, self.sizes.astype(np.int64), self.hashes, self.exact, word))
+
+    @classmethod
+    def unpack(cls, packed: bytes) -> _Portion:
+        texts, words = np.frombuffer(packed, dtype=np.int64, count=2).tolist()
+        body = np.frombuffer(packed, dtype=np.int64, count=texts + 2 * words, offset=16)
+        word = np.frombuffer(packed, dtype=np.uint8, offset=16 + 8 * len(body)).reshape(4, -1)
+        hashes, exact = body[texts : texts + words].view(np.uint64), body[texts + words :]
+        return cls(body[:texts], hashes, exact, np.ascontiguousarray(word.T).view(np.uint32).ravel())
+
+    def grams(self) -> np.ndarray:
+        """What the filter is asked for: pairs of all tokens, words that are not frequent, and the start."""
+        both = pairs(self.hashes[self.word], self.sizes.tolist())[1]
+        return np.concatenate([both, self.hashes[self.exact == 0], [_START]])
+
+
+def _dealt(grams: np.ndarray, own: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the n-grams by block, and where in it each block begins."""
+    block = own.block(grams)
+    order = np.argsort(block, kind="stable")
+    return order, np.searchsorted(block[order], np.arange(own.blocks + 1))
+
+
+def _base(data: list[bytes], words: Numbered) -> tuple[tuple[list[int], np.ndarray, np.ndarray], list]:
+    """Tokens of each text, hash and exact count of each token; and the columns that need no filter."""
     split = [words_of(t) for t in data]
     sizes = [len(s) for s in split]
-    flat = list(chain.from_iterable(split))
-    hashes, exact = words.look_up(flat)
-    before, both = pairs(hashes, sizes)
-
-    count = exact.astype(float)
-    rare = exact == 0
-    count[rare] = own.counts(hashes[rare])
-    # the count of a history is that of the token before; a start's is in the filter
-    history = np.empty(len(flat))
-    history[1:] = count[:-1]
-    begins = np.cumsum([0, *sizes])[:-1]
-    history[begins] = own.counts(before[begins])
-    share = np.minimum(1.0, own.counts(both) / np.maximum(history, 1))
-    probability = shape.pair_weight * share + (1 - shape.pair_weight) * (count + 1) / bound
-    scores = np.add.reduceat(np.log10(probability), begins)
+    hashes, exact = words.look_up(list(chain.from_iterable(split)))
+    rare, begins = exact == 0, np.cumsum([0, *sizes])[:-1]
     logs = np.add.reduceat(np.where(rare, 0.0, np.log10(exact + 1)), begins)
     known = np.add.reduceat((~rare).astype(np.int64), begins)
     unknown = [Counter(s[i] for i in np.flatnonzero(rare[b : b + n]).tolist()) for s, b, n in zip(split, begins.tolist(), sizes)]
@@ -344,4 +433,25 @@ def _score(data: list[bytes], words: Numbered, own: Filter, shape: Shape, bound:
     times = pa.array(list(chain.from_iterable(u.values() for u in unknown)), type=pa.int32())
     ends = pa.array(np.cumsum([0, *map(len, unknown)]), type=pa.int32())
     listed = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([tokens, times], names=["token", "n"]))
-    return [sizes, known.tolist(), logs.tolist(), scores.tolist(), listed]
+    return (sizes, hashes, exact), [sizes, known.tolist(), logs.tolist(), listed]
+
+
+def _score(row: int, portion: _Portion, found: bytes, own: Filter, bound: int) -> list:
+    """Numbers and scores of a portion's texts; `found`: levels of its n-grams, block after block."""
+    grams, where = np.unique(portion.grams(), return_inverse=True)
+    levels = np.zeros(len(grams), dtype=np.uint8)
+    levels[_dealt(grams, own)[0]] = np.frombuffer(found, dtype=np.uint8)
+    counts = own.middle(levels)[where]
+
+    tokens, rare = len(portion.word), portion.exact == 0
+    each = portion.exact.astype(float)
+    each[rare] = counts[tokens:-1]
+    count = each[portion.word]
+    # the count of a history is that of the token before; a start's is in the filter
+    history = np.empty(tokens)
+    history[1:] = count[:-1]
+    begins = np.cumsum([0, *portion.sizes])[:-1]
+    history[begins] = counts[-1]
+    share = np.minimum(1.0, counts[:tokens] / np.maximum(history, 1))
+    probability = own.shape.pair_weight * share + (1 - own.shape.pair_weight) * (count + 1) / bound
+    return [list(range(row, row + len(begins))), np.add.reduceat(np.log10(probability), begins).tolist()]
