@@ -61,3 +61,18 @@ def test_sample_is_bounded(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
     model = tox.fit_model(docs, labels, fit=tox.Fit(per_class=5))
     assert model.weights.shape == (tox.SPACE,)
+
+
+def test_recall_at_the_cut(spark):
+    """Of held-out toxic texts most are found, long ones too."""
+    sf = "/root/testdata/sf0.1"
+    rows = {r.doc_id: r for r in QUERIES["op4_toxicity"](spark, sf).collect()}
+    chars = {d["doc_id"]: len(d["text"] or "") for d in given(sf=sf)}
+    held = [(rows[r["doc_id"]].predicted, r["toxic"], chars[r["doc_id"]]) for r in given("labels", sf) if rows[r["doc_id"]].held_out]
+
+    def recall(least: int) -> float:
+        found = [p for p, t, n in held if t and n > least]
+        return sum(found) / len(found)
+
+    assert recall(0) >= 0.8 and recall(3000) >= 0.8 and recall(10_000) >= 0.8
+    assert sum(p for p, t, _ in held if not t) <= 0.01 * len(held)

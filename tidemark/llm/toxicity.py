@@ -60,7 +60,7 @@ class Fit:
     per_class: int = 4000
     counterfactual: float = 1.0
     l1: float = 0.5
-    positive: float = 0.5
+    positive: float = 1.0
     steps: int = 150
     rate: float = 0.3
     least_texts: int = 2
