@@ -76,3 +76,16 @@ def test_recall_at_the_cut(spark):
 
     assert recall(0) >= 0.8 and recall(3000) >= 0.8 and recall(10_000) >= 0.8
     assert sum(p for p, t, _ in held if not t) <= 0.01 * len(held)
+
+
+def test_runs_without_spaces_are_looked_at_whole():
+    """What is learnt is far behind the first 64 bytes of the only word, in Chinese and in one unbroken ASCII run."""
+    rnd = random.Random(8)
+    for letters, bad in (("天地人山水火木金土日月星雨雪風", "壞惡毒"), ("abcdefghijklmno", "vwxyzzyx")):
+        made = ["".join(rnd.choices(letters, k=150)) for _ in range(240)]
+        labels = [i % 2 for i in range(240)]
+        texts = [(t[:100] + bad + t[100:] if y else t).encode() for t, y in zip(made, labels)]
+        packed = [tox.np.array(sorted(tox._features_of(tox.words_of(t))), dtype=tox.np.int32) for t in texts]
+        model = tox.train([p.tobytes() for p in packed[:160]], [None] * 160, labels[:160], tox.Fit())
+        logits = [model.bias + model.weights[p].sum() for p in packed[160:]]
+        assert sum((z >= 0) == y for z, y in zip(logits, labels[160:])) >= 76

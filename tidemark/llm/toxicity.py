@@ -1,6 +1,7 @@
 """A toxicity classifier that is regularised by counterfactuals.
 
-Logistic regression on the distinct words of a text and the beginnings of those words, hashed. In labelled texts
+Logistic regression on the distinct words of a text and the beginnings of those words, hashed. Long words, and those
+in scripts that mostly go without spaces, are looked at in all their places, by short pieces. In labelled texts
 that mention a group, the terms are swapped for other groups' terms; the squared change of the score between
 the two is part of the loss, so mentioning a group, by itself, is kept from moving the score.
 
@@ -25,8 +26,10 @@ from tidemark.llm.rows import map_rows, utf8
 SPACE = 1 << 18
 #: Words a task remembers; later new ones are hashed each time. Bounds memory, not results.
 REMEMBERED = 400_000
-#: Longest part of a word that is a feature, in bytes; beginnings that are features of their own.
-WORD_BYTES, BEGINNINGS = 64, (4, 5, 6, 7, 8)
+#: Beginnings of a word that are features of their own, in bytes.
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: Words longer than this, or with characters of three bytes or more, have pieces of so many bytes from each character on.
+WORD_BYTES, PIECE = 64, 6
 
 # Words for groups of people that are swapped for each other, one list for each kind and language.
 IDENTITY_TERMS = (
@@ -68,9 +71,10 @@ class Fit:
 
 
 def features(word: bytes) -> tuple[int, ...]:
-    word = word[:WORD_BYTES]
     parts = [b"w" + word, *(b"%d" % n + word[:n] for n in BEGINNINGS if len(word) > n)]
-    return tuple(zlib.crc32(p) % SPACE for p in parts)
+    if len(word) > WORD_BYTES or max(word, default=0) >= 0xE0:
+        parts += {b"p" + word[i : i + PIECE] for i in range(len(word) - PIECE + 1) if word[i] & 0xC0 != 0x80}
+    return tuple({zlib.crc32(p) % SPACE: None for p in parts})
 
 
 def words_of(text: bytes) -> set[bytes]:
