@@ -117,3 +117,11 @@ def test_query(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (n, n - len(kept), runs, hashlib.sha256(kept).hexdigest())
         removed += r.n_removed
     assert removed
+
+
+def test_long_strings(spark):
+    """Contexts of more than 255 strings."""
+    rnd = random.Random(9)
+    passage = "".join(rnd.choice("abcdefgh é") for _ in range(3000))
+    rows = [(i, "".join(rnd.choice("xyz ") for _ in range(50)) + passage[i * 90 : i * 90 + 1500]) for i in range(15)]
+    assert run(spark, rows, length=400) == brute(rows, 400)

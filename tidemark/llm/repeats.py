@@ -207,7 +207,7 @@ def earlier_strings(contexts: list[bytes], places: list[np.ndarray], length: int
     return np.split(found, np.cumsum(strings)[:-1])
 
 
-_PACKED = (("key", 6), ("whole", 6), ("id", 8), ("hash", 8), ("start", 4), ("more", 1))
+_PACKED = (("key", 6), ("whole", 6), ("id", 8), ("hash", 8), ("start", 4), ("more", 4))
 
 
 def _pack(columns: list[np.ndarray]) -> bytes:
