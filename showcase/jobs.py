@@ -33,6 +33,7 @@ from tidemark import (
     unprocessed_files,
 )
 from tidemark.functions.docs import LONG, TEXT, record, to_doc
+from tidemark.operators.merge import merge_colocated
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS, UPLOADS
 from tidemark.plans.loads import bad_documents, changes_to_rows, table_for
 from tidemark.session import scratch_dir, stage
@@ -246,6 +247,32 @@ def merge_catalog_table(spark, sf_dir):
     return scalars(spark.table(name).drop(BUCKET))
 
 
+@query(sql.with_(sql.REPORTS, sql.merged(sql.REPORT, sql.REPORT_KEY)))
+def merge_colocated_buckets(spark, sf_dir):
+    """A batch of all orders into a stored table: joined where the table's buckets lie."""
+    table = _loaded(spark, REPORTS, feeds.report_snapshot(spark, sf_dir))
+    merge_into(REPORTS.with_(buckets=_BUCKETS), table, feeds.report_changes(spark, sf_dir), "all orders")
+    return scalars(table.read())
+
+
+@query(
+    sql.with_(
+        sql.UPLOADS,
+        f"SELECT 'written' AS phase, * FROM t UNION ALL SELECT 'published', * FROM ({sql.merged(sql.UPLOAD, sql.UPLOAD_KEY)})",
+    )
+)
+def merge_publish_once(spark, sf_dir):
+    """What readers of the table see when a batch is written, but not published, and after that."""
+    table = _loaded(spark, UPLOADS, feeds.upload_snapshot(spark, sf_dir))
+    batch = stage(table.in_table_types(changes_to_rows(UPLOADS, feeds.upload_changes(spark, sf_dir))))
+    touched = table.buckets_of(batch)
+    merged = merge_colocated(table.read(touched), batch, UPLOADS.keys, table.buckets)
+    table.prepare(merged, touched, "uploads", placed=True)
+    seen = table.read()
+    table.finish()
+    return scalars(seen).select(F.lit("written").alias("phase"), "*").union(scalars(table.read()).select(F.lit("published"), "*"))
+
+
 _TYPED = {
     "_orig_id": "o_orderkey::VARCHAR",
     "transact_seq": "1::BIGINT",

@@ -5,6 +5,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from showcase.feeds import write_landing
 from tidemark import (
@@ -26,10 +27,11 @@ from tidemark import (
     table_exists,
     unprocessed_files,
 )
-from tidemark.functions.docs import LONG, TEXT, list_of, record
+from tidemark.functions.docs import DATE, LONG, TEXT, list_of, record
+from tidemark.operators.merge import merge_colocated
 from tidemark.plans.collections import ACCESS, COLLECTIONS, ERRORS, REPORTS, UPLOADS
 from tidemark.plans.loads import BROADCAST_BYTES, is_small, merge_into, table_for
-from tidemark.session import staged_bytes
+from tidemark.session import files_under, staged_bytes
 from tidemark.sources.envelope import envelope_schema
 from tidemark.sources.ledger import create_ledger
 
@@ -135,7 +137,7 @@ def test_a_batch_is_committed_once_and_only_in_its_buckets(spark, place):
     snapshot(spark, place)
     table = initial_load(spark, SPEC, place["landing"], place["tables"])
     change = envelopes(spark, [("U", "b", 2, None, doc("b", 2, "x"))])
-    paths = lambda: {r[0] for r in spark.table(table.name).select("_metadata.file_path").distinct().collect()}
+    paths = lambda: {r[0] for r in table.read().select(F.input_file_name()).distinct().collect()}
     old = paths()
     assert merge_into(SPEC, table, change, "batch-1")
     assert not merge_into(SPEC, table, change, "batch-1")
@@ -151,14 +153,74 @@ def test_interrupted_batch_is_finished_by_the_next(spark, place, monkeypatch):
     with pytest.raises(Exception, match="lost"):
         table.replace(broken, {0, 1, 2, 3}, "bad")
     assert contents(table.read()) == before and not table.has_batch("bad")
-    # the stage is written and noted, then the job dies
+    # the rows are written and noted, then the job dies: readers see nothing of it
     change = envelopes(spark, [("D", "b", 2, None, doc("b", 2, "x")), ("D", "none", 2, None, doc("none", 2, "x"))])
-    monkeypatch.setattr(BucketTable, "finish", lambda self: None)
+    reader = table.read()
+    monkeypatch.setattr(BucketTable, "_show", lambda self, note: None)
     merge_into(SPEC, table, change, "half")
     assert contents(table.read()) == before
     monkeypatch.undo()
+    forgotten = {r[0] for r in reader.select(F.input_file_name()).collect()}
     assert not merge_into(SPEC, table, change, "half"), "what was staged is written, and the batch is not merged again"
     assert contents(table.read()) == [("a", "x", 1, 1), ("a", "y", 1, 1), ("c", "", 1, 1), ("none", "x", 2, 2)]
+    assert contents(reader) == before, "a reader that began before goes on reading what it saw"
+    merge_into(SPEC, table, envelopes(spark, [("D", "b", 3, None, doc("b", 3, "x")), ("D", "none", 3, None, doc("none", 3, "x"))]), "later")
+    there = {f for f, _ in files_under(spark, table.path)}
+    assert not any(f in there for f in forgotten if "in_commit=1/in_bucket=1" in f), "files of two commits ago are removed"
+
+
+def test_each_row_is_written_once(spark, place):
+    snapshot(spark, place)
+    table = initial_load(spark, SPEC, place["landing"], place["tables"])
+    before = {f: n for f, n in files_under(spark, table.path) if f.endswith(".parquet")}
+    merge_into(SPEC, table, envelopes(spark, [("U", "b", 2, None, doc("b", 2, "x"))]), "1")
+    new = [f for f, _ in files_under(spark, table.path) if f.endswith(".parquet") and f not in before]
+    assert len(new) == 1, "one file, for the one bucket"
+    assert sum(r["files"] for r in table.files().collect()) == len(before)
+
+
+def test_a_large_batch_is_merged_where_the_target_lies(spark, place):
+    """Neither exchange nor sort of the target: it is stored in buckets of the key, and sorted."""
+    rows = spark.range(40000).selectExpr("string(id) AS _id", "id AS n", "concat('k', id % 3) AS kid_k", "'o' AS _orig_id", "1L AS transact_seq", "current_timestamp() AS transact_change_timestamp")
+    table = table_for(spark, SPEC, place["tables"] + "/many")
+    table.create(rows)
+    batch = rows.where("n % 2 = 0").selectExpr("* EXCEPT (transact_seq)", "2L AS transact_seq", "'U' AS Op")
+    merged = merge_colocated(table.read(range(4)), batch, SPEC.keys, table.buckets)
+    assert merged.count() == 40000 and merged.where("transact_seq = 2").count() == 20000
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    join = plan.index("SortMergeJoin")
+    scan = plan.index("Scan parquet", join)
+    assert "Exchange" not in plan[join:scan], "the target stays where it lies"
+    assert "Sort [" not in plan[join:scan], "the target comes sorted"
+
+
+@pytest.mark.parametrize("spec", [REPORTS, ACCESS], ids=["dates", "dotted"])
+def test_wrapped_dates_and_dotted_keys_in_a_stored_table(spark, place, spec):
+    """Types with a `$` in them and keys with a dot: loaded, emptied bucket by bucket, found again, merged, widened."""
+    spec = spec.with_(buckets=4, options={"insert_deletes": False})
+    folder = f"{place['landing']}/{spec.name}"
+    shape = {
+        "reports": '{"_id":"%s","fromDate":{"$date":5},"patients":[{"_id":"p"}]}',
+        "access": '{"_id":{"$oid":"%s"},"audit":[{"reportId":"r","date":{"$date":5}}]}',
+    }[spec.name]
+    text = lambda key: shape % key
+    land(spark, folder, [(k, 1, None, text(k)) for k in "abcdefgh"], "LOAD", with_op=False)
+    table = initial_load(spark, spec, place["landing"], f"{place['tables']}/{spec.name}")
+    keys = lambda: sorted(r["_orig_id"] for r in table.read().collect())
+    assert keys() == list("abcdefgh")
+    gone = sorted(r["_orig_id"] for r in table.read([next(iter(table.buckets_of(table.read())))]).collect())
+    merge_into(spec, table, envelopes(spark, [("D", k, 2, None, text(k)) for k in gone]), "empty a bucket")
+    left = [k for k in "abcdefgh" if k not in gone]
+    assert keys() == left
+    drop_table(spark, table.name)
+    drop_table(spark, table.rows_name)
+    assert table.exists() and keys() == left and table.has_batch("empty a bucket")
+    merge_into(spec, table, envelopes(spark, [("U", "z", 3, None, text("z"))]), "after")
+    assert keys() == [*left, "z"]
+    wider = spec.with_(doc_schema=T.StructType([*spec.doc_schema.fields, T.StructField("laterDate", DATE)]))
+    grown = table_for(spark, wider, table.path)
+    merge_into(wider, grown, envelopes(spark, [("U", "y", 4, None, text("y")[:-1] + ',"laterDate":{"$date":7}}')]), "wider")
+    assert {r["_orig_id"]: r["laterDate"] for r in grown.read().where("laterDate IS NOT NULL").collect()} == {"y": (7,)}
 
 
 def test_rows_outside_the_touched_buckets_are_refused(spark, place):

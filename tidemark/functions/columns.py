@@ -24,6 +24,22 @@ def names(columns: Sequence[str]) -> list[str]:
     return [quote(c) for c in columns]
 
 
+def type_sql(dtype: T.DataType) -> str:
+    """A type as SQL reads it, with the names of nested fields quoted (`simpleString` leaves them bare)."""
+    if isinstance(dtype, T.StructType):
+        return f"struct<{', '.join(f'{quote(f.name)}: {type_sql(f.dataType)}' for f in dtype)}>"
+    if isinstance(dtype, T.ArrayType):
+        return f"array<{type_sql(dtype.elementType)}>"
+    if isinstance(dtype, T.MapType):
+        return f"map<{type_sql(dtype.keyType)}, {type_sql(dtype.valueType)}>"
+    return dtype.simpleString()
+
+
+def columns_sql(fields: Sequence[T.StructField]) -> str:
+    """Column definitions for CREATE TABLE and ADD COLUMNS."""
+    return ", ".join(f"{quote(f.name)} {type_sql(f.dataType)}" for f in fields)
+
+
 def any_null(columns: Sequence[str]) -> Column:
     return F.expr(any_null_sql(columns))
 
@@ -59,5 +75,5 @@ def zero_sql(columns: Sequence[str]) -> str:
 
 
 def bucket_of(columns: Sequence[str], buckets: int) -> Column:
-    """Stable bucket number of a key, the same on every cluster and in every run."""
-    return F.pmod(F.xxhash64(*names(columns)), F.lit(buckets)).cast("int")
+    """Bucket number of a key: the one that Spark's own bucketed tables give it, on every cluster and in every run."""
+    return F.pmod(F.hash(*names(columns)), F.lit(buckets)).cast("int")

@@ -238,11 +238,48 @@ def merge_parts(
 
 def no_repeats(source: DataFrame, keys: Sequence[Key]) -> bool:
     """Whether no key of the source repeats, NULL keys aside. Meant for a staged source, of which it reads the keys."""
-    own = [col(s) for _, s in _pairs(keys)]
-    counts = source.select(*own).dropna().groupBy(*own).agg(F.count(F.lit(1)).alias("__rows"))
+    own = [s for _, s in _pairs(keys)]
+    counts = source.where(~any_null(own)).groupBy(*[col(s) for s in own]).agg(F.count(F.lit(1)).alias("__rows"))
     return counts.where("__rows > 1").isEmpty()
 
 
+def merge_colocated(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    partitions: int,
+    *,
+    delete_when: str | Column = f"{OP} = '{DELETE}'",
+    insert_deletes: bool = True,
+    seq_guard: str | None = None,
+) -> DataFrame:
+    """The whole merge as one full outer join, for a target that is stored in `partitions` buckets of the keys.
+
+    Only the source is shuffled, into the target's buckets; each task then holds whole buckets of the result, which can
+    be written as they are. No source key may repeat (`no_repeats`), and NULL keys match nothing: source rows that have one are
+    added beside the join, so they are never gathered in one task.
+    """
+    sides = _Sides(target, source, keys, delete_when, None, (), seq_guard, (), False)
+    values = sides.values
+    placed = sides.matchable().withColumn("__hit", F.lit(True)).repartition(partitions, *sides.s_keys)
+    joined = sides.t.withColumn("__old", F.lit(True)).join(placed, sides.condition(spread=False), "full_outer")
+    matched = "(coalesce(__old, false) AND coalesce(__hit, false))"
+    acts = f"({matched} AND coalesce(__sseq > __tseq, false))" if seq_guard else matched
+    taken = f"({acts} OR __old IS NULL)"
+    leaves = f"({acts} AND __delete)" if insert_deletes else f"({taken} AND __delete)"
+    whole = joined.where(f"NOT coalesce({leaves}, false)").selectExpr(
+        *[f"CASE WHEN {taken} THEN {values[c]} ELSE {quote(c)} END AS {quote(c)}" if c in values else quote(c) for c in sides.types]
+    )
+    keyless = sides.s.where(any_null(sides.strict))
+    if not insert_deletes:
+        keyless = keyless.where("NOT __delete")
+    return whole.union(
+        keyless.select(
+            *[F.expr(f"{values[c]} AS {quote(c)}") if c in values else F.lit(None).cast(t).alias(c) for c, t in sides.types.items()]
+        )
+    )
+
+
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[Key], **options) -> DataFrame:
     """`merge_parts`, put together: the whole table after the merge."""
     kept, added = merge_parts(target, source, keys, **options)

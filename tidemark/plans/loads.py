@@ -14,7 +14,7 @@ from tidemark.functions.docs import DELETE, KEY, OP, SEQ
 from tidemark.operators.evolve import align_to_schema
 from tidemark.operators.flatten import flatten
 from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import merge_parts, no_repeats, replace_children
+from tidemark.operators.merge import merge_colocated, merge_parts, no_repeats, replace_children
 from tidemark.operators.parse import parse_docs, unreadable, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
 from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
@@ -23,6 +23,8 @@ from tidemark.sources.tables import BucketTable, default_name
 
 # A staged batch is broadcast to the merge up to this many bytes in memory; a larger one is shuffled.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# A stored bucket of up to this many file bytes is merged by one task; larger ones are split.
+BUCKET_BYTES = 512 * 1024 * 1024
 
 
 def snapshot_to_rows(spec: CollectionSpec, envelopes: DataFrame) -> DataFrame:
@@ -57,6 +59,11 @@ def merge_rows(
     return merge_parts(target, rows, spec.keys, small_source=small_source, unique=unique, **spec.options)
 
 
+def colocated(spec: CollectionSpec) -> bool:
+    """Whether the merge goes by the very key that the table is stored by, and by nothing that `merge_colocated` lacks."""
+    return not spec.parents and set(spec.options) <= {"insert_deletes", "seq_guard", "delete_when"}
+
+
 def is_small(staged: DataFrame) -> bool:
     """Whether a staged frame may be broadcast: by its size in memory. Files larger than the bound
     are not even measured, as rows are never smaller than their files."""
@@ -117,15 +124,19 @@ def merge_into(spec: CollectionSpec, table: BucketTable, changes: DataFrame, bat
     if table.has_batch(batch) and not (guard and not deleted_keys(spec, table, guard).has_batch(batch)):
         return False
     table.widen()
-    rows, small, path = staged_batch(spec, changes)
-    rows = table.in_table_types(rows)
+    path = scratch_dir(table.spark, f"{spec.name}-batch")
+    rows = table.in_table_types(stage(changes_to_rows(spec, changes), path=path))
     deleted = deleted_keys(spec, table, guard) if guard else None
     new = not table.has_batch(batch)
     if new:
         fresh = newer_than_deletes(spec, rows, deleted, guard) if deleted and deleted.exists() else rows
-        touched = table.buckets_of(rows)
-        kept, added = merge_rows(spec, table.read(touched), fresh, small_source=small)
-        table.replace(kept.unionByName(added), touched, batch)
+        touched, repeats = table.buckets_and_repeats(rows)
+        if not repeats and colocated(spec) and table.largest(touched) <= BUCKET_BYTES:
+            merged = merge_colocated(table.read(touched), fresh, spec.keys, table.buckets, **spec.options)
+            table.replace(merged, touched, batch, placed=True)
+        else:
+            kept, added = merge_rows(spec, table.read(touched), fresh, small_source=is_small(fresh))
+            table.replace(kept.unionByName(added), touched, batch)
     if deleted:
         gone = rows.where(F.col(OP) == DELETE).groupBy(*[col(k) for k in table.keys]).agg(F.max(col(guard)).alias(guard))
         _upsert(deleted, gone, batch, guard, seq_guard=guard)
@@ -164,10 +175,12 @@ def _upsert(table: BucketTable, rows: DataFrame, batch: str, seq: str, **options
     table.finish()
     if table.has_batch(batch):
         return
-    staged = stage(table.in_table_types(rows), "side-rows")
+    path = scratch_dir(table.spark, "side-rows")
+    staged = stage(table.in_table_types(rows), path=path)
     touched = table.buckets_of(staged)
     kept, added = merge_parts(table.read(touched), staged, table.keys, delete_when=F.lit(False), on_duplicate="latest", order=[seq], **options)
     table.replace(kept.unionByName(added), touched, batch)
+    remove(table.spark, path)
 
 
 def run(

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # a stored bucket is one sorted file, so a join by its key need not sort it again
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 
@@ -66,8 +68,45 @@ def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataF
 
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a staged folder that nothing needs any more."""
+    place, system = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def files_under(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and bytes of every file below a folder, from one recursive listing; none if it is not there."""
+    place, system = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    found, files = [], system.listFiles(place, True)
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen()))
+    return found
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside its place, then renamed."""
+    place, system = _file_system(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = system.create(beside, True)
+    out.write(text.encode())
+    out.close()
+    if not system.rename(beside, place):
+        raise OSError(f"{path} is there already")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, system = _file_system(spark, path)
+    opened = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
 
 
 def memory_bytes(df: DataFrame) -> int:

@@ -1,28 +1,33 @@
-"""Curated tables: catalog tables of parquet files, partitioned by a bucket of the key.
+"""Curated tables: parquet files in buckets of the key, behind a view that a merge moves on in one step.
 
-A merge writes the partitions of the touched buckets only. It cannot overwrite files it reads, so its result is
-staged first and noted as pending in the table's properties; then the partitions are overwritten from the stage.
-If that is cut short, the next use of the table overwrites them again from the same stage, so a batch acts once.
-One writer at a time. The properties live in the catalog: use one that outlasts the session.
+The rows are a catalog table `<name>_rows`, partitioned by the commit that wrote them and the bucket of their key, and
+stored in Spark's own buckets of the key. A commit writes each touched bucket once, into partitions of its own that no
+reader sees yet; then a note beside the files says which commit each bucket is at, and the view `<name>` is altered to
+that: one change in the catalog, so readers see the whole batch or nothing of it. What the view before it showed is kept
+until the next commit, for readers that are still at it.
+
+If a job dies before the note, nothing has happened; after it, the next use of the table moves the view on. The notes are
+files, so a catalog that has lost the table gets it back as it was. One writer at a time.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import bucket_of, col, names, quote
-from tidemark.session import remove, scratch_dir
-from tidemark.sources.envelope import has_files
+from tidemark.functions.columns import any_null, bucket_of, col, columns_sql, names, quote
+from tidemark.session import files_under, read_text, remove, write_text
 
-BUCKET = "in_bucket"
-#: Table properties: the last batch that is in, and the one that is being written.
-BATCH, PENDING = "tidemark.batch", "tidemark.pending"
+BUCKET, COMMIT = "in_bucket", "in_commit"
+#: View properties: the last batch that is in, and the commit that the view shows.
+BATCH, SHOWN = "tidemark.batch", "tidemark.commit"
+PLACE = (T.StructField(COMMIT, T.IntegerType()), T.StructField(BUCKET, T.IntegerType()))
 
 
 class BucketTable:
@@ -33,6 +38,7 @@ class BucketTable:
     ) -> None:
         self.spark = spark
         self.name = ".".join(quote(part.strip("`")) for part in name.split("."))
+        self.rows_name = f"{self.name[:-1]}_rows`"
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
@@ -40,22 +46,34 @@ class BucketTable:
 
     def exists(self) -> bool:
         """Whether the table is there. Files that the catalog does not know (a new session of a catalog in
-        memory) are entered into it."""
+        memory) are entered into it as their newest note says."""
         if table_exists(self.spark, self.name):
             return True
-        if not has_files(self.spark, self.path):
+        note = self._newest_note()
+        if note is None:
             return False
-        create_database_of(self.spark, self.name)
-        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in [*self.schema, T.StructField(BUCKET, T.IntegerType())])
-        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY ({BUCKET}) LOCATION '{self.path}'")
-        self.spark.sql(f"MSCK REPAIR TABLE {self.name}")
+        self._enter_rows()
+        self._show(note)
         return True
 
     def create(self, df: DataFrame) -> None:
         """The table from these rows, in place of one that may be there."""
+        drop_table(self.spark, self.rows_name)
+        self._enter_rows()
+        self.replace(df, range(self.buckets), "")
+
+    def _enter_rows(self) -> None:
+        """Makes the catalog table of the rows, of files that may be there; where it is known already, nothing."""
         create_database_of(self.spark, self.name)
-        rows = _spread_out(self._sliced(df)).write.mode("overwrite").format("parquet").partitionBy(BUCKET)
-        rows.option("path", self.path).saveAsTable(self.name)
+        if table_exists(self.spark, self.rows_name):
+            return
+        keys = ", ".join(names(self.keys))
+        self.spark.sql(
+            f"CREATE TABLE {self.rows_name} ({columns_sql([*self.schema, *PLACE])}) USING parquet PARTITIONED BY ({COMMIT}, {BUCKET}) "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{_escaped(self.path)}'"
+        )
+        if self._stored():
+            self.spark.sql(f"MSCK REPAIR TABLE {self.rows_name}")
 
     def read(self, buckets: Collection[int] | None = None) -> DataFrame:
         """The table, or only its rows in the given buckets: other partitions are not listed or opened."""
@@ -66,11 +84,11 @@ class BucketTable:
 
     def widen(self) -> list[str]:
         """Adds the columns of `schema` that the stored table does not have; old rows have NULL in them."""
-        there = set(self.spark.table(self.name).columns)
+        there = set(self.spark.table(self.rows_name).columns)
         new = [f for f in self.schema if f.name not in there]
         if new:
-            columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
-            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
+            self.spark.sql(f"ALTER TABLE {self.rows_name} ADD COLUMNS ({columns_sql(new)})")
+            self._show(self._newest_note())
         return [f.name for f in new]
 
     def in_table_types(self, rows: DataFrame) -> DataFrame:
@@ -83,41 +101,52 @@ class BucketTable:
         keys = self.in_table_types(rows.select(*names(self.keys)))
         return {r[0] for r in keys.select(bucket_of(self.keys, self.buckets)).distinct().collect()}
 
-    def replace(self, rows: DataFrame, touched: Collection[int], batch: str) -> None:
+    def buckets_and_repeats(self, rows: DataFrame) -> tuple[set[int], bool]:
+        """Buckets of the rows' keys, and whether a key without NULL comes twice: one job over the keys."""
+        keys = self.in_table_types(rows.select(*names(self.keys)))
+        counts = keys.groupBy(*names(self.keys)).agg(F.count(F.lit(1)).alias("__rows"))
+        often = F.max(F.when(any_null(self.keys), 1).otherwise(F.col("__rows")))
+        found = counts.groupBy(bucket_of(self.keys, self.buckets).alias("b")).agg(often.alias("often")).collect()
+        return {r.b for r in found}, any(r.often > 1 for r in found)
+
+    def largest(self, touched: Collection[int]) -> int:
+        """File bytes of the largest of these buckets."""
+        note = self._newest_note() or {"live": {}}
+        return max([note["live"].get(b, (0, 0))[1] for b in touched], default=0)
+
+    def replace(self, rows: DataFrame, touched: Collection[int], batch: str, placed: bool = False) -> None:
         """Puts `rows` in place of all rows of the touched buckets, as this batch."""
-        path = scratch_dir(self.spark, "commit")
-        self._sliced(rows).write.mode("errorifexists").parquet(path)
-        staged = self.spark.read.parquet(path)
-        stray = [r[0] for r in staged.select(BUCKET).distinct().collect() if r[0] not in touched]
-        if stray:
-            remove(self.spark, path)
-            raise ValueError(f"rows of buckets {sorted(stray)}, which the batch does not touch")
-        self._set({PENDING: json.dumps({"batch": batch, "path": path, "touched": sorted(touched)})})
+        self.prepare(rows, touched, batch, placed)
         self.finish()
 
+    def prepare(self, rows: DataFrame, touched: Collection[int], batch: str, placed: bool = False) -> None:
+        """Writes the rows that are to replace those of the touched buckets, each once; `finish` shows them.
+
+        `placed`: the rows of a bucket lie in one task each, as `merge_colocated` leaves them. Others are shuffled by
+        bucket, a bucket too large for one task to several.
+        """
+        commit = self._next_commit()
+        stored = [c for c in self.spark.table(self.rows_name).columns if c not in (COMMIT, BUCKET)]
+        sliced = self.in_table_types(rows).select(*names(stored), F.lit(commit).alias(COMMIT), bucket_of(self.keys, self.buckets).alias(BUCKET))
+        (sliced if placed else sliced.hint("rebalance", BUCKET)).write.insertInto(self.rows_name)
+        filled: dict[int, int] = {}
+        for file, size in files_under(self.spark, f"{self.path}/{COMMIT}={commit}"):
+            if found := re.search(rf"/{BUCKET}=(\d+)/[^/_.][^/]*$", file):
+                filled[int(found[1])] = filled.get(int(found[1]), 0) + size
+        stray = sorted(set(filled) - set(touched))
+        if stray:
+            self._forget((commit, b) for b in filled)
+            raise ValueError(f"rows of buckets {stray}, which the batch does not touch")
+        before = self._newest_note()
+        live = {b: at for b, at in before["live"].items() if b not in set(touched)} if before else {}
+        note = {"commit": commit, "batch": batch, "live": live | {b: (commit, size) for b, size in filled.items()}}
+        write_text(self.spark, self._note_path(commit), json.dumps(note))
+
     def finish(self) -> None:
-        """Writes what is staged and not yet in the table; usually nothing."""
-        text = self.properties().get(PENDING)
-        if not text:
-            return
-        pending = json.loads(text)
-        staged = self.spark.read.parquet(pending["path"])
-        filled = {r[0] for r in staged.select(BUCKET).distinct().collect()}
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:
-            if filled:
-                _spread_out(staged).select(*names(self.spark.table(self.name).columns)).write.mode("overwrite").insertInto(self.name)
-        finally:
-            self.spark.conf.set(mode, before)
-        stored = {int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
-        for bucket in stored & set(pending["touched"]) - filled:
-            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.spark.table(self.name).schema if f.name != BUCKET)
-            empty = f"SELECT {nothing} WHERE false"
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({BUCKET} = {bucket}) {empty}")
-        self._set({BATCH: pending["batch"], PENDING: ""})
-        remove(self.spark, pending["path"])
+        """Shows what is written and noted but not yet in the view, in one step; usually nothing is."""
+        note = self._newest_note()
+        if note and not (table_exists(self.spark, self.name) and self.properties().get(SHOWN) == str(note["commit"])):
+            self._show(note)
 
     def has_batch(self, batch: str) -> bool:
         """Whether this batch was the last one to go in; batches come one after the other."""
@@ -126,30 +155,76 @@ class BucketTable:
     def properties(self) -> dict[str, str]:
         return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
 
-    def _set(self, values: dict[str, str]) -> None:
-        text = ", ".join(f"'{k}' = '{_escaped(v)}'" for k, v in values.items())
-        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({text})")
-
-    def _sliced(self, df: DataFrame) -> DataFrame:
-        rows = self.in_table_types(df).select(*names(self.schema.names))
-        return rows.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-
     def files(self) -> DataFrame:
-        """`in_bucket`, `files`, `bytes` of the stored buckets."""
+        """`in_bucket`, `files`, `bytes` of the buckets that the view shows."""
         file = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_size"))
-        listed = self.spark.table(self.name).select(BUCKET, file.alias("f")).distinct()
+        listed = self.spark.table(self.rows_name).where(self._live_sql(self._newest_note())).select(BUCKET, file.alias("f")).distinct()
         return listed.groupBy(BUCKET).agg(F.count("*").alias("files"), F.sum("f.file_size").alias("bytes"))
 
+    # notes, and the view over them
+
+    def _note_path(self, commit: int) -> str:
+        return f"{self.path}/_notes/{commit:010d}.json"
+
+    def _notes(self) -> list[int]:
+        found = (re.search(r"/(\d{10})\.json$", file) for file, _ in files_under(self.spark, f"{self.path}/_notes"))
+        return sorted(int(m[1]) for m in found if m)
+
+    def _note(self, commit: int) -> dict:
+        note = json.loads(read_text(self.spark, self._note_path(commit)))
+        return note | {"live": {int(b): tuple(at) for b, at in note["live"].items()}}
+
+    def _newest_note(self) -> dict | None:
+        commits = self._notes()
+        return self._note(commits[-1]) if commits else None
+
+    def _next_commit(self) -> int:
+        """A number that no file has, also none that a job left which died."""
+        return max([c for c, _ in self._stored()] + self._notes(), default=0) + 1
+
+    def _stored(self) -> set[tuple[int, int]]:
+        """(commit, bucket) of all partitions that there are as folders."""
+        found = (re.search(rf"/{COMMIT}=(\d+)/{BUCKET}=(\d+)/", file) for file, _ in files_under(self.spark, self.path))
+        return {(int(m[1]), int(m[2])) for m in found if m}
+
+    def _live_sql(self, note: Mapping) -> str:
+        at = ", ".join(str(note["live"].get(b, (0, 0))[0]) for b in range(self.buckets))
+        return f"{COMMIT} = element_at(array({at}), {BUCKET} + 1)"
+
+    def _body(self, note: Mapping) -> str:
+        """What the view selects. Which partitions that are is settled when a query is planned, from their names alone."""
+        shown = [c for c in self.spark.table(self.rows_name).columns if c != COMMIT]
+        return f"SELECT {', '.join(names(shown))} FROM {self.rows_name} WHERE {self._live_sql(note)}"
+
+    def _show(self, note: Mapping) -> None:
+        known = table_exists(self.spark, self.name)
+        self.spark.sql(f"{'ALTER' if known else 'CREATE'} VIEW {self.name} AS {self._body(note)}")
+        self.spark.sql(f"ALTER VIEW {self.name} SET TBLPROPERTIES ('{BATCH}' = '{_escaped(note['batch'])}', '{SHOWN}' = '{note['commit']}')")
+        self._sweep(note)
+
+    def _sweep(self, note: Mapping) -> None:
+        """Removes what neither this note nor the one before it shows."""
+        commits = [c for c in self._notes() if c <= note["commit"]]
+        kept = {(at[0], b) for c in commits[-2:] for b, at in self._note(c)["live"].items()}
+        self._forget(self._stored() - kept)
+        for commit in commits[:-2]:
+            remove(self.spark, self._note_path(commit))
+
+    def _forget(self, partitions: Iterable[tuple[int, int]]) -> None:
+        gone = sorted(partitions)
+        if not gone:
+            return
+        listed = ", ".join(f"PARTITION ({COMMIT} = {c}, {BUCKET} = {b})" for c, b in gone)
+        self.spark.sql(f"ALTER TABLE {self.rows_name} DROP IF EXISTS {listed}")
+        whole = {c for c, _ in gone} - {c for c, _ in self._stored() - set(gone)}
+        for path in [f"{COMMIT}={c}" for c in sorted(whole)] + [f"{COMMIT}={c}/{BUCKET}={b}" for c, b in gone if c not in whole]:
+            remove(self.spark, f"{self.path}/{path}")
+
 
 def _escaped(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _spread_out(df: DataFrame) -> DataFrame:
-    """Rows together by bucket, with a bucket too large for one task split over several."""
-    return df.hint("rebalance", BUCKET)
-
-
 def default_name(collection: str, path: str) -> str:
     """A catalog name for a table that is given by its path only."""
     plain = "".join(c if c.isalnum() else "_" for c in collection)
@@ -184,7 +259,10 @@ def save_table(df: DataFrame, name: str) -> None:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Drops a table or a view, if there is one; files outside the warehouse stay."""
+    if table_exists(spark, name):
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} IF EXISTS {name}")
 
 
 def newest_row(spark: SparkSession, name: str, by: str, *breakers: str) -> DataFrame:
