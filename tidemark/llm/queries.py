@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, jaccard_join, language_model, personal_data, piece_lengths, quality, repeats, sharding, toxicity
+from tidemark.llm import bpe, contamination, jaccard_join, language_model, lexical_search, personal_data, piece_lengths, quality, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +114,11 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs, model, keep=("doc_id", "held_out"))
 
 
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RUNS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".replace("{text}", _LOWER)
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')".replace("{text}", _LOWER)
@@ -153,3 +158,24 @@ reached AS (
 least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM least LEFT JOIN sizes USING (doc_id)
 """
+
+_TERMS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".replace("{text}", _LOWER)
+
+ORACLE["op12_lexical_search"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+i AS MATERIALIZED (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM benchmark),
+wanted AS MATERIALIZED (SELECT i, item_id, t, count(*) AS times FROM (SELECT i, item_id, unnest(w) AS t FROM i) GROUP BY ALL),
+held AS MATERIALIZED (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM wanted) GROUP BY ALL
+),
+total AS MATERIALIZED (SELECT count(*)::BIGINT AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+weights AS MATERIALIZED (
+  SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT t, count(*) AS df FROM held GROUP BY t), total
+),
+lengths AS (SELECT r, doc_id, 75 + (25 * len(w) * n) // l AS m FROM d, total WHERE len(w) > 0),
+shares AS MATERIALIZED (SELECT r, doc_id, t, weight * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS share FROM held JOIN lengths USING (r) JOIN weights USING (t)),
+scores AS (SELECT i, item_id, r, doc_id, sum(times * share)::BIGINT AS score FROM wanted JOIN shares USING (t) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
