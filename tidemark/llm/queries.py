@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, jaccard_join, language_model, lexical_search, personal_data, piece_lengths, quality, repeats, sharding, toxicity
+from tidemark.llm import bpe, contamination, jaccard_join, language_model, lexical_search, personal_data, piece_lengths, prefix_trie, quality, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,6 +119,12 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.number_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.prefix_trie(*prefix_trie.graft(turns))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RUNS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".replace("{text}", _LOWER)
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')".replace("{text}", _LOWER)
@@ -179,3 +185,39 @@ scores AS (SELECT i, item_id, r, doc_id, sum(times * share)::BIGINT AS score FRO
 SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
 FROM scores WHERE score > 0 QUALIFY rank <= 20
 """
+
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({c}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295)"""
+
+ORACLE["op13_prefix_trie"] = f"""
+WITH own AS MATERIALIZED (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS MATERIALIZED (SELECT DISTINCT c, c - c % 100 AS base, {_CRC32.format(c='c')} % 6 AS h FROM own),
+parts AS (
+  SELECT v.c, 0 AS part, o.pos, o.role, o.text FROM convs v JOIN own o ON o.c = v.base AND o.pos <= v.h
+  UNION ALL SELECT o.c, 1, o.pos, o.role, o.text FROM convs v JOIN own o ON o.c = v.c AND o.pos > v.h
+),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, role, text FROM parts),
+steps AS (SELECT c, d, length(text) AS chars, sha256(length(role) || ':' || role || text) AS turn FROM turns),
+members AS MATERIALIZED (
+  SELECT c, d, chars, string_agg(turn, '') OVER (PARTITION BY c ORDER BY d) AS path FROM steps
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+),
+nodes AS MATERIALIZED (SELECT path, d, min(c) AS c, count(*) AS n, any_value(chars) AS chars FROM members GROUP BY path, d),
+ends AS (
+  SELECT path, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS digest
+  FROM (SELECT c, max_by(path, d) AS path FROM members GROUP BY c) GROUP BY path
+),
+children AS MATERIALIZED (SELECT left(path, length(path) - 64) AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+  SELECT a.path, sum((b.n - 1) * b.chars)::BIGINT AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM nodes a JOIN nodes b ON starts_with(b.path, a.path) LEFT JOIN children k ON k.path = b.path GROUP BY a.path
+)
+SELECT n.c AS conv_id, n.d::BIGINT AS depth, p.c AS parent_conv_id, n.n AS n_convs, coalesce(k.n, 0) AS n_children, leaves AS n_leaves,
+  saved AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM nodes n JOIN below USING (path) LEFT JOIN children k USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON n.d > 0 AND p.path = left(n.path, length(n.path) - 64)
+"""
