@@ -1,0 +1,141 @@
+"""Main text of hand-made pages, and the classes against occurrence vectors that are really built."""
+
+import random
+from collections import Counter, defaultdict
+
+from tests.llm.cases import SF, given
+from tidemark.llm import page_text as pt
+from tidemark.llm.queries import QUERIES
+
+
+def text_of(html):
+    return pt.main_text(pt.Page(html, {}))
+
+
+def test_blocks_and_references():
+    assert text_of("<article><h1>A &amp; B</h1><p>one\n two&nbsp;&lt;x&gt;<p>three<br>four <b>f</b>ive</article>") == "A & B\n\none two <x>\n\nthree four five"
+    assert text_of("<article><ul><li>a<li>b <i>c</i></ul><table><tr><td>1<td>2<tr><td>3</table>tail</article>") == "a\n\nb c\n\n1 2\n\n3\n\ntail"
+    assert text_of("<article><p>x</article") == "x"
+    assert text_of('<article><p class="a>b">q<!-- <p>no --><![CDATA[raw]]></p></article>') == "qraw"
+    assert text_of("<p>a &am</p>") == "a &am"
+
+
+def test_what_is_not_the_article():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var x="</p><article>no</article>"</script></head>
+    <body class="has-sidebar menu-open"><header><h1>Site</h1></header><nav><a href=/>Menu</a></nav><div id="cookie-notice">We use cookies</div>
+    <main><article class="post with-sidebar"><header><h1>Title</h1><span class="ad">buy</span></header><p>Body <a href=x>link</a>.</p>
+    <div class="ad-slot">Buy</div><aside>Side</aside><form><label>Mail</label><input><button>Go</button></form>
+    <div class="share-buttons">Share</div><p>End.</p><footer>By me</footer></article>
+    <section id="comments"><article class="comment"><p>First!</p></article></section></main>
+    <div class="sidebar"><p>Related</p></div><footer>(c)</footer></body></html>"""
+    assert text_of(page) == "Title\n\nBody link.\n\nEnd."
+    assert text_of("<body><div class='nav'>m</div><div id=main-content><p>x</p></div><p>y</p></body>") == "x"
+    assert text_of("<body><p>plain</p><p><a href=1>all</a> <a href=2>links</a></p></body>") == "plain"
+    assert text_of("<nav>menu</nav><article></article><p>left over</p>") == ""
+
+
+def test_broken_and_long_pages():
+    for broken in ("", " ", "<", "<a", "</", "<p", "<!--", "<script>", "<article><p>a<script>b", "&#0;", "a < b > c", "<>", "</p></p>", '<a "<a "<a "'):
+        assert isinstance(text_of(broken), str)
+    assert text_of("<article>" + "<b>" * 20_000 + "deep" + "</i>" * 20_000) == "deep"
+    assert text_of("<article><p>" + "word " * 200_000) == ("word " * 200_000).strip()
+    assert len(text_of("<article>" + "<p>x" * 20_000)) == 3 * 20_000 - 2
+    assert text_of('<article>' + '<a "' * 20_000 + "</article>") is not None
+
+
+def made_page(rng, notice="Read our rules before you write.", menu="Home", moved=False):
+    """A template without names that mean anything: only what differs from page to page is its text."""
+    slots = [f"<p>{' '.join(rng.choice(['red', 'green', 'blue', 'one', 'two']) + str(rng.randrange(50)) for _ in range(8))}</p>" for _ in range(rng.randrange(1, 5))]
+    fixed = f'<div class="k2">{notice}</div>'
+    body = f"{fixed}<div class='k3'>{''.join(slots)}</div>" if moved else f"<div class='k3'>{''.join(slots)}</div>{fixed}"
+    return f"<html><body><div class='k1'>{menu}</div>{body}<div class='k4'>All rights</div></body></html>", "\n\n".join(s[3:-4] for s in slots)
+
+
+SCHEMA = "page_id long, url string, html string, text string, host string, k0 string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "a", "b", "c") for r in rows], SCHEMA)
+
+
+def test_fixed_texts_of_a_host_go(spark):
+    rng = random.Random(4)
+    made = [made_page(rng) for _ in range(30)]
+    rows = [(i, f"https://Many.example:80/{i}", html) for i, (html, _) in enumerate(made)]
+    few = [made_page(rng, "Only here.") for _ in range(9)]
+    rows += [(100 + i, f"http://few.example/{i}", html) for i, (html, _) in enumerate(few)]
+    out = {r.page_id: r for r in pt.extract(frame(spark, rows).repartition(5)).collect()}
+    assert [out[i].text for i in range(30)] == [text for _, text in made]
+    assert [out[100 + i].text for i in range(9)] == [f"Home\n\n{text}\n\nOnly here.\n\nAll rights" for _, text in few], "too few pages for a template"
+    assert all(r.n_chars == len(r.text) for r in out.values())
+    joined = pt.extract(frame(spark, rows), broadcast_bytes=-1)
+    assert {r.page_id: r.text for r in joined.collect()} == {k: r.text for k, r in out.items()}
+
+
+def test_out_of_order_or_no_slots(spark):
+    rng = random.Random(5)
+    page = made_page(rng)[0]
+    copies = [(i, "http://copies.example/", page) for i in range(12)]
+    moved = [(50 + i, "http://moved.example/", made_page(rng, moved=i % 2 == 0)[0]) for i in range(20)]
+    out = {r.page_id: r.text for r in pt.extract(frame(spark, copies + moved)).collect()}
+    assert all(out[i] == text_of(page) for i in range(12)), "copies of one page have no slots: all stays"
+    assert all("All rights" not in out[50 + i] for i in range(20))
+
+
+def brute_classes(rows, support, elements):
+    """Classes by vectors that are built: {(host, token, kind)} of the valid ones."""
+    vectors, above, kind, order = defaultdict(dict), {}, {}, defaultdict(int)
+    for number, (host, html) in enumerate(rows):
+        page = pt.Page(html, {})
+        for token, n in Counter(t for t, *_ in page.tokens).items():
+            vectors[host, token][number] = n
+        seen = set()
+        for place, (token, over, k) in enumerate(page.tokens):
+            above[host, token], kind[host, token] = over, k
+            if token not in seen:
+                order[host, token] += place
+                seen.add(token)
+    often = {key: tuple(sorted(v.items())) for key, v in vectors.items() if len(v) >= support}
+    over = {key: often.get((key[0], above[key])) for key in often}
+    tags = {key for key in often if kind[key] == 0}
+    groups = defaultdict(list)
+    for key in tags:
+        groups[key[0], often[key]].append(key)
+    outer = {g: over[min(keys, key=lambda k: order[k])] for g, keys in groups.items()}
+    valid = set()
+    for g, keys in groups.items():
+        nested = [k for k in keys if over[k] in (g[1], outer[g])]
+        if len(nested) >= elements:
+            valid |= set(nested)
+            for key in often:
+                if kind[key] == 1 and (key[0], often[key]) == g and over[key] is not None:
+                    if over[key] in (g[1], outer[g]) or outer.get((key[0], over[key]), ()) == g[1]:
+                        valid.add(key)
+    return sorted((token, kind[h, token]) for h, token in valid)
+
+
+def test_classes_against_vectors(spark):
+    rng = random.Random(6)
+    rows = [(i, f"http://h{i % 3}.example/{i}", made_page(rng, f"n{i % 3 % 2}", moved=i % 7 == 0)[0]) for i in range(60)]
+    got = pt.classes(frame(spark, rows).repartition(4), support=5)
+    # tokens do not depend on the host, so they are compared without it
+    assert sorted((r.token, r.kind) for r in got.collect()) == brute_classes([(r[1].split("/")[2], r[2]) for r in rows], 5, pt.ELEMENTS)
+
+
+def test_edge_cases(spark):
+    rows = [(None, None, None), (1, None, ""), (1, "no url", "<p>x"), (2, "http://h/", "plain & simple"), (2, "http://h/", "plain & simple"), (3, "", "日本語 <b>\U0001f600")]
+    out = pt.extract(frame(spark, rows), keep=("page_id", "url", "k0"))
+    assert out.columns == ["page_id", "url", "k0", "text", "n_chars"]
+    got = sorted((tuple(r) for r in out.drop("k0").collect()), key=repr)
+    texts = ["", "", "x", "plain & simple", "plain & simple", "日本語 \U0001f600"]
+    assert got == sorted(((a, b, t, len(t)) for (a, b, _), t in zip(rows, texts)), key=repr)
+    assert pt.extract(frame(spark, [])).count() == 0
+
+
+def test_query(spark):
+    rows = {r.page_id: r for r in QUERIES["op11_page_text"](spark, SF).collect()}
+    pages = given("pages")
+    assert len(rows) == len(pages)
+    for p in pages:
+        assert rows[p["page_id"]].text == text_of(p["html"]) and rows[p["page_id"]].url == p["url"]
+    assert sum(len(r.text) for r in rows.values()) > 1000

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, jaccard_join, language_model, lexical_search, personal_data, piece_lengths, prefix_trie, quality, repeats, sharding, toxicity
+from tidemark.llm import bpe, contamination, jaccard_join, language_model, lexical_search, page_text, personal_data, piece_lengths, prefix_trie, quality, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +114,11 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs, model, keep=("doc_id", "held_out"))
 
 
+@query
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
