@@ -91,6 +91,12 @@ def queries(spark: SparkSession) -> dict:
     few = stage(newest(changes, 24), "bench-few")
     number = iter(range(10**6))
     out["commit_1pct"] = lambda: merge_into(spec, table, few, f"bench-{next(number)}")
+    on_read = spec.with_(on_read=True)
+    waiting = table_for(spark, on_read, scratch_dir(spark, "bench-on-read"))
+    waiting.create(target)
+    out["append_1pct"] = lambda: merge_into(on_read, waiting, few, f"bench-{next(number)}")
+    out["read_appended"] = lambda: run_through(waiting.read())
+    out["read_table"] = lambda: run_through(table.read())
     return out
 
 

@@ -273,6 +273,27 @@ def merge_publish_once(spark, sf_dir):
     return scalars(seen).select(F.lit("written").alias("phase"), "*").union(scalars(table.read()).select(F.lit("published"), "*"))
 
 
+def _event_parts():
+    """Three batches one after the other, each its newest event of a user: `t1` to `t3` are the table after each."""
+    ctes = {"t0": sql.select(sql.EVENT, "events WHERE false")}
+    for i in range(3):
+        ctes[f"s{i}"] = sql.select(sql.EVENT_CHANGE, sql.newest_events(f"event_id % 3 = {i}"))
+        ctes[f"t{i + 1}"] = sql.merged(sql.EVENT, "s._id = t._id", t=f"t{i}", s=f"s{i}")
+    return ctes
+
+
+@query(sql.with_(_event_parts(), "SELECT 'waiting' AS phase, * FROM t3 UNION ALL SELECT 'compacted', * FROM t3"))
+def merge_on_read(spark, sf_dir):
+    """Three batches that are only appended: read as they are, and read again after they are folded in."""
+    table = _loaded(spark, EVENT_SPEC.with_(on_read=True), feeds.event_feed(spark, sf_dir, "false").drop("Op"))
+    for i in range(3):
+        spec = EVENT_SPEC.with_(buckets=_BUCKETS, on_read=True)
+        merge_into(spec, table, feeds.event_feed(spark, sf_dir, f"event_id % 3 = {i}"), f"part-{i}")
+    waiting = stage(scalars(table.read()), "waiting")
+    table.compact()
+    return waiting.select(F.lit("waiting").alias("phase"), "*").union(scalars(table.read()).select(F.lit("compacted"), "*"))
+
+
 _TYPED = {
     "_orig_id": "o_orderkey::VARCHAR",
     "transact_seq": "1::BIGINT",

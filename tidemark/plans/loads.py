@@ -19,6 +19,7 @@ from tidemark.operators.parse import parse_docs, unreadable, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
 from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
 from tidemark.sources.envelope import LOAD_PREFIX, envelope_schema, has_files, read_full_load
+from tidemark.sources.onread import OnReadTable
 from tidemark.sources.tables import BucketTable, default_name
 
 # A staged batch is broadcast to the merge up to this many bytes in memory; a larger one is shuffled.
@@ -64,6 +65,11 @@ def colocated(spec: CollectionSpec) -> bool:
     return not spec.parents and set(spec.options) <= {"insert_deletes", "seq_guard", "delete_when"}
 
 
+def appendable(spec: CollectionSpec, rows: DataFrame) -> bool:
+    """Whether a batch can wait beside the table: what it does must not hang on the values of the rows it meets."""
+    return spec.on_read and colocated(spec) and "seq_guard" not in spec.options and set(spec.table_schema().names) <= set(rows.columns)
+
+
 def is_small(staged: DataFrame) -> bool:
     """Whether a staged frame may be broadcast: by its size in memory. Files larger than the bound
     are not even measured, as rows are never smaller than their files."""
@@ -89,7 +95,10 @@ def apply_changes(spec: CollectionSpec, target: DataFrame, changes: DataFrame) -
 
 
 def table_for(spark: SparkSession, spec: CollectionSpec, path: str, name: str | None = None) -> BucketTable:
-    return BucketTable(spark, name or default_name(spec.name, path), path, spec.table_schema(), spec.bucket_keys, spec.buckets)
+    own = (spark, name or default_name(spec.name, path), path, spec.table_schema(), spec.bucket_keys, spec.buckets)
+    if spec.on_read:
+        return OnReadTable(*own, insert_deletes=spec.options.get("insert_deletes", True))
+    return BucketTable(*own)
 
 
 def initial_load(
@@ -131,7 +140,10 @@ def merge_into(spec: CollectionSpec, table: BucketTable, changes: DataFrame, bat
     if new:
         fresh = newer_than_deletes(spec, rows, deleted, guard) if deleted and deleted.exists() else rows
         touched, repeats = table.buckets_and_repeats(rows)
-        if not repeats and colocated(spec) and table.largest(touched) <= BUCKET_BYTES:
+        if not repeats and appendable(spec, fresh):
+            delete = spec.options.get("delete_when", f"{OP} = '{DELETE}'")
+            table.append(fresh, F.expr(delete) if isinstance(delete, str) else delete, batch)
+        elif not repeats and colocated(spec) and table.largest(touched) <= BUCKET_BYTES:
             merged = merge_colocated(table.read(touched), fresh, spec.keys, table.buckets, **spec.options)
             table.replace(merged, touched, batch, placed=True)
         else:

@@ -25,6 +25,7 @@ class CollectionSpec:
     parents         set: merge whole documents by these columns (children that are gone go)
     options         further options of `merge`
     keep_bad        documents that cannot be parsed go to a side table and not into the merge
+    on_read         batches are appended and resolved when the table is read, until it is compacted
     buckets         the table is cut into so many buckets of its key; a merge reads and
                     writes the touched ones only
     """
@@ -42,6 +43,7 @@ class CollectionSpec:
     options: Mapping[str, Any] = field(default_factory=dict)
     seq_type: T.DataType = field(default_factory=T.LongType)
     keep_bad: bool = False
+    on_read: bool = False
     buckets: int = 64
 
     def with_(self, **changes: Any) -> CollectionSpec:

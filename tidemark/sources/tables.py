@@ -70,7 +70,7 @@ class BucketTable:
         keys = ", ".join(names(self.keys))
         self.spark.sql(
             f"CREATE TABLE {self.rows_name} ({columns_sql([*self.schema, *PLACE])}) USING parquet PARTITIONED BY ({COMMIT}, {BUCKET}) "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{_escaped(self.path)}'"
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{escaped(self.path)}'"
         )
         if self._stored():
             self.spark.sql(f"MSCK REPAIR TABLE {self.rows_name}")
@@ -199,7 +199,7 @@ class BucketTable:
     def _show(self, note: Mapping) -> None:
         known = table_exists(self.spark, self.name)
         self.spark.sql(f"{'ALTER' if known else 'CREATE'} VIEW {self.name} AS {self._body(note)}")
-        self.spark.sql(f"ALTER VIEW {self.name} SET TBLPROPERTIES ('{BATCH}' = '{_escaped(note['batch'])}', '{SHOWN}' = '{note['commit']}')")
+        self.spark.sql(f"ALTER VIEW {self.name} SET TBLPROPERTIES ('{BATCH}' = '{escaped(note['batch'])}', '{SHOWN}' = '{note['commit']}')")
         self._sweep(note)
 
     def _sweep(self, note: Mapping) -> None:
@@ -221,7 +221,7 @@ class BucketTable:
             remove(self.spark, f"{self.path}/{path}")
 
 
-def _escaped(text: str) -> str:
+def escaped(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
