@@ -25,6 +25,10 @@ SETTINGS = {
 }
 
 
+# What is staged is read from its files, so the shuffles behind it can go as soon as it is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -62,7 +66,12 @@ def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
