@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import remove, scratch_dir, stage
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -34,12 +34,18 @@ def components(links: DataFrame) -> DataFrame:
     A node with any number of links is no hot key: minima are formed before the shuffle, and the joins are of
     kinds whose large side can be split. Repeated links and links of a node to itself change nothing.
     """
-    edges = stage(links.select("a", "b").where("a != b").distinct(), "links")
+    spark = links.sparkSession
+    folder = scratch_dir(spark, "links")
+    edges = stage(links.select("a", "b").where("a != b").distinct(), path=folder)
     before = None
     while (now := _state(edges)) != before:
         before = now
         if not now[0]:
             break
-        edges = stage(_small(stage(_large(edges), "links")), "links")
+        half, new = scratch_dir(spark, "links"), scratch_dir(spark, "links")
+        edges = stage(_small(stage(_large(edges), path=half)), path=new)
+        remove(spark, half)
+        remove(spark, folder)
+        folder = new
     least = edges.selectExpr("b AS node", "b AS component").distinct()
     return edges.selectExpr("a AS node", "b AS component").union(least)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import col, names
 from tidemark.llm.components import components
 from tidemark.llm.rows import SPACE, map_rows, utf8
-from tidemark.session import stage
+from tidemark.session import remove, scratch_dir, stage
 
 #: Words a task remembers the hash of. Bounds memory, not results.
 REMEMBERED = 300_000
@@ -252,7 +252,20 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, rule: Rule) -> DataFram
             good = [i for i, s in enumerate(sets) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == same[i]]
             yield [[nodes[i] for i in good], [len(sets[i]) for i in good], _lists([sets[i] for i in good]), [rule.sketch(sets[i]).tolist() for i in good]]
 
-    return map_rows(texts.select("node", "same", "text"), 0, "node long, n long, items array<long>, sketch array<tinyint>", run)
+    sets = map_rows(texts.select("node", "same", "text"), 0, "node long, n long, items array<long>, sketch array<tinyint>", run)
+    staged, path = put(sets, "join-sets")
+    # a text that very many documents share may have been dealt to several tasks
+    if staged.groupBy("node").count().where("count > 1").isEmpty():
+        return staged
+    once, _ = put(staged.dropDuplicates(["node"]), "join-sets")
+    remove(docs.sparkSession, path)
+    return once
+
+
+def put(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Staged rows, and the folder that can be removed when nothing needs them any more."""
+    path = scratch_dir(df.sparkSession, label)
+    return stage(df, label, path), path
 
 
 def _alike(rule: Rule) -> str:
@@ -264,11 +277,13 @@ def _alike(rule: Rule) -> str:
 def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (`a`, `b`) that link: by their counts in bins first, then by their whole sets."""
     x, y = (sets.selectExpr(f"node AS {side}", "n", "sketch").alias(name) for side, name in (("a", "x"), ("b", "y")))
-    near = stage(pairs.join(x, "a").join(y, "b").where(_alike(rule)).select("a", "b"), "join-near")
+    near, path = put(pairs.join(x, "a").join(y, "b").where(_alike(rule)).select("a", "b"), "join-near")
     left, right = sets.selectExpr("node AS a", "items AS x"), sets.selectExpr("node AS b", "items AS y")
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
-    return near.join(left, "a").join(right, "b").where(100 * common >= rule.percent * union).select("a", "b")
+    links = stage(near.join(left, "a").join(right, "b").where(100 * common >= rule.percent * union).select("a", "b"), "join-links")
+    remove(pairs.sparkSession, path)
+    return links
 
 
 def _by_difference(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -359,25 +374,28 @@ def _resolved(named: DataFrame, kept: list[str], rule: Rule) -> tuple[DataFrame,
     listed = rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi").selectExpr("row AS node", "n", "place", "same", "keys")
     entries = listed.selectExpr("explode(keys) AS key", "node", "n")
     hubs = entries.groupBy("key").agg(F.count("*").alias("m"), F.min_by("n", "node").alias("hub_n"), F.min("node").alias("hub")).where("m > 1")
-    members = stage(entries.join(hubs.drop("m"), "key"), "join-lists")
+    members, lists = put(entries.join(hubs.drop("m"), "key"), "join-lists")
 
     met = members.select("node").distinct()
     wanted = listed.select("node", "place", "same").join(met, "node", "left_semi")
-    sets = stage(_sets(named, wanted, "text", rule).dropDuplicates(["node"]), "join-sets")
+    sets = _sets(named, wanted, "text", rule)
 
     tried = stage(members.where(f"node != hub AND {_fits('n', 'hub_n', rule)}").selectExpr("hub AS a", "node AS b").distinct(), "join-pairs")
-    links = stage(_linked(tried, sets, rule), "join-links")
+    links = _linked(tried, sets, rule)
 
     # what the hubs did not connect: only lists that hold more than one component go on
     found = components(links)
-    placed = stage(members.select("key", "hub", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "join-placed")
+    of_members = members.select("key", "hub", "node", "n").join(found, "node", "left")
+    placed, places = put(of_members.withColumn("component", F.coalesce("component", "node")), "join-placed")
+    remove(named.sparkSession, lists)
     of_list = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"))
     rest = stage(placed.join(of_list.where("low != high").select("key", "m"), "key"), "join-open")
+    remove(named.sparkSession, places)
     short = rest.where(F.col("m") <= FEW).select("key", "node", "n", "component").join(sets.select("node", "sketch"), "node")
     on = f"x.key = y.key AND x.node < y.node AND x.component != y.component AND {_fits('x.n', 'y.n', rule)} AND {_alike(rule)}"
     pairs = short.alias("x").join(short.alias("y"), F.expr(on)).selectExpr("x.node AS a", "y.node AS b")
     pairs = pairs.union(_by_difference(rest.where(F.col("m") > FEW), sets, rule)).distinct().join(tried, ["a", "b"], "left_anti")
-    more = stage(_linked(stage(pairs, "join-pairs"), sets, rule), "join-links")
+    more = _linked(stage(pairs, "join-pairs"), sets, rule)
 
     final = stage(components(links.union(more)), "join-components")
     component = classes.join(final, "node", "left").select("same", "best", F.coalesce("component", "node").alias("component"))
