@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from tests.llm.cases import SF, edge_documents, edge_rows, given, no_documents
 from tidemark.llm import quality
 from tidemark.llm.queries import QUERIES
@@ -65,3 +67,82 @@ def test_outliers_do_not_move_the_fit(spark):
 def test_plan_is_native(spark):
     plan = quality.judge(edge_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def prose(rnd, n, low=3, high=8):
+    return " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(low, high))) for _ in range(n))
+
+
+def brute_verdicts(texts, cells, robust):
+    """The same estimate in numpy, cell by cell: squared distances, None where the base rules fail."""
+    floors = np.array([floor for _, floor in quality.VECTOR.values()])
+    vectors, good = [], []
+    for t in texts:
+        n, chars, symbols, lines, again = counts(t)
+        good.append(not (n < 50 or 100 * again > 50 * n))
+        vectors.append([np.log10(n), np.log10(chars / n), np.sqrt(symbols / chars), np.sqrt(lines / n), np.sqrt(again / n)] if good[-1] else [0] * 5)
+    vectors, good = np.array(vectors, float), np.array(good)
+    own = {c: np.flatnonzero(good & (np.array(cells) == c)) for c in set(cells)}
+    own = {c: i for c, i in own.items() if len(i)}
+
+    def measured(fits):
+        return {c: (np.linalg.solve(low, (vectors[i] - m).T) ** 2).sum(axis=0) for c, i in own.items() for m, low in [fits[c]]}
+
+    def cut(d2, share):
+        bins = np.sort(np.floor(quality.BINS * np.log2(np.maximum(d2, 1e-9))))
+        return 2.0 ** ((bins[int(np.ceil(share * len(bins))) - 1] + 1) / quality.BINS)
+
+    fits = {}
+    for c, i in own.items():
+        low, mid, high = (np.sort(vectors[i], axis=0)[int(np.ceil(q * len(i))) - 1] for q in (0.25, 0.5, 0.75))
+        fits[c] = mid, np.diag(np.sqrt(((high - low) / 1.349) ** 2 + floors**2))
+    for _ in range(robust.steps):
+        d2 = measured(fits)
+        near = {c: i[d2[c] <= cut(d2[c], robust.share)] for c, i in own.items()}
+        spread = {c: np.cov(vectors[i].T, bias=True) for c, i in near.items()}
+        average = sum(len(near[c]) * spread[c] for c in own) / sum(len(near[c]) for c in own)
+        for c, i in near.items():
+            blended = (len(i) * spread[c] + robust.shared * average) / (len(i) + robust.shared)
+            fits[c] = vectors[i].mean(axis=0), np.linalg.cholesky(blended + np.diag(floors**2))
+    out = [None] * len(texts)
+    d2 = measured(fits)
+    for c, i in own.items():
+        scale = max(cut(d2[c], 0.5) / quality.MEDIAN, 1.0)
+        for j, x in zip(i, d2[c]):
+            out[j] = x / scale
+    return out
+
+
+def test_verdicts_against_numpy(spark):
+    rnd = random.Random(7)
+    texts, cells = [], []
+    for cell, n in (("a", 120), ("b", 60), ("c", 9), ("d", 2), ("e", 1)):
+        for i in range(n):
+            t = prose(rnd, rnd.randint(30, 300), 3, 8 if cell != "b" else 14)
+            texts.append(t + " ###$$$" * 40 if i % 11 == 10 else t + ("\n" + t[:60]) * (i % 4))
+            cells.append(cell)
+    df = spark.createDataFrame([(i, t, c, None) for i, (t, c) in enumerate(zip(texts, cells))], "doc_id long, text string, lang string, source string")
+    robust = quality.Robust()
+    expected = brute_verdicts(texts, cells, robust)
+    out = quality.judge(df, robust=robust)
+    assert out.columns[:8] == ["doc_id", *quality.COUNTS, "base_failed", "kept"]
+    for r in out.collect():
+        want = expected[r.doc_id]
+        assert (r.distance2 is None) == (want is None)
+        if want is not None:
+            assert abs(r.distance2 - want) <= 1e-6 * max(1, want) and r.kept == (want <= robust.cutoff)
+    assert any(not r.kept for r in out.where("NOT base_failed").collect())
+
+
+def test_a_small_cell_is_judged_by_itself(spark):
+    """Ordinary texts of longer words, whatever the sizes of their cell and the other one."""
+    rnd = random.Random(9)
+    for few, many in ((40, 190), (40, 500), (210, 190), (3, 300)):
+        rows = [(i, prose(rnd, rnd.randint(60, 300)), "en", "x") for i in range(many)]
+        rows += [(many + i, prose(rnd, rnd.randint(60, 300), 12, 18), "fi", "y") for i in range(few)]
+        out = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+        assert out.where("NOT kept").count() == 0
+
+
+def test_cutoff():
+    assert abs(quality.Robust(quantile=0.999).cutoff - 20.515) < 1e-3 and abs(quality.Robust(quantile=0.5).cutoff - quality.MEDIAN) < 1e-3

@@ -2,13 +2,16 @@
 
 Counts of each text are turned into a vector; for each cell (language, source) the minimum-covariance-
 determinant estimate of centre and covariance is found by concentration steps: fit the rows nearest so far,
-measure all rows, keep the nearest, again. Rows far away by Mahalanobis distance are rejected. The texts are
+measure all rows, keep the nearest, again. Rows far away by Mahalanobis distance are rejected. Every cell has a
+centre of its own. Its covariance is drawn towards the average within all cells, which counts as much as a
+fixed number of its rows: the fewer rows a cell has, the more, and at no size there is a switch. The texts are
 read once; the steps run over the staged numbers, as sums by cell that are formed before any shuffle, so a cell
 of any size is no hot key. Cutting at the nearest share uses a histogram of distances, not a sort.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,14 +35,24 @@ VECTOR = {
 
 @dataclass(frozen=True)
 class Robust:
-    """share: of a cell's rows that are fitted. steps: concentration steps. cutoff: squared distance beyond
-    which a row is rejected, in units in which the median row has the chi-square median. least_rows: cells with
-    fewer rows are fitted together."""
+    """share: of a cell's rows that are fitted. steps: concentration steps. quantile: of the chi-square distribution,
+    beyond which a squared distance is rejected, in units in which the median row has that distribution's median.
+    shared: rows of a cell that the average covariance within all cells counts for."""
 
     share: float = 0.75
     steps: int = 4
-    cutoff: float = 60.0
-    least_rows: int = 200
+    quantile: float = 0.99999
+    shared: float = 30.0
+
+    @property
+    def cutoff(self) -> float:
+        """The quantile, for as many degrees as the vector has parts (5), by halving."""
+        low, high = 0.0, 1000.0
+        for _ in range(100):
+            x = (low + high) / 2
+            below = math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+            low, high = (x, high) if below < self.quantile else (low, x)
+        return low
 
 
 #: Median of the chi-square distribution with as many degrees as the vector has parts (5).
@@ -97,20 +110,23 @@ def _cell(columns: tuple[str, ...]) -> Column:
     return F.concat_ws(" ", F.lit("cell"), *parts)
 
 
-def _fit(rows: DataFrame, parts: list[str], floors: list[float]) -> DataFrame:
-    """By cell: mean and Cholesky factor of the covariance (with the floors added on its diagonal)."""
+def _fit(rows: DataFrame, parts: list[str], floors: list[float], shared: float) -> DataFrame:
+    """By cell: mean and Cholesky factor of the covariance (blended with the average one, floors added on its diagonal)."""
+    below = [(i, j) for i in range(len(parts)) for j in range(i + 1)]
     sums = [F.avg(p).alias(f"m_{p}") for p in parts]
-    cross = [F.covar_pop(a, b).alias(f"c_{i}_{j}") for i, a in enumerate(parts) for j, b in enumerate(parts) if j <= i]
-    fit = rows.groupBy("cell").agg(*sums, *cross)
-    for i in range(len(parts)):
-        for j in range(i + 1):
-            above = sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))
-            rest = F.col(f"c_{i}_{j}") - above
-            if i == j:
-                fit = fit.withColumn(f"l_{i}_{i}", F.sqrt(F.greatest(rest, F.lit(0.0)) + F.lit(floors[i] ** 2)))
-            else:
-                fit = fit.withColumn(f"l_{i}_{j}", rest / F.col(f"l_{j}_{j}"))
-    return fit.select("cell", *[f"m_{p}" for p in parts], *[f"l_{i}_{j}" for i in range(len(parts)) for j in range(i + 1)])
+    cross = [F.covar_pop(parts[i], parts[j]).alias(f"c_{i}_{j}") for i, j in below]
+    fit = stage(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *sums, *cross), "quality-sums")
+    # one row of fifteen numbers
+    average = fit.agg(*[(F.sum(F.col("n") * F.col(f"c_{i}_{j}")) / F.sum("n")).alias(f"c_{i}_{j}") for i, j in below]).first()
+    for i, j in below:
+        common = F.lit(float(average[f"c_{i}_{j}"] or 0.0))
+        blended = (F.col("n") * F.col(f"c_{i}_{j}") + shared * common) / (F.col("n") + shared)
+        rest = blended - sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))
+        if i == j:
+            fit = fit.withColumn(f"l_{i}_{i}", F.sqrt(F.greatest(rest, F.lit(0.0)) + F.lit(floors[i] ** 2)))
+        else:
+            fit = fit.withColumn(f"l_{i}_{j}", rest / F.col(f"l_{j}_{j}"))
+    return fit.select("cell", *[f"m_{p}" for p in parts], *[f"l_{i}_{j}" for i, j in below])
 
 
 def _measure(rows: DataFrame, fit: DataFrame, parts: list[str]) -> DataFrame:
@@ -127,8 +143,8 @@ def _measure(rows: DataFrame, fit: DataFrame, parts: list[str]) -> DataFrame:
 def _quantile(rows: DataFrame, share: float) -> DataFrame:
     """By cell: the distance that `share` of the rows do not pass, to the width of a histogram bin."""
     binned = F.floor(BINS * F.log2(F.greatest("d2", F.lit(1e-9)))).alias("bin")
-    bars = rows.groupBy("cell", binned).agg(F.count("*").alias("n"))
-    # bins are few hundred a cell, whatever the rows
+    # staged by cell and bin, so that what is ordered by cell are bins, a few hundred each, whatever the rows
+    bars = stage(rows.groupBy("cell", binned).agg(F.count("*").alias("n")), "quality-bins")
     run = bars.selectExpr(
         "cell", "bin", "sum(n) OVER (PARTITION BY cell ORDER BY bin) AS upto", "sum(n) OVER (PARTITION BY cell) AS total"
     )
@@ -142,27 +158,24 @@ def judge(
     keep: tuple[str, ...] = ("doc_id",),
     robust: Robust = Robust(),
 ) -> DataFrame:
-    """`keep` columns, the five counts, `base_failed`, `distance2` and `kept`.
+    """`keep` columns, the five counts, `base_failed`, `kept` and `distance2`.
 
     A text that fails the base rules is not kept, is not fitted and has no distance. The others are kept up to
-    the cutoff. Null and empty texts fail the base rules. A null language or source is a value of its own; cells
-    with few rows are fitted together, and if those are few too, the floors of the spreads decide. Equal rows
-    get equal verdicts, and repeated rows each get one. Columns of `docs` that are not named play no part.
+    the cutoff. Null and empty texts fail the base rules. A null language or source is a value of its own. Rows
+    with the distance of the cutoff are kept. Equal rows get equal verdicts, and repeated rows each get one. Columns of `docs` that are not named play no part.
     Counts and estimates cover all rows; an empty table gives none.
     """
     slim = docs.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)], _cell(cell).alias("__cell"), col(text).alias("text"))
     counted = stage(text_counts(slim).drop("text").withColumn("base_failed", base_failed()), "quality")
     judged = _verdicts(counted, robust)
-    return judged.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *COUNTS, "base_failed", "distance2", "kept")
+    return judged.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *COUNTS, "base_failed", "kept", "distance2")
 
 
 def _verdicts(counted: DataFrame, robust: Robust) -> DataFrame:
     parts, floors = list(VECTOR), [floor for _, floor in VECTOR.values()]
     vector = [F.expr(VECTOR[p][0]).alias(p) for p in parts]
     good = counted.where("NOT base_failed")
-    few = good.groupBy("__cell").agg(F.count("*").alias("n")).where(F.col("n") < robust.least_rows).select("__cell", F.lit("few").alias("few"))
-    named = stage(good.groupBy("__cell").count().select("__cell").join(few, "__cell", "left").select("__cell", F.coalesce("few", "__cell").alias("cell")), "quality-cells")
-    rows = good.join(named, "__cell").select("cell", *vector)
+    rows = good.select(F.col("__cell").alias("cell"), *vector)
 
     centre = rows.groupBy("cell").agg(*[F.percentile_approx(p, [0.25, 0.5, 0.75], 1000).alias(p) for p in parts])
     first = centre.select(
@@ -178,15 +191,15 @@ def _verdicts(counted: DataFrame, robust: Robust) -> DataFrame:
     for _ in range(robust.steps):
         measured = _measure(rows, fit, parts)
         cut = stage(_quantile(measured, robust.share), "quality-cut")
-        fit = stage(_fit(measured.join(cut, "cell").where("d2 <= cut"), parts, floors), "quality-fit")
+        fit = stage(_fit(measured.join(cut, "cell").where("d2 <= cut"), parts, floors, robust.shared), "quality-fit")
     scale = stage(_quantile(_measure(rows, fit, parts), 0.5).select("cell", F.greatest(F.col("cut") / MEDIAN, F.lit(1.0)).alias("scale")), "quality-scale")
 
     kept = counted.columns
-    vectors = counted.join(named, "__cell", "left").select(*[col(c) for c in kept], F.col("cell"), *vector)
+    vectors = counted.select(*[col(c) for c in kept], F.col("__cell").alias("cell"), *vector)
     d2 = _measure(vectors, fit, parts).join(scale, "cell", "left")
     distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
     return d2.select(
         *[col(c) for c in kept if c != "__cell"],
-        distance.alias("distance2"),
         F.coalesce(distance <= robust.cutoff, F.lit(False)).alias("kept"),
+        distance.alias("distance2"),
     )

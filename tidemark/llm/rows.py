@@ -46,6 +46,7 @@ def ship(context: SparkContext) -> None:
 
 #: Rows that a function gets at a time, where it does not ask for more.
 ROWS = 2000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def map_rows(
@@ -70,5 +71,9 @@ def map_rows(
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     ship(df.sparkSession.sparkContext)
+    # batches on the way to Python, too: by default they have five times as many rows
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH)) > ROWS:
+        conf.set(BATCH, ROWS)
     moved = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     return moved.mapInArrow(run, out).toDF(*[f.name for f in [*before, *new]])
