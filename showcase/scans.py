@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from showcase import feeds, sql
 from showcase.feeds import landing_dir, scalars, write_landing
@@ -10,6 +11,7 @@ from showcase.registry import query
 from tidemark import (
     align_to_schema,
     dropped_fields,
+    field_rejects,
     flatten,
     parse_docs,
     quarantine,
@@ -17,9 +19,11 @@ from tidemark import (
     read_full_load,
     read_unprocessed,
     record_files,
+    undeclared_fields,
     unprocessed_files,
     unwrap_dates,
 )
+from tidemark.functions.docs import FLAG, LONG, TEXT, record
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS, UPLOAD_CHANGE_FIELDS, UPLOADS
 from tidemark.plans.loads import changes_to_rows, snapshot_to_rows
 from tidemark.sources.ledger import create_ledger
@@ -175,3 +179,30 @@ def schema_evolve_add_columns(spark, sf_dir):
     wider = UPLOADS.table_schema().add("addedLater", "long")
     rows = changes_to_rows(UPLOADS, feeds.upload_changes(spark, sf_dir))
     return scalars(align_to_schema(rows, wider))
+
+
+_AUDIT = {"": "turn", ".audit": "role", ".date": "turn", ".date.$date": "turn", ".newValue": "text", ".reportId": "turn", ".user": "role"}
+_AUDIT_TYPES = {"": "object", ".date": "object", ".date.$date": "bigint"}
+
+
+@query(
+    sql.with_(
+        {"parts": sql.PARTS},
+        "SELECT * FROM (SELECT 'audit' AS path, 'array' AS type, count(DISTINCT part) AS n FROM parts UNION ALL "
+        + " UNION ALL ".join(
+            f"SELECT 'audit[]{p}', '{_AUDIT_TYPES.get(p, 'string')}', count({c}) FROM parts" for p, c in _AUDIT.items()
+        )
+        + " UNION ALL SELECT 'practiceId', 'string', count(DISTINCT part) FROM parts) WHERE n > 0",
+    )
+)
+def schema_drift_undeclared(spark, sf_dir):
+    """Every path of the documents that a schema without the audit trail and the practice does not list."""
+    declared = T.StructType([f for f in ACCESS.doc_schema if f.name not in ("audit", "practiceId")])
+    return undeclared_fields(feeds.access_feed(spark, sf_dir, 2), declared)
+
+
+@query("SELECT 'event_type' AS field, count(event_type) AS n FROM events UNION ALL SELECT 'value', count(value) FROM events UNION ALL SELECT 'at.$date', count(ts) FROM events")
+def parse_field_rejects(spark, sf_dir):
+    """Values that the declared types do not take: they are NULL after the parse."""
+    narrow = record(_id=TEXT, event_type=FLAG, value=LONG, at=record(**{"$date": FLAG}))
+    return field_rejects(feeds.event_feed(spark, sf_dir), narrow).groupBy("field").agg(F.count("*").alias("n"))

@@ -11,6 +11,7 @@ from showcase.feeds import write_landing
 from tidemark import (
     BucketTable,
     CollectionSpec,
+    RunError,
     align_to_schema,
     drop_database,
     drop_table,
@@ -403,3 +404,25 @@ def test_only_new_files_are_opened(spark, place, tmp_path):
     land(spark, folder, [("U", "new", 2, None, doc("new", 2, "x"))], "new")
     found = read_unprocessed(spark, folder, ledger)
     assert len(found.inputFiles()) == 1 and found.first()["_id"] == "new"
+
+
+def test_commit_counts(spark, place):
+    spec = SPEC.with_(options={"seq_guard": "transact_seq"})
+    snapshot(spark, place)
+    table = initial_load(spark, spec, place["landing"], place["tables"])
+    rows = [("U", "a", 2, None, doc("a", 2, "x", "new")), ("D", "b", 2, None, doc("b", 2, "x")), ("U", "c", 2, None, doc("c", 2))]
+    merge_into(spec, table, envelopes(spark, rows), "1")
+    assert table.counts() == {"inserted": 2, "updated": 1, "deleted": 1, "ignored": 0}, "c has a NULL key: its change is a row of its own"
+    merge_into(spec, table, envelopes(spark, [("U", "a", 1, None, doc("a", 1, "x"))]), "older")
+    assert table.counts() == {"inserted": 0, "updated": 0, "deleted": 0, "ignored": 1}
+    merge_into(spec, table, envelopes(spark, []), "empty")
+    assert ("a", "x", 2, 2) in contents(table.read())
+
+
+def test_a_failing_collection_does_not_hold_up_the_others(spark, place):
+    snapshot(spark, place)
+    land(spark, f"{place['landing']}/orphans", [("U", "a", 2, None, doc("a", 2, "x"))], "c")
+    land(spark, f"{place['landing']}/things", [("U", "a", 2, None, doc("a", 2, "x"))], "c")
+    with pytest.raises(RunError, match="orphans.*full load never came") as e:
+        run(spark, [SPEC.with_(name="orphans"), SPEC], place["landing"], place["tables"], place["checkpoints"])
+    assert list(e.value.failures) == ["orphans"] and ("a", "x", 2, 2) in contents(e.value.tables["things"].read())

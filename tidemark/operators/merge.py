@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -243,6 +243,24 @@ def no_repeats(source: DataFrame, keys: Sequence[Key]) -> bool:
     return counts.where("__rows > 1").isEmpty()
 
 
+class MergeCounts:
+    """How many rows a merge adds, updates and deletes, and source rows it ignores: observed in the job that writes
+    its result, so counting costs no job of its own."""
+
+    NAMES = ("inserted", "updated", "deleted", "ignored")
+
+    def __init__(self) -> None:
+        self._seen = Observation()
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        """`rows` say in `__did` what was done. The job that is observed must be one of the frame's own session."""
+        return rows.observe(self._seen, *[F.count_if(F.col("__did") == n).alias(n) for n in self.NAMES])
+
+    def get(self) -> dict[str, int]:
+        """After the job; target rows that one change meets count each."""
+        return {n: self._seen.get[n] for n in self.NAMES}
+
+
 def merge_colocated(
     target: DataFrame,
     source: DataFrame,
@@ -252,12 +270,13 @@ def merge_colocated(
     delete_when: str | Column = f"{OP} = '{DELETE}'",
     insert_deletes: bool = True,
     seq_guard: str | None = None,
+    counts: MergeCounts | None = None,
 ) -> DataFrame:
     """The whole merge as one full outer join, for a target that is stored in `partitions` buckets of the keys.
 
     Only the source is shuffled, into the target's buckets; each task then holds whole buckets of the result, which can
     be written as they are. No source key may repeat (`no_repeats`), and NULL keys match nothing: source rows that have one are
-    added beside the join, so they are never gathered in one task.
+    added beside the join, so they are never gathered in one task. `counts` are gathered where the rows go by.
     """
     sides = _Sides(target, source, keys, delete_when, None, (), seq_guard, (), False)
     values = sides.values
@@ -266,18 +285,22 @@ def merge_colocated(
     matched = "(coalesce(__old, false) AND coalesce(__hit, false))"
     acts = f"({matched} AND coalesce(__sseq > __tseq, false))" if seq_guard else matched
     taken = f"({acts} OR __old IS NULL)"
-    leaves = f"({acts} AND __delete)" if insert_deletes else f"({taken} AND __delete)"
-    whole = joined.where(f"NOT coalesce({leaves}, false)").selectExpr(
-        *[f"CASE WHEN {taken} THEN {values[c]} ELSE {quote(c)} END AS {quote(c)}" if c in values else quote(c) for c in sides.types]
+    met = f"CASE WHEN {acts} THEN if(__delete, 'deleted', 'updated') WHEN {matched} THEN 'ignored' WHEN __old THEN NULL"
+    unmet = "'inserted'" if insert_deletes else "if(__delete, 'ignored', 'inserted')"
+    whole = joined.selectExpr(
+        *[f"CASE WHEN {taken} THEN {values[c]} ELSE {quote(c)} END AS {quote(c)}" if c in values else quote(c) for c in sides.types],
+        f"{met} ELSE {unmet} END AS __did",
+        "coalesce(__old, false) AS __was",
     )
-    keyless = sides.s.where(any_null(sides.strict))
-    if not insert_deletes:
-        keyless = keyless.where("NOT __delete")
-    return whole.union(
-        keyless.select(
-            *[F.expr(f"{values[c]} AS {quote(c)}") if c in values else F.lit(None).cast(t).alias(c) for c, t in sides.types.items()]
-        )
+    keyless = sides.s.where(any_null(sides.strict)).select(
+        *[F.expr(f"{values[c]} AS {quote(c)}") if c in values else F.lit(None).cast(t).alias(c) for c, t in sides.types.items()],
+        F.expr(f"{unmet} AS __did"),
+        F.lit(False).alias("__was"),
     )
+    rows = whole.union(keyless)
+    rows = counts.watch(rows) if counts else rows
+    stays = "__did IS NULL OR __did IN ('inserted', 'updated') OR (__did = 'ignored' AND __was)"
+    return rows.where(stays).drop("__did", "__was")
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[Key], **options) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.functions.docs import DELETE, KEY, OP, SEQ
 from tidemark.operators.evolve import align_to_schema
 from tidemark.operators.flatten import flatten
 from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import merge_colocated, merge_parts, no_repeats, replace_children
+from tidemark.operators.merge import MergeCounts, merge_colocated, merge_parts, no_repeats, replace_children
 from tidemark.operators.parse import parse_docs, unreadable, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
 from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
@@ -144,8 +144,9 @@ def merge_into(spec: CollectionSpec, table: BucketTable, changes: DataFrame, bat
             delete = spec.options.get("delete_when", f"{OP} = '{DELETE}'")
             table.append(fresh, F.expr(delete) if isinstance(delete, str) else delete, batch)
         elif not repeats and colocated(spec) and table.largest(touched) <= BUCKET_BYTES:
-            merged = merge_colocated(table.read(touched), fresh, spec.keys, table.buckets, **spec.options)
-            table.replace(merged, touched, batch, placed=True)
+            counts = MergeCounts() if touched else None
+            merged = merge_colocated(table.read(touched), fresh, spec.keys, table.buckets, counts=counts, **spec.options)
+            table.replace(merged, touched, batch, placed=True, counts=counts)
         else:
             kept, added = merge_rows(spec, table.read(touched), fresh, small_source=is_small(fresh))
             table.replace(kept.unionByName(added), touched, batch)
@@ -195,6 +196,14 @@ def _upsert(table: BucketTable, rows: DataFrame, batch: str, seq: str, **options
     remove(table.spark, path)
 
 
+class RunError(RuntimeError):
+    """Some collections of a run failed: `failures` by collection name; `tables` are those of the others, which went on."""
+
+    def __init__(self, failures: dict[str, BaseException], tables: dict[str, BucketTable]) -> None:
+        super().__init__("; ".join(f"{name}: {error}" for name, error in failures.items()))
+        self.failures, self.tables = failures, tables
+
+
 def run(
     spark: SparkSession,
     specs: Sequence[CollectionSpec],
@@ -206,15 +215,23 @@ def run(
     """The daily run: for each collection the full load if it is due, then all change files
     that no earlier run has taken. Returns the tables by collection name; with a `database` they are
     its tables of that name.
+
+    The collections go one after the other. One that fails does not hold up those after it: what failed is raised at the end, as `RunError`.
     """
     from tidemark.streaming.changes import stream_changes
 
-    done = {}
+    done: dict[str, BucketTable] = {}
+    failures: dict[str, BaseException] = {}
     for spec in specs:
         source, path = f"{landing}/{spec.name}", f"{tables}/{spec.name}"
         name = f"{database}.{spec.name}" if database else None
-        table = initial_load(spark, spec, landing, path, name=name) or table_for(spark, spec, path, name)
-        if has_files(spark, source):
-            stream_changes(spark, spec, source, table, f"{checkpoints}/{spec.name}")
-        done[spec.name] = table
+        try:
+            table = initial_load(spark, spec, landing, path, name=name) or table_for(spark, spec, path, name)
+            if has_files(spark, source):
+                stream_changes(spark, spec, source, table, f"{checkpoints}/{spec.name}")
+            done[spec.name] = table
+        except Exception as e:
+            failures[spec.name] = e
+    if failures:
+        raise RunError(failures, done)
     return done

@@ -12,8 +12,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import quote
 
+# What is staged is read from its files, so the shuffles behind it can go as soon as it is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Runtime settings the operators count on; a cluster may set them higher or lower.
 SETTINGS = {
+    CLEANUP: "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,10 +29,6 @@ SETTINGS = {
 }
 
 
-# What is staged is read from its files, so the shuffles behind it can go as soon as it is written.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)

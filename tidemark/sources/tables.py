@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import any_null, bucket_of, col, columns_sql, names, quote
+from tidemark.operators.merge import MergeCounts
 from tidemark.session import files_under, read_text, remove, write_text
 
 BUCKET, COMMIT = "in_bucket", "in_commit"
@@ -114,12 +115,20 @@ class BucketTable:
         note = self._newest_note() or {"live": {}}
         return max([note["live"].get(b, (0, 0))[1] for b in touched], default=0)
 
-    def replace(self, rows: DataFrame, touched: Collection[int], batch: str, placed: bool = False) -> None:
+    def replace(
+        self, rows: DataFrame, touched: Collection[int], batch: str, placed: bool = False, counts: MergeCounts | None = None
+    ) -> None:
         """Puts `rows` in place of all rows of the touched buckets, as this batch."""
-        self.prepare(rows, touched, batch, placed)
+        self.prepare(rows, touched, batch, placed, counts)
         self.finish()
 
-    def prepare(self, rows: DataFrame, touched: Collection[int], batch: str, placed: bool = False) -> None:
+    def counts(self) -> dict[str, int] | None:
+        """What the last commit did: rows inserted, updated, deleted, and changes ignored. None if it did not count."""
+        return (self._newest_note() or {}).get("counts")
+
+    def prepare(
+        self, rows: DataFrame, touched: Collection[int], batch: str, placed: bool = False, counts: MergeCounts | None = None
+    ) -> None:
         """Writes the rows that are to replace those of the touched buckets, each once; `finish` shows them.
 
         `placed`: the rows of a bucket lie in one task each, as `merge_colocated` leaves them. Others are shuffled by
@@ -140,6 +149,7 @@ class BucketTable:
         before = self._newest_note()
         live = {b: at for b, at in before["live"].items() if b not in set(touched)} if before else {}
         note = {"commit": commit, "batch": batch, "live": live | {b: (commit, size) for b, size in filled.items()}}
+        note["counts"] = counts.get() if counts else None
         write_text(self.spark, self._note_path(commit), json.dumps(note))
 
     def finish(self) -> None:
