@@ -199,6 +199,39 @@ def report_doc(version: int):
 ORDERS_BEFORE = f"o_orderdate < TIMESTAMP_NTZ'{ORDERS_UNTIL}'"
 
 
+@landed("nested_feed")
+def nested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines under each return flag, and the parts of their priority. Orders that are only placed have no
+    flags yet, lines that came back have left an empty list, and an order without lines has no list at all."""
+    line = F.struct(F.col("l_linenumber").cast("long").alias("no"), F.col("n"))
+    lines = order_lines(spark, sf_dir).groupBy("l_orderkey", "flag").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    kept = F.when(F.col("flag") == "R", F.slice("lines", 1, 0)).otherwise(F.col("lines"))
+    flags = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("flag", kept.alias("lines")))).alias("flags"))
+    orders = table(spark, sf_dir, "orders").join(flags, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    doc = to_doc(
+        {
+            "_id": F.col("o_orderkey").cast("string"),
+            "priority": F.split("o_orderpriority", "-"),
+            "flags": F.when(F.col("o_orderstatus") == "P", F.slice(F.coalesce("flags", F.array().cast(flags.schema["flags"].dataType)), 1, 0)).otherwise(F.col("flags")),
+        }
+    )
+    return envelope(orders, F.col("o_orderkey"), F.lit(1), ntz_millis(F.col("o_orderdate")), doc)
+
+
+@landed("growing_feed")
+def growing_feed(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    """Orders whose documents grow inside: first a customer's number and counted lines, later also a state and flags."""
+    number = F.col("l_linenumber").cast("string").alias("no")
+    line = F.struct(number, F.col("n")) if version == 1 else F.struct(number, F.col("flag"))
+    lines = order_lines(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    orders = table(spark, sf_dir, "orders").where(ORDERS_BEFORE if version == 1 else "o_orderstatus <> 'O'")
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    state = [] if version == 1 else [F.col("o_orderstatus").alias("state")]
+    doc = to_doc({"_id": F.col("o_orderkey").cast("string"), "customer": F.struct(F.col("o_custkey").alias("id"), *state), "lines": F.col("lines")})
+    lead = [] if version == 1 else [order_op()]
+    return envelope(rows, F.col("o_orderkey"), F.lit(version), ntz_millis(F.col("o_orderdate")), doc, *lead)
+
+
 @landed("report_snapshot")
 def report_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders_with_lines(spark, sf_dir).where(ORDERS_BEFORE)

@@ -17,6 +17,7 @@ from tidemark import (
     CollectionSpec,
     apply_changes,
     drop_database,
+    flatten,
     hash_mapping_merge,
     id_hash_mapping,
     initial_load,
@@ -32,7 +33,7 @@ from tidemark import (
     table_exists,
     unprocessed_files,
 )
-from tidemark.functions.docs import LONG, TEXT, record, to_doc
+from tidemark.functions.docs import LONG, TEXT, list_of, record, to_doc
 from tidemark.operators.merge import merge_colocated
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS, UPLOADS
 from tidemark.plans.loads import RunError, bad_documents, changes_to_rows, table_for
@@ -383,6 +384,32 @@ def register_after_widening(spark, sf_dir):
     return scalars(spark.table(table.name).drop(BUCKET))
 
 
+def _grown_sql(state, n, flag, where):
+    columns = f"o_custkey AS customer, {state} AS state, l_linenumber::VARCHAR AS line_no, {n} AS line_n, {flag} AS line_flag"
+    return f"SELECT o_orderkey::VARCHAR AS _id, {columns} FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey WHERE {where}"
+
+
+@query(
+    sql.with_(
+        {"lines": sql.LINES},
+        _grown_sql("NULL::VARCHAR", "n", "NULL::VARCHAR", f"{sql.ORDERS_BEFORE} AND o_orderstatus = 'O'")
+        + " UNION ALL "
+        + _grown_sql("o_orderstatus", "NULL::BIGINT", "flag", f"o_orderstatus = 'P' OR (o_orderstatus = 'F' AND NOT {sql.ORDERS_BEFORE})"),
+    )
+)
+def schema_evolve_nested(spark, sf_dir):
+    """Documents grow inside a struct and inside the elements of an array, and a count gets wider: the stored table takes all
+    that with the batch, and its old rows are not written again."""
+    first = record(_id=TEXT, customer=record(id=LONG), lines=list_of(no=TEXT, n=T.IntegerType()))
+    later = record(_id=TEXT, customer=record(id=LONG, state=TEXT), lines=list_of(flag=TEXT, no=TEXT, n=LONG))
+    table = _loaded(spark, CollectionSpec(name="growing", doc_schema=first), feeds.growing_feed(spark, sf_dir, 1))
+    spec = CollectionSpec(name="growing", doc_schema=later, buckets=_BUCKETS)
+    grown = table_for(spark, spec, table.path, table.name)
+    merge_into(spec, grown, feeds.growing_feed(spark, sf_dir, 2), "grown")
+    shown = spark.table(grown.name).select("_id", F.col("customer.id").alias("customer"), F.col("customer.state").alias("state"), "lines")
+    return flatten(shown, "lines", ("no", "n", "flag"), "line_")
+
+
 @query()
 def sample_rows(spark, sf_dir):
     """Any five rows: the look at a table after a load."""

@@ -13,6 +13,7 @@ from tidemark import (
     dropped_fields,
     field_rejects,
     flatten,
+    flatten_levels,
     parse_docs,
     quarantine,
     read_changes,
@@ -23,7 +24,7 @@ from tidemark import (
     unprocessed_files,
     unwrap_dates,
 )
-from tidemark.functions.docs import FLAG, LONG, TEXT, record
+from tidemark.functions.docs import FLAG, LONG, TEXT, list_of, record
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS, UPLOAD_CHANGE_FIELDS, UPLOADS
 from tidemark.plans.loads import changes_to_rows, snapshot_to_rows
 from tidemark.sources.ledger import create_ledger
@@ -145,6 +146,42 @@ def flatten_dotted(spark, sf_dir):
     return scalars(snapshot_to_rows(ACCESS, feeds.access_feed(spark, sf_dir, 1)))
 
 
+_NESTED = record(_id=TEXT, priority=T.ArrayType(TEXT), flags=list_of(flag=TEXT, lines=list_of(no=LONG, n=LONG)))
+_FLAGS = """SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY flag) - 1 AS place FROM (
+  SELECT l_orderkey, flag, count(*) FILTER (flag <> 'R') AS lines_n FROM lines GROUP BY l_orderkey, flag)"""
+_KEPT_LINES = """SELECT l_orderkey, flag, l_linenumber, n, row_number() OVER (PARTITION BY l_orderkey, flag ORDER BY l_linenumber) - 1 AS line_place
+  FROM lines WHERE flag <> 'R'"""
+
+
+@query(
+    sql.with_(
+        {"lines": sql.LINES, "flags": _FLAGS, "kept": _KEPT_LINES, "sizes": "SELECT l_orderkey, count(*) AS flags_n FROM flags GROUP BY l_orderkey"},
+        """SELECT 'order' AS level, o_orderkey::VARCHAR AS _id, NULL::BIGINT AS place, NULL::BIGINT AS line_place, NULL::VARCHAR AS value,
+          CASE WHEN o_orderstatus = 'P' THEN 0 ELSE flags_n END AS n FROM orders LEFT JOIN sizes ON o_orderkey = l_orderkey
+        UNION ALL SELECT 'priority', o_orderkey::VARCHAR, generate_subscripts(string_split(o_orderpriority, '-'), 1) - 1, NULL,
+          unnest(string_split(o_orderpriority, '-')), NULL FROM orders
+        UNION ALL SELECT 'flag', o_orderkey::VARCHAR, place, NULL, flag, lines_n FROM orders JOIN flags ON o_orderkey = l_orderkey AND o_orderstatus <> 'P'
+        UNION ALL SELECT 'line', o_orderkey::VARCHAR, place, line_place, l_linenumber::VARCHAR, n
+          FROM orders JOIN flags f ON o_orderkey = f.l_orderkey AND o_orderstatus <> 'P' JOIN kept k ON k.l_orderkey = f.l_orderkey AND k.flag = f.flag""",
+    ),
+    name="flatten_levels",
+)
+def flatten_orders(spark, sf_dir):
+    """Two arrays of a document, one of them with an array in it: four tables from one pass, put under each other."""
+    tables = flatten_levels(parse_docs(feeds.nested_feed(spark, sf_dir), _NESTED), ["_id"], ["priority", "flags", "flags.lines"])
+
+    def under(path, level, place, line_place, value, n):
+        columns = {"place": place, "line_place": line_place, "value": value, "n": n}
+        kinds = {"place": "long", "line_place": "long", "value": "string", "n": "long"}
+        return tables[path].select(
+            F.lit(level).alias("level"), "_id", *[(F.col(c) if c else F.lit(None)).cast(kinds[k]).alias(k) for k, c in columns.items()]
+        )
+
+    rows = under("", "order", None, None, None, "flags_n").union(under("priority", "priority", "priority_pos", None, "priority_value", None))
+    rows = rows.union(under("flags", "flag", "flags_pos", None, "flags_flag", "flags_lines_n"))
+    return rows.union(under("flags.lines", "line", "flags_pos", "lines_pos", "lines_no", "lines_n"))
+
+
 _DRIFT = {
     "automatedStatus": "count(o_orderstatus)",
     "dobFormat": "count(NULL)",

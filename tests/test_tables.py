@@ -2,6 +2,7 @@
 
 import os
 import time
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -426,3 +427,27 @@ def test_a_failing_collection_does_not_hold_up_the_others(spark, place):
     with pytest.raises(RunError, match="orphans.*full load never came") as e:
         run(spark, [SPEC.with_(name="orphans"), SPEC], place["landing"], place["tables"], place["checkpoints"])
     assert list(e.value.failures) == ["orphans"] and ("a", "x", 2, 2) in contents(e.value.tables["things"].read())
+
+
+def test_collections_run_at_once(spark, place, monkeypatch):
+    """All threads are in their load at the same time, with pools of their own; a failing one is told by name."""
+    from tidemark.plans import loads
+
+    names, pools, meet = ["things", "others", "more"], {}, Barrier(3)
+    for name in names:
+        land(spark, f"{place['landing']}/{name}", [("U", "a", 2, None, doc("a", 2, "x"))], "c")
+        if name != "more":
+            land(spark, f"{place['landing']}/{name}", [("a", 1, None, doc("a", 1, "x"))], "LOAD", with_op=False)
+
+    def together(spark, spec, *args, **kwargs):
+        meet.wait(60)
+        pools[spec.name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return initial_load(spark, spec, *args, **kwargs)
+
+    monkeypatch.setattr(loads, "initial_load", together)
+    with pytest.raises(RunError, match="more.*full load never came") as e:
+        run(spark, [SPEC.with_(name=n) for n in names], place["landing"], place["tables"], place["checkpoints"], at_once=3)
+    assert pools == {n: n for n in names} and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    assert {n: contents(t.read()) for n, t in e.value.tables.items()} == {n: [("a", "x", 2, 2)] for n in names[:2]}
+    with pytest.raises(ValueError, match="more than once"):
+        run(spark, [SPEC, SPEC], place["landing"], place["tables"], place["checkpoints"])

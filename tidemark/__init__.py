@@ -1,8 +1,8 @@
 """Keeps analytic tables in step with a document store's change feed, on Spark."""
 
 from tidemark.operators.drift import field_paths, field_rejects, undeclared_fields
-from tidemark.operators.evolve import align_to_schema, dropped_fields
-from tidemark.operators.flatten import flatten
+from tidemark.operators.evolve import align_to_schema, dropped_fields, merge_types
+from tidemark.operators.flatten import flatten, flatten_levels
 from tidemark.operators.idhash import hash_mapping_merge, id_hash_mapping
 from tidemark.operators.latest import keep_latest, max_seq_per_key
 from tidemark.operators.merge import MergeCounts, merge, merge_colocated, merge_parts, replace_children
@@ -39,6 +39,7 @@ __all__ = [
     "field_paths",
     "field_rejects",
     "flatten",
+    "flatten_levels",
     "hash_mapping_merge",
     "id_hash_mapping",
     "initial_load",
@@ -48,6 +49,7 @@ __all__ = [
     "merge_colocated",
     "merge_into",
     "merge_parts",
+    "merge_types",
     "newest_row",
     "parse_docs",
     "quarantine",

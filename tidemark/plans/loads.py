@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ from tidemark.plans.spec import CollectionSpec
 from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
 from tidemark.sources.envelope import LOAD_PREFIX, envelope_schema, has_files, read_full_load
 from tidemark.sources.onread import OnReadTable
-from tidemark.sources.tables import BucketTable, default_name
+from tidemark.sources.tables import BucketTable, create_database_of, default_name
 
 # A staged batch is broadcast to the merge up to this many bytes in memory; a larger one is shuffled.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -211,27 +213,42 @@ def run(
     tables: str,
     checkpoints: str,
     database: str | None = None,
+    at_once: int = 4,
 ) -> dict[str, BucketTable]:
     """The daily run: for each collection the full load if it is due, then all change files
     that no earlier run has taken. Returns the tables by collection name; with a `database` they are
     its tables of that name.
 
-    The collections go one after the other. One that fails does not hold up those after it: what failed is raised at the end, as `RunError`.
+    So many collections go `at_once`, each in a thread with the caller's session and a scheduler pool of its name (which
+    shares the cluster evenly if `spark.scheduler.mode` is FAIR). One that fails does not hold up the others: what failed
+    is raised at the end, as `RunError`.
     """
     from tidemark.streaming.changes import stream_changes
 
-    done: dict[str, BucketTable] = {}
-    failures: dict[str, BaseException] = {}
-    for spec in specs:
+    if twice := sorted({s.name for s in specs if [t.name for t in specs].count(s.name) > 1}):
+        raise ValueError(f"collections {twice} are there more than once: one writer a table")
+
+    def one(spec: CollectionSpec) -> BucketTable:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
         source, path = f"{landing}/{spec.name}", f"{tables}/{spec.name}"
         name = f"{database}.{spec.name}" if database else None
-        try:
-            table = initial_load(spark, spec, landing, path, name=name) or table_for(spark, spec, path, name)
-            if has_files(spark, source):
-                stream_changes(spark, spec, source, table, f"{checkpoints}/{spec.name}")
-            done[spec.name] = table
-        except Exception as e:
-            failures[spec.name] = e
+        table = initial_load(spark, spec, landing, path, name=name) or table_for(spark, spec, path, name)
+        if has_files(spark, source):
+            stream_changes(spark, spec, source, table, f"{checkpoints}/{spec.name}")
+        return table
+
+    if database:
+        create_database_of(spark, f"{database}.any")
+    done: dict[str, BucketTable] = {}
+    failures: dict[str, BaseException] = {}
+    with ThreadPoolExecutor(at_once, "collection") as threads:
+        # a thread's local properties are those of the caller, so each job takes a copy of them along
+        waiting = {spec.name: threads.submit(inheritable_thread_target(spark)(one), spec) for spec in specs}
+        for name, job in waiting.items():
+            try:
+                done[name] = job.result()
+            except Exception as e:
+                failures[name] = e
     if failures:
         raise RunError(failures, done)
     return done

@@ -19,9 +19,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import any_null_sql, bucket_of, columns_sql, names, quote
 from tidemark.session import files_under, remove, write_text
-from tidemark.sources.tables import BUCKET, COMMIT, PLACE, SHOWN, BucketTable, drop_table, escaped, table_exists
-
-GONE = "in_delete"
+from tidemark.sources.tables import BUCKET, COMMIT, GONE, PLACE, SHOWN, BucketTable, drop_table, escaped, table_exists
 
 
 class OnReadTable(BucketTable):
@@ -37,11 +35,9 @@ class OnReadTable(BucketTable):
         """Adds the changes of a batch: all columns of the table, no key twice; `delete` tells which of them are deletes."""
         self._enter_changes()
         commit = self._next_commit()
-        stored = [c for c in self.spark.table(self.changes_name).columns if c not in (GONE, COMMIT, BUCKET)]
-        gone = F.coalesce(delete, F.lit(False)).alias(GONE)
-        sliced = self.in_table_types(rows.withColumn("__gone", gone)).select(
-            *names(stored), F.col("__gone").alias(GONE), F.lit(commit).alias(COMMIT), bucket_of(self.keys, self.buckets).alias(BUCKET)
-        )
+        stored = [c for c in self.spark.table(self.changes_name).columns if c not in (COMMIT, BUCKET)]
+        marked = self.in_table_types(rows.withColumn(GONE, F.coalesce(delete, F.lit(False))))
+        sliced = marked.select(*names(stored), F.lit(commit).alias(COMMIT), bucket_of(self.keys, self.buckets).alias(BUCKET))
         sliced.hint("rebalance", BUCKET).write.insertInto(self.changes_name)
         before = self._newest_note()
         note = {"commit": commit, "batch": batch, "live": before["live"]}
@@ -66,27 +62,26 @@ class OnReadTable(BucketTable):
         return self.spark.sql(self._body(self._shown(), buckets)).select(*names(self.schema.names))
 
     def widen(self) -> list[str]:
+        if not table_exists(self.spark, self.rows_name) or self._stored_changes():
+            self._enter_rows()
         if table_exists(self.spark, self.changes_name):
-            there = set(self.spark.table(self.changes_name).columns)
-            new = [f for f in self.schema if f.name not in there]
-            if new:
-                self.spark.sql(f"ALTER TABLE {self.changes_name} ADD COLUMNS ({columns_sql(new)})")
+            self._widen_entry(self.changes_name, self._enter_changes)
         return super().widen()
 
     def create(self, df: DataFrame) -> None:
         drop_table(self.spark, self.changes_name)
         super().create(df)
 
-    def _enter_rows(self) -> None:
-        super()._enter_rows()
+    def _enter_rows(self, schema: T.StructType | None = None) -> None:
+        super()._enter_rows(schema)
         if self._stored_changes():
             self._enter_changes()
 
-    def _enter_changes(self) -> None:
+    def _enter_changes(self, schema: T.StructType | None = None) -> None:
         if table_exists(self.spark, self.changes_name):
             return
         keys = ", ".join(names(self.keys))
-        rows = [f for f in self.spark.table(self.rows_name).schema if f.name not in (COMMIT, BUCKET)]
+        rows = [f for f in schema or self.spark.table(self.rows_name).schema if f.name not in (COMMIT, BUCKET)]
         columns = columns_sql([*rows, T.StructField(GONE, T.BooleanType()), *PLACE])
         self.spark.sql(
             f"CREATE TABLE {self.changes_name} ({columns}) USING parquet PARTITIONED BY ({COMMIT}, {BUCKET}) "

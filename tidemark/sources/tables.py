@@ -15,17 +15,20 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Collection, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import any_null, bucket_of, col, columns_sql, names, quote
+from tidemark.functions.columns import any_null, bucket_of, col, columns_sql, names, quote, type_sql
+from tidemark.operators.evolve import conform, merge_types
 from tidemark.operators.merge import MergeCounts
 from tidemark.session import files_under, read_text, remove, write_text
 
-BUCKET, COMMIT = "in_bucket", "in_commit"
+BUCKET, COMMIT, GONE = "in_bucket", "in_commit", "in_delete"
+#: Columns of the catalog's tables that no reader of the view gets (but for the bucket).
+NOT_ROWS = (BUCKET, COMMIT, GONE)
 #: View properties: the last batch that is in, and the commit that the view shows.
 BATCH, SHOWN = "tidemark.batch", "tidemark.commit"
 PLACE = (T.StructField(COMMIT, T.IntegerType()), T.StructField(BUCKET, T.IntegerType()))
@@ -63,14 +66,14 @@ class BucketTable:
         self._enter_rows()
         self.replace(df, range(self.buckets), "")
 
-    def _enter_rows(self) -> None:
+    def _enter_rows(self, schema: T.StructType | None = None) -> None:
         """Makes the catalog table of the rows, of files that may be there; where it is known already, nothing."""
         create_database_of(self.spark, self.name)
         if table_exists(self.spark, self.rows_name):
             return
         keys = ", ".join(names(self.keys))
         self.spark.sql(
-            f"CREATE TABLE {self.rows_name} ({columns_sql([*self.schema, *PLACE])}) USING parquet PARTITIONED BY ({COMMIT}, {BUCKET}) "
+            f"CREATE TABLE {self.rows_name} ({columns_sql([*(schema or self.schema), *PLACE])}) USING parquet PARTITIONED BY ({COMMIT}, {BUCKET}) "
             f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{escaped(self.path)}'"
         )
         if self._stored():
@@ -84,18 +87,39 @@ class BucketTable:
         return rows.select(*names(self.schema.names))
 
     def widen(self) -> list[str]:
-        """Adds the columns of `schema` that the stored table does not have; old rows have NULL in them."""
-        there = set(self.spark.table(self.rows_name).columns)
-        new = [f for f in self.schema if f.name not in there]
-        if new:
-            self.spark.sql(f"ALTER TABLE {self.rows_name} ADD COLUMNS ({columns_sql(new)})")
+        """Adds the columns of `schema` that the stored table does not have, and the fields that its structs do not have, at
+        any depth; old rows have NULL in them. Single values may become wider (`merge_types`), keys may not: rows lie by
+        them. Returns the columns that are new or have changed."""
+        if not table_exists(self.spark, self.rows_name):
+            self._enter_rows()  # a job has died while it entered the table anew
+        gained = self._widen_entry(self.rows_name, self._enter_rows)
+        if gained:
             self._show(self._newest_note())
-        return [f.name for f in new]
+        return gained
+
+    def _widen_entry(self, entry: str, enter: Callable[[T.StructType], None]) -> list[str]:
+        """Columns at the end are added to the catalog's table. If a type changes, the table is entered anew over the same
+        files, which takes no rewrite: they are read as the wider type. A reader that comes in that moment fails."""
+        stored = self.spark.table(entry).schema
+        own = T.StructType([f for f in stored if f.name not in NOT_ROWS])
+        wider = merge_types(own, self.schema)
+        there = {f.name: type_sql(f.dataType) for f in own}
+        changed = [f.name for f in wider if f.name in there and there[f.name] != type_sql(f.dataType)]
+        if keys := sorted({*changed} & {*self.keys}):
+            raise ValueError(f"keys {keys} cannot change their type: the table lies in buckets of them")
+        new = [f for f in wider if f.name not in there]
+        if changed:
+            self.spark.sql(f"DROP TABLE {entry}")
+            enter(wider)
+        elif new:
+            self.spark.sql(f"ALTER TABLE {entry} ADD COLUMNS ({columns_sql(new)})")
+        self.schema = T.StructType([wider[f.name] for f in self.schema])
+        return [f.name for f in new] + changed
 
     def in_table_types(self, rows: DataFrame) -> DataFrame:
         """Columns that the table has too, in its types: a key must fall into the bucket it is stored in."""
         types = {f.name: f.dataType for f in self.schema}
-        return rows.select(*[col(c).cast(types[c]).alias(c) if c in types else col(c) for c in rows.columns])
+        return rows.select(*[conform(col(f.name), f.dataType, types[f.name]).alias(f.name) if f.name in types else col(f.name) for f in rows.schema])
 
     def buckets_of(self, rows: DataFrame) -> set[int]:
         """Buckets of the rows' keys: at most `buckets` numbers reach the driver."""
