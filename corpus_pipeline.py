@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written and read again as the next stage's
 documents. All but the last return the columns of `documents`.
+
+In every stage a null text counts as an empty one and stays null where the text is returned. A null doc_id, lang, source or
+n_chars is carried on as it is, repeated rows are decided alike (of copies with words, one row stays), an empty table gives no rows,
+columns beyond those of `documents` are left out whatever their names, and texts are taken whole at any length.
 """
 
 from __future__ import annotations
