@@ -451,3 +451,25 @@ def test_collections_run_at_once(spark, place, monkeypatch):
     assert {n: contents(t.read()) for n, t in e.value.tables.items()} == {n: [("a", "x", 2, 2)] for n in names[:2]}
     with pytest.raises(ValueError, match="more than once"):
         run(spark, [SPEC, SPEC], place["landing"], place["tables"], place["checkpoints"])
+
+
+@pytest.mark.parametrize("on_read", [False, True])
+def test_a_large_snapshot_gets_more_buckets(spark, place, monkeypatch, on_read):
+    """The tasks of a merge hold a bucket each, so a bucket may not grow with the table; the number stays with the table."""
+    spec = SPEC.with_(on_read=on_read)
+    folder = f"{place['landing']}/{spec.name}"
+    land(spark, folder, [(f"k{i}", 1, None, doc(f"k{i}", i, "a", "b")) for i in range(200)], "LOAD", with_op=False)
+    monkeypatch.setattr("tidemark.plans.loads.LANDED_BYTES", 100)
+    table = initial_load(spark, spec, place["landing"], f"{place['tables']}/many")
+    made = table.buckets
+    assert made > 4 and max(r[0] for r in spark.table(table.name).select("in_bucket").distinct().collect()) > 3
+    monkeypatch.undo()
+    again = table_for(spark, spec, table.path, table.name)  # asks for 4
+    batch = [(op, f"k{i}", 2, None, doc(f"k{i}", -i, "a")) for i, op in ((3, "U"), (5, "D"), (777, "I"))]
+    assert merge_into(spec, again, envelopes(spark, batch), "one") and again.buckets == made
+    got = {(r["_id"], r["kid_k"]): r["n"] for r in again.read().collect()}
+    assert len(got) == 400 and got["k3", "a"] == -3 and got["k777", "a"] == -777 and ("k5", "a") not in got
+    drop_table(spark, table.name)  # a catalog that has lost the view, and then the rows too
+    assert again.exists() and again.read().count() == 400
+    reloaded = initial_load(spark, spec, place["landing"], table.path, reload=True)
+    assert reloaded.buckets == made and reloaded.read().count() == 400

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -19,7 +20,7 @@ from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import MergeCounts, merge_colocated, merge_parts, no_repeats, replace_children
 from tidemark.operators.parse import parse_docs, unreadable, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
-from tidemark.session import memory_bytes, remove, scratch_dir, stage, staged_bytes
+from tidemark.session import files_under, memory_bytes, remove, scratch_dir, stage, staged_bytes
 from tidemark.sources.envelope import LOAD_PREFIX, envelope_schema, has_files, read_full_load
 from tidemark.sources.onread import OnReadTable
 from tidemark.sources.tables import BucketTable, create_database_of, default_name
@@ -28,6 +29,9 @@ from tidemark.sources.tables import BucketTable, create_database_of, default_nam
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A stored bucket of up to this many file bytes is merged by one task; larger ones are split.
 BUCKET_BYTES = 512 * 1024 * 1024
+# A table is made with a bucket for so many bytes of its snapshot files at least: rows are 10 to 20 times larger in memory, where
+# one task sorts those of a bucket and what a batch brings to it.
+LANDED_BYTES = 8 * 1024 * 1024
 
 
 def snapshot_to_rows(spec: CollectionSpec, envelopes: DataFrame) -> DataFrame:
@@ -107,7 +111,8 @@ def initial_load(
     spark: SparkSession, spec: CollectionSpec, landing: str, path: str, reload: bool = False, name: str | None = None
 ) -> BucketTable | None:
     """Create the table from the snapshot files; a table that exists is left alone unless
-    `reload`. Without a snapshot file there is nothing to do, and no table.
+    `reload`. Without a snapshot file there is nothing to do, and no table. A large snapshot
+    gets more buckets than the collection asks for.
     """
     table = table_for(spark, spec, path, name)
     if table.exists() and not reload:
@@ -115,10 +120,16 @@ def initial_load(
     if not has_files(spark, f"{landing}/{spec.name}", f"{LOAD_PREFIX}*.parquet"):
         return None
     envelopes = read_full_load(spark, f"{landing}/{spec.name}", spec.seq_type)
-    table.create(align_to_schema(snapshot_to_rows(spec, envelopes), spec.table_schema()))
+    least = -(-landed_bytes(spark, f"{landing}/{spec.name}") // LANDED_BYTES)
+    table.create(align_to_schema(snapshot_to_rows(spec, envelopes), spec.table_schema()), least)
     return table
 
 
+def landed_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the snapshot files in a landing folder, from one listing."""
+    return sum(size for file, size in files_under(spark, folder) if re.search(rf"/{LOAD_PREFIX}[^/]*\.parquet$", file))
+
+
 def merge_into(spec: CollectionSpec, table: BucketTable, changes: DataFrame, batch: str) -> bool:
     """Merge one batch into the catalog table, once: a batch that is in already is skipped.
 

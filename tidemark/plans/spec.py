@@ -26,8 +26,8 @@ class CollectionSpec:
     options         further options of `merge`
     keep_bad        documents that cannot be parsed go to a side table and not into the merge
     on_read         batches are appended and resolved when the table is read, until it is compacted
-    buckets         the table is cut into so many buckets of its key; a merge reads and
-                    writes the touched ones only
+    buckets         the table is cut into so many buckets of its key, or more if its snapshot is
+                    large; a merge reads and writes the touched ones only
     """
 
     name: str

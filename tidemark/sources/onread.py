@@ -40,7 +40,7 @@ class OnReadTable(BucketTable):
         sliced = marked.select(*names(stored), F.lit(commit).alias(COMMIT), bucket_of(self.keys, self.buckets).alias(BUCKET))
         sliced.hint("rebalance", BUCKET).write.insertInto(self.changes_name)
         before = self._newest_note()
-        note = {"commit": commit, "batch": batch, "live": before["live"]}
+        note = {"commit": commit, "batch": batch, "live": before["live"], "buckets": self.buckets}
         write_text(self.spark, self._note_path(commit), json.dumps(note))
         self.finish()
 
@@ -68,9 +68,9 @@ class OnReadTable(BucketTable):
             self._widen_entry(self.changes_name, self._enter_changes)
         return super().widen()
 
-    def create(self, df: DataFrame) -> None:
+    def create(self, df: DataFrame, least: int = 1) -> None:
         drop_table(self.spark, self.changes_name)
-        super().create(df)
+        super().create(df, least)
 
     def _enter_rows(self, schema: T.StructType | None = None) -> None:
         super()._enter_rows(schema)
@@ -127,7 +127,7 @@ class OnReadTable(BucketTable):
             return super()._body(note) + only
         columns = [c for c in self.spark.table(self.rows_name).columns if c != COMMIT]
         keys = names(self.keys)
-        at = ", ".join(str(note["live"].get(b, (0, 0))[0]) for b in range(self.buckets))
+        at = ", ".join(str(note["live"].get(b, (0, 0))[0]) for b in range(self._buckets_in(note)))
         newer = f"{COMMIT} > element_at(array({at}), {BUCKET} + 1) AND {COMMIT} <= {note['commit']}{only}"
         null_key = any_null_sql(self.keys)
         insert = str(self.insert_deletes).lower()

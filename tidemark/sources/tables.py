@@ -35,7 +35,8 @@ PLACE = (T.StructField(COMMIT, T.IntegerType()), T.StructField(BUCKET, T.Integer
 
 
 class BucketTable:
-    """`name` in the catalog, files under `path`, rows of `schema` in `buckets` buckets of `keys`."""
+    """`name` in the catalog, files under `path`, rows of `schema` in buckets of `keys`: as many as its notes say, `buckets` if they
+    do not. It is made with more for rows that would fill them too far (`create`), and then keeps their number."""
 
     def __init__(
         self, spark: SparkSession, name: str, path: str, schema: T.StructType, keys: Sequence[str], buckets: int
@@ -46,7 +47,16 @@ class BucketTable:
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
-        self.buckets = buckets
+        self._asked = buckets
+        self._making: int | None = None
+
+    @property
+    def buckets(self) -> int:
+        """The number that the table is stored in."""
+        return self._making or self._buckets_in(self._newest_note())
+
+    def _buckets_in(self, note: Mapping | None) -> int:
+        return (note or {}).get("buckets", self._asked)
 
     def exists(self) -> bool:
         """Whether the table is there. Files that the catalog does not know (a new session of a catalog in
@@ -60,11 +70,17 @@ class BucketTable:
         self._show(note)
         return True
 
-    def create(self, df: DataFrame) -> None:
-        """The table from these rows, in place of one that may be there."""
-        drop_table(self.spark, self.rows_name)
-        self._enter_rows()
-        self.replace(df, range(self.buckets), "")
+    def create(self, df: DataFrame, least: int = 1) -> None:
+        """The table from these rows, in place of one that may be there. It gets `least` buckets, if that is more than asked for;
+        one that is made anew keeps those it has, as its readers may still be at them."""
+        note = self._newest_note()
+        self._making = max(self._asked, self._buckets_in(note) if note else least)
+        try:
+            drop_table(self.spark, self.rows_name)
+            self._enter_rows()
+            self.replace(df, range(self.buckets), "")
+        finally:
+            self._making = None
 
     def _enter_rows(self, schema: T.StructType | None = None) -> None:
         """Makes the catalog table of the rows, of files that may be there; where it is known already, nothing."""
@@ -172,7 +188,7 @@ class BucketTable:
             raise ValueError(f"rows of buckets {stray}, which the batch does not touch")
         before = self._newest_note()
         live = {b: at for b, at in before["live"].items() if b not in set(touched)} if before else {}
-        note = {"commit": commit, "batch": batch, "live": live | {b: (commit, size) for b, size in filled.items()}}
+        note = {"commit": commit, "batch": batch, "live": live | {b: (commit, size) for b, size in filled.items()}, "buckets": self.buckets}
         note["counts"] = counts.get() if counts else None
         write_text(self.spark, self._note_path(commit), json.dumps(note))
 
@@ -222,7 +238,7 @@ class BucketTable:
         return {(int(m[1]), int(m[2])) for m in found if m}
 
     def _live_sql(self, note: Mapping) -> str:
-        at = ", ".join(str(note["live"].get(b, (0, 0))[0]) for b in range(self.buckets))
+        at = ", ".join(str(note["live"].get(b, (0, 0))[0]) for b in range(self._buckets_in(note)))
         return f"{COMMIT} = element_at(array({at}), {BUCKET} + 1)"
 
     def _body(self, note: Mapping) -> str:
