@@ -34,7 +34,7 @@ from tidemark import (
     unprocessed_files,
 )
 from tidemark.functions.docs import LONG, TEXT, list_of, record, to_doc
-from tidemark.operators.merge import merge_colocated
+from tidemark.operators.merge import merge_colocated, unrepeated
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS, UPLOADS
 from tidemark.plans.loads import RunError, bad_documents, changes_to_rows, table_for
 from tidemark.session import scratch_dir, stage
@@ -238,7 +238,9 @@ def id_hash_lookup(spark, sf_dir):
 )
 def id_hash_mapping_merge(spark, sf_dir):
     mapping = id_hash_mapping(snapshot_to_rows(REPORTS, feeds.report_snapshot(spark, sf_dir)))
-    return hash_mapping_merge(mapping, changes_to_rows(REPORTS, feeds.report_changes(spark, sf_dir)))
+    changes = changes_to_rows(REPORTS, feeds.report_changes(spark, sf_dir))
+    batch = stage(changes.select("Op", "_id", "patient__id"), "mapping-batch")  # a merge reads its source several times
+    return hash_mapping_merge(mapping, batch, **unrepeated(mapping, batch, [("id", "_id"), ("patient_id", "patient__id")]))
 
 
 @query(

@@ -9,7 +9,9 @@ from showcase.feeds import EVENT_SPEC, scalars
 from showcase.registry import query
 from tidemark import merge, replace_children, snapshot_to_rows
 from tidemark.plans.collections import ACCESS, ERRORS, REPORTS
+from tidemark.operators.merge import unrepeated
 from tidemark.plans.loads import changes_to_rows
+from tidemark.session import stage
 
 
 def _event_table(spark, sf_dir, where):
@@ -53,9 +55,16 @@ def merge_update(spark, sf_dir):
     return scalars(merge(target, source, ["_id"], mapping=mapping))
 
 
-def _reports(spark, sf_dir):
+def _reports(spark, sf_dir, where="true"):
+    """The table, and a batch of those changes; it is staged, as a merge reads its source several times."""
     target = snapshot_to_rows(REPORTS, feeds.report_snapshot(spark, sf_dir))
-    return target, changes_to_rows(REPORTS, feeds.report_changes(spark, sf_dir))
+    return target, stage(changes_to_rows(REPORTS, feeds.report_changes(spark, sf_dir)).where(where), "reports-batch")
+
+
+def _merged(target, source, **options):
+    """By the two keys of the reports, in one join if neither side repeats one."""
+    checked = unrepeated(target, source, REPORTS.keys, options.get("null_safe", ()))
+    return scalars(merge(target, source, REPORTS.keys, **checked, **options))
 
 
 @query(sql.with_(_EVENTS, sql.merged(sql.EVENT, _SAME_ID)))
@@ -68,8 +77,7 @@ def merge_null_op(spark, sf_dir):
 
 @query(sql.with_(sql.REPORTS, sql.merged(sql.REPORT, sql.REPORT_KEY)))
 def merge_two_key(spark, sf_dir):
-    target, source = _reports(spark, sf_dir)
-    return scalars(merge(target, source, REPORTS.keys))
+    return _merged(*_reports(spark, sf_dir))
 
 
 @query(
@@ -80,9 +88,8 @@ def merge_two_key(spark, sf_dir):
 )
 def merge_insert(spark, sf_dir):
     """Orders placed after the snapshot: nothing matches, all come in."""
-    target, source = _reports(spark, sf_dir)
-    later = source.where(F.unix_millis("transact_change_timestamp") >= feeds.ntz_millis(F.lit(feeds.ORDERS_UNTIL).cast("timestamp_ntz")))
-    return scalars(merge(target, later, REPORTS.keys))
+    later = F.unix_millis("transact_change_timestamp") >= feeds.ntz_millis(F.lit(feeds.ORDERS_UNTIL).cast("timestamp_ntz"))
+    return _merged(*_reports(spark, sf_dir, later))
 
 
 @query(
@@ -92,14 +99,12 @@ def merge_insert(spark, sf_dir):
     )
 )
 def merge_delete(spark, sf_dir):
-    target, source = _reports(spark, sf_dir)
-    return scalars(merge(target, source.where("Op = 'D'"), REPORTS.keys, insert_deletes=False))
+    return _merged(*_reports(spark, sf_dir, "Op = 'D'"), insert_deletes=False)
 
 
 @query(sql.with_({n: sql.REPORTS[n] for n in ("lines", "t")}, f"SELECT {sql.names(sql.REPORT)} FROM t"))
 def merge_empty_batch(spark, sf_dir):
-    target, source = _reports(spark, sf_dir)
-    return scalars(merge(target, source.where("Op = 'no such code'"), REPORTS.keys))
+    return _merged(*_reports(spark, sf_dir, "Op = 'no such code'"))
 
 
 @query(sql.with_(sql.ERRORS, sql.merged(sql.ERROR, _SAME_ID)))
@@ -116,8 +121,7 @@ def merge_struct_and_dotted_key(spark, sf_dir):
 
 @query(sql.with_(sql.REPORTS, sql.merged(sql.REPORT, sql.REPORT_KEY, insert_deletes=False)))
 def merge_insert_deletes_off(spark, sf_dir):
-    target, source = _reports(spark, sf_dir)
-    return scalars(merge(target, source, REPORTS.keys, insert_deletes=False))
+    return _merged(*_reports(spark, sf_dir), insert_deletes=False)
 
 
 @query(
@@ -126,8 +130,7 @@ def merge_insert_deletes_off(spark, sf_dir):
     )
 )
 def merge_null_safe(spark, sf_dir):
-    target, source = _reports(spark, sf_dir)
-    return scalars(merge(target, source, REPORTS.keys, null_safe=["patient__id"]))
+    return _merged(*_reports(spark, sf_dir), null_safe=["patient__id"])
 
 
 _BY_KIND = {

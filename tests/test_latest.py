@@ -63,3 +63,10 @@ def test_window_form_prunes_before_the_shuffle(spark):
     df = spark.range(10).selectExpr("id % 3 k", "id seq")
     plan = keep_latest(df, ["k"], "seq", method="window")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_join_form_shuffles_whole_rows_once(spark):
+    """Not ranked in a shuffle of its own first: the newest sequences are found from the key and sequence alone."""
+    df = spark.range(1000).selectExpr("id % 3 k", "id seq", "sha2(string(id), 512) v")
+    plan = keep_latest(df, ["k"], "seq")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("sha2") == 1

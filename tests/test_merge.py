@@ -9,7 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark import hash_mapping_merge, id_hash_mapping, merge, replace_children
-from tidemark.operators.merge import no_repeats
+from tidemark.operators.merge import no_repeats, unrepeated
 
 T = "id string, kid string, transact_seq long, v string"
 S = "Op string, " + T
@@ -236,3 +236,30 @@ def test_a_source_without_repeats_reads_the_target_twice(spark, tmp_path):
     plan = merge(target, source, ["id"], unique=True)._jdf.queryExecution().sparkPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert sum("FileScan" in line and "/target" in line for line in plan.splitlines()) == 2
+
+
+@pytest.mark.parametrize("options", [{}, {"insert_deletes": False}, {"null_safe": ["kid"]}, {"seq_guard": "transact_seq"}, {"mapping": {"id": "id", "kid": "kid", "v": "v"}}])
+def test_sides_without_repeats_are_joined_once(spark, options):
+    """One full outer join, each side's rows shuffled once, and the rows of the two-part merge."""
+    kid = "nullif(string(id % 3), '0') kid"
+    target = spark.range(0, 90, 1, 4).selectExpr("CASE WHEN id % 10 < 9 THEN string(id) END id", kid, "3L transact_seq", "'old' v", "id n")
+    some = "CASE WHEN id % 5 = 0 THEN 'D' WHEN id % 5 = 1 THEN 'I' ELSE 'U' END Op"
+    source = spark.range(60, 150, 1, 4).selectExpr(some, "CASE WHEN id % 10 < 9 THEN string(id) END id", kid, "2L + id % 3 transact_seq", "'new' v", "-id n")
+    checked = unrepeated(target, source, ["id", "kid"], options.get("null_safe", ()))
+    assert checked == {"unique": True, "unique_target": True}
+    once = merge(target, source, ["id", "kid"], **checked, **options)
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "FullOuter" in plan
+    in_parts = merge(target, source, ["id", "kid"], **options)
+    assert once.columns == in_parts.columns
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, in_parts.collect()))
+
+
+def test_repeats_are_found_on_either_side(spark):
+    one = spark.createDataFrame([("a", None), ("b", None)], "id string, kid string")
+    two = spark.createDataFrame([("a", None), ("a", None)], "id string, kid string")
+    keys = ["id", "kid"]
+    assert unrepeated(one, two, keys) == {"unique": True, "unique_target": True}  # NULL keys match nothing
+    assert unrepeated(one, two, keys, ["kid"]) == {"unique": False, "unique_target": False}
+    assert unrepeated(two, one, keys, ["kid"]) == {"unique": True, "unique_target": False}
+    assert unrepeated(one.selectExpr("id i"), two.selectExpr("id j"), [("i", "j")]) == {"unique": False, "unique_target": False}

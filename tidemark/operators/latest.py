@@ -2,11 +2,10 @@
 
 Three forms, equal where the sequence is unique within a key:
 
-* `join`   - rank within the key and one of a few salts first, where Spark drops the rows
-             that cannot win before the shuffle; then aggregate the newest sequence per key
-             and semi-join what is left with it on key *and* sequence. Neither versions nor
-             ties of a key meet in one task: the salt spreads them, and the adaptive skew
-             join splits a group of ties.
+* `join`   - aggregate the newest sequence per key, combined before the shuffle and of those
+             columns alone; then semi-join the rows with it on key *and* sequence. Whole rows are
+             shuffled once. Neither versions nor ties of a key meet in one task: versions are
+             shuffled by their sequence, and the adaptive skew join splits a group of ties.
 * `window` - rank within the key. One scan and one shuffle; Spark drops the rows that
              cannot win before the shuffle, so many versions of a key cost little. All
              ties of one key meet in one task.
@@ -20,12 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import any_null, col, names, orderable, row_hash_sql
+from tidemark.functions.columns import any_null, col, names, orderable
 from tidemark.functions.docs import KEY, SEQ
 
-# The versions of a key are ranked in so many groups, by a hash of the row.
-SALTS = 16
-
 
 def max_seq_per_key(df: DataFrame, keys: Sequence[str] = (KEY,), seq: str = SEQ) -> DataFrame:
     return df.groupBy(*[col(k) for k in keys]).agg(F.max(col(seq)).alias("max_seq"))
@@ -70,12 +66,8 @@ def _breakers(df: DataFrame, keys: Sequence[str], seq: str, tie_breakers: Sequen
 
 
 def _by_join(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    salt = F.expr(f"pmod({row_hash_sql(rows.schema)}, {SALTS}L)")
-    window = Window.partitionBy(*[col(k) for k in keys], F.col("__salt")).orderBy(col(seq).desc())
-    near = rows.withColumn("__salt", salt).withColumn("__place", F.rank().over(window)).where("__place = 1")
-    near = near.select(*names(rows.columns))
-    winners = max_seq_per_key(near, keys, seq).withColumnRenamed("max_seq", seq)
-    return near.join(winners, [*keys, seq], "left_semi").select(*names(rows.columns))
+    winners = max_seq_per_key(rows, keys, seq).withColumnRenamed("max_seq", seq)
+    return rows.join(winners, [*keys, seq], "left_semi").select(*names(rows.columns))
 
 
 def _by_window(rows, keys, seq, ties, tie_breakers) -> DataFrame:

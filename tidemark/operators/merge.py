@@ -9,6 +9,9 @@ the caller has checked that the source is small enough to broadcast. Otherwise b
 are shuffled on the key; each join of whole rows is of a kind (left, anti) whose large left
 side the adaptive skew join can split, and takes both sides straight out of a shuffle, as
 that needs. What is only counted or looked up is grouped before its shuffle.
+
+Where neither side repeats a key (`unrepeated`), no group can be large: then one full outer
+join does the merge, and the whole rows of each side are shuffled once.
 """
 
 from __future__ import annotations
@@ -236,13 +239,21 @@ def merge_parts(
     return kept, added
 
 
-def no_repeats(source: DataFrame, keys: Sequence[Key]) -> bool:
-    """Whether no key of the source repeats, NULL keys aside. Meant for a staged source, of which it reads the keys."""
-    own = [s for _, s in _pairs(keys)]
-    counts = source.where(~any_null(own)).groupBy(*[col(s) for s in own]).agg(F.count(F.lit(1)).alias("__rows"))
+def no_repeats(source: DataFrame, keys: Sequence[Key], null_safe: Sequence[str] = ()) -> bool:
+    """Whether no key of the source repeats, NULL keys aside; in `null_safe` target columns a NULL is a key like others.
+    Meant for a staged source, of which it reads the keys."""
+    pairs = _pairs(keys)
+    strict = [s for t, s in pairs if t not in set(null_safe)]
+    counts = source.where(~any_null(strict)).groupBy(*[col(s) for _, s in pairs]).agg(F.count(F.lit(1)).alias("__rows"))
     return counts.where("__rows > 1").isEmpty()
 
 
+def unrepeated(target: DataFrame, source: DataFrame, keys: Sequence[Key], null_safe: Sequence[str] = ()) -> dict[str, bool]:
+    """Which sides of a merge have each key once, as options of it: a job over the keys of each side."""
+    unique = no_repeats(source, keys, null_safe)
+    return {"unique": unique, "unique_target": unique and no_repeats(target, [t for t, _ in _pairs(keys)], null_safe)}
+
+
 class MergeCounts:
     """How many rows a merge adds, updates and deletes, and source rows it ignores: observed in the job that writes
     its result, so counting costs no job of its own."""
@@ -279,36 +290,68 @@ def merge_colocated(
     added beside the join, so they are never gathered in one task. `counts` are gathered where the rows go by.
     """
     sides = _Sides(target, source, keys, delete_when, None, (), seq_guard, (), False)
+    values, unmet = sides.values, _unmet(insert_deletes)
+    whole = _joined(sides, sides.matchable().repartition(partitions, *sides.s_keys), False, insert_deletes, seq_guard)
+    keyless = sides.s.where(any_null(sides.strict)).select(
+        *[F.expr(f"{values[c]} AS {quote(c)}") if c in values else F.lit(None).cast(t).alias(c) for c, t in sides.types.items()],
+        F.expr(f"{unmet} AS __did"),
+        F.lit(False).alias("__was"),
+    )
+    rows = whole.union(keyless)
+    rows = counts.watch(rows) if counts else rows
+    return _staying(rows)
+
+
+def _unmet(insert_deletes: bool) -> str:
+    return "'inserted'" if insert_deletes else "if(__delete, 'ignored', 'inserted')"
+
+
+def _joined(sides: _Sides, source: DataFrame, spread: bool, insert_deletes: bool, seq_guard: str | None) -> DataFrame:
+    """Both sides in a full outer join by the key; `__did` says what becomes of a row, `__was` whether it is the target's."""
     values = sides.values
-    placed = sides.matchable().withColumn("__hit", F.lit(True)).repartition(partitions, *sides.s_keys)
-    joined = sides.t.withColumn("__old", F.lit(True)).join(placed, sides.condition(spread=False), "full_outer")
+    old, new = sides.t.withColumn("__old", F.lit(True)), source.withColumn("__hit", F.lit(True))
     matched = "(coalesce(__old, false) AND coalesce(__hit, false))"
     acts = f"({matched} AND coalesce(__sseq > __tseq, false))" if seq_guard else matched
     taken = f"({acts} OR __old IS NULL)"
     met = f"CASE WHEN {acts} THEN if(__delete, 'deleted', 'updated') WHEN {matched} THEN 'ignored' WHEN __old THEN NULL"
-    unmet = "'inserted'" if insert_deletes else "if(__delete, 'ignored', 'inserted')"
-    whole = joined.selectExpr(
+    return old.join(new, sides.condition(spread), "full_outer").selectExpr(
         *[f"CASE WHEN {taken} THEN {values[c]} ELSE {quote(c)} END AS {quote(c)}" if c in values else quote(c) for c in sides.types],
-        f"{met} ELSE {unmet} END AS __did",
+        f"{met} ELSE {_unmet(insert_deletes)} END AS __did",
         "coalesce(__old, false) AS __was",
     )
-    keyless = sides.s.where(any_null(sides.strict)).select(
-        *[F.expr(f"{values[c]} AS {quote(c)}") if c in values else F.lit(None).cast(t).alias(c) for c, t in sides.types.items()],
-        F.expr(f"{unmet} AS __did"),
-        F.lit(False).alias("__was"),
-    )
-    rows = whole.union(keyless)
-    rows = counts.watch(rows) if counts else rows
+
+
+def _staying(rows: DataFrame) -> DataFrame:
     stays = "__did IS NULL OR __did IN ('inserted', 'updated') OR (__did = 'ignored' AND __was)"
     return rows.where(stays).drop("__did", "__was")
 
 
-def merge(target: DataFrame, source: DataFrame, keys: Sequence[Key], **options) -> DataFrame:
-    """`merge_parts`, put together: the whole table after the merge."""
+def merge(target: DataFrame, source: DataFrame, keys: Sequence[Key], *, unique_target: bool = False, **options) -> DataFrame:
+    """`merge_parts`, put together: the whole table after the merge. `unique_target`: the caller has checked that no key of
+    the target repeats; where the source is `unique` too (`unrepeated`), both are joined once."""
+    rest = {k: v for k, v in options.items() if k not in ("unique", "small_source", "on_duplicate", "order")}
+    if unique_target and options.get("unique") and not options.get("small_source") and options.get("on_duplicate", "error") == "error":
+        return _merge_once(target, source, keys, **rest)
     kept, added = merge_parts(target, source, keys, **options)
     return kept.unionByName(added)
 
 
+def _merge_once(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[Key],
+    *,
+    delete_when: str | Column = f"{OP} = '{DELETE}'",
+    mapping: Mapping[str, Column | str] | None = None,
+    insert_deletes: bool = True,
+    null_safe: Sequence[str] = (),
+    seq_guard: str | None = None,
+) -> DataFrame:
+    """The merge of two sides without repeated keys. Rows with a NULL key match nothing and are spread, as ever."""
+    sides = _Sides(target, source, keys, delete_when, mapping, null_safe, seq_guard, (), False)
+    return _staying(_joined(sides, sides.s, True, insert_deletes, seq_guard))
+
+
 def replace_children(
     target: DataFrame,
     source: DataFrame,

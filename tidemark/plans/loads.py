@@ -17,7 +17,7 @@ from tidemark.functions.docs import DELETE, KEY, OP, SEQ
 from tidemark.operators.evolve import align_to_schema
 from tidemark.operators.flatten import flatten
 from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import MergeCounts, merge_colocated, merge_parts, no_repeats, replace_children
+from tidemark.operators.merge import MergeCounts, merge, merge_colocated, merge_parts, no_repeats, replace_children, unrepeated
 from tidemark.operators.parse import parse_docs, unreadable, unwrap_dates
 from tidemark.plans.spec import CollectionSpec
 from tidemark.session import files_under, memory_bytes, remove, scratch_dir, stage, staged_bytes
@@ -61,8 +61,7 @@ def merge_rows(
 ) -> tuple[DataFrame, DataFrame]:
     if spec.parents:
         return replace_children(target, rows, spec.parents, small_source=small_source, **spec.options)
-    # NULL-safe keys repeat by their NULLs too, so these are checked by the merge itself
-    unique = not spec.options.get("null_safe") and no_repeats(rows, spec.keys)
+    unique = no_repeats(rows, spec.keys, spec.options.get("null_safe", ()))
     return merge_parts(target, rows, spec.keys, small_source=small_source, unique=unique, **spec.options)
 
 
@@ -96,6 +95,9 @@ def staged_batch(spec: CollectionSpec, changes: DataFrame) -> tuple[DataFrame, b
 def apply_changes(spec: CollectionSpec, target: DataFrame, changes: DataFrame) -> DataFrame:
     """The table after a batch of changes. The batch is staged now, the merge is lazy."""
     rows, small, _ = staged_batch(spec, changes)
+    if not small and not spec.parents and spec.options.get("on_duplicate", "error") == "error":
+        checked = unrepeated(target, rows, spec.keys, spec.options.get("null_safe", ()))
+        return merge(target, rows, spec.keys, **checked, **spec.options)
     kept, added = merge_rows(spec, target, rows, small_source=small)
     return kept.unionByName(added)
 
