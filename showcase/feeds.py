@@ -77,9 +77,11 @@ def write_landing(df: DataFrame, folder: str, basename: str, mode: str = "append
 _LANDED: dict[tuple, str] = {}
 
 
-def landed(name: str):
+def landed(name: str, dealt: bool = False):
     """A feed that is written to the shared folder once per application and table set, and
-    read from there: as in life, the operators start from parquet envelopes in many files."""
+    read from there: as in life, the operators start from parquet envelopes in many files.
+
+    `dealt`: its rows come out of a join by their key, so they are dealt out already and are not shuffled again."""
 
     def wrap(build):
         def feed(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
@@ -87,7 +89,8 @@ def landed(name: str):
             if key not in _LANDED or not has_files(spark, _LANDED[key]):
                 _LANDED[key] = scratch_dir(spark, name)
                 files = spark.sparkContext.defaultParallelism
-                rows = build(spark, sf_dir, *args, **kwargs).repartition(files, F.xxhash64(KEY, SEQ))
+                rows = build(spark, sf_dir, *args, **kwargs)
+                rows = rows if dealt else rows.repartition(files, F.xxhash64(KEY, SEQ))
                 rows.write.mode("errorifexists").parquet(_LANDED[key])
             with_op = OP in spark.read.parquet(_LANDED[key]).columns
             return spark.read.schema(envelope_schema(with_op)).parquet(_LANDED[key])
@@ -199,7 +202,7 @@ def report_doc(version: int):
 ORDERS_BEFORE = f"o_orderdate < TIMESTAMP_NTZ'{ORDERS_UNTIL}'"
 
 
-@landed("nested_feed")
+@landed("nested_feed", dealt=True)
 def nested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their lines under each return flag, and the parts of their priority. Orders that are only placed have no
     flags yet, lines that came back have left an empty list, and an order without lines has no list at all."""
@@ -218,7 +221,7 @@ def nested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(orders, F.col("o_orderkey"), F.lit(1), ntz_millis(F.col("o_orderdate")), doc)
 
 
-@landed("growing_feed")
+@landed("growing_feed", dealt=True)
 def growing_feed(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
     """Orders whose documents grow inside: first a customer's number and counted lines, later also a state and flags."""
     number = F.col("l_linenumber").cast("string").alias("no")
@@ -232,13 +235,13 @@ def growing_feed(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
     return envelope(rows, F.col("o_orderkey"), F.lit(version), ntz_millis(F.col("o_orderdate")), doc, *lead)
 
 
-@landed("report_snapshot")
+@landed("report_snapshot", dealt=True)
 def report_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders_with_lines(spark, sf_dir).where(ORDERS_BEFORE)
     return envelope(orders, F.col("o_orderkey"), F.lit(1), ntz_millis(F.col("o_orderdate")), report_doc(1))
 
 
-@landed("report_changes")
+@landed("report_changes", dealt=True)
 def report_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders_with_lines(spark, sf_dir)
     return envelope(
@@ -246,7 +249,7 @@ def report_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@landed("upload_snapshot")
+@landed("upload_snapshot", dealt=True)
 def upload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders_with_lines(spark, sf_dir).where(ORDERS_BEFORE)
     files = F.transform(
@@ -271,7 +274,7 @@ def upload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(orders, F.col("o_orderkey"), F.lit(1), ntz_millis(F.col("o_orderdate")), doc)
 
 
-@landed("upload_changes")
+@landed("upload_changes", dealt=True)
 def upload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat documents, one per kept line: several of one key share its newest sequence."""
     lines = order_lines(spark, sf_dir).where("kept_n > 0")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from showcase.feeds import write_landing
+from showcase.feeds import landed, write_landing
 from tidemark import (
     BucketTable,
     CollectionSpec,
@@ -473,3 +473,10 @@ def test_a_large_snapshot_gets_more_buckets(spark, place, monkeypatch, on_read):
     assert again.exists() and again.read().count() == 400
     reloaded = initial_load(spark, spec, place["landing"], table.path, reload=True)
     assert reloaded.buckets == made and reloaded.read().count() == 400
+
+
+def test_a_feed_that_comes_out_of_a_join_is_not_dealt_again(spark):
+    build = lambda spark, sf_dir: spark.range(60).selectExpr("string(id) _id", "id transact_seq", "now() transact_change_timestamp", "'{}' _doc").repartition(3)
+    for dealt, files in ((True, 3), (False, spark.sparkContext.defaultParallelism)):
+        feed = landed(f"probe-{dealt}", dealt)(build)(spark, "nowhere")
+        assert feed.count() == 60 and len(feed.inputFiles()) == files
