@@ -138,3 +138,24 @@ def test_portions_score_as_the_whole_filter(spark, monkeypatch):
         history = np.concatenate([own.counts(before[:1]), count[:-1]])
         p = 0.3 * np.minimum(1, own.counts(both) / np.maximum(history, 1)) + 0.7 * (count + 1) / bound
         assert math.isclose(got[i].score, np.log10(p).sum(), rel_tol=1e-9) and got[i].score <= 0
+
+
+def test_what_was_asked_is_off_the_disks_before_portions_are_shuffled(spark, monkeypatch):
+    """The levels are staged, so the last shuffle has only portions and levels behind it."""
+    staged = {}
+    real = lm.stage
+
+    def watched(df, label="stage", path=None):
+        staged[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, label, path)
+
+    monkeypatch.setattr(lm, "stage", watched)
+    docs = spark.createDataFrame([(i, f"a b c {i}") for i in range(40)], "doc_id long, text string")
+    assert lm.score(docs, lm.learn(docs)).where("score < 0").count() == 40
+    assert "model-answers" in staged and staged["model-scores"].count("MapInArrow") == 1
+
+
+def test_distinct_n_grams_are_those_of_numpy():
+    for n in (1, 2, 5000):
+        grams = np.random.default_rng(n).integers(0, 3000, n, dtype=np.uint64)
+        assert np.array_equal(lm._distinct(grams.copy()), np.unique(grams))

@@ -236,7 +236,7 @@ def _filter(texts: DataFrame, tokens: int, shape: Shape) -> tuple[Filter, DataFr
         order = np.argsort(block, kind="stable")
         edges = np.searchsorted(block[order], np.arange(blocks + 1))
         out = []
-        for b in np.unique(block):
+        for b in np.flatnonzero(np.diff(edges)):
             some = order[edges[b] : edges[b + 1]]
             once = n[some] == 1
             more = some[~once]
@@ -314,7 +314,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     def ask(batches):
         for rows, data in batches:
             for row, packed in zip(rows, data):
-                grams = np.unique(_Portion.unpack(packed).grams())
+                grams = _distinct(_Portion.unpack(packed).grams())
                 order, edges = _dealt(grams, own)
                 some = np.flatnonzero(np.diff(edges))
                 yield [[row] * len(some), some.tolist(), [_pack(grams[order[edges[b] : edges[b + 1]]]) for b in some]]
@@ -351,7 +351,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
 
     first, dealt = F.lit(_FIRST), "row long, block int, data binary"
     asked = map_rows(portioned, 0, dealt, ask).union(model.blocks.select(first.cast("long"), "block", "bits"))
-    answers = map_rows(asked.repartitionById(own.blocks, F.col("block")).sortWithinPartitions("block", "row"), 0, dealt, answer)
+    # staged, so that what was asked is off the disks before the portions are shuffled
+    answers = stage(map_rows(asked.repartitionById(own.blocks, F.col("block")).sortWithinPartitions("block", "row"), 0, dealt, answer), "model-answers")
     met = portioned.select("row", first.cast("int").alias("block"), "data").union(answers)
     scores = stage(map_rows(met.repartition("row").sortWithinPartitions("row", "block"), 0, "row long, score double", add), "model-scores")
 
@@ -413,6 +414,12 @@ class _Portion:
         return np.concatenate([both, self.hashes[self.exact == 0], [_START]])
 
 
+def _distinct(grams: np.ndarray) -> np.ndarray:
+    """Each n-gram once, in order. `np.unique` does the same by hashing, which takes many times as long for this many."""
+    grams = np.sort(grams)
+    return grams[np.append(True, grams[1:] != grams[:-1])]
+
+
 def _dealt(grams: np.ndarray, own: Filter) -> tuple[np.ndarray, np.ndarray]:
     """An order of the n-grams by block, and where in it each block begins."""
     block = own.block(grams)
