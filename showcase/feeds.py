@@ -6,6 +6,8 @@ malformed, follows from the data (dates, statuses, addresses).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +79,15 @@ def write_landing(df: DataFrame, folder: str, basename: str, mode: str = "append
 _LANDED: dict[tuple, str] = {}
 
 
+def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> str:
+    """The folder where these rows are: written to the shared folder once per application and key."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _LANDED or not has_files(spark, _LANDED[key]):
+        _LANDED[key] = scratch_dir(spark, key[1])
+        build().write.mode("errorifexists").parquet(_LANDED[key])
+    return _LANDED[key]
+
+
 def landed(name: str, dealt: bool = False):
     """A feed that is written to the shared folder once per application and table set, and
     read from there: as in life, the operators start from parquet envelopes in many files.
@@ -85,15 +96,13 @@ def landed(name: str, dealt: bool = False):
 
     def wrap(build):
         def feed(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
-            key = (spark.sparkContext.applicationId, sf_dir, name, args, tuple(sorted(kwargs.items())))
-            if key not in _LANDED or not has_files(spark, _LANDED[key]):
-                _LANDED[key] = scratch_dir(spark, name)
-                files = spark.sparkContext.defaultParallelism
-                rows = build(spark, sf_dir, *args, **kwargs)
-                rows = rows if dealt else rows.repartition(files, F.xxhash64(KEY, SEQ))
-                rows.write.mode("errorifexists").parquet(_LANDED[key])
-            with_op = OP in spark.read.parquet(_LANDED[key]).columns
-            return spark.read.schema(envelope_schema(with_op)).parquet(_LANDED[key])
+            def rows() -> DataFrame:
+                built = build(spark, sf_dir, *args, **kwargs)
+                return built if dealt else built.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(KEY, SEQ))
+
+            path = _once(spark, (name, sf_dir, args, tuple(sorted(kwargs.items()))), rows)
+            with_op = OP in spark.read.parquet(path).columns
+            return spark.read.schema(envelope_schema(with_op)).parquet(path)
 
         return feed
 
@@ -151,7 +160,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with two versions of their lines: all, and those not returned."""
+    """Orders with two versions of their lines: all, and those not returned. Written once: the lines are grouped and joined
+    once for the feeds of snapshots and of changes."""
+    return spark.read.parquet(_once(spark, ("orders_with_lines", sf_dir), lambda: _orders_with_lines(spark, sf_dir)))
+
+
+def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("l_linenumber").cast("string")
     first = F.struct(number.alias("_id"), F.col("n").alias("numOfRetries"), F.col("flag").alias("status"))
     second = F.struct(number.alias("_id"), F.col("kept_n").alias("numOfRetries"), F.col("kept_flag").alias("status"))

@@ -62,7 +62,8 @@ def _reports(spark, sf_dir, where="true"):
 
 
 def _merged(target, source, **options):
-    """By the two keys of the reports, in one join if neither side repeats one."""
+    """By the two keys of the reports, in one join if neither side repeats one. The table is staged: the check reads it, too."""
+    target = stage(target, "reports-table")
     checked = unrepeated(target, source, REPORTS.keys, options.get("null_safe", ()))
     return scalars(merge(target, source, REPORTS.keys, **checked, **options))
 

@@ -480,3 +480,25 @@ def test_a_feed_that_comes_out_of_a_join_is_not_dealt_again(spark):
     for dealt, files in ((True, 3), (False, spark.sparkContext.defaultParallelism)):
         feed = landed(f"probe-{dealt}", dealt)(build)(spark, "nowhere")
         assert feed.count() == 60 and len(feed.inputFiles()) == files
+
+
+def test_a_merge_of_reports_parses_its_table_once(spark):
+    """The check for repeated keys and the join read what is staged, not the documents again."""
+    from showcase import merges
+
+    for query in (merges.merge_delete, merges.merge_insert_deletes_off):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "full" in plan.lower() and "from_json" not in plan
+
+
+def test_feeds_of_orders_share_their_grouped_lines(spark, monkeypatch):
+    from showcase import feeds
+
+    built = []
+    real = feeds.order_lines
+    monkeypatch.setattr(feeds, "order_lines", lambda *a: built.append(a) or real(*a))
+    monkeypatch.setattr(feeds, "_LANDED", {})
+    sizes = [f(spark, "/root/testdata/sf0.001").count() for f in (feeds.report_snapshot, feeds.report_changes, feeds.upload_snapshot)]
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    before = orders.where(feeds.ORDERS_BEFORE).count()
+    assert sizes == [before, orders.count(), before] and len(built) == 1
