@@ -159,3 +159,20 @@ def test_distinct_n_grams_are_those_of_numpy():
     for n in (1, 2, 5000):
         grams = np.random.default_rng(n).integers(0, 3000, n, dtype=np.uint64)
         assert np.array_equal(lm._distinct(grams.copy()), np.unique(grams))
+
+
+def test_a_block_is_the_same_whatever_is_set_together(monkeypatch):
+    """N-grams that came once and others are summed, and set in the block some at a time."""
+    rng = np.random.default_rng(5)
+    made = lm.Filter(4, 80_000, lm.Shape())
+    once, more, n = rng.integers(0, 9000, 6000).astype(np.uint64), rng.integers(0, 9000, 3000).astype(np.uint64), rng.integers(2, 60, 3000)
+    counts = Counter(once.tolist())
+    for g, k in zip(more.tolist(), n.tolist()):
+        counts[g] += k
+    grams, summed = lm._summed(once, more, n)
+    assert dict(zip(grams.tolist(), summed.tolist())) == counts
+    whole = made.build(grams, summed)
+    monkeypatch.setattr(lm, "AT_A_TIME", 700)
+    assert made.build(grams, summed) == whole
+    none = lm._summed(once[:0], more[:0], n[:0])
+    assert len(none[0]) == len(none[1]) == 0

@@ -58,6 +58,8 @@ _PAIR, _START = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD)
 REMEMBERED = 300_000
 #: Bytes of text that are split into words at a time, and whose n-grams are counted before they are sent.
 SPLIT_BYTES, COUNT_BYTES = 2_000_000, 16_000_000
+#: N-grams whose bits are set together.
+AT_A_TIME = 250_000
 #: Bytes of text whose n-grams go to the filter together.
 PORTION_BYTES = 6_000_000
 
@@ -122,6 +124,16 @@ def _unpack(packed: bytes) -> np.ndarray:
     return wide.view(np.uint64).ravel()
 
 
+def _summed(once: np.ndarray, more: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each n-gram and its count, of some that came once and others that came `n` times."""
+    grams = np.concatenate([once, more])
+    order = np.argsort(grams)
+    grams = grams[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(grams)), dtype=bool), grams[1:] != grams[:-1]]))
+    counts = np.concatenate([np.ones(len(once), dtype=np.int64), n])[order]
+    return grams[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def _below(spread: np.ndarray, limit: int) -> np.ndarray:
     """Evenly spread 64-bit values to 0 ... limit - 1; a multiplication takes a fraction of a division's time."""
     return ((spread >> np.uint64(32)) * np.uint64(limit) >> np.uint64(32)).astype(np.int64)
@@ -146,10 +158,12 @@ class Filter:
         return 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(self.shape.base) + 1e-9).astype(np.int64)
 
     def build(self, grams: np.ndarray, counts: np.ndarray) -> bytes:
-        """One block from all its n-grams."""
-        bits, levels = np.zeros(self.block_bits, dtype=bool), self.level(counts)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            bits[self.places(grams[levels >= level], level).ravel()] = True
+        """One block from all its n-grams, some at a time."""
+        bits = np.zeros(self.block_bits, dtype=bool)
+        for at in range(0, len(grams), AT_A_TIME):
+            some, levels = grams[at : at + AT_A_TIME], self.level(counts[at : at + AT_A_TIME])
+            for level in range(1, int(levels.max(initial=0)) + 1):
+                bits[self.places(some[levels >= level], level).ravel()] = True
         return np.packbits(bits, bitorder="little").tobytes()
 
     def levels(self, grams: np.ndarray, bits: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
@@ -249,12 +263,9 @@ def _filter(texts: DataFrame, tokens: int, shape: Shape) -> tuple[Filter, DataFr
         for columns in batches:
             for b, once, more, n in zip(*columns):
                 found.setdefault(b, []).append((once, more, n))
-        for b, parts in found.items():
-            once, more, n = (b"".join(x) for x in zip(*parts))
-            once, more, n = _unpack(once), _unpack(more), np.frombuffer(n, dtype=np.int64)
-            grams, where = np.unique(np.concatenate([once, more]), return_inverse=True)
-            counts = np.bincount(where, weights=np.concatenate([np.ones(len(once)), n]), minlength=len(grams))
-            bits = made.build(grams, counts)
+        for b in list(found):
+            once, more, n = (b"".join(x) for x in zip(*found.pop(b)))
+            bits = made.build(*_summed(_unpack(once), _unpack(more), np.frombuffer(n, dtype=np.int64)))
             yield [[b], [bits], [int(np.bitwise_count(np.frombuffer(bits, dtype=np.uint8)).sum())]]
 
     sent = map_rows(texts, 0, "block int, once binary, more binary, n binary", count, rows=10_000)
