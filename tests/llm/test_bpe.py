@@ -70,3 +70,14 @@ def test_query(spark):
         r = rows[d["doc_id"]]
         assert (r.n_tokens, r.ids_sha256) == (len(want), hashlib.sha256(packed).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256((d["text"] or "").encode()).hexdigest()
+
+
+def test_matches_are_remembered_to_a_bound(monkeypatch):
+    """What was met lately stays remembered, whatever has come between; ids do not hang on it."""
+    own, fresh = (bpe.Codec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN) for _ in range(2))
+    monkeypatch.setattr(bpe, "MATCHES", 50)
+    for i in range(400):
+        text = f"often often w{i}x y{i * 7919}z " + "abc" * (i % 40)
+        packed = own.encode(text)
+        assert packed == b"".join(fresh.encode_match(m) for m in fresh.split.findall(text))
+        assert len(own.known) + len(own.older) <= 100 and {" often", "often"} <= {*own.known, *own.older}

@@ -22,8 +22,12 @@ from tidemark.llm.rows import map_rows, utf8
 
 #: Longest byte string that is merged directly, without halving.
 LEAF = 48
-#: Encoded matches a task remembers; later new ones are encoded each time. Bounds memory, not results.
+#: Pairs of tokens a task remembers. Bounds memory, not results.
 REMEMBERED = 500_000
+#: Encoded matches a task remembers: as many as were met last, and as many before them. Bounds memory, not results.
+MATCHES = 120_000
+#: Texts that are encoded together.
+TEXTS = 500
 #: Texts with more characters are matched piece by piece instead of as one list.
 LONG_TEXT = 4_000_000
 #: Above every rank: the pair cannot be merged.
@@ -45,6 +49,7 @@ class Codec:
         self.split = regex.compile(split)
         self.stable: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Tokens by repeated merging of the leftmost pair of lowest rank."""
@@ -121,11 +126,15 @@ class Codec:
 
     def encode_match(self, match: str) -> bytes:
         """Ids of one match of the pattern, packed as little-endian unsigned 32-bit integers."""
-        piece = match.encode()
-        rank = self.ranks.get(piece)
-        ids = self.tree(piece) if rank is None else [rank]
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
-        if len(self.known) < REMEMBERED and len(match) <= LEAF:
+        packed = self.known.get(match) or self.older.get(match)
+        if packed is None:
+            piece = match.encode()
+            rank = self.ranks.get(piece)
+            ids = self.tree(piece) if rank is None else [rank]
+            packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        if len(match) <= LEAF:
+            if len(self.known) >= MATCHES:
+                self.known, self.older = {}, self.known
             self.known[match] = packed
         return packed
 
@@ -172,7 +181,7 @@ def encode_documents(
             ids = [own.encode(t.decode("utf-8", "replace")) for t in texts]
             yield [*kept, ids, *([[own.decode(i) for i in ids]] if round_trip else [])]
 
-    return map_rows(chosen, len(keep), added, run)
+    return map_rows(chosen, len(keep), added, run, rows=TEXTS)
 
 
 def decode_documents(encoded: DataFrame, path: str, split: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -87,7 +87,8 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     total = np.full(n - width + 1, np.uint64(width), dtype=np.uint64)
     for i in range(width):
         total = mix(total + words[i : n - width + 1 + i]) * _ODD[i % 3]
-    return np.unique(mix(total))
+    found = np.sort(mix(total))  # sorting takes a fraction of the time and memory that `np.unique` takes to hash them
+    return found[np.append(True, found[1:] != found[:-1])]
 
 
 @dataclass(frozen=True)
