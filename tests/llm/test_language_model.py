@@ -176,3 +176,13 @@ def test_a_block_is_the_same_whatever_is_set_together(monkeypatch):
     assert made.build(grams, summed) == whole
     none = lm._summed(once[:0], more[:0], n[:0])
     assert len(none[0]) == len(none[1]) == 0
+
+
+def test_batches_to_python_are_bounded_in_bytes(spark):
+    """Rows of some megabytes come a few at a time, or a batch of them is held by Spark and by the worker as a whole."""
+    from tidemark.llm.rows import BYTES, map_rows
+
+    large = spark.range(0, 40, 1, 1).selectExpr("repeat(string(id % 10), 1000000) AS data")
+    sizes = [r.n for r in map_rows(large, 0, "n long", lambda batches: ([[sum(map(len, data))]] for (data,) in batches)).collect()]
+    assert sum(sizes) == 40_000_000 and max(sizes) <= BYTES + 2_000_000
+    assert map_rows(large.limit(0), 0, "n long", lambda batches: ([[1]] for _ in batches)).count() == 0

@@ -47,6 +47,9 @@ def ship(context: SparkContext) -> None:
 #: Rows that a function gets at a time, where it does not ask for more.
 ROWS = 2000
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes of a batch on the way to Python, and one row at least: some rows hold megabytes.
+BYTES = 4_000_000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def map_rows(
@@ -55,7 +58,8 @@ def map_rows(
     """Rows by a function in Python: it gets an iterator over batches, each a list of columns (lists), and yields such batches.
 
     The result has the first `kept` columns of `df`, as they are, and the `added` ones (a DDL text). One batch of at
-    most `rows` rows is in a task's memory at a time; tasks keep nothing between batches unless the function does.
+    most `rows` rows and about `BYTES` bytes is in a task's memory at a time; tasks keep nothing between batches unless the
+    function does.
     """
     before, new = df.schema.fields[:kept], T._parse_datatype_string(added).fields if added else []
     # any name is taken: columns travel under names of their own
@@ -75,5 +79,6 @@ def map_rows(
     conf = df.sparkSession.conf
     if int(conf.get(BATCH)) > ROWS:
         conf.set(BATCH, ROWS)
+    conf.set(BATCH_BYTES, f"{BYTES}b")
     moved = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     return moved.mapInArrow(run, out).toDF(*[f.name for f in [*before, *new]])
