@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -44,6 +47,14 @@ def ship(context: SparkContext) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Memory that is no longer used goes back to the system. A worker lives on after its task, and keeps it through other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(ctypes.CDLL(None), "malloc_trim"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Rows that a function gets at a time, where it does not ask for more.
 ROWS = 2000
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -59,7 +70,7 @@ def map_rows(
 
     The result has the first `kept` columns of `df`, as they are, and the `added` ones (a DDL text). One batch of at
     most `rows` rows and about `BYTES` bytes is in a task's memory at a time; tasks keep nothing between batches unless the
-    function does.
+    function does, and what they held goes back to the system at their end.
     """
     before, new = df.schema.fields[:kept], T._parse_datatype_string(added).fields if added else []
     # any name is taken: columns travel under names of their own
@@ -69,10 +80,14 @@ def map_rows(
         arrow = to_arrow_schema(out)
         parts = (batch.slice(i, rows) for batch in batches for i in range(0, batch.num_rows, rows))
         columns = ([c.to_pylist() for c in part.columns] for part in parts)
-        for result in function(columns):
-            if result and len(result[0]):
-                arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(result, arrow)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        try:
+            for result in function(columns):
+                if result and len(result[0]):
+                    arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(result, arrow)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        finally:
+            result = arrays = None
+            give_back()
 
     ship(df.sparkSession.sparkContext)
     # batches on the way to Python, too: by default they have five times as many rows
