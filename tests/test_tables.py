@@ -420,6 +420,30 @@ def test_commit_counts(spark, place):
     assert ("a", "x", 2, 2) in contents(table.read())
 
 
+@pytest.mark.parametrize("options", [{}, {"insert_deletes": False}, {"seq_guard": "transact_seq", "insert_deletes": False}])
+def test_a_merge_of_outgrown_buckets_is_spread_over_more_tasks(spark, place, monkeypatch, options):
+    """No task holds a bucket that is too large for one, or a batch's share of it; rows and counts are the same."""
+    import tidemark.plans.loads as loads
+
+    spec = SPEC.with_(buckets=1, options=options)
+    folder = f"{place['landing']}/{spec.name}"
+    land(spark, folder, [(k, 1, None, doc(k, i, "a", "b")) for i, k in enumerate("abcdef")], "LOAD", with_op=False)
+    batch = [("U", "a", 2, None, doc("a", 20, "a", "z")), ("D", "b", 2, None, doc("b", 0, "a")), ("D", "y", 2, None, doc("y", 0, "a")), ("I", "n", 2, None, doc("n", 7)), ("U", "c", 0, None, doc("c", 9, "a"))]
+    seen = {}
+    real = loads.merge_colocated
+    monkeypatch.setattr(loads, "merge_colocated", lambda t, s, k, partitions, **o: taken.append(partitions) or real(t, s, k, partitions, **o))
+    for most in (loads.TASK_BYTES, 0):
+        monkeypatch.setattr(loads, "TASK_BYTES", most)
+        taken = []
+        table = initial_load(spark, spec, place["landing"], f"{place['tables']}/{most}")
+        assert merge_into(spec, table, envelopes(spark, batch), "one")
+        rows = sorted((str(r["_id"]), str(r["kid_k"]), r["transact_seq"], r["n"]) for r in table.read().collect())
+        seen[most] = rows, table.counts(), {r.in_bucket for r in table.files().collect()}
+        assert taken == [None if most == 0 else 1]
+    first, second = seen.values()
+    assert first == second and first[1]["inserted"] and first[1]["updated"]
+
+
 def test_a_failing_collection_does_not_hold_up_the_others(spark, place):
     snapshot(spark, place)
     land(spark, f"{place['landing']}/orphans", [("U", "a", 2, None, doc("a", 2, "x"))], "c")

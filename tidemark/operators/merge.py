@@ -276,7 +276,7 @@ def merge_colocated(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
-    partitions: int,
+    partitions: int | None,
     *,
     delete_when: str | Column = f"{OP} = '{DELETE}'",
     insert_deletes: bool = True,
@@ -288,8 +288,13 @@ def merge_colocated(
     Only the source is shuffled, into the target's buckets; each task then holds whole buckets of the result, which can
     be written as they are. No source key may repeat (`no_repeats`), and NULL keys match nothing: source rows that have one are
     added beside the join, so they are never gathered in one task. `counts` are gathered where the rows go by.
+
+    Without `partitions`, both sides are shuffled to as many tasks as the session takes, so none holds a whole bucket.
     """
     sides = _Sides(target, source, keys, delete_when, None, (), seq_guard, (), False)
+    if partitions is None:
+        rows = _joined(sides, sides.s, True, insert_deletes, seq_guard)
+        return _staying(counts.watch(rows) if counts else rows)
     values, unmet = sides.values, _unmet(insert_deletes)
     whole = _joined(sides, sides.matchable().repartition(partitions, *sides.s_keys), False, insert_deletes, seq_guard)
     keyless = sides.s.where(any_null(sides.strict)).select(

@@ -27,7 +27,9 @@ from tidemark.sources.tables import BucketTable, create_database_of, default_nam
 
 # A staged batch is broadcast to the merge up to this many bytes in memory; a larger one is shuffled.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# A stored bucket of up to this many file bytes is merged by one task; larger ones are split.
+# A stored bucket of up to this many file bytes, with its share of the batch, is merged by one task; larger ones are shuffled to more.
+TASK_BYTES = 64 * 1024 * 1024
+# Buckets over this many file bytes are merged by joins that can split a key, too.
 BUCKET_BYTES = 512 * 1024 * 1024
 # A table is made with a bucket for so many bytes of its snapshot files at least: rows are 10 to 20 times larger in memory, where
 # one task sorts those of a bucket and what a batch brings to it.
@@ -160,8 +162,11 @@ def merge_into(spec: CollectionSpec, table: BucketTable, changes: DataFrame, bat
             table.append(fresh, F.expr(delete) if isinstance(delete, str) else delete, batch)
         elif not repeats and colocated(spec) and table.largest(touched) <= BUCKET_BYTES:
             counts = MergeCounts() if touched else None
-            merged = merge_colocated(table.read(touched), fresh, spec.keys, table.buckets, counts=counts, **spec.options)
-            table.replace(merged, touched, batch, placed=True, counts=counts)
+            # a table may have outgrown its buckets, or the batch may be much larger than they are
+            share = sum(size for _, size in files_under(table.spark, path)) // max(1, len(touched))
+            placed = table.largest(touched) + share <= TASK_BYTES
+            merged = merge_colocated(table.read(touched), fresh, spec.keys, table.buckets if placed else None, counts=counts, **spec.options)
+            table.replace(merged, touched, batch, placed=placed, counts=counts)
         else:
             kept, added = merge_rows(spec, table.read(touched), fresh, small_source=is_small(fresh))
             table.replace(kept.unionByName(added), touched, batch)
