@@ -115,6 +115,50 @@ def test_group_around_the_threshold(spark, monkeypatch, few):
     assert 10 < len({c for _, _, c in want}) < len(rows) - 10
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_copies_that_miss_each_other_make_few_pairs(spark, monkeypatch, few):
+    """Copies share many lists; what they were changed from is one of them, and not the first."""
+    seen, staged = [], jj.stage
+
+    def counted(df, label="stage", path=None):
+        out = staged(df, label, path)
+        if label in ("join-pairs", "join-near"):
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jj, "FEW", few)
+    monkeypatch.setattr(jj, "stage", counted)
+    rnd, base = random.Random(17), [f"o{i}" for i in range(200)]
+
+    def changed(edits):
+        at = set(rnd.sample(range(200), edits))
+        return " ".join(f"n{rnd.randrange(10**9)}" if i in at else w for i, w in enumerate(base))
+
+    # those with three linked with what they come from, not with each other; those with eight linked with nothing
+    rows = [(i, changed(3 if i % 3 else 8)) for i in range(40)] + [(40, " ".join(base))] + [(41 + i, changed(3)) for i in range(10)]
+    rule = jj.Rule(percent=80, size=5)
+    got = run(spark, rows, rule=rule)
+    assert got == brute(rows, 80, 5) and 2 < len({c for _, _, c in got}) < 30
+    assert seen[2] + seen[3] < len(rows), "pairs left after the hubs, and those compared by whole sets"
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_sketches_tell_no_linked_pair_apart(percent):
+    rnd, rule, missed = np.random.default_rng(2), jj.Rule(percent), 0
+    for _ in range(3000):
+        n = int(rnd.integers(1, 400))
+        a = rnd.integers(1, 2**63, n).astype(np.uint64)
+        drop, add = int(rnd.integers(0, n // 4 + 1)), int(rnd.integers(0, n // 4 + 2))
+        b = np.concatenate([a[drop:], rnd.integers(1, 2**63, add).astype(np.uint64)])
+        x, y = (np.frombuffer(rule.sketch(v), dtype=np.int8)[None] for v in (a, b))
+        alike = rule.alike(x, y, np.array([len(a)]), np.array([len(b)]))[0]
+        if 100 * (n - drop) >= percent * (n + add):
+            assert alike, (n, drop, add)
+        else:
+            missed += not alike
+    assert missed > 800
+
+
 @pytest.mark.parametrize("percent", [90, 80])
 def test_keys_meet_for_every_linked_pair(percent):
     """Without Spark: whatever the sizes, linked sets have a key in common."""

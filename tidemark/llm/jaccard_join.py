@@ -13,10 +13,12 @@ edge of its band also has parts for the band below. Most lists have one set: a f
 keys before, tells which keys came once only, and those are never sent. (A filter too small for the data lets
 more through; it drops no key that came twice.)
 
-Equal sets are one node. In each list all nodes are compared with the least node first; only what is not yet
-connected after that is compared among itself: in a long list by what the sets differ in from that least node,
-which they share only if they are alike. So a list of many near copies costs a comparison for each, whether they
-link with each other or just miss, and no link is lost. Every comparison is of the whole sets.
+Equal sets are one node. In each list all nodes are compared with its hub first, the node that meets most others
+in all its lists: of near copies the one that was changed least, which most of them link with. Only what is not
+yet connected after that is compared among itself: in a long list by what the sets differ in from the hub, which
+they share only if they are alike; in a short one by counts of their elements in bins, within the task that has
+the list, so that pairs which just miss each other are not sent once for each list they share. No link is lost.
+Every pair that may link by these bounds is compared by the whole sets.
 """
 
 from __future__ import annotations
@@ -40,8 +42,8 @@ from tidemark.session import remove, scratch_dir, stage
 
 #: Words a task remembers the hash of. Bounds memory, not results.
 REMEMBERED = 300_000
-#: Open lists with more sets are compared by their differences from the hub, shorter ones pair by pair, those that
-#: are alike by their counts in bins. Either way finds all links.
+#: Open lists with more sets are compared by their differences from the hub, shorter ones pair by pair by their counts
+#: in bins. Either way finds all links.
 FEW = 1000
 #: Sizes of heavy sets fall into bands of this ratio, which must not be less than the largest ratio of linked sizes.
 BAND = 1.25
@@ -151,9 +153,17 @@ class Rule:
                 out.append(key if parts - full.sum() > empty else key[full])
         return mix(np.concatenate(out)) if out else items[:0]
 
-    def sketch(self, items: np.ndarray) -> np.ndarray:
+    def sketch(self, items: np.ndarray) -> bytes:
         """How many elements fall into each bin. Two sets differ in at least what their bins differ in."""
-        return np.minimum(np.bincount((items >> np.uint64(40)).astype(np.int64) % BINS, minlength=BINS), 127)
+        return np.minimum(np.bincount((items >> np.uint64(40)).astype(np.int64) % BINS, minlength=BINS), 127).astype(np.int8).tobytes()
+
+    def alike(self, x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
+        """Which pairs may link, by their sketches (a row each) and sizes: p <= common / union, where both follow from sizes and difference."""
+        differ = np.abs(x - y).sum(axis=1, dtype=np.int64)
+        return (100 + self.percent) * differ <= (100 - self.percent) * (n_x + n_y)
+
+    def fits(self, n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
+        return 100 * np.minimum(n_x, n_y) >= self.percent * np.maximum(n_x, n_y)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -238,8 +248,10 @@ def _nodes(docs: DataFrame, keep: tuple[str, ...], text: str, rule: Rule) -> Dat
     return map_rows(chosen, kept, "row long, n long, same binary, keys array<long>", run)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, text: str, rule: Rule) -> DataFrame:
-    """`node`, `n`, `items`, `sketch` of the wanted (`place`, `node`, `same`): their texts are found again by hash, and checked."""
+def _sets(docs: DataFrame, wanted: DataFrame, text: str, rule: Rule) -> tuple[DataFrame, str]:
+    """`node`, `n`, `items`, `sketch` of the wanted (`place`, `node`, `same`): their texts are found again by hash, and checked.
+
+    Staged, and the folder."""
     texts = docs.select(F.xxhash64(col(text)).alias("place"), utf8(text).alias("text")).join(wanted, "place")
 
     def run(batches):
@@ -251,14 +263,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, rule: Rule) -> DataFram
             nodes, same, texts = ([x[i] for i in new] for x in (nodes, same, texts))
             sets = [shingles(words.hashes(t.lower().split()), rule.size) for t in texts]
             good = [i for i, s in enumerate(sets) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == same[i]]
-            yield [[nodes[i] for i in good], [len(sets[i]) for i in good], _lists([sets[i] for i in good]), [rule.sketch(sets[i]).tolist() for i in good]]
+            yield [[nodes[i] for i in good], [len(sets[i]) for i in good], _lists([sets[i] for i in good]), [rule.sketch(sets[i]) for i in good]]
 
-    sets = map_rows(texts.select("node", "same", "text"), 0, "node long, n long, items array<long>, sketch array<tinyint>", run)
+    sets = map_rows(texts.select("node", "same", "text"), 0, "node long, n long, items array<long>, sketch binary", run)
     staged, path = put(sets, "join-sets")
     # a text that very many documents share may have been dealt to several tasks
     if staged.groupBy("node").count().where("count > 1").isEmpty():
-        return staged
-    once, _ = put(staged.dropDuplicates(["node"]), "join-sets")
+        return staged, path
+    once = put(staged.dropDuplicates(["node"]), "join-sets")
     remove(docs.sparkSession, path)
     return once
 
@@ -269,16 +281,66 @@ def put(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return stage(df, label, path), path
 
 
-def _alike(rule: Rule) -> str:
-    """Whether two sets may link, by the counts of their elements in bins."""
-    differ = "aggregate(zip_with(x.sketch, y.sketch, (a, b) -> abs(int(a) - int(b))), 0, (s, d) -> s + d)"
-    return f"{rule.percent} * {differ} <= {100 - rule.percent} * least(x.n, y.n)"
+def _sketches(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.int8).reshape(len(column), BINS)
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (`a`, `b`) that may link, by the counts of their elements in bins."""
+    x, y = (sets.selectExpr(f"node AS {side}", f"n AS n_{side}", f"sketch AS s_{side}") for side in "ab")
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+
+    def run(batches):
+        for a, b, n_a, n_b, s_a, s_b in batches:
+            good = rule.alike(_sketches(s_a), _sketches(s_b), np.array(n_a), np.array(n_b))
+            yield [pa.array(np.array(v)[good]) for v in (a, b)]
+
+    return map_rows(both, 0, "a long, b long", run)
+
+
+def _in_lists(short: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (`a` < `b`) of different components that share a list and may link, from `key`, `node`, `n`, `component`, `sketch`.
+
+    A task takes whole lists, some at a time, each of them `FEW` rows at most; pairs that several of those lists hold are
+    given once.
+    """
+
+    def run(batches):
+        kept: list[list] = [[] for _ in range(5)]
+        for columns in batches:
+            for k, c in zip(kept, columns):
+                k += c
+            if len(kept[0]) >= 8 * FEW:
+                # the last list may go on
+                end = int(np.searchsorted(np.array(kept[0]), kept[0][-1]))
+                if end:
+                    yield compared(*(k[:end] for k in kept))
+                    kept = [k[end:] for k in kept]
+        if kept[0]:
+            yield compared(*kept)
+
+    def compared(keys, nodes, n, component, sketch):
+        keys, nodes, n, component, sketch = np.array(keys), np.array(nodes), np.array(n), np.array(component), _sketches(sketch)
+        first, found, step = np.arange(len(keys)), [np.zeros((0, 2), np.int64)], 0
+        while len(first):
+            # each row with the row so many steps on in its list
+            step += 1
+            first = first[first + step < len(keys)]
+            first = first[keys[first] == keys[first + step]]
+            i = first[(component[first] != component[first + step]) & rule.fits(n[first], n[first + step])]
+            i = i[rule.alike(sketch[i], sketch[i + step], n[i], n[i + step])]
+            pair = np.stack([nodes[i], nodes[i + step]], axis=1)
+            found.append(np.sort(pair, axis=1))
+        found = np.unique(np.concatenate(found), axis=0)
+        return [pa.array(found[:, 0]), pa.array(found[:, 1])]
+
+    ordered = short.select("key", "node", "n", "component", "sketch").repartition("key").sortWithinPartitions("key")
+    return map_rows(ordered, 0, "a long, b long", run)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (`a`, `b`) that link: by their counts in bins first, then by their whole sets."""
-    x, y = (sets.selectExpr(f"node AS {side}", "n", "sketch").alias(name) for side, name in (("a", "x"), ("b", "y")))
-    near, path = put(pairs.join(x, "a").join(y, "b").where(_alike(rule)).select("a", "b"), "join-near")
+    near, path = put(_alike(pairs, sets, rule), "join-near")
     left, right = sets.selectExpr("node AS a", "items AS x"), sets.selectExpr("node AS b", "items AS y")
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
@@ -312,6 +374,7 @@ def _by_difference(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     ranked = differing.join(held, ["hub", "item"]).selectExpr(
         "*",
         "row_number() OVER (PARTITION BY hub, node ORDER BY held, item) AS place",  # of one set
+        "count_if(held > 1) OVER (PARTITION BY hub, node) AS common",  # at most so many are in another difference, too
         # more than (d - q i) / 2 in common with a set that does not link with the hub
         f"d - (100 * d - {q} * i) div 200 AS first",
         # d less the largest difference in common with any set that links
@@ -319,7 +382,8 @@ def _by_difference(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     )
     ranked = stage(ranked.where("place <= greatest(first, first_any)"), "join-ranked")
     near, far = ranked.where("linked AND place <= first"), ranked.where("NOT linked")
-    fits = f"x.hub = y.hub AND x.item = y.item AND x.component != y.component AND {_fits('x.n', 'y.n', rule)}"
+    few = f"{100 + p} * (x.d + y.d - 2 * least(x.common, y.common)) <= {q} * (x.n + y.n)"
+    fits = f"x.hub = y.hub AND x.item = y.item AND x.component != y.component AND {_fits('x.n', 'y.n', rule)} AND {few}"
     some = far.where("place <= first")
     one_far = far.where("place <= first_any").alias("x").join(near.alias("y"), F.expr(fits))
     both_far = some.alias("x").join(some.alias("y"), F.expr(f"{fits} AND x.node < y.node"))
@@ -342,7 +406,7 @@ def similar_documents(
     """
     kept = [f"k{i}" for i in range(len(keep) + 1)]
     named = docs.select(*[col(c).alias(k) for c, k in zip((key, *keep), kept)], col(text).alias("text"))
-    rows, by_class = _resolved(named, kept, rule)
+    rows, _, by_class = _resolved(named, kept, rule)
     output = [*[F.col(k).alias(c) for c, k in zip((key, *keep), kept)], F.col("n").alias("n_shingles")]
     alone = rows.where("same IS NULL").select(*output, F.col("k0").alias("component_id"))
     together = rows.where("same IS NOT NULL").join(by_class, "same")
@@ -356,7 +420,8 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", rule:
     """
     own = docs.columns
     named = docs.select(col(key).alias("k0"), col(text).alias("text"))
-    _, by_class = _resolved(named, ["k0"], rule)
+    _, folder, by_class = _resolved(named, ["k0"], rule)
+    remove(docs.sparkSession, folder)
     best = by_class.select(F.col("best.k0").alias("__key"), F.col("best.place").alias("__place")).distinct()
     wordless = F.coalesce(~col(text).rlike(f"[^{SPACE}]"), F.lit(True))
     marked = docs.withColumn("__text_hash", F.xxhash64(col(text)))
@@ -365,23 +430,29 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", rule:
     return chosen.select(*names(own)).union(docs.where(wordless))
 
 
-def _resolved(named: DataFrame, kept: list[str], rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """Staged rows of all documents, and of each class of equal sets: `same`, `best` (the least row of its component)."""
-    rows = stage(_nodes(named, tuple(kept), "text", rule), "join-rows")
+def _resolved(named: DataFrame, kept: list[str], rule: Rule) -> tuple[DataFrame, str, DataFrame]:
+    """Staged rows of all documents, their folder, and of each class of equal sets: `same`, `best` (the least row of its component)."""
+    rows, folder = put(_nodes(named, tuple(kept), "text", rule), "join-rows")
     least = F.struct(F.col("k0").isNull().alias("none"), F.col("k0"), F.col("row"), F.col("place"))
     classes = stage(
         rows.where("same IS NOT NULL").groupBy("same").agg(F.min("row").alias("node"), F.min(least).alias("best")), "join-classes"
     )
     listed = rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi").selectExpr("row AS node", "n", "place", "same", "keys")
     entries = listed.selectExpr("explode(keys) AS key", "node", "n")
-    hubs = entries.groupBy("key").agg(F.count("*").alias("m"), F.min_by("n", "node").alias("hub_n"), F.min("node").alias("hub")).where("m > 1")
-    members, lists = put(entries.join(hubs.drop("m"), "key"), "join-lists")
+    several = entries.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    shared, sharing = put(entries.join(several, "key"), "join-shared")
+    # the hub is the node that meets most others: the more nodes link with it, the fewer lists stay open
+    weights = shared.groupBy("node").agg(F.sum("m").alias("weight"))
+    best_of = F.max(F.struct("weight", (-F.col("node")).alias("node"), "n")).alias("best")
+    hubs = shared.join(weights, "node").groupBy("key").agg(best_of).selectExpr("key", "best.n AS hub_n", "-best.node AS hub")
+    members, lists = put(shared.drop("m").join(hubs, "key"), "join-lists")
+    remove(named.sparkSession, sharing)
 
     met = members.select("node").distinct()
     wanted = listed.select("node", "place", "same").join(met, "node", "left_semi")
-    sets = _sets(named, wanted, "text", rule)
+    sets, held = _sets(named, wanted, "text", rule)
 
-    tried = stage(members.where(f"node != hub AND {_fits('n', 'hub_n', rule)}").selectExpr("hub AS a", "node AS b").distinct(), "join-pairs")
+    tried = stage(members.where(f"node != hub AND {_fits('n', 'hub_n', rule)}").selectExpr("least(hub, node) AS a", "greatest(hub, node) AS b").distinct(), "join-pairs")
     links = _linked(tried, sets, rule)
 
     # what the hubs did not connect: only lists that hold more than one component go on
@@ -390,15 +461,15 @@ def _resolved(named: DataFrame, kept: list[str], rule: Rule) -> tuple[DataFrame,
     placed, places = put(of_members.withColumn("component", F.coalesce("component", "node")), "join-placed")
     remove(named.sparkSession, lists)
     of_list = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"))
-    rest = stage(placed.join(of_list.where("low != high").select("key", "m"), "key"), "join-open")
+    rest, opened = put(placed.join(of_list.where("low != high").select("key", "m"), "key"), "join-open")
     remove(named.sparkSession, places)
     short = rest.where(F.col("m") <= FEW).select("key", "node", "n", "component").join(sets.select("node", "sketch"), "node")
-    on = f"x.key = y.key AND x.node < y.node AND x.component != y.component AND {_fits('x.n', 'y.n', rule)} AND {_alike(rule)}"
-    pairs = short.alias("x").join(short.alias("y"), F.expr(on)).selectExpr("x.node AS a", "y.node AS b")
-    pairs = pairs.union(_by_difference(rest.where(F.col("m") > FEW), sets, rule)).distinct().join(tried, ["a", "b"], "left_anti")
+    pairs = _in_lists(short, rule).union(_by_difference(rest.where(F.col("m") > FEW), sets, rule)).distinct().join(tried, ["a", "b"], "left_anti")
     more = _linked(stage(pairs, "join-pairs"), sets, rule)
+    remove(named.sparkSession, held)
+    remove(named.sparkSession, opened)
 
     final = stage(components(links.union(more)), "join-components")
     component = classes.join(final, "node", "left").select("same", "best", F.coalesce("component", "node").alias("component"))
     best = component.groupBy("component").agg(F.min("best").alias("best"))
-    return rows, stage(component.drop("best").join(best, "component").select("same", "best"), "join-result")
+    return rows, folder, stage(component.drop("best").join(best, "component").select("same", "best"), "join-result")
