@@ -195,7 +195,9 @@ def _verdicts(counted: DataFrame, robust: Robust) -> DataFrame:
     scale = stage(_quantile(_measure(rows, fit, parts), 0.5).select("cell", F.greatest(F.col("cut") / MEDIAN, F.lit(1.0)).alias("scale")), "quality-scale")
 
     kept = counted.columns
-    vectors = counted.select(*[col(c) for c in kept], F.col("__cell").alias("cell"), *vector)
+    # a text without words has no vector, and a join may have it computed for every row: its divisions are for the others only
+    of_good = [F.when(~F.col("base_failed"), F.expr(VECTOR[p][0])).alias(p) for p in parts]
+    vectors = counted.select(*[col(c) for c in kept], F.col("__cell").alias("cell"), *of_good)
     d2 = _measure(vectors, fit, parts).join(scale, "cell", "left")
     distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
     return d2.select(
