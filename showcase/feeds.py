@@ -29,7 +29,7 @@ from tidemark.functions.docs import (
     wrap_date,
     wrap_oid,
 )
-from tidemark.session import scratch_dir
+from tidemark.session import CODEC, scratch_dir
 from tidemark.sources.envelope import envelope_schema, has_files
 
 EVENT_SPEC = CollectionSpec(
@@ -73,37 +73,53 @@ def scalars(df: DataFrame) -> DataFrame:
 
 def write_landing(df: DataFrame, folder: str, basename: str, mode: str = "append") -> None:
     """Write a feed into a landing folder under a file name prefix of its kind."""
-    df.write.mode(mode).option("mapreduce.output.basename", basename).parquet(folder)
+    df.write.mode(mode).option("mapreduce.output.basename", basename).option("compression", CODEC).parquet(folder)
 
 
 _LANDED: dict[tuple, str] = {}
 
 
+def _is_written(spark: SparkSession, key: tuple) -> bool:
+    key = (spark.sparkContext.applicationId, *key)
+    return key in _LANDED and has_files(spark, _LANDED[key])
+
+
 def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> str:
     """The folder where these rows are: written to the shared folder once per application and key."""
+    written = _is_written(spark, key)
     key = (spark.sparkContext.applicationId, *key)
-    if key not in _LANDED or not has_files(spark, _LANDED[key]):
+    if not written:
         _LANDED[key] = scratch_dir(spark, key[1])
-        build().write.mode("errorifexists").parquet(_LANDED[key])
+        build().write.mode("errorifexists").option("compression", CODEC).parquet(_LANDED[key])
     return _LANDED[key]
 
 
 def landed(name: str, dealt: bool = False):
     """A feed that is written to the shared folder once per application and table set, and
     read from there: as in life, the operators start from parquet envelopes in many files.
+    `feed.fresh` gives the same rows for a landing folder of their own: where no query has written the feed, it is not
+    written, as they would then be on the disks twice.
 
     `dealt`: its rows come out of a join by their key, so they are dealt out already and are not shuffled again."""
 
     def wrap(build):
-        def feed(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
-            def rows() -> DataFrame:
-                built = build(spark, sf_dir, *args, **kwargs)
-                return built if dealt else built.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(KEY, SEQ))
+        def rows(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
+            built = build(spark, sf_dir, *args, **kwargs)
+            return built if dealt else built.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(KEY, SEQ))
+
+        def key(sf_dir: str, args: tuple, kwargs: dict) -> tuple:
+            return (name, sf_dir, args, tuple(sorted(kwargs.items())))
 
-            path = _once(spark, (name, sf_dir, args, tuple(sorted(kwargs.items()))), rows)
+        def feed(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
+            path = _once(spark, key(sf_dir, args, kwargs), lambda: rows(spark, sf_dir, *args, **kwargs))
             with_op = OP in spark.read.parquet(path).columns
             return spark.read.schema(envelope_schema(with_op)).parquet(path)
 
+        def fresh(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
+            written = _is_written(spark, key(sf_dir, args, kwargs))
+            return (feed if written else rows)(spark, sf_dir, *args, **kwargs)
+
+        feed.fresh = fresh
         return feed
 
     return wrap
@@ -166,16 +182,19 @@ def orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("l_linenumber").cast("string")
-    first = F.struct(number.alias("_id"), F.col("n").alias("numOfRetries"), F.col("flag").alias("status"))
-    second = F.struct(number.alias("_id"), F.col("kept_n").alias("numOfRetries"), F.col("kept_flag").alias("status"))
-    arrays = (
-        order_lines(spark, sf_dir)
-        .groupBy("l_orderkey")
-        .agg(
-            F.collect_list(first).alias("lines_1"),
-            F.collect_list(F.when(F.col("kept_n") > 0, second)).alias("lines_2"),
+    # one narrow list is shuffled; both versions are made of it behind the shuffle
+    line = F.struct("l_linenumber", "n", "flag", "kept_n", "kept_flag")
+    lists = order_lines(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+
+    def version(lines, n: str, flag: str):
+        return F.transform(
+            lines, lambda x: F.struct(x["l_linenumber"].cast("string").alias("_id"), x[n].alias("numOfRetries"), x[flag].alias("status"))
         )
+
+    arrays = lists.select(
+        "l_orderkey",
+        version("lines", "n", "flag").alias("lines_1"),
+        version(F.filter("lines", lambda x: x["kept_n"] > 0), "kept_n", "kept_flag").alias("lines_2"),
     )
     orders = table(spark, sf_dir, "orders")
     return orders.join(arrays, F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -291,8 +310,7 @@ def upload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @landed("upload_changes", dealt=True)
 def upload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat documents, one per kept line: several of one key share its newest sequence."""
-    lines = order_lines(spark, sf_dir).where("kept_n > 0")
-    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    orders = orders_with_lines(spark, sf_dir).withColumn("line", F.explode("lines_2"))
     placed = wrap_date(ntz_millis(F.col("o_orderdate")))
     doc = to_doc(
         {
@@ -300,16 +318,16 @@ def upload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             "_id": F.col("o_orderkey").cast("string"),
             "automatedStatus": F.col("o_orderstatus"),
             "ehr": F.col("o_orderpriority"),
-            "fileName": F.concat(F.lit("line-"), F.col("l_linenumber").cast("string")),
+            "fileName": F.concat(F.lit("line-"), F.col("line._id")),
             "fromDate": placed,
-            "inputType": F.col("kept_flag"),
+            "inputType": F.col("line.status"),
             "isLocked": F.when(F.col("o_orderstatus") == "F", F.lit(True)),
             "npi": F.col("o_custkey").cast("string"),
             "practiceId": F.col("o_custkey").cast("string"),
             "toDate": placed,
             "type": F.lit("second"),
             "uploadId": F.col("o_orderkey").cast("string"),
-            "uploadStatus": F.when(F.col("kept_n") > 1, F.lit("repeated")),
+            "uploadStatus": F.when(F.col("line.numOfRetries") > 1, F.lit("repeated")),
             "uploadTime": placed,
         }
     )
@@ -341,7 +359,7 @@ def access_docs(spark: SparkSession, sf_dir: str, version: int, turns: int = TUR
     )
 
 
-@landed("access_feed")
+@landed("access_feed", dealt=True)
 def access_feed(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
     docs = access_docs(spark, sf_dir, version)
     doc = to_doc(

@@ -145,15 +145,15 @@ def _run_landed(spark, sf_dir, leave_out=()):
     """Landing files of all four collections, one run into a new database; some snapshots never come."""
     landing, work = landing_dir(spark, "run"), scratch_dir(spark, "run")
     database = f"run_{uuid.uuid4().hex}"
-    for spec, snapshot, changes in (
-        (REPORTS, feeds.report_snapshot(spark, sf_dir), feeds.report_changes(spark, sf_dir)),
-        (UPLOADS, feeds.upload_snapshot(spark, sf_dir), feeds.upload_changes(spark, sf_dir)),
-        (ACCESS, feeds.access_feed(spark, sf_dir, 1), feeds.access_feed(spark, sf_dir, 2)),
-        (ERRORS, feeds.error_snapshot(spark, sf_dir), feeds.error_changes(spark, sf_dir)),
+    for spec, snapshot, changes, *version in (
+        (REPORTS, feeds.report_snapshot, feeds.report_changes),
+        (UPLOADS, feeds.upload_snapshot, feeds.upload_changes),
+        (ACCESS, feeds.access_feed, feeds.access_feed, 1, 2),
+        (ERRORS, feeds.error_snapshot, feeds.error_changes),
     ):
         if spec.name not in leave_out:
-            write_landing(snapshot, f"{landing}/{spec.name}", "LOAD")
-        write_landing(changes, f"{landing}/{spec.name}", "change")
+            write_landing(snapshot.fresh(spark, sf_dir, *version[:1]), f"{landing}/{spec.name}", "LOAD")
+        write_landing(changes.fresh(spark, sf_dir, *version[1:]), f"{landing}/{spec.name}", "change")
     specs = [spec.with_(buckets=_BUCKETS) for spec, *_ in _WHOLE_RUN.values()]
     failed = []
     try:

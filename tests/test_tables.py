@@ -1,5 +1,6 @@
 """Landing folders, stored tables, the run and the stream."""
 
+import json
 import os
 import time
 from threading import Barrier
@@ -526,3 +527,69 @@ def test_feeds_of_orders_share_their_grouped_lines(spark, monkeypatch):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     before = orders.where(feeds.ORDERS_BEFORE).count()
     assert sizes == [before, orders.count(), before] and len(built) == 1
+
+
+def test_feeds_are_built_of_one_list_of_lines(spark, tmp_path):
+    """Uploads of the kept lines of an order, whether it comes twice, has lines without a number, or none that stay."""
+    from showcase import feeds
+
+    folder = str(tmp_path)
+    orders = [(1, 7, "O", "1996-01-02", "1-URGENT"), (2, 7, "F", "1997-05-01", None), (4, None, "O", "1995-02-02", "2-HIGH"), (None, 9, "O", "1995-02-03", None)]
+    orders += 2 * [(3, 8, "P", "1998-03-04", "5-LOW")]
+    lines = [(1, 1, "N"), (1, 1, "R"), (1, 2, "R"), (2, 1, "A"), (2, None, "N"), (3, 3, None), (3, 4, "N"), (3, 4, "N"), (None, 1, "N"), (9, 1, "N")]
+    orders = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, d string, o_orderpriority string")
+    orders.selectExpr("* except (d)", "d::timestamp_ntz AS o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
+    ups = [json.loads(r["_doc"]) for r in feeds.upload_changes(spark, folder).collect()]
+    got = sorted((d["_id"], str(d.get("fileName")), d["inputType"], d.get("uploadStatus")) for d in ups)
+    # by order and number: 1-1 keeps one line of two, 2 keeps both, and 3-4 (two lines) is there for each of the two equal orders
+    assert got == [("1", "line-1", "N", None), ("2", "None", "N", None), ("2", "line-1", "A", None)] + 2 * [("3", "line-4", "N", "repeated")]
+    lines = {(r.o_orderkey, tuple(sorted((str(x["_id"]), x["numOfRetries"], x["status"]) for x in r.lines_2 or []))) for r in feeds.orders_with_lines(spark, folder).collect()}
+    assert lines == {(1, (("1", 1, "N"),)), (2, (("1", 1, "A"), ("None", 1, "N"))), (3, (("4", 2, "N"),)), (4, ()), (None, ())}
+
+
+def test_a_feed_that_nobody_wrote_is_landed_without_a_copy(spark, tmp_path):
+    from showcase import feeds
+
+    folder = str(tmp_path)
+    spark.createDataFrame([(i, f"https://a.org/{i}", "x" * i) for i in range(9)], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    fresh = sorted(map(tuple, feeds.error_changes.fresh(spark, folder).collect()))
+    assert len(fresh) == 9 and not [k for k in feeds._LANDED if folder in k]
+    assert fresh == sorted(map(tuple, feeds.error_changes(spark, folder).collect())) and [k for k in feeds._LANDED if folder in k]
+    assert "error_changes-" in feeds.error_changes.fresh(spark, folder).inputFiles()[0]  # now there is one
+
+
+def test_documents_are_not_shuffled_to_find_the_newest(spark, tmp_path, monkeypatch):
+    import tidemark.plans.loads as loads
+    from tidemark import keep_latest
+
+    def written(rows, name):
+        envelopes(spark, rows).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    def exchanged(df):
+        df.collect()
+        return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line and "_doc" in line]
+
+    once = [("U", f"k{i}", 2, None, f"d{i}") for i in range(50)] + [("U", "tie", 2, None, "a"), ("U", "tie", 2, None, "b"), ("U", None, 3, None, "n"), ("U", "q", None, None, "n")]
+    few = once + [("U", "k1", 1, None, "old"), ("D", "k2", 5, None, "new"), ("U", "k2", 5, None, "new too")]
+    same = {}
+    for name, rows in (("once", once), ("few", few)):
+        df = written(rows, name)
+        want = sorted(map(str, keep_latest(df).collect()))
+        newest = loads.newest_changes(df)
+        assert sorted(map(str, newest.collect())) == want and not exchanged(newest)
+        same[name] = df, want
+    monkeypatch.setattr(loads, "BROADCAST_BYTES", 0)
+    df, want = same["few"]
+    assert sorted(map(str, loads.newest_changes(df).collect())) == want
+    assert len(same["once"][1]) == 52 and len(want) == 53
+
+
+def test_tables_and_batches_lie_compressed(spark, place):
+    import pyarrow.parquet as pq
+
+    snapshot(spark, place)
+    table = initial_load(spark, SPEC, place["landing"], f"{place['tables']}/things")
+    files = [f.removeprefix("file:") for f, _ in files_under(spark, table.path) if f.endswith(".parquet")]
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}

@@ -71,10 +71,16 @@ class _Sides:
         unknown = [c for c in mapping if c not in self.types]
         if unknown:
             raise ValueError(f"mapping names columns the target does not have: {unknown}")
-        self.values = {c: f"__v{i}" for i, c in enumerate(mapping)}
-
         self.t_keys = [f"__t{i}" for i in range(len(self.pairs))]
         self.s_keys = [f"__s{i}" for i in range(len(self.pairs))]
+        # a key that is written as it is goes through the shuffle once
+        s_types = {f.name: f.dataType for f in s_schema}
+        keyed = {
+            t: k
+            for (t, s), k in zip(self.pairs, self.s_keys)
+            if isinstance(mapping.get(t), str) and mapping[t] == s and s_types.get(s) == self.types[t]
+        }
+        self.values = {c: keyed.get(c, f"__v{i}") for i, c in enumerate(mapping)}
         strict = [(t, s) for t, s in self.pairs if t not in self.null_safe]
         strict_t, strict_s = [t for t, _ in strict], [s for _, s in strict]
         self.strict = [k for (t, _), k in zip(self.pairs, self.s_keys) if t not in self.null_safe]
@@ -98,6 +104,7 @@ class _Sides:
             if isinstance(e, str) and e in same and e == c
             else (col(e) if isinstance(e, str) else e).cast(self.types[c]).alias(self.values[c])
             for c, e in mapping.items()
+            if c not in keyed
         ]
         self.s = source.select(
             *[col(s).alias(k) for (_, s), k in zip(self.pairs, self.s_keys)],

@@ -15,6 +15,9 @@ from tidemark.functions.columns import quote
 # What is staged is read from its files, so the shuffles behind it can go as soon as it is written.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+# How tables and batches lie on the disks: half of what Spark's default takes, for some more CPU seconds.
+CODEC = "zstd"
+
 # Runtime settings the operators count on; a cluster may set them higher or lower.
 SETTINGS = {
     CLEANUP: "true",
@@ -57,19 +60,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", path: str | None = None, codec: str | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     Cuts the lineage, fixes the rows for every later use, and gives the planner
     (and `staged_bytes`) the true size instead of an estimate. Survives the loss of
-    executors, because nothing of it lives on them.
+    executors, because nothing of it lives on them. `codec`: of the files, else the session's.
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark, label)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").options(**({"compression": codec} if codec else {})).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

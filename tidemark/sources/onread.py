@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import any_null_sql, bucket_of, columns_sql, names, quote
-from tidemark.session import files_under, remove, write_text
+from tidemark.session import CODEC, files_under, remove, write_text
 from tidemark.sources.tables import BUCKET, COMMIT, GONE, PLACE, SHOWN, BucketTable, drop_table, escaped, table_exists
 
 
@@ -84,7 +84,7 @@ class OnReadTable(BucketTable):
         rows = [f for f in schema or self.spark.table(self.rows_name).schema if f.name not in (COMMIT, BUCKET)]
         columns = columns_sql([*rows, T.StructField(GONE, T.BooleanType()), *PLACE])
         self.spark.sql(
-            f"CREATE TABLE {self.changes_name} ({columns}) USING parquet PARTITIONED BY ({COMMIT}, {BUCKET}) "
+            f"CREATE TABLE {self.changes_name} ({columns}) USING parquet OPTIONS (compression '{CODEC}') PARTITIONED BY ({COMMIT}, {BUCKET}) "
             f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{escaped(self.changes_path)}'"
         )
         if self._stored_changes():

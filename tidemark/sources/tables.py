@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import any_null, bucket_of, col, columns_sql, names, quote, type_sql
 from tidemark.operators.evolve import conform, merge_types
 from tidemark.operators.merge import MergeCounts
-from tidemark.session import files_under, read_text, remove, write_text
+from tidemark.session import CODEC, files_under, read_text, remove, write_text
 
 BUCKET, COMMIT, GONE = "in_bucket", "in_commit", "in_delete"
 #: Columns of the catalog's tables that no reader of the view gets (but for the bucket).
@@ -89,8 +89,8 @@ class BucketTable:
             return
         keys = ", ".join(names(self.keys))
         self.spark.sql(
-            f"CREATE TABLE {self.rows_name} ({columns_sql([*(schema or self.schema), *PLACE])}) USING parquet PARTITIONED BY ({COMMIT}, {BUCKET}) "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{escaped(self.path)}'"
+            f"CREATE TABLE {self.rows_name} ({columns_sql([*(schema or self.schema), *PLACE])}) USING parquet OPTIONS (compression '{CODEC}') "
+            f"PARTITIONED BY ({COMMIT}, {BUCKET}) CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{escaped(self.path)}'"
         )
         if self._stored():
             self.spark.sql(f"MSCK REPAIR TABLE {self.rows_name}")
